@@ -39,8 +39,9 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
 
 def words_of(text: Column) -> Column:
     """Array of the maximal runs without ASCII white space; null and blank texts give an empty array."""
-    core = F.btrim(F.coalesce(text, F.lit("")), F.lit(WS_CHARS))
-    return F.when(core == "", F.array().cast("array<string>")).otherwise(F.split(core, WS))
+    parts = F.split(F.coalesce(text, F.lit("")), WS)
+    edge = (F.get(parts, 0) == "") | (F.element_at(parts, -1) == "")
+    return F.when(edge, F.array_remove(parts, "")).otherwise(parts)
 
 
 def let(value: Column, body) -> Column:
