@@ -52,3 +52,19 @@ def let(value: Column, body) -> Column:
 def shingle_hash(words: Column, i: Column, k: int) -> Column:
     """64-bit hash of the ``k`` words from position ``i`` (from 0)."""
     return F.xxhash64(*[F.get(words, i + j) for j in range(k)])
+
+
+def alnum_words(text: Column) -> Column:
+    """Array of lower-cased words of ASCII letters, digits and all non-ASCII characters."""
+    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    edge = (F.get(parts, 0) == "") | (F.element_at(parts, -1) == "")
+    return F.when(edge, F.array_remove(parts, "")).otherwise(parts)
+
+
+def exploded_shingles(df: DataFrame, words: str, k: int) -> DataFrame:
+    """``df`` with one row per position ``pos`` of a ``k``-word shingle."""
+    return df.filter(F.size(words) >= k).withColumn("pos", F.explode(F.sequence(F.lit(0), F.size(words) - k)))
+
+
+def shingle_text(words: Column, i: Column, k: int) -> Column:
+    return F.concat_ws(" ", *[F.get(words, i + j) for j in range(k)])
