@@ -86,6 +86,16 @@ def bucket_edges(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.r_[0, np.searchsorted(hashes, cuts), len(hashes)]
 
 
+def pack(counts: np.ndarray) -> bytes:
+    """Counts, most of them small, as their number and compressed bytes."""
+    return len(counts).to_bytes(8, "little") + pa.compress(counts.tobytes(), "zstd", asbytes=True)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.decompress(data[8:], 8 * n, "zstd"), np.uint64) if n else np.zeros(0, np.uint64)
+
+
 def _ask(buckets: int):
     def run(block: pa.Table) -> pa.Table:
         block = block.combine_chunks()
@@ -99,8 +109,10 @@ def _ask(buckets: int):
                 continue
             rows["bucket"].append(k)
             rows["block"].append(name)
-            for kind, data in (("uni", b.uni_hash[u]), ("uni_own", b.uni_own[u]), ("pair", b.pair_hash[p]), ("pair_own", b.pair_own[p])):
-                rows[kind].append(data.tobytes())
+            rows["uni"].append(b.uni_hash[u].tobytes())
+            rows["uni_own"].append(pack(b.uni_own[u]))
+            rows["pair"].append(b.pair_hash[p].tobytes())
+            rows["pair_own"].append(pack(b.pair_own[p]))
         return pa.table(rows, schema=pa.schema([("bucket", pa.int32()), ("block", pa.int32()), *((k, pa.binary()) for k in list(rows)[2:])]))
 
     return run
@@ -113,6 +125,10 @@ def _arrays(column) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
 
 
+def _counts(column) -> list[np.ndarray]:
+    return [unpack(x.as_py()) for x in column]
+
+
 def _totals(hashes: list[np.ndarray], own: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
     """Totals of the distinct hashes, and the totals of each block's hashes in its own order."""
     h, c = np.concatenate(hashes), np.concatenate(own)
@@ -120,19 +136,19 @@ def _totals(hashes: list[np.ndarray], own: list[np.ndarray]) -> tuple[np.ndarray
     total = np.zeros(int(which.max(initial=-1)) + 1, np.uint64)
     np.add.at(total, which, c)
     back = np.split(total[which], np.cumsum([len(x) for x in hashes])[:-1])
-    return total, [x.tobytes() for x in back]
+    return total, [pack(x) for x in back]
 
 
 def _answer(asked: pa.Table) -> pa.Table:
-    _, uni = _totals(_arrays(asked.column("uni")), _arrays(asked.column("uni_own")))
-    _, pair = _totals(_arrays(asked.column("pair")), _arrays(asked.column("pair_own")))
+    _, uni = _totals(_arrays(asked.column("uni")), _counts(asked.column("uni_own")))
+    _, pair = _totals(_arrays(asked.column("pair")), _counts(asked.column("pair_own")))
     return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"), "uni": pa.array(uni, pa.binary()), "pair": pa.array(pair, pa.binary())})
 
 
 def _count(asked: pa.Table) -> pa.Table:
     """Training tokens of a bucket and how many of its words (and the end) have any."""
     hashes = _arrays(asked.column("uni"))
-    own = [np.where(h == START, np.uint64(0), c) for h, c in zip(hashes, _arrays(asked.column("uni_own")), strict=True)]
+    own = [np.where(h == START, np.uint64(0), c) for h, c in zip(hashes, _counts(asked.column("uni_own")), strict=True)]
     total, _ = _totals(hashes, own)
     return pa.table({"n": pa.array([int(total.sum())], pa.int64()), "v": pa.array([int(np.count_nonzero(total))], pa.int64())})
 
@@ -148,7 +164,7 @@ def _score(weight: float, id_type: pa.DataType):
         b = Block(block.column("text").combine_chunks(), train)
         answers = answers.sort_by("bucket")
         n, v = answers.column("n")[0].as_py(), answers.column("v")[0].as_py()
-        uni, pair = np.concatenate(_arrays(answers.column("uni"))), np.concatenate(_arrays(answers.column("pair")))
+        uni, pair = np.concatenate(_counts(answers.column("uni"))), np.concatenate(_counts(answers.column("pair")))
         if len(uni) != len(b.uni_hash) or len(pair) != len(b.pair_hash):
             raise RuntimeError("a block was dealt differently in the two passes")
         count = np.empty(len(uni), np.uint64)
@@ -195,7 +211,7 @@ def lm_scores(
     doc_id: str = "doc_id",
     text: str = "text",
     weight: float = 2.0,
-    block_chars: int = 6_000_000,
+    block_chars: int = 5_000_000,
     bucket_chars: int = 4_000_000,
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
