@@ -63,7 +63,7 @@ def test_equals_brute_force(spark):
 
 def test_chunked_cells_and_no_broadcast(spark):
     rows = corpus(2)
-    assert got(spark, rows, cell_rows=3, broadcast_rows=0) == brute(rows)
+    assert got(spark, rows, cell_rows=3, broadcast_rows=0, part_chars=20_000) == brute(rows)
 
 
 def test_empty_table(spark):

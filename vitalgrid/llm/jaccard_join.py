@@ -126,19 +126,87 @@ def _summary(k: int):
     return run
 
 
-def _postings(k: int, percent: int):
+KEY_BITS = 48  # keys only gather candidates, so a shortened key costs at most a few needless comparisons
+
+
+def _pack(x: np.ndarray) -> bytes:
+    return pa.compress(x.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(data: bytes, n: int, kind) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, n * np.dtype(kind).itemsize, "zstd"), kind)
+
+
+POSTED = "part int, n int, keys binary, at binary, names int, classes binary"
+
+
+def _postings(k: int, percent: int, parts: int):
+    """Keys of every class, packed per key range: sorted differences and places in a class list."""
+
+    def rows(keys: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
+        key = np.concatenate(keys).view(np.uint64) >> np.uint64(64 - KEY_BITS)
+        own = np.repeat(np.arange(len(keys), dtype=np.uint16), [len(x) for x in keys])
+        order = np.argsort(key, kind="stable")
+        key, own, cls = key[order], own[order], np.array(names, np.int64)
+        edges = np.searchsorted(key, np.array([(i << KEY_BITS) // parts for i in range(parts + 1)], np.uint64))
+        out = {c: [] for c in ("part", "n", "keys", "at", "names", "classes")}
+        for p in range(parts):
+            x, at = key[edges[p] : edges[p + 1]], own[edges[p] : edges[p + 1]]
+            if len(x):
+                here, at = np.unique(at, return_inverse=True)
+                for c, v in (("part", p), ("n", len(x)), ("keys", _pack(np.diff(x, prepend=np.uint64(0)))), ("at", _pack(at.astype(np.uint16))), ("names", len(here)), ("classes", cls[here].tobytes())):
+                    out[c].append(v)
+        types = {"part": pa.int32(), "n": pa.int32(), "names": pa.int32()}
+        return pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, types.get(c, pa.binary())) for c in out]))
+
     def run(batches):
-        intervals, seen = Intervals(percent), set()
+        intervals, seen, keys, names = Intervals(percent), set(), [], []
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
-                keys, names = [], []
                 for s in shingle_sets(batch.slice(at, 2000).column(0), k):
                     if len(s) and (c := class_of(s)) not in seen:
                         seen.add(c)
                         keys.append(intervals.keys(s))
-                        names.append(np.full(len(keys[-1]), c, np.int64))
-                if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(names))], names=["bucket", "cls"])
+                        names.append(c)
+                        if len(names) == 8000:
+                            yield rows(keys, names)
+                            keys, names = [], []
+        if names:
+            yield rows(keys, names)
+
+    return run
+
+
+def _meet(small: int):
+    """Sets of two or more classes that share a key, each once per part.
+
+    A set of at most ``small`` classes is one row; a larger one has a row per class.
+    """
+
+    def run(part: pa.Table) -> pa.Table:
+        keys, cls = [], []
+        for n, x, at, classes in zip(*(part.column(c).to_pylist() for c in ("n", "keys", "at", "classes")), strict=True):
+            keys.append(np.cumsum(_unpack(x, n, np.uint64), dtype=np.uint64))
+            cls.append(np.frombuffer(classes, np.int64)[_unpack(at, n, np.uint16)])
+        key, name = np.concatenate(keys), np.concatenate(cls)
+        order = np.lexsort((name, key))
+        key, name = key[order], name[order]
+        fresh = np.r_[True, (key[1:] != key[:-1]) | (name[1:] != name[:-1])]
+        key, name = key[fresh], name[fresh]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[first, len(key)])
+        mixed = mix(name.view(np.uint64) ^ M1)
+        sign = mix(np.add.reduceat(mixed, first) + size.astype(np.uint64) * M2)
+        shared = np.flatnonzero(size > 1)
+        _, once = np.unique(sign[shared], return_index=True)
+        out = {"sig": [], "cell": [], "members": []}
+        for i in shared[once].tolist():
+            members = name[first[i] : first[i] + size[i]]
+            for chunk in [members] if len(members) <= small else members[:, None]:
+                out["sig"].append(int(sign[i].view(np.int64)))
+                out["cell"].append(int(members[0]))
+                out["members"].append(chunk.tolist())
+        return pa.table(out, schema=pa.schema([("sig", pa.int64()), ("cell", pa.int64()), ("members", pa.list_(pa.int64()))]))
 
     return run
 
@@ -274,6 +342,7 @@ def jaccard_components(
     k: int = 4,
     percent: int = 85,
     cell_rows: int = 20_000,
+    part_chars: int = 24_000_000,
     broadcast_rows: int = 300_000,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
@@ -281,9 +350,14 @@ def jaccard_components(
     whole = F.coalesce(F.col(text), F.lit("")).alias("text")
     base = materialize(docs.select(F.col(doc_id).alias("doc"), whole).mapInArrow(_summary(k), f"doc {id_type}, n long, cls long"))
 
-    posted = docs.select(whole).mapInArrow(_postings(k, percent), "bucket long, cls long").repartition("bucket")
-    met = posted.groupBy("bucket").agg(F.min("cls").alias("cell"), F.max("cls").alias("last")).filter("cell < last")
-    shared = materialize(posted.join(met.hint("shuffle_hash"), "bucket").select("bucket", "cell", "cls").distinct())
+    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    posted = docs.select(whole).mapInArrow(_postings(k, percent, 1 + chars // part_chars), POSTED)
+    met = posted.groupBy("part").applyInArrow(_meet(1000), "sig long, cell long, members array<long>")
+    # small sets came whole, so one row of a signature stands for all; large ones are spread over rows
+    whole_sets = met.filter(F.size("members") > 1).groupBy("sig").agg(F.first("cell").alias("cell"), F.first("members").alias("members"))
+    spread = met.filter(F.size("members") == 1).select("sig", "cell", F.get("members", F.lit(0)).alias("cls")).distinct()
+    sets_of = whole_sets.select("sig", "cell", F.explode("members").alias("cls")).unionByName(spread)
+    shared = materialize(sets_of.withColumnRenamed("sig", "bucket"))
 
     cells = shared.groupBy("cls").agg(F.min("cell").alias("cell"))
     members = cells.select("cell", "cls").unionByName(cells.select("cell", F.col("cell").alias("cls"))).distinct()
@@ -299,15 +373,14 @@ def jaccard_components(
 
     links = materialize(_links(members, sets, percent, cell_rows))
     labels = connected_components(links)
-    # keys whose classes are still apart, each set of classes once
+    # sets of classes that share a key and are still apart
     placed = shared.join(labels, shared["cls"] == labels["node"], "left").select(
         "bucket", "cls", F.coalesce("root", "cls").alias("comp")
     )
     apart = (
         placed.groupBy("bucket")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"),
-             F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("sig"))
-        .filter("lo < hi").groupBy("m", "sig", "lo", "hi").agg(F.min("bucket").alias("bucket"))
+        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        .filter("lo < hi")
     )
     again = placed.join(apart.select("bucket"), "bucket").select(F.col("bucket").alias("cell"), "cls", "comp")
     more = materialize(_links(materialize(again), sets, percent, cell_rows))
