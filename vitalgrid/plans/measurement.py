@@ -67,21 +67,20 @@ RHYTHM = [
 URINE_CODES = [226559, 226560, 226561, 226584, 226563, 226564, 226565, 226567, 226557, 226558, 227488, 227489]
 
 
-def _panel(name: str, items: list[Item], where, where_sql: str) -> None:
+def _panel(name: str, items: list[Item], where: str) -> None:
     keys, carry = SPECIMEN
 
-    @concept(name, ["labevents"], pivot_sql("labevents", keys, carry, items, where_sql))
+    @concept(name, ["labevents"], pivot_sql("labevents", keys, carry, items, where))
     def build(ctx):
-        return pivot(ctx["labevents"], keys, carry, items, where)
+        return pivot(ctx["labevents"], keys, carry, items, F.expr(where))
 
 
-_positive = F.expr("valuenum > 0")
-_panel("chemistry", CHEMISTRY, F.expr("valuenum > 0 OR (itemid = 50868 AND valuenum IS NOT NULL)"), "valuenum IS NOT NULL AND (valuenum > 0 OR itemid = 50868)")
-_panel("complete_blood_count", BLOOD_COUNT, _positive, "valuenum > 0")
-_panel("coagulation", COAGULATION, F.expr("valuenum IS NOT NULL"), "valuenum IS NOT NULL")
-_panel("enzyme", ENZYME, _positive, "valuenum > 0")
-_panel("cardiac_marker", CARDIAC, F.expr("valuenum IS NOT NULL"), "valuenum IS NOT NULL")
-_panel("inflammation", INFLAMMATION, _positive, "valuenum > 0")
+_panel("chemistry", CHEMISTRY, "valuenum IS NOT NULL AND (valuenum > 0 OR itemid = 50868)")
+_panel("complete_blood_count", BLOOD_COUNT, "valuenum > 0")
+_panel("coagulation", COAGULATION, "valuenum IS NOT NULL")
+_panel("enzyme", ENZYME, "valuenum > 0")
+_panel("cardiac_marker", CARDIAC, "valuenum IS NOT NULL")
+_panel("inflammation", INFLAMMATION, "valuenum > 0")
 
 CELLS = ["basophils", "eosinophils", "lymphocytes", "monocytes", "neutrophils"]
 REST = ["basophils", "eosinophils", "lymphocytes", "monocytes", "neutrophils", "atypical_lymphocytes", "bands", "immature_granulocytes", "metamyelocytes", "nrbc"]

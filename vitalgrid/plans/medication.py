@@ -12,19 +12,19 @@ from vitalgrid.plans.registry import concept
 # Codes of infused drugs.
 INFUSIONS = {"dobutamine": 221653, "dopamine": 221662, "epinephrine": 221289, "milrinone": 221986, "norepinephrine": 221906, "phenylephrine": 221749, "vasopressin": 222315}
 _rate = {
-    "norepinephrine": ("CASE WHEN rateuom = 'mg/kg/min' AND patientweight <> 1 THEN rate * 1000 ELSE rate END", F.expr("CASE WHEN rateuom = 'mg/kg/min' AND NOT (patientweight <=> 1) THEN rate * 1000 ELSE rate END")),
-    "phenylephrine": ("CASE WHEN rateuom = 'mcg/min' THEN rate / patientweight ELSE rate END", F.expr("CASE WHEN rateuom = 'mcg/min' THEN try_divide(rate, patientweight) ELSE rate END")),
-    "vasopressin": ("CASE WHEN rateuom = 'units/min' THEN rate * 60 ELSE rate END", F.expr("CASE WHEN rateuom = 'units/min' THEN rate * 60 ELSE rate END")),
+    "norepinephrine": ("CASE WHEN rateuom = 'mg/kg/min' AND patientweight <> 1 THEN rate * 1000 ELSE rate END", "CASE WHEN rateuom = 'mg/kg/min' AND NOT (patientweight <=> 1) THEN rate * 1000 ELSE rate END"),
+    "phenylephrine": ("CASE WHEN rateuom = 'mcg/min' THEN rate / patientweight ELSE rate END", "CASE WHEN rateuom = 'mcg/min' THEN try_divide(rate, patientweight) ELSE rate END"),
+    "vasopressin": ("CASE WHEN rateuom = 'units/min' THEN rate * 60 ELSE rate END", "CASE WHEN rateuom = 'units/min' THEN rate * 60 ELSE rate END"),
 }
 
 
 def _infusion(name: str, code: int) -> None:
-    sql, col = _rate.get(name, ("rate", F.expr("rate")))
+    sql, col = _rate.get(name, ("rate", "rate"))
 
     @concept(name, ["inputevents"], f"SELECT stay_id, linkorderid, {sql} AS vaso_rate, amount AS vaso_amount, starttime, endtime FROM inputevents WHERE itemid = {code}")
     def build(ctx):
         rows = ctx["inputevents"].filter(F.col("itemid") == code)
-        return rows.select("stay_id", "linkorderid", col.alias("vaso_rate"), F.col("amount").alias("vaso_amount"), "starttime", "endtime")
+        return rows.select("stay_id", "linkorderid", F.expr(col).alias("vaso_rate"), F.col("amount").alias("vaso_amount"), "starttime", "endtime")
 
 
 for _name, _code in INFUSIONS.items():
