@@ -15,8 +15,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     stars take two rounds and chains a logarithmic number.  Each round's labels are written to the
     shared folder; nothing but a count of changes reaches the driver.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b")
-    both = materialize(both.distinct())
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = materialize(edges.filter("a <> b").select(F.explode(ways).alias("e")).select("e.a", "e.b").distinct())
     labels = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "node"))
     for _ in range(max_rounds):
         near = (

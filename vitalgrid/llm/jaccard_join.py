@@ -12,11 +12,10 @@ classes link at ``100 * intersection >= percent * union``.
   ``D + 1 + e`` hash groups at least ``1 + e`` hold the very same shingles in both: classes that
   agree on no group cannot link.  Each class therefore posts one key per group, for its own size
   interval and for the next larger one; a class with more than ``e`` empty groups posts those too.
-  First every class goes to one cell, that of the smallest class it shares a key with.  Then only
-  the keys whose classes still lie in different components form cells, each set of classes once.
+  Classes connected by shared keys form a cell, so every linked pair lies in one cell.
 * Within a cell classes already in one component are not compared again, so a group of copies costs
-  about one comparison each and no pair list is ever made.  A cell above ``cell_rows`` classes is
-  cut into chunks and every two chunks meet in a task of their own.
+  about one comparison each and no pair list is ever made.  A cell above ``cell_rows`` classes or
+  ``CELL_BYTES`` is cut into chunks and every two chunks meet in a task of their own.
 
 Defined results: null, empty and blank texts have no shingles and are linked with nothing; texts
 under four words are one shingle; repeated rows are documents with equal sets; a null id never
@@ -41,6 +40,7 @@ from vitalgrid.llm.lm_scoring import tokenize
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 GROUPS = 64  # coordinates of a point
 FAN = 32  # children of a tree node
+CELL_BYTES = 64_000_000  # of the sets that one task holds at once
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -177,38 +177,19 @@ def _postings(k: int, percent: int, parts: int):
     return run
 
 
-def _meet(small: int):
-    """Sets of two or more classes that share a key, each once per part.
-
-    A set of at most ``small`` classes is one row; a larger one has a row per class.
-    """
-
-    def run(part: pa.Table) -> pa.Table:
-        keys, cls = [], []
-        for n, x, at, classes in zip(*(part.column(c).to_pylist() for c in ("n", "keys", "at", "classes")), strict=True):
-            keys.append(np.cumsum(_unpack(x, n, np.uint64), dtype=np.uint64))
-            cls.append(np.frombuffer(classes, np.int64)[_unpack(at, n, np.uint16)])
-        key, name = np.concatenate(keys), np.concatenate(cls)
-        order = np.lexsort((name, key))
-        key, name = key[order], name[order]
-        fresh = np.r_[True, (key[1:] != key[:-1]) | (name[1:] != name[:-1])]
-        key, name = key[fresh], name[fresh]
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        size = np.diff(np.r_[first, len(key)])
-        mixed = mix(name.view(np.uint64) ^ M1)
-        sign = mix(np.add.reduceat(mixed, first) + size.astype(np.uint64) * M2)
-        shared = np.flatnonzero(size > 1)
-        _, once = np.unique(sign[shared], return_index=True)
-        out = {"sig": [], "cell": [], "members": []}
-        for i in shared[once].tolist():
-            members = name[first[i] : first[i] + size[i]]
-            for chunk in [members] if len(members) <= small else members[:, None]:
-                out["sig"].append(int(sign[i].view(np.int64)))
-                out["cell"].append(int(members[0]))
-                out["members"].append(chunk.tolist())
-        return pa.table(out, schema=pa.schema([("sig", pa.int64()), ("cell", pa.int64()), ("members", pa.list_(pa.int64()))]))
-
-    return run
+def _meet(part: pa.Table) -> pa.Table:
+    """For every key of two or more classes an edge from each to the smallest, each edge once per part."""
+    keys, cls = [], []
+    for n, x, at, classes in zip(*(part.column(c).to_pylist() for c in ("n", "keys", "at", "classes")), strict=True):
+        keys.append(np.cumsum(_unpack(x, n, np.uint64), dtype=np.uint64))
+        cls.append(np.frombuffer(classes, np.int64)[_unpack(at, n, np.uint16)])
+    key, name = np.concatenate(keys), np.concatenate(cls)
+    order = np.lexsort((name, key))
+    key, name = key[order], name[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    least = np.repeat(name[first], np.diff(np.r_[first, len(key)]))
+    edges = np.unique(np.stack([name, least])[:, name != least], axis=1)
+    return pa.table({"a": pa.array(edges[0]), "b": pa.array(edges[1])})
 
 
 def _sets(k: int):
@@ -216,9 +197,10 @@ def _sets(k: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([s.tobytes() for s in shingle_sets(part.column(1), k)], pa.binary())], names=["cls", "items"]
-                )
+                names = part.column(0).to_pylist()
+                # an id may stand for several texts; only the one of the wanted class counts
+                items = [s.tobytes() if class_of(s) == c else None for c, s in zip(names, shingle_sets(part.column(1), k), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(items, pa.binary())], names=["cls", "items"])
 
     return run
 
@@ -264,8 +246,8 @@ class CountTree:
         return 100 * both >= self.percent * (len(a) + len(b) - both)
 
 
-def cell_links(sets: list[np.ndarray], component: list[int], percent: int) -> list[tuple[int, int]]:
-    """Links that join all components of the cell that any links join."""
+def cell_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that join all sets of the cell that any links join."""
     above = list(range(len(sets)))
 
     def find(x: int) -> int:
@@ -274,12 +256,7 @@ def cell_links(sets: list[np.ndarray], component: list[int], percent: int) -> li
             x = above[x]
         return x
 
-    first: dict[int, int] = {}
-    for i, c in enumerate(component):
-        above[find(i)] = find(first.setdefault(c, i))
-    left = len({find(i) for i in range(len(sets))})
-    if left == 1:
-        return []
+    left = len(sets)
     tree = CountTree(sets, percent)
     links = []
     for i in tree.order.tolist():
@@ -296,20 +273,20 @@ def cell_links(sets: list[np.ndarray], component: list[int], percent: int) -> li
 def _cells(percent: int):
     def links_of(rows: list[tuple]) -> list[tuple[int, int]]:
         names = [r[0] for r in rows]
-        found = cell_links([np.frombuffer(r[2], np.uint64) for r in rows], [r[1] for r in rows], percent)
+        found = cell_links([np.frombuffer(r[1], np.uint64) for r in rows], percent)
         return [(names[i], names[j]) for i, j in found]
 
     def run(batches):
         key, rows = None, []
         for batch in batches:
             out = []
-            cell, cls, comp, items = (batch.column(i).to_pylist() for i in (0, 3, 4, 5))
+            cell, cls, items = (batch.column(i).to_pylist() for i in (0, 3, 4))
             pair = zip(cell, batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-            for k, c, m, s in zip(pair, cls, comp, items, strict=True):
+            for k, c, s in zip(pair, cls, items, strict=True):
                 if k != key:
                     out += links_of(rows) if len(rows) > 1 else []
                     key, rows = k, []
-                rows.append((c, m, s))
+                rows.append((c, s))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
         if len(rows) > 1 and (out := links_of(rows)):
@@ -319,16 +296,17 @@ def _cells(percent: int):
 
 
 def _links(members: DataFrame, sets: DataFrame, percent: int, cell_rows: int) -> DataFrame:
-    """Links within the cells of ``members`` (cell, cls, comp)."""
-    sizes = members.groupBy("cell").agg(F.count("*").alias("rows")).filter("rows > 1")
+    """Links within the cells of ``members`` (cell, cls)."""
+    sized = members.join(sets.select("cls", F.length("items").alias("bytes")), "cls")
+    sizes = sized.groupBy("cell").agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes")).filter("rows > 1")
     dealt = (
         members.join(sizes, "cell")
-        .withColumn("chunks", F.ceil(F.col("rows") / cell_rows).cast("int"))
+        .withColumn("chunks", F.ceil(F.greatest(F.col("rows") / cell_rows, F.col("bytes") / CELL_BYTES)).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "comp")
+        .select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls")
     )
-    full = dealt.join(sets, "cls").select("cell", "i", "j", "cls", "comp", "items")
+    full = dealt.join(sets, "cls").select("cell", "i", "j", "cls", "items")
     return (
         full.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(_cells(percent), "a long, b long")
     )
@@ -352,40 +330,18 @@ def jaccard_components(
 
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     posted = docs.select(whole).mapInArrow(_postings(k, percent, 1 + chars // part_chars), POSTED)
-    met = posted.groupBy("part").applyInArrow(_meet(1000), "sig long, cell long, members array<long>")
-    # small sets came whole, so one row of a signature stands for all; large ones are spread over rows
-    whole_sets = met.filter(F.size("members") > 1).groupBy("sig").agg(F.first("cell").alias("cell"), F.first("members").alias("members"))
-    spread = met.filter(F.size("members") == 1).select("sig", "cell", F.get("members", F.lit(0)).alias("cls")).distinct()
-    sets_of = whole_sets.select("sig", "cell", F.explode("members").alias("cls")).unionByName(spread)
-    shared = materialize(sets_of.withColumnRenamed("sig", "bucket"))
-
-    cells = shared.groupBy("cls").agg(F.min("cell").alias("cell"))
-    members = cells.select("cell", "cls").unionByName(cells.select("cell", F.col("cell").alias("cls"))).distinct()
-    members = materialize(members.withColumn("comp", F.col("cls")))
+    edges = posted.groupBy("part").applyInArrow(_meet, "a long, b long").distinct()
+    cells = connected_components(edges).select(F.col("root").alias("cell"), F.col("node").alias("cls"))
+
     wanted = (
         base.filter("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"))
-        .join(shared.select("cls").distinct(), "cls", "left_semi").withColumnRenamed("cls", "_cls")
+        .join(cells.select("cls"), "cls", "left_semi").withColumnRenamed("cls", "_cls")
     )
     wanted = materialize(wanted)
     own = docs.select(F.col(doc_id).alias("_doc"), whole)
-    held = own.join(small_side(wanted, broadcast_rows), own["_doc"] == wanted["doc"]).select("_cls", "text")
+    held = own.join(small_side(wanted, broadcast_rows), own["_doc"].eqNullSafe(wanted["doc"])).select("_cls", "text")
     sets = materialize(held.mapInArrow(_sets(k), "cls long, items binary").filter(F.length("items") > 0))
-
-    links = materialize(_links(members, sets, percent, cell_rows))
-    labels = connected_components(links)
-    # sets of classes that share a key and are still apart
-    placed = shared.join(labels, shared["cls"] == labels["node"], "left").select(
-        "bucket", "cls", F.coalesce("root", "cls").alias("comp")
-    )
-    apart = (
-        placed.groupBy("bucket")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        .filter("lo < hi")
-    )
-    again = placed.join(apart.select("bucket"), "bucket").select(F.col("bucket").alias("cell"), "cls", "comp")
-    more = materialize(_links(materialize(again), sets, percent, cell_rows))
-    if not more.isEmpty():
-        labels = connected_components(links.unionByName(more))
+    labels = connected_components(_links(cells, sets, percent, cell_rows))
 
     rooted = base.join(labels, base["cls"] == labels["node"], "left").select(
         "doc", "n", F.coalesce("root", "cls").alias("root")
