@@ -19,7 +19,7 @@ def section_split(df: DataFrame, key: str, text: str) -> DataFrame:
     bodies = F.split(F.col(text), HEADER, -1)
     rows = df.select(F.col(key), names.alias("n"), bodies.alias("b")).select(key, "n", F.posexplode("b").alias("pos", "body"))
     name = F.when(F.col("pos") > 0, F.lower(F.trim(F.get("n", F.col("pos") - 1)))).when(F.size("n") == 0, "full report").otherwise("preamble")
-    out = rows.select(key, "pos", name.alias("name"), F.trim(F.col("body")).alias("body"))
+    out = rows.select(key, "pos", name.alias("name"), F.btrim(F.col("body"), F.lit(" \t\r\n")).alias("body"))
     return out.filter((F.col("body") != "") | ~F.col("name").isin("impression", "findings", "preamble"))
 
 
