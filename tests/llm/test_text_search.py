@@ -66,13 +66,16 @@ def test_contamination_equals_brute_force(spark):
         v = list(w)
         v[len(v) // 2] = "changed"
         docs.append((300 + n, ". ".join(pad(40)) + "\n" + ", ".join(v).upper() + " " + " ".join(pad(400))))
-    sh = lambda t: {tuple(words(t)[i : i + 5]) for i in range(len(words(t)) - 4)}
+
+    def sh(t):
+        ws = words(t)
+        return {tuple(ws[i : i + 5]) for i in range(len(ws) - 4)}
+
     want = set()
+    sets = [(i, sh(q)) for i, q in items]
     for d, t in docs:
-        for i, q in items:
-            s = sh(q)
-            if s and len(s & sh(t)) / len(s) >= 0.8:
-                want.add((d, i, len(s), len(s & sh(t))))
+        own = sh(t)
+        want |= {(d, i, len(s), len(s & own)) for i, s in sets if s and len(s & own) / len(s) >= 0.8}
     a = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, item_id int")
     b = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id int")
     for limit in (1_000_000, 0):
