@@ -74,3 +74,35 @@ def test_shuffled_join_and_empty_table(spark):
     assert a == sorted(map(str, apply_rules(df, broadcast_rows=0).collect()))
     empty = df.filter("false")
     assert apply_rules(empty).count() == 0 and removed_lines(empty).count() == 0
+
+
+def line_corpus():
+    """Documents of one host: fixed lines side by side, blank-line paragraphs, a line repeated in one document, copies."""
+    rows = []
+    for i in range(30):
+        own = [f"own text {i} {j} " + " ".join(f"v{i}x{j}y{k}" for k in range(12)) for j in range(3)]
+        lines = ["Header one of the whole site", "Header two of the whole site", "Header three of the whole site", *own]
+        lines += ["", "Subscribe to our weekly letter right now", "", "footer one of the whole site", "footer  two of the whole site"]
+        rows.append((None if i % 7 == 0 else i // 2, "\n".join(lines), "a"))
+    alone = "\n".join(f"between {k} words\nthe refrain of one single document" for k in range(30))
+    copy = "\n".join(f"copied line {j} of one page " + " ".join(f"c{j}{k}" for k in range(9)) for j in range(5))
+    rows += [(1000, alone, "a"), *[(1001 + i, copy, "a") for i in range(40)]]
+    return rows + [(2000, "header two of the whole site\n" + alone.replace("between", "b"), "b")]
+
+
+def test_lines_are_counted_by_document(spark):
+    rows = line_corpus()
+    norm = lambda x: " ".join(WORD.findall(x.lower()))
+    texts = {}
+    for _, t, h in rows:
+        for x in t.split("\n"):
+            texts.setdefault((h, norm(x)), set()).add(t)
+    want = []
+    for d, t, h in rows:
+        lines = t.split("\n")
+        gone = [j for j, x in enumerate(lines) if norm(x) and len(texts[h, norm(x)]) > 20]
+        want.append((d, "\n".join(x for j, x in enumerate(lines) if j not in gone), len(gone)))
+    assert {n for _, _, n in want} == {0, 6}
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [(r.doc_id, r.clean_text, r.n_removed_lines) for r in apply_rules(df).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)

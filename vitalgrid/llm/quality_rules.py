@@ -4,9 +4,9 @@ Lines are normalised (lower case, white space collapsed) and hashed.  For each h
 counts the distinct documents that hold a line; a line above the host's limit is removed, and a
 document that loses most of its characters that way is rejected as depleted.
 
-Copies of one page are one document for this count: occurrences of a line whose neighbouring lines
-are the same too are counted once.  Otherwise every member of a large group of copies would be
-emptied by the others and the content would be lost rather than deduplicated.
+Equal texts are one document for this count, and a line repeated in one text counts once.  Otherwise
+every member of a large group of copies would be emptied by the others and the content would be lost
+rather than deduplicated.
 
 Defined results: null or empty text has no words and fails the base rules; a null host is a host of
 its own; repeated rows (same id and text) get the same result, one row each; an empty table gives an
@@ -69,7 +69,7 @@ def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _line_rows(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
-    """One row per non-blank line: keys of document, host, line and its two neighbours."""
+    """One row per non-blank line: keys of document, text, host and line."""
     norm = F.transform(
         F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "\n", -1),
         lambda x: F.btrim(F.regexp_replace(x, WS, " ")),
@@ -81,9 +81,8 @@ def _line_rows(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
         "doc", "body", "host",
         F.transform("l", lambda x: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("n"))).alias("l"),
     )
-    rows = hashed.select("doc", "body", "host", "l", F.posexplode("l").alias("pos", "x")).filter("x.n > 0")
-    around = F.xxhash64(F.get("l", F.col("pos") - 1)["h"], F.get("l", F.col("pos") + 1)["h"])
-    return rows.select("doc", "body", "host", F.col("x.h").alias("line"), "pos", F.col("x.n").alias("chars"), around.alias("around"))
+    rows = hashed.select("doc", "body", "host", F.posexplode("l").alias("pos", "x")).filter("x.n > 0")
+    return rows.select("doc", "body", "host", F.col("x.h").alias("line"), "pos", F.col("x.n").alias("chars"))
 
 
 def removed_lines(
@@ -101,7 +100,7 @@ def removed_lines(
     (hash of the text), ``removed`` (positions of those lines) and ``removed_chars``.
     """
     rows = _line_rows(docs, doc_id, text, host)
-    distinct = rows.groupBy("line", "host", "around").agg(F.lit(1).alias("one"))
+    distinct = rows.groupBy("line", "host", "body").agg(F.lit(1).alias("one"))
     per_line = distinct.groupBy("line", "host").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs)
     hosts = docs.groupBy(F.xxhash64(host).alias("host")).agg((F.count("*") * host_share).alias("limit"))
     above = per_line.join(hosts, "host").filter(F.col("n_docs") > F.col("limit")).select("line", "host")
