@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import materialize, small_side
 from vitalgrid.llm.decontamination import contaminated
-from vitalgrid.llm.jaccard_join import jaccard_components
+from vitalgrid.llm.jaccard_join import jaccard_members
 from vitalgrid.llm.mixing import mix_to_targets
 from vitalgrid.llm.pii import DEMO_KEY, pseudonymize
 from vitalgrid.llm.quality_rules import apply_rules
@@ -20,12 +20,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group (five-word shingles, similarity 0.8) stays: that of the smallest id."""
-    found = materialize(jaccard_components(docs, k=5, percent=80))
-    others = materialize(found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
-    kept = docs.join(small_side(others, 2_000_000), "doc_id", "left_anti")
-    if not found.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])  # rows repeated under one id are one document
+    """One row of each group (five-word shingles, similarity 0.8) stays: that of the smallest id, then text hash."""
+    found = jaccard_members(docs, k=5, percent=80).filter("n_shingles > 0")
+    pairs = materialize(found.groupBy("root", "doc_id", "body").agg(F.count("*").alias("rows")))
+    member = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("body"))
+    first = pairs.groupBy("root").agg(F.min(member).alias("first"), F.sum("rows").alias("all")).filter("all > 1")
+    first = small_side(materialize(first.withColumnRenamed("root", "_root")), 1_000_000)
+    spare = pairs.join(first, F.col("root") == F.col("_root"))
+    spare = spare.withColumn("goes", member != F.col("first")).filter("goes or rows > 1")
+    spare = materialize(spare.select(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), "goes"))
+
+    def same(side: DataFrame):
+        return docs["doc_id"].eqNullSafe(side["_doc"]) & (F.xxhash64(docs["text"]) == side["_body"])
+
+    kept = docs.join(marked := small_side(spare, 2_000_000), same(marked), "left_anti")
+    again = spare.filter("not goes")
+    if not again.isEmpty():  # equal rows of one id and text, of which one stays
+        again = small_side(again, 2_000_000)
+        once = docs.join(again, same(again)).select(*docs.columns, "_body").dropDuplicates(["doc_id", "_body"])
+        kept = kept.unionByName(once.select(docs.columns))
     return kept.select(docs.columns)
 
 

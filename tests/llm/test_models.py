@@ -97,3 +97,27 @@ def test_pipeline_stages(spark, sf_dir):
         docs = out
     final = c.STAGES[-1][1](spark, docs, sf_dir)
     assert final.count() == docs.count() < rows
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    import corpus_pipeline as c
+
+    page = lambda n, size=60: [f"p{n}w{k}" for k in range(size)]
+    edited = lambda n, at: " ".join([*page(n)[:at], "edit", *page(n)[at + 1 :]])
+    rows = [(None, " ".join(page(i))) for i in range(8)]  # null ids without copies
+    rows += [(5, " ".join(page(20 + i))) for i in range(3)]  # different texts of one id
+    rows += [(None, edited(1, 2)), (None, edited(1, 58)), (None, edited(2, 3)), (7, edited(2, 57))]
+    rows += [(9, edited(20, 1)), (3, edited(21, 1)), (4, " ".join(page(40))), (4, " ".join(page(40)))]
+    rows += [(None, " ".join(page(50)))] * 3 + [(11, " ".join(page(60))), (12, " ".join(page(60))), (13, None), (13, None), (None, "")]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in ((t or "").split() for _, t in rows)]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    df = spark.createDataFrame([(d, t, f"s{i}") for i, (d, t) in enumerate(rows)], "doc_id long, text string, source string")
+    stays = [int(r.source[1:]) for r in c.near_duplicates(spark, df, "").collect()]
+    assert sorted(group[i] for i in stays) == sorted(set(group))  # one row of each group
+    for i in stays:
+        ids = [rows[j][0] for j in range(len(rows)) if group[j] == group[i] and rows[j][0] is not None]
+        assert rows[i][0] == min(ids, default=None)

@@ -119,8 +119,8 @@ def _summary(k: int):
                 part = batch.slice(at, 2000)
                 sets = [(len(s), class_of(s)) for s in shingle_sets(part.column(1), k)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([n for n, _ in sets], pa.int64()), pa.array([c for _, c in sets], pa.int64())],
-                    names=["doc", "n", "cls"],
+                    [part.column(0), part.column(2), pa.array([n for n, _ in sets], pa.int64()), pa.array([c for _, c in sets], pa.int64())],
+                    names=["doc", "body", "n", "cls"],
                 )
 
     return run
@@ -194,12 +194,14 @@ def _meet(part: pa.Table) -> pa.Table:
 
 def _sets(k: int):
     def run(batches):
+        seen = set()  # one row repeated many times gives its set once a task
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                names = part.column(0).to_pylist()
-                # an id may stand for several texts; only the one of the wanted class counts
-                items = [s.tobytes() if class_of(s) == c else None for c, s in zip(names, shingle_sets(part.column(1), k), strict=True)]
+                items = []
+                for c, s in zip(part.column(0).to_pylist(), shingle_sets(part.column(1), k), strict=True):
+                    items.append(s.tobytes() if c not in seen else None)
+                    seen.add(c)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(items, pa.binary())], names=["cls", "items"])
 
     return run
@@ -312,7 +314,7 @@ def _links(members: DataFrame, sets: DataFrame, percent: int, cell_rows: int) ->
     )
 
 
-def jaccard_components(
+def jaccard_members(
     docs: DataFrame,
     *,
     doc_id: str = "doc_id",
@@ -323,10 +325,14 @@ def jaccard_components(
     part_chars: int = 24_000_000,
     broadcast_rows: int = 300_000,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+    """``doc_id, body, n_shingles, root, component_id`` for every row of ``docs``.
+
+    ``body`` is the hash of the text and ``root`` names the component whatever the ids of its members are.
+    """
     id_type = docs.schema[doc_id].dataType.simpleString()
     whole = F.coalesce(F.col(text), F.lit("")).alias("text")
-    base = materialize(docs.select(F.col(doc_id).alias("doc"), whole).mapInArrow(_summary(k), f"doc {id_type}, n long, cls long"))
+    body = F.xxhash64(text).alias("body")
+    base = materialize(docs.select(F.col(doc_id).alias("doc"), whole, body).mapInArrow(_summary(k), f"doc {id_type}, body long, n long, cls long"))
 
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     posted = docs.select(whole).mapInArrow(_postings(k, percent, 1 + chars // part_chars), POSTED)
@@ -334,27 +340,34 @@ def jaccard_components(
     cells = connected_components(edges).select(F.col("root").alias("cell"), F.col("node").alias("cls"))
 
     wanted = (
-        base.filter("n > 0").groupBy("cls").agg(F.min("doc").alias("doc"))
+        base.filter("n > 0").groupBy("cls")
+        .agg(F.min("doc").alias("doc"), F.coalesce(F.min_by("body", "doc"), F.min("body")).alias("body"))
         .join(cells.select("cls"), "cls", "left_semi").withColumnRenamed("cls", "_cls")
     )
     wanted = materialize(wanted)
-    own = docs.select(F.col(doc_id).alias("_doc"), whole)
-    held = own.join(small_side(wanted, broadcast_rows), own["_doc"].eqNullSafe(wanted["doc"])).select("_cls", "text")
+    own = docs.select(F.col(doc_id).alias("_doc"), F.xxhash64(text).alias("_body"), whole)
+    same = own["_doc"].eqNullSafe(wanted["doc"]) & (own["_body"] == wanted["body"])
+    held = own.join(small_side(wanted, broadcast_rows), same).select("_cls", "text")
     sets = materialize(held.mapInArrow(_sets(k), "cls long, items binary").filter(F.length("items") > 0))
     labels = connected_components(_links(cells, sets, percent, cell_rows))
 
     rooted = base.join(labels, base["cls"] == labels["node"], "left").select(
-        "doc", "n", F.coalesce("root", "cls").alias("root")
+        "doc", "body", "n", F.coalesce("root", "cls").alias("root")
     )
     names = rooted.filter("n > 0").groupBy("root").agg(F.min("doc").alias("component"))
     return (
         rooted.join(names.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root"), "left")
         .select(
-            F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"),
+            F.col("doc").alias(doc_id), "body", F.col("n").alias("n_shingles"), "root",
             F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component_id"),
         )
     )
 
 
+def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``; options as of ``jaccard_members``."""
+    return jaccard_members(docs, doc_id=doc_id, **options).select(doc_id, "n_shingles", "component_id")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
