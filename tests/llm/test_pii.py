@@ -66,3 +66,24 @@ def test_permutations_are_one_to_one(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pseudonymize(df, "k").count() == 0
+
+
+def test_cards_beside_other_numbers(spark):
+    card, even, amex = "4111111111111111", "4111 1111 1111 1111", "3782 822463 10005"
+    texts = [
+        f"{even} 12/25", f"{card} 123", f"5 {card}", f"{card} 97.51.17.173", f"{even} 123", f"no 7 {even} 12 9", f"{card} 078-05-1120",
+        f"4222222222222 2024-02-29", f"{card} 31/12/1999", f"{card} 5500005555555559", f"{amex} 1234", even.replace(" ", "-") + " 12-25", f"41111 111111 11111 12", f"{card} 078-05-1120-x",
+        "1 " * 3000 + card,
+    ]
+    got = run(spark, texts)
+    alone = {re.sub(r"\D", "", r.text): 1 for r in run(spark, [card, amex]).values()}
+    linked = [x for x in alone if len(x) == 16][0]
+    for i, t in enumerate(texts):
+        new = re.sub(r"[ -]", "", got[i].text)
+        for old in (card, "378282246310005", "97.51.17.173", "078051120" if i == 6 else card, "20240229", "4222222222222", "31/12/1999"):
+            assert old not in new, t
+        if card in re.sub(r"[ -]", "", t) and i != 14:
+            assert linked in new, t  # the same card is the same everywhere
+    assert got[0].text.endswith(" 12/25") and got[1].text.endswith(" 123") and got[2].text.startswith("5 ")
+    assert [got[i].n_replaced for i in (0, 1, 2, 3, 6, 9)] == [1, 1, 1, 2, 2, 2]
+    assert got[5].text.startswith("no 7 ") and got[5].text.endswith(" 12 9")

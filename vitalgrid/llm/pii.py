@@ -7,6 +7,10 @@ all documents, and different values stay different.  Whoever has the key can inv
 addresses and long hexadecimal secrets have no such finite format worth keeping; they get a keyed
 hash of the same kind, equal for equal values.
 
+Cards are looked for in whole runs of digit groups, so that a number beside a card (a security code, an
+expiry date, a counter) hides neither.  Where a run leaves several readings the inverse may read it
+differently; a card written in one group, or evenly with no such group beside it, always comes back.
+
 Digits that do not validate (a 16-digit number that fails Luhn, 31 February) are left alone.
 
 Defined results: null text stays null with zero counts; the empty text stays empty; texts of any
@@ -29,7 +33,12 @@ ADDRESS = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)"
 ISO_DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 DAY_FIRST = r"(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-CARD = r"(?<![\d.])\d(?:[ -]?\d){12,18}(?!\d)"
+#: Between the groups of a run: one blank or hyphen that no date, security number or address follows.
+GAP = rf"[ -](?!{ADDRESS}|{ISO_DATE}|{DAY_FIRST}|{SSN})"
+#: A run of digit groups with 13 digits or more, in which cards are looked for.
+CARD = rf"(?<![\d.])(?=\d(?:(?:{GAP})?\d){{12}})\d++(?:{GAP}\d++)*+"
+#: Sizes of the groups of cards that are written evenly, with one kind of separator.
+EVEN = ("4,4,4,4", "4,6,5")
 ANY = "|".join((EMAIL, SECRET, PHONE, ADDRESS, ISO_DATE, DAY_FIRST, SSN, CARD))
 #: Dates of two Gregorian cycles of 400 years are permuted among themselves: 2 * 146097 = 378 * 773 days.
 FIRST_DAY, DAYS = "1600-01-01", (378, 773)
@@ -95,14 +104,95 @@ def _digits(m: Column) -> Column:
 
 
 def _card(m: Column, key: str, inverse: bool) -> Column:
+    """A valid card with its digits permuted."""
+
     def body(d: Column) -> Column:
         head = permute_digits(F.substring(d, F.lit(1), F.length(d) - 1), key, "card", inverse)
         full = let(head, lambda h: F.concat(h, F.pmod(10 - luhn_sum(h, True) % 10, F.lit(10)).cast("string")))
-        return F.when(luhn_sum(d, False) % 10 == 0, let(full, lambda x: into_format(m, x))).otherwise(m)
+        return let(full, lambda x: into_format(m, x))
 
     return let(_digits(m), body)
 
 
+def _spans(groups: Column, marks: Column) -> Column:
+    """The cards in a run of digit groups: first and last group, none overlapping, in order.
+
+    Whole groups of 13 to 19 digits and even cards come before any other groups with 13 to 19 digits together,
+    of which longer ones are tried first. Only spans that pass Luhn count.
+    """
+    n = F.size(groups)
+
+    def ends(i: Column, fits, last: Column) -> Column:
+        """The last group of the longest valid span from group ``i``, or -1."""
+
+        def valid(j: Column) -> Column:
+            part = F.slice(groups, i + 1, j - i + 1)
+            digits = F.array_join(part, "")
+            return fits(part, i, j) & F.length(digits).between(13, 19) & (luhn_sum(digits, False) % 10 == 0)
+
+        return F.coalesce(F.get(F.filter(F.sequence(last, i, F.lit(-1)), valid), 0), F.lit(-1))
+
+    def strict(part: Column, i: Column, j: Column) -> Column:
+        sizes = F.array_join(F.transform(part, lambda g: F.length(g).cast("string")), ",")
+        return (i == j) | (sizes.isin(*EVEN) & (F.size(F.array_distinct(F.slice(marks, i + 1, j - i))) == 1))
+
+    def loose(first: Column) -> Column:
+        def free(part: Column, i: Column, j: Column) -> Column:
+            return ~F.exists(F.slice(first, i + 1, j - i + 1), lambda x: x >= 0)
+
+        return F.transform(
+            first, lambda x, i: F.when(x >= 0, x).otherwise(ends(i, free, F.least(i + 18, n - 1)))
+        )
+
+    def chosen(end: Column) -> Column:
+        spans = F.filter(F.transform(end, lambda j, i: F.struct(i.alias("i"), j.alias("j"))), lambda s: s["j"] >= 0)
+        start = F.array().cast("array<struct<i:int,j:int>>")
+        return F.aggregate(
+            spans, start, lambda c, s: F.when(s["i"] > F.coalesce(F.get(c, F.size(c) - 1)["j"], F.lit(-1)), F.concat(c, F.array(s))).otherwise(c)
+        )
+
+    first = F.transform(groups, lambda g, i: ends(i, strict, F.least(i + 3, n - 1)))
+    return let(let(first, loose), chosen)
+
+
+def _cards(m: Column, key: str, inverse: bool) -> Column:
+    """A run of digit groups with its cards permuted: ``new``, ``found``, ``replaced``."""
+
+    def rewrite(groups: Column, marks: Column) -> Column:
+        n = F.size(groups)
+
+        def text(i: Column, j: Column) -> Column:
+            """Groups ``i`` to ``j`` as they stand, each with the separator after it."""
+            part = F.slice(groups, i + 1, F.greatest(j - i + 1, F.lit(0)))
+            return F.array_join(F.transform(part, lambda g, k: F.concat(g, F.coalesce(F.get(marks, i + k), F.lit("")))), "")
+
+        def joined(spans: Column) -> Column:
+            def piece(s: Column, k: Column) -> Column:
+                after = F.when(k > 0, F.get(spans, k - 1)["j"] + 1).otherwise(0)
+                mark = F.coalesce(F.get(marks, s["j"]), F.lit(""))
+                own = let(text(s["i"], s["j"]), lambda c: _card(F.substring(c, F.lit(1), F.length(c) - F.length(mark)), key, inverse))
+                return F.concat(text(after, s["i"] - 1), own, mark)
+
+            rest = text(F.coalesce(F.get(spans, F.size(spans) - 1)["j"], F.lit(-1)) + 1, n - 1)
+            new = F.concat(F.array_join(F.transform(spans, piece), ""), rest)
+            return let(new, lambda x: _result(m, x, F.size(spans)))
+
+        return let(_spans(groups, marks), joined)
+
+    both = F.struct(
+        F.regexp_extract_all(m, F.lit(r"\d+"), F.lit(0)).alias("g"), F.regexp_extract_all(m, F.lit("[ -]"), F.lit(0)).alias("s")
+    )
+    return let(both, lambda b: rewrite(b["g"], b["s"]))
+
+
+def _result(m: Column, new: Column, values: Column) -> Column:
+    """What is known of a match: a run that holds no card counts as found if a card has as many digits."""
+    one = (F.length(_digits(m)) < 20) | m.rlike(rf"^(?:{SECRET})$")
+    return F.struct(
+        new.alias("new"), F.greatest(values, one.cast("int")).alias("found"), F.when(new != m, values).otherwise(0).alias("replaced")
+    )
+
+
 def _phone(m: Column, key: str, inverse: bool) -> Column:
     def body(d: Column) -> Column:
         code = F.length(d) - 10
@@ -137,7 +227,7 @@ def _date(m: Column, pattern: str, key: str, inverse: bool) -> Column:
 
 
 def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
-    """The pseudonym of one matched value, or the value itself if it does not validate."""
+    """The pseudonym of one matched value other than a card, or the value itself if it does not validate."""
     whole = lambda p: m.rlike(rf"^(?:{p})$")
     keyed = F.sha2(F.concat(F.lit(key + "|"), F.lower(m)), 512)
     return (
@@ -148,7 +238,6 @@ def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
         .when(whole(ISO_DATE), _date(m, "yyyy-MM-dd", key, inverse))
         .when(whole(DAY_FIRST), _date(m, "dd/MM/yyyy", key, inverse))
         .when(whole(SSN), let(permute_digits(_digits(m), key, "ssn", inverse), lambda x: into_format(m, x)))
-        .when(whole(CARD), _card(m, key, inverse))
         .otherwise(m)
     )
 
@@ -159,16 +248,17 @@ def pseudonymize(docs: DataFrame, key: str, *, text: str = "text", inverse: bool
     maybe = t.rlike("[0-9@]")
     found = F.when(maybe, F.regexp_extract_all(t, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     out = docs.withColumn("_found", found)
-    out = out.withColumn("_new", F.transform("_found", lambda m: pseudonym(m, key, inverse)))
+    run = lambda m: m.rlike(r"^\d[\d -]*$") & (F.length(_digits(m)) >= 13)
+    other = lambda m: let(pseudonym(m, key, inverse), lambda x: _result(m, x, F.lit(1)))
+    out = out.withColumn("_new", F.transform("_found", lambda m: F.when(run(m), _cards(m, key, inverse)).otherwise(other(m))))
     joined = F.array_join(
-        F.zip_with(F.split(t, ANY, -1), "_new", lambda p, r: F.concat(p, F.coalesce(r, F.lit("")))), ""
+        F.zip_with(F.split(t, ANY, -1), "_new", lambda p, r: F.concat(p, F.coalesce(r["new"], F.lit("")))), ""
     )
+    total = lambda name: F.aggregate("_new", F.lit(0), lambda a, x: a + x[name])
     return out.withColumns({
         text: F.when(F.size("_found") > 0, joined).otherwise(t),
-        "n_found": F.coalesce(F.size("_found"), F.lit(0)).cast("long"),
-        "n_replaced": F.coalesce(
-            F.size(F.filter(F.arrays_zip("_found", "_new"), lambda x: x["_found"] != x["_new"])), F.lit(0)
-        ).cast("long"),
+        "n_found": F.coalesce(total("found"), F.lit(0)).cast("long"),
+        "n_replaced": F.coalesce(total("replaced"), F.lit(0)).cast("long"),
     }).drop("_found", "_new")
 
 
