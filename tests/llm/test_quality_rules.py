@@ -106,3 +106,12 @@ def test_lines_are_counted_by_document(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = [(r.doc_id, r.clean_text, r.n_removed_lines) for r in apply_rules(df).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_limit_of_long_lines_does_not_grow_with_the_host(spark):
+    long, short = "A passage of the terms of use that many pages of this site repeat word by word", "read on"
+    rows = [(i, f"one {i} page with its own words a b c d e f g\n" + (f"{long}\n{short}\n" if i < 30 else "") + f"end {i}", "a") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in apply_rules(df).collect()}
+    assert all(got[i].n_removed_lines == (i < 30) and long not in got[i].clean_text for i in range(3000))
+    assert all(short in got[i].clean_text for i in range(30))  # short lines recur by chance

@@ -93,17 +93,24 @@ def removed_lines(
     host: str = "source",
     min_docs: int = 20,
     host_share: float = 0.02,
+    long_line: int = 40,
 ) -> DataFrame:
     """Documents that hold lines above their host's limit.
 
-    A line's limit is ``max(min_docs, host_share * documents of the host)``.  Returns ``doc, body``
-    (hash of the text), ``removed`` (positions of those lines) and ``removed_chars``.
+    A line of ``long_line`` characters or more has the limit ``min_docs`` on every host.  Shorter ones recur
+    by chance: theirs is ``host_share`` of the host's documents, but at least ``min_docs`` and at most
+    ``min_docs * (long_line / length) ** 2``, whatever the host's size.  Returns ``doc, body`` (hash of the
+    text), ``removed`` (positions of those lines) and ``removed_chars``.
     """
     rows = _line_rows(docs, doc_id, text, host)
-    distinct = rows.groupBy("line", "host", "body").agg(F.lit(1).alias("one"))
-    per_line = distinct.groupBy("line", "host").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > min_docs)
-    hosts = docs.groupBy(F.xxhash64(host).alias("host")).agg((F.count("*") * host_share).alias("limit"))
-    above = per_line.join(hosts, "host").filter(F.col("n_docs") > F.col("limit")).select("line", "host")
+    distinct = rows.groupBy("line", "host", "body").agg(F.max("chars").alias("chars"))
+    per_line = (
+        distinct.groupBy("line", "host").agg(F.count("*").alias("n_docs"), F.max("chars").alias("chars"))
+        .filter(F.col("n_docs") > min_docs)
+    )
+    hosts = docs.groupBy(F.xxhash64(host).alias("host")).agg((F.count("*") * host_share).alias("share"))
+    limit = F.least("share", min_docs * F.pow(F.greatest(F.lit(1.0), long_line / F.col("chars")), 2))
+    above = per_line.join(hosts, "host").filter(F.col("n_docs") > limit).select("line", "host")
     hit = rows.join(above, ["line", "host"]).groupBy("doc", "body", "pos").agg(F.max("chars").alias("chars"))
     return hit.groupBy("doc", "body").agg(
         F.collect_set("pos").alias("removed"), F.sum("chars").alias("removed_chars")
