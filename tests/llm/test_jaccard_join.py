@@ -90,3 +90,14 @@ def test_tree_loses_no_link():
     for i in range(0, 200, 7):
         near = set(tree.near(i).tolist())
         assert all(j in near for j in range(200) if tree.linked(i, j))
+
+
+def test_slices_of_few_words():
+    import pyarrow as pa
+
+    from vitalgrid.llm.jaccard_join import shingle_sets
+
+    for k in (4, 5):
+        for n in (0, 1, 2, 3):
+            (own,) = shingle_sets(pa.array([" ".join("abc"[:n])]), k)
+            assert len(own) == min(n, 1)

@@ -54,7 +54,7 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
     ids, size, names = tokenize(texts)
     own = np.array([xxhash.xxh3_64_intdigest(w) for w in names], np.uint64)[ids] if len(names) else np.zeros(0, np.uint64)
     rolled = np.zeros(len(own), np.uint64)
-    for j in range(k):
+    for j in range(min(k, len(own))):
         rolled[: len(own) - j] = mix(rolled[: len(own) - j] * M2 + own[j:])
     stop = np.cumsum(size)
     for a, b in zip((stop - size).tolist(), stop.tolist(), strict=True):
