@@ -101,3 +101,23 @@ def test_slices_of_few_words():
         for n in (0, 1, 2, 3):
             (own,) = shingle_sets(pa.array([" ".join("abc"[:n])]), k)
             assert len(own) == min(n, 1)
+
+
+def test_a_key_is_posted_once_a_batch():
+    import pyarrow as pa
+
+    from vitalgrid.llm.jaccard_join import _meet, _postings, _unpack, class_of, shingle_sets
+
+    words = [f"w{i}" for i in range(200)]
+    texts = pa.array([" ".join([*words[:i], "edit", *words[i + 1 :]]) for i in range(100)])
+    (posted,) = _postings(4, 85, 1)([pa.record_batch([texts], names=["text"])])
+    rows = posted.to_pylist()
+    keys = np.concatenate([np.cumsum(_unpack(r["keys"], r["n"], np.uint64), dtype=np.uint64) for r in rows if r["n"]])
+    assert len(np.unique(keys)) == len(keys)
+    pairs = [p for r in rows for p in zip(*(c.to_pylist() for c in _meet(pa.Table.from_pylist([r], schema=posted.schema)).columns))]
+    near = {class_of(s): {class_of(s)} for s in shingle_sets(texts, 4)}
+    for a, b in pairs:
+        both = near[a] | near[b]
+        for c in both:
+            near[c] = both
+    assert len(near[a]) == 100  # all still meet

@@ -141,13 +141,22 @@ POSTED = "part int, n int, keys binary, at binary, names int, classes binary"
 
 
 def _postings(k: int, percent: int, parts: int):
-    """Keys of every class, packed per key range: sorted differences and places in a class list."""
+    """Keys, packed per key range: sorted differences and places in a class list.
+
+    Of the classes of a batch that share a key only the smallest is posted; the others' edges to it go in rows
+    of their own (``n`` 0, negative ``part``), so that a key posts once a batch however many classes hold it.
+    """
 
     def rows(keys: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
         key = np.concatenate(keys).view(np.uint64) >> np.uint64(64 - KEY_BITS)
         own = np.repeat(np.arange(len(keys), dtype=np.uint16), [len(x) for x in keys])
-        order = np.argsort(key, kind="stable")
-        key, own, cls = key[order], own[order], np.array(names, np.int64)
+        cls = np.array(names, np.int64)
+        order = np.lexsort((cls[own], key))
+        key, own = key[order], own[order]
+        first = np.r_[True, key[1:] != key[:-1]]
+        least = own[first][np.cumsum(first) - 1]
+        links = np.unique(np.stack([cls[own[~first]], cls[least[~first]]]), axis=1)
+        key, own = key[first], own[first]
         edges = np.searchsorted(key, np.array([(i << KEY_BITS) // parts for i in range(parts + 1)], np.uint64))
         out = {c: [] for c in ("part", "n", "keys", "at", "names", "classes")}
         for p in range(parts):
@@ -156,6 +165,10 @@ def _postings(k: int, percent: int, parts: int):
                 here, at = np.unique(at, return_inverse=True)
                 for c, v in (("part", p), ("n", len(x)), ("keys", _pack(np.diff(x, prepend=np.uint64(0)))), ("at", _pack(at.astype(np.uint16))), ("names", len(here)), ("classes", cls[here].tobytes())):
                     out[c].append(v)
+        if links.size:
+            p = -1 - int(links[0, 0]) % parts
+            for c, v in (("part", p), ("n", 0), ("keys", b""), ("at", b""), ("names", 0), ("classes", links.tobytes())):
+                out[c].append(v)
         types = {"part": pa.int32(), "n": pa.int32(), "names": pa.int32()}
         return pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, types.get(c, pa.binary())) for c in out]))
 
@@ -179,16 +192,19 @@ def _postings(k: int, percent: int, parts: int):
 
 def _meet(part: pa.Table) -> pa.Table:
     """For every key of two or more classes an edge from each to the smallest, each edge once per part."""
-    keys, cls = [], []
+    keys, cls, linked = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros((2, 0), np.int64)]
     for n, x, at, classes in zip(*(part.column(c).to_pylist() for c in ("n", "keys", "at", "classes")), strict=True):
+        if n == 0:
+            linked.append(np.frombuffer(classes, np.int64).reshape(2, -1))
+            continue
         keys.append(np.cumsum(_unpack(x, n, np.uint64), dtype=np.uint64))
         cls.append(np.frombuffer(classes, np.int64)[_unpack(at, n, np.uint16)])
     key, name = np.concatenate(keys), np.concatenate(cls)
     order = np.lexsort((name, key))
     key, name = key[order], name[order]
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
     least = np.repeat(name[first], np.diff(np.r_[first, len(key)]))
-    edges = np.unique(np.stack([name, least])[:, name != least], axis=1)
+    edges = np.unique(np.concatenate([np.stack([name, least])[:, name != least], *linked], axis=1), axis=1)
     return pa.table({"a": pa.array(edges[0]), "b": pa.array(edges[1])})
 
 
