@@ -18,6 +18,14 @@ def test_shift_and_equals_regex():
         assert got[:, k].tolist() == [bool(rx.fullmatch(t)) for t in texts], p
 
 
+#: The rules as the contract of the query words them.
+CONTRACT = "allow org/, block example.org/es/, block example.org/en/1, allow com/fr/, block com/de/"
+
+
+def test_rules_are_those_of_the_contract():
+    assert [f"{r.verdict} {r.name}" for r in RULES] == CONTRACT.split(", ")
+
+
 def test_filter_urls(spark):
     urls = [
         "http://a.example.org/es/5", "http://EXAMPLE.org/en/17?x", "http://example.org/en/2", "http://a.org", "https://x.com/fr/1#t",
@@ -28,7 +36,7 @@ def test_filter_urls(spark):
     assert len(got) == len(rows)
     by = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in got}
     assert by[0] == ("a.example.org", "/es/5", "example.org/es/", "block")
-    assert by[1] == ("example.org", "/en/17", "example.org/en/1", "allow")
+    assert by[1] == ("example.org", "/en/17", "example.org/en/1", "block")
     assert by[2][2:] == ("org/", "allow")
     assert by[3] == ("a.org", "", None, "allow")
     assert by[4][2:] == ("com/fr/", "allow")

@@ -51,7 +51,7 @@ class Glob:
 RULES = (
     Rule("allow", "org/"),
     Rule("block", "example.org/es/"),
-    Rule("allow", "example.org/en/1"),
+    Rule("block", "example.org/en/1"),
     Rule("allow", "com/fr/"),
     Rule("block", "com/de/"),
 )
@@ -186,7 +186,7 @@ WITH p AS (
          regexp_extract(u, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
   FROM p
 ), r(verdict, rh, rp) AS (
-  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('allow', 'example.org', '/en/1'),
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
          ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
 ), hit AS (
   SELECT page_id, host, path, max_by(rh || rp, length(rh || rp)) AS rule, max_by(verdict, length(rh || rp)) AS v
