@@ -19,19 +19,22 @@ def brute(rows, m):
     lower = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
     tokens = [[*WORD.findall(lower(t)), "\n"] for _, t in rows]
     held = [zlib.crc32(("" if d is None else str(d)).encode()) % 5 == 1 for d, _ in rows]
-    uni, hist, pair = Counter(), Counter(), Counter()
+    uni, hist, pair, triple = Counter(), Counter(), Counter(), Counter()
     for ws, h in zip(tokens, held):
         if not h:
             uni.update(ws)
             seq = ["\t", *ws]
             hist.update(seq[:-1])
             pair.update(zip(seq, ws))
+            triple.update(zip(seq, ws, ws[1:]))
     n, v = sum(uni.values()), len(uni)
     p = lambda w: (uni[w] + 0.5) / (n + 0.5 * (v + 1))
+    p2 = lambda a, b: (pair[a, b] + m * p(b)) / (hist[a] + m)
+    p3 = lambda a, b, c: (triple[a, b, c] + m * p2(b, c)) / (pair[a, b] + m)
     out = []
     for (d, _), ws, h in zip(rows, tokens, held):
         seq = ["\t", *ws]
-        score = sum(math.log10((pair[a, b] + m * p(b)) / (hist[a] + m)) for a, b in zip(seq, ws))
+        score = math.log10(p2(*seq[:2])) + sum(math.log10(p3(*x)) for x in zip(seq, ws, ws[1:]))
         out.append((d, h, len(ws), sum(uni[w] > 0 for w in ws), n, round(sum(math.log10(p(w)) for w in ws), 6), round(score, 6)))
     return sorted(out, key=str)
 

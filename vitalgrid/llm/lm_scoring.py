@@ -5,13 +5,20 @@ its own training counts to hash buckets; a bucket adds the counts of all blocks
 block with the totals of exactly the n-grams that block asked for.  A block then holds the part of
 the model that its documents can touch, whatever the size of the whole model:
 
-* states are the histories (words, the text's start, and the root without history);
-* an arc ``history -> word`` carries ``(c(hw) + m p(w)) / (c(h) + m)``;
-* the failure arc to the root carries ``m / (c(h) + m)``, and the root's arcs ``p(w)``,
-  the additive estimate that the base score uses.
+* states are the histories seen in training: word pairs, single words (and the text's start), and
+  the root without history;
+* an arc ``history -> word`` carries ``(c(history word) + m p(word | shorter)) / (c(history) + m)``, and
+  the root's arcs ``p(word)``, the additive estimate that the base score uses;
+* the failure arc of a history carries ``m / (c(history) + m)`` and leads to the history without its
+  first word: from a pair to its second word, from there to the root.
 
 For each history the weights sum to one over words, end and one unseen word.  One left-to-right
-traversal carries the state and adds log10 probabilities.
+traversal carries the state and adds log10 probabilities; all texts of a block take their steps side
+by side, and a long text is cut into stretches, each of which starts in the state that the two words
+before it lead to.
+
+A row is what one block asks of one bucket, a few microseconds of work each; there are at most as many
+rows as n-grams.  Words are compared by 64-bit hashes, pairs and triples by ``NGRAM_BITS`` bits.
 
 Defined results: null text is empty and scores its end only; a null id is in training (its hash is
 taken of the empty text); repeated rows are repeated documents, in the counts as well; an empty
@@ -27,6 +34,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitalgrid.llm.packing import from_narrow, from_slim, narrow, slim
+
+NGRAM_BITS = 48
+STRETCH = 256  # places of a text that are read one after the other
 END = np.uint64(xxhash.xxh3_64_intdigest(b"", seed=1))
 START = np.uint64(xxhash.xxh3_64_intdigest(b"", seed=2))
 
@@ -42,20 +53,42 @@ def tokenize(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     return coded.indices.to_numpy().astype(np.int64), size, [w.encode() for w in coded.dictionary.to_pylist()]
 
 
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = (a ^ (a >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+class Grams:
+    """Distinct n-grams of one length in a block: sorted hashes and own counts, and the way back to their numbers."""
+
+    def __init__(self, hashes: np.ndarray, own: np.ndarray, bits: int):
+        short = hashes >> np.uint64(64 - bits)
+        self.bits, self.order = bits, np.argsort(short, kind="stable")
+        self.hash, self.own = short[self.order], own[self.order]
+
+    def total(self, answered: np.ndarray) -> np.ndarray:
+        if len(answered) != len(self.order):
+            raise RuntimeError("a block was dealt differently in the two passes")
+        out = np.empty(len(answered), np.uint64)
+        out[self.order] = answered
+        return out
+
+
 class Block:
-    """The n-grams of a block of texts, each kind in order of its hash."""
+    """The n-grams of a block of texts and where they stand."""
 
     def __init__(self, texts: pa.Array, train: np.ndarray):
         words, self.size, names = tokenize(texts)
-        self.n = len(names)
-        self.end, self.start = self.n, self.n + 1
-        self.width = np.int64(self.n + 2)
+        n = len(names)
+        self.start = n + 1
+        self.width = np.int64(n + 2)
         hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in names] + [END, START], np.uint64)
         # every document: start (history only), its words, end
         stop = np.cumsum(self.size + 1) - 1
         self.first = stop - self.size
         total = int(self.size.sum()) + len(self.size)
-        self.token = np.full(total, self.end, np.int64)
+        self.token = np.full(total, n, np.int64)
         inside = np.ones(total, bool)
         inside[stop] = False
         self.token[inside] = words
@@ -66,91 +99,162 @@ class Block:
 
         own = np.bincount(self.token[trained], minlength=self.width).astype(np.uint64)
         own[self.start] = np.count_nonzero(train)
-        self.uni_order = np.argsort(hashes, kind="stable")
-        self.uni_hash, self.uni_own = hashes[self.uni_order], own[self.uni_order]
+        self.words = Grams(hashes, own, 64)
+
+        self.pair_key, self.pair_of = np.unique(self.history * self.width + self.token, return_inverse=True)
+        own = np.bincount(self.pair_of[trained], minlength=len(self.pair_key)).astype(np.uint64)
+        pair_hash = _joined(hashes[self.pair_key // self.width], hashes[self.pair_key % self.width])
+        self.pairs = Grams(pair_hash, own, NGRAM_BITS)
 
-        key = self.history * self.width + self.token
-        self.pair_key, self.pair_of = np.unique(key, return_inverse=True)
-        pair_own = np.bincount(self.pair_of[trained], minlength=len(self.pair_key)).astype(np.uint64)
-        a, b = hashes[self.pair_key // self.width], hashes[self.pair_key % self.width]
-        mixed = (a ^ (a >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F)
-        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        mixed ^= mixed >> np.uint64(32)
-        self.pair_order = np.argsort(mixed, kind="stable")
-        self.pair_hash, self.pair_own = mixed[self.pair_order], pair_own[self.pair_order]
+        # a text's first place has no pair before it
+        later = np.ones(total, bool)
+        later[self.first] = False
+        later = np.flatnonzero(later)
+        key, place, which = np.unique(self.pair_of[later - 1] * self.width + self.token[later], return_index=True, return_inverse=True)
+        self.triple_before, self.triple_last = key // self.width, self.pair_of[later[place]] if len(place) else key
+        self.triple_of = np.full(total, -1, np.int64)
+        self.triple_of[later] = which
+        own = np.bincount(which[trained[later]], minlength=len(key)).astype(np.uint64)
+        self.triples = Grams(_joined(pair_hash[self.triple_before], hashes[key % self.width]), own, NGRAM_BITS)
 
 
-def bucket_edges(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket (an equal range of hashes) begins in sorted ``hashes``, and the end."""
-    cuts = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
-    return np.r_[0, np.searchsorted(hashes, cuts), len(hashes)]
+def bucket_bases(bits: int, buckets: int) -> np.ndarray:
+    """The first hash of each bucket, an equal range of hashes."""
+    return np.array([-(-(i << bits) // buckets) for i in range(buckets)], np.uint64)
 
 
-def pack(counts: np.ndarray) -> bytes:
-    """Counts, most of them small, as their number and compressed bytes."""
-    return len(counts).to_bytes(8, "little") + pa.compress(counts.tobytes(), "zstd", asbytes=True)
+KINDS = {"word": 64, "pair": NGRAM_BITS, "triple": NGRAM_BITS}
+ASKED = "bucket int, block int, " + ", ".join(f"{k} binary, {k}_width int, {k}_own binary" for k in KINDS)
+ANSWERED = "block int, bucket int, " + ", ".join(f"{k} binary" for k in KINDS)
 
 
-def unpack(data: bytes) -> np.ndarray:
-    n = int.from_bytes(data[:8], "little")
-    return np.frombuffer(pa.decompress(data[8:], 8 * n, "zstd"), np.uint64) if n else np.zeros(0, np.uint64)
+def _edges(hashes: np.ndarray, bases: np.ndarray) -> np.ndarray:
+    return np.r_[np.searchsorted(hashes, bases), len(hashes)]
 
 
 def _ask(buckets: int):
     def run(block: pa.Table) -> pa.Table:
         block = block.combine_chunks()
         b = Block(block.column("text").combine_chunks(), block.column("train").to_numpy().astype(bool))
-        uni, pair = bucket_edges(b.uni_hash, buckets), bucket_edges(b.pair_hash, buckets)
-        rows = {"bucket": [], "block": [], "uni": [], "uni_own": [], "pair": [], "pair_own": []}
+        columns, filled = {}, np.zeros(buckets, bool)
+        for kind, grams in zip(KINDS, (b.words, b.pairs, b.triples)):
+            bases = bucket_bases(grams.bits, buckets)
+            edges = _edges(grams.hash, bases)
+            filled |= edges[1:] > edges[:-1]
+            width, columns[kind] = narrow(grams.hash, edges, bases)
+            columns[f"{kind}_width"] = [width] * buckets
+            columns[f"{kind}_own"] = slim(grams.own, edges)
+        kept = np.flatnonzero(filled).tolist()
         name = block.column("block")[0].as_py()
-        for k in range(buckets):
-            u, p = slice(uni[k], uni[k + 1]), slice(pair[k], pair[k + 1])
-            if u.start == u.stop and p.start == p.stop:
-                continue
-            rows["bucket"].append(k)
-            rows["block"].append(name)
-            rows["uni"].append(b.uni_hash[u].tobytes())
-            rows["uni_own"].append(pack(b.uni_own[u]))
-            rows["pair"].append(b.pair_hash[p].tobytes())
-            rows["pair_own"].append(pack(b.pair_own[p]))
-        return pa.table(rows, schema=pa.schema([("bucket", pa.int32()), ("block", pa.int32()), *((k, pa.binary()) for k in list(rows)[2:])]))
+        out = {"bucket": pa.array(kept, pa.int32()), "block": pa.array([name] * len(kept), pa.int32())}
+        for c, values in columns.items():
+            out[c] = pa.array([values[i] for i in kept], pa.int32() if c.endswith("_width") else pa.binary())
+        return pa.table(out)
 
     return run
 
 
-ASKED = "bucket int, block int, uni binary, uni_own binary, pair binary, pair_own binary"
+def _asked(rows: pa.Table, kind: str, buckets: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Hashes and own counts of each row."""
+    base = int(bucket_bases(KINDS[kind], buckets)[rows.column("bucket")[0].as_py()])
+    hashes = [from_narrow(x, w, base) for x, w in zip(rows.column(kind).to_pylist(), rows.column(f"{kind}_width").to_pylist(), strict=True)]
+    own = [from_slim(x, len(h)) for x, h in zip(rows.column(f"{kind}_own").to_pylist(), hashes, strict=True)]
+    return hashes, own
 
 
-def _arrays(column) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
+def _totals(hashes: list[np.ndarray], own: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Totals of the distinct hashes, and the number among these of every hash in turn."""
+    _, which = np.unique(np.concatenate(hashes), return_inverse=True)
+    total = np.zeros(int(which.max(initial=-1)) + 1, np.uint64)
+    np.add.at(total, which, np.concatenate(own))
+    return total, which
 
 
-def _counts(column) -> list[np.ndarray]:
-    return [unpack(x.as_py()) for x in column]
+def _answer(buckets: int):
+    def run(asked: pa.Table) -> pa.Table:
+        out = {"block": asked.column("block"), "bucket": asked.column("bucket")}
+        for kind in KINDS:
+            hashes, own = _asked(asked, kind, buckets)
+            total, which = _totals(hashes, own)
+            out[kind] = pa.array(slim(total[which], np.cumsum([0, *map(len, hashes)])), pa.binary())
+        return pa.table(out)
 
+    return run
 
-def _totals(hashes: list[np.ndarray], own: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
-    """Totals of the distinct hashes, and the totals of each block's hashes in its own order."""
-    h, c = np.concatenate(hashes), np.concatenate(own)
-    _, which = np.unique(h, return_inverse=True)
-    total = np.zeros(int(which.max(initial=-1)) + 1, np.uint64)
-    np.add.at(total, which, c)
-    back = np.split(total[which], np.cumsum([len(x) for x in hashes])[:-1])
-    return total, [pack(x) for x in back]
 
+def _count(buckets: int):
+    """Training tokens of a bucket and how many of its words (and the end) have any."""
 
-def _answer(asked: pa.Table) -> pa.Table:
-    _, uni = _totals(_arrays(asked.column("uni")), _counts(asked.column("uni_own")))
-    _, pair = _totals(_arrays(asked.column("pair")), _counts(asked.column("pair_own")))
-    return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"), "uni": pa.array(uni, pa.binary()), "pair": pa.array(pair, pa.binary())})
+    def run(asked: pa.Table) -> pa.Table:
+        hashes, own = _asked(asked, "word", buckets)
+        total, _ = _totals(hashes, [np.where(h == START, np.uint64(0), c) for h, c in zip(hashes, own, strict=True)])
+        return pa.table({"n": pa.array([int(total.sum())], pa.int64()), "v": pa.array([int(np.count_nonzero(total))], pa.int64())})
 
+    return run
 
-def _count(asked: pa.Table) -> pa.Table:
-    """Training tokens of a bucket and how many of its words (and the end) have any."""
-    hashes = _arrays(asked.column("uni"))
-    own = [np.where(h == START, np.uint64(0), c) for h, c in zip(hashes, _counts(asked.column("uni_own")), strict=True)]
-    total, _ = _totals(hashes, own)
-    return pa.table({"n": pa.array([int(total.sum())], pa.int64()), "v": pa.array([int(np.count_nonzero(total))], pa.int64())})
+
+class Automaton:
+    """The part of the model that a block can touch.
+
+    State 0 is the root, ``1 + w`` the history of word ``w``, ``1 + width + p`` that of pair ``p``.
+    """
+
+    def __init__(self, block: Block, word: np.ndarray, pair: np.ndarray, triple: np.ndarray, n: int, v: int, weight: float):
+        self.block, self.width = block, int(block.width)
+        p_word = (word + 0.5) / (n + 0.5 * (v + 1))
+        before, last = block.pair_key // block.width, block.pair_key % block.width
+        p_pair = (pair + weight * p_word[last]) / (word[before] + weight)
+        p_triple = (triple + weight * p_pair[block.triple_last]) / (pair[block.triple_before] + weight)
+        self.log_word, self.log_pair, self.log_triple = np.log10(p_word), np.log10(p_pair), np.log10(p_triple)
+        self.word_seen, self.pair_seen, self.triple_seen = word > 0, pair > 0, triple > 0
+        self.fail = np.concatenate([[0.0], np.log10(weight / (word + weight)), np.log10(weight / (pair + weight))])
+        self.below = np.concatenate([np.zeros(1 + self.width, np.int64), 1 + last])
+
+    def state_before(self, at: np.ndarray) -> np.ndarray:
+        """The longest history before each place that training has seen."""
+        b = self.block
+        word = np.where(self.word_seen[b.history[at]], 1 + b.history[at], 0)
+        pair = b.pair_of[np.maximum(at - 1, 0)]
+        return np.where((b.triple_of[at] >= 0) & self.pair_seen[pair], 1 + self.width + pair, word)
+
+    def step(self, state: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log10 weight of reading the token at each place, and the state after it."""
+        b = self.block
+        token, pair, triple = b.token[at], b.pair_of[at], b.triple_of[at]
+        in_pair = state > self.width
+        arc = in_pair & (triple >= 0) & self.triple_seen[triple] if len(self.triple_seen) else np.zeros(len(at), bool)
+        gain = np.zeros(len(at))
+        gain[arc] = self.log_triple[triple[arc]]
+        fails = in_pair & ~arc
+        gain[fails] += self.fail[state[fails]]
+        state = np.where(fails, self.below[state], state)
+        in_word = (state > 0) & ~arc
+        other = in_word & self.pair_seen[pair]
+        gain[other] += self.log_pair[pair[other]]
+        fails = in_word & ~other
+        gain[fails] += self.fail[state[fails]]
+        root = ~(arc | other)
+        gain[root] += self.log_word[token[root]]
+        after = np.where(self.pair_seen[pair], 1 + self.width + pair, np.where(self.word_seen[token], 1 + token, 0))
+        return gain, after
+
+    def scores(self) -> np.ndarray:
+        """Log10 probability of each text."""
+        b = self.block
+        size = b.size + 1
+        pieces = -(-size // STRETCH)
+        text = np.repeat(np.arange(len(size)), pieces)
+        rank = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        first = b.first[text] + rank * STRETCH
+        length = np.minimum(size[text] - rank * STRETCH, STRETCH)
+        order = np.argsort(-length, kind="stable")
+        first, length = first[order], length[order]
+        state, total = self.state_before(first), np.zeros(len(first))
+        for t in range(int(length.max(initial=0))):
+            active = int(np.searchsorted(-length, -t, side="left"))
+            gain, state[:active] = self.step(state[:active], first[:active] + t)
+            total[:active] += gain
+        return np.bincount(text[order], weights=total, minlength=len(size))
 
 
 def _score(weight: float, id_type: pa.DataType):
@@ -163,42 +267,16 @@ def _score(weight: float, id_type: pa.DataType):
         train = block.column("train").to_numpy().astype(bool)
         b = Block(block.column("text").combine_chunks(), train)
         answers = answers.sort_by("bucket")
-        n, v = answers.column("n")[0].as_py(), answers.column("v")[0].as_py()
-        uni, pair = np.concatenate(_counts(answers.column("uni"))), np.concatenate(_counts(answers.column("pair")))
-        if len(uni) != len(b.uni_hash) or len(pair) != len(b.pair_hash):
-            raise RuntimeError("a block was dealt differently in the two passes")
-        count = np.empty(len(uni), np.uint64)
-        count[b.uni_order] = uni
-        pairs = np.empty(len(pair), np.uint64)
-        pairs[b.pair_order] = pair
-
-        word = (count + 0.5) / (n + 0.5 * (v + 1))
-        log_word = np.log10(word)
-        fail = np.log10(weight / (count + weight))
-        seen = np.flatnonzero(pairs)
-        history, token = b.pair_key[seen] // b.width, b.pair_key[seen] % b.width
-        arc = np.log10((pairs[seen] + weight * word[token]) / (count[history] + weight))
-        arcs = dict(zip(b.pair_key[seen].tolist(), arc.tolist(), strict=True))
-        # a word without training count is no history: the traversal goes on at the root, the last state
-        root = int(b.width)
-        state_of = np.where(count > 0, np.arange(len(count)), root).tolist()
-        down, at_root, width = [*fail.tolist(), 0.0], log_word.tolist(), int(b.width)
-
-        scores = []
-        tokens = b.token.tolist()
-        follow = arcs.get
-        for first, size in zip(b.first.tolist(), b.size.tolist(), strict=True):
-            state, total = state_of[b.start], 0.0
-            for w in tokens[first : first + size + 1]:
-                step = follow(state * width + w)
-                total += down[state] + at_root[w] if step is None else step
-                state = state_of[w]
-            scores.append(total)
-        if len(b.first):
-            base = np.add.reduceat(log_word[b.token], b.first)
-            known = np.add.reduceat((count[b.token] > 0).astype(np.int64), b.first)
+        n, v, buckets = (answers.column(c)[0].as_py() for c in ("n", "v", "buckets"))
+        totals = []
+        for kind, grams in zip(KINDS, (b.words, b.pairs, b.triples)):
+            size = np.diff(_edges(grams.hash, bucket_bases(grams.bits, buckets)))[answers.column("bucket").to_numpy()]
+            totals.append(grams.total(np.concatenate([from_slim(x, k) for x, k in zip(answers.column(kind).to_pylist(), size.tolist(), strict=True)])))
+        model = Automaton(b, *totals, n, v, weight)
+        base = np.add.reduceat(model.log_word[b.token], b.first)
+        known = np.add.reduceat(model.word_seen[b.token].astype(np.int64), b.first)
         return pa.table(
-            [block.column("id"), pa.array(~train), pa.array(b.size + 1), pa.array(known), pa.array([n] * len(scores), pa.int64()), pa.array(base), pa.array(scores, pa.float64())],
+            [block.column("id"), pa.array(~train), pa.array(b.size + 1), pa.array(known), pa.array([n] * len(known), pa.int64()), pa.array(base), pa.array(model.scores())],
             schema=out,
         )
 
@@ -211,32 +289,32 @@ def lm_scores(
     doc_id: str = "doc_id",
     text: str = "text",
     weight: float = 2.0,
-    block_chars: int = 5_000_000,
+    block_chars: int = 8_000_000,
     bucket_chars: int = 4_000_000,
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
     Documents with ``crc32(id as text) mod 5 <> 1`` train the model.  ``weight`` is m above.
     ``block_chars`` and ``bucket_chars`` bound what one task holds; the numbers of blocks and buckets
-    follow from the corpus size.
+    follow from the corpus size.  Rows are dealt by their place in ``docs``, a table, so that equal rows
+    part as well.
     """
+    from pyspark.sql.pandas.types import to_arrow_type
+
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     blocks, buckets = 1 + chars // block_chars, 1 + chars // bucket_chars
     id_type = docs.schema[doc_id].dataType
     crc = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
     dealt = docs.select(
-        F.pmod(F.xxhash64(doc_id, F.length(text)), F.lit(blocks)).cast("int").alias("block"),
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int").alias("block"),
         F.col(doc_id).alias("id"),
         (crc % 5 != 1).alias("train"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     by_block = dealt.groupBy("block")
     asked = by_block.applyInArrow(_ask(buckets), ASKED).groupBy("bucket")
-    sizes = asked.applyInArrow(_count, "n long, v long").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
-    answers = asked.applyInArrow(_answer, "block int, bucket int, uni binary, pair binary")
-    answers = answers.crossJoin(F.broadcast(sizes))  # one row
-    from pyspark.sql.pandas.types import to_arrow_type
-
+    sizes = asked.applyInArrow(_count(buckets), "n long, v long").agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.lit(buckets).alias("buckets"))
+    answers = asked.applyInArrow(_answer(buckets), ANSWERED).crossJoin(F.broadcast(sizes))  # one row
     scored = by_block.cogroup(answers.groupBy("block")).applyInArrow(
         _score(weight, to_arrow_type(id_type)),
         f"id {id_type.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
