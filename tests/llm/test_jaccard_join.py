@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from vitalgrid.llm.jaccard_join import CountTree, Intervals, jaccard_components
+from vitalgrid.llm.jaccard_join import CountTree, Intervals, cell_links, jaccard_components
 
 
 def brute(rows):
@@ -63,7 +63,7 @@ def test_equals_brute_force(spark):
 
 def test_chunked_cells_and_no_broadcast(spark):
     rows = corpus(2)
-    assert got(spark, rows, cell_rows=3, broadcast_rows=0, part_chars=20_000) == brute(rows)
+    assert got(spark, rows, cell_rows=3, broadcast_bytes=0, part_shingles=3_000, common_docs=2) == brute(rows)
 
 
 def test_empty_table(spark):
@@ -106,13 +106,14 @@ def test_slices_of_few_words():
 def test_a_key_is_posted_once_a_batch():
     import pyarrow as pa
 
-    from vitalgrid.llm.jaccard_join import _meet, _postings, _unpack, class_of, shingle_sets
+    from vitalgrid.llm.jaccard_join import _meet, _postings, class_of, shingle_sets
+    from vitalgrid.llm.packing import from_planes
 
     words = [f"w{i}" for i in range(200)]
     texts = pa.array([" ".join([*words[:i], "edit", *words[i + 1 :]]) for i in range(100)])
     (posted,) = _postings(4, 85, 1)([pa.record_batch([texts], names=["text"])])
     rows = posted.to_pylist()
-    keys = np.concatenate([np.cumsum(_unpack(r["keys"], r["n"], np.uint64), dtype=np.uint64) for r in rows if r["n"]])
+    keys = np.concatenate([np.cumsum(from_planes(r["keys"], np.uint64), dtype=np.uint64) for r in rows if r["n"]])
     assert len(np.unique(keys)) == len(keys)
     pairs = [p for r in rows for p in zip(*(c.to_pylist() for c in _meet(pa.Table.from_pylist([r], schema=posted.schema)).columns))]
     near = {class_of(s): {class_of(s)} for s in shingle_sets(texts, 4)}
@@ -121,3 +122,87 @@ def test_a_key_is_posted_once_a_batch():
         for c in both:
             near[c] = both
     assert len(near[a]) == 100  # all still meet
+
+
+def test_linked_sets_share_a_key_whatever_is_common():
+    rng = np.random.default_rng(5)
+    for percent in (80, 85, 100):
+        iv = Intervals(percent)
+        for _ in range(400):
+            n = int(rng.integers(1, 300))
+            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            b = np.unique(np.r_[rng.permutation(a)[: len(a) - int(rng.integers(0, n // 8 + 1))], rng.integers(0, 2**63, int(rng.integers(0, n // 8 + 1))).astype(np.uint64)])
+            if not len(b) or not CountTree([a, b], percent).linked(0, 1):
+                continue
+            # a passage at the front, all, none, or any shingles are common
+            cut = np.uint64([0, 2**61, 2**62, 2**62 + 2**61, 2**64 - 1][rng.integers(0, 5)])
+            odd = np.uint64(rng.integers(1, 5))
+            common = lambda s: (s < cut) & (s % odd == 0)
+            assert np.intersect1d(iv.keys(a, common(a)), iv.keys(b, common(b))).size
+
+
+def test_a_shared_passage_does_not_glue_pages():
+    rng = np.random.default_rng(6)
+    passage = rng.integers(0, 2**63, 60).astype(np.uint64)
+    iv, seen = Intervals(80), {}
+    for i in range(300):
+        s = np.unique(np.r_[passage, rng.integers(0, 2**63, 140).astype(np.uint64)])
+        for key in iv.keys(s, np.isin(s, passage)).tolist():
+            seen.setdefault(key, set()).add(i)
+    assert sum(len(x) > 1 for x in seen.values()) < 20  # without marks almost every page shares such a key
+
+
+def test_cells_with_known_components():
+    rng = np.random.default_rng(7)
+    seed = [np.unique(rng.integers(0, 2**63, 150).astype(np.uint64)) for _ in range(3)]
+    sets = [np.unique(np.r_[rng.permutation(seed[i % 3])[:145], rng.integers(0, 2**63, 3).astype(np.uint64)]) for i in range(300)]
+    def parts(links, label):
+        label = np.array(label)
+        for i, j in links:
+            label[label == label[i]] = label[j]
+        return {frozenset(np.flatnonzero(label == x).tolist()) for x in set(label.tolist())}
+
+    want = {frozenset(range(i, 300, 3)) for i in range(3)}
+    alone = np.arange(300)
+    assert parts(cell_links(sets, 85), alone) == want
+    known = np.where(np.arange(300) % 6 < 3, np.arange(300) % 3, alone + 10)
+    few = cell_links(sets, 85, known, np.arange(300) % 6 >= 3)
+    assert parts(few, known) == want and len(few) == 150
+
+
+def test_components_of_random_graphs(spark):
+    from vitalgrid.llm.components import connected_components
+
+    rng = random.Random(8)
+    for n, m in ((1, 0), (300, 150), (300, 320), (2000, 1999)):
+        name = rng.sample(range(-(2**60), 2**60), n)
+        edges = [(name[rng.randrange(n)], name[rng.randrange(n)]) for _ in range(m)] if n < 2000 else [(name[i], name[i + 1]) for i in range(n - 1)]
+        label = {x: x for e in edges for x in e}
+        for a, b in edges:
+            low, high = sorted((label[a], label[b]))
+            for x, y in label.items():
+                if y == high:
+                    label[x] = low
+        got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+        assert {r.node: r.root for r in got} == {a: r for a, r in label.items() if any(a in e and e[0] != e[1] for e in edges)}
+
+
+def test_no_folder_is_left_inside_a_block(spark):
+    from pathlib import Path
+
+    from vitalgrid.llm.common import scratch, shared_dir
+
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    with scratch(spark):
+        assert len(got(spark, corpus(3))) > 400
+    assert set(folder.iterdir()) == before
+
+
+def test_a_very_long_text_and_one_key_of_many(spark):
+    long = " ".join(f"x{i}" for i in range(60_000))
+    rows = [(1, long), (2, long + " end"), (3, long[: len(long) // 2])]
+    base = [f"b{i}" for i in range(30)]
+    rows += [(100 + i, " ".join([*base[:-1], f"e{i}"])) for i in range(3000)]
+    by = {r[0]: r[2] for r in got(spark, rows)}
+    assert (by[1], by[2], by[3]) == (1, 1, 3) and {by[100 + i] for i in range(3000)} == {100}

@@ -79,6 +79,6 @@ def test_contamination_equals_brute_force(spark):
     a = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, item_id int")
     b = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id int")
     for limit in (1_000_000, 0):
-        got = contaminated(a, b, broadcast_rows=limit).collect()
+        got = contaminated(a, b, broadcast_bytes=limit).collect()
         assert {(r.doc_id, r.item_id, r.n_item_shingles, r.n_found) for r in got} == want and len(got) == len(want)
     assert contaminated(a.filter("false"), b).count() == 0 and contaminated(a, b.filter("false")).count() == 0

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import alnum_words, exploded_shingles, materialize, shingle_hash, shingle_text, small_side
+from vitalgrid.llm.common import BROADCAST_BYTES, alnum_words, exploded_shingles, materialize, shingle_hash, shingle_text, small_side
 
 
 def contaminated(
@@ -34,7 +34,7 @@ def contaminated(
     k: int = 5,
     threshold: float = 0.8,
     sketch: int = 16,
-    broadcast_rows: int = 1_000_000,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Pairs ``doc_id, body, item_id, n_item_shingles, n_found, containment`` at or above ``threshold``.
 
@@ -60,7 +60,7 @@ def contaminated(
     keyed = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("body"), alnum_words(F.col(text)).alias("w"))
     drawn = exploded_shingles(keyed, "w", k).select("doc", "body", shingle_hash(F.col("w"), F.col("pos"), k).alias("h"))
     drawn = drawn.filter(F.col("h") <= F.lit(top if top is not None else 0))
-    met = drawn.join(small_side(kept, broadcast_rows), "h").filter(F.col("h") <= F.col("cutoff"))
+    met = drawn.join(small_side(kept, broadcast_bytes), "h").filter(F.col("h") <= F.col("cutoff"))
     pairs = (
         met.groupBy("doc", "body", "item", "n_item", "h").agg(F.lit(1).alias("one"))
         .groupBy("doc", "body", "item", "n_item").agg(F.count("*").alias("n"))
@@ -70,13 +70,13 @@ def contaminated(
     pairs = materialize(pairs)
 
     # exact containment of the surviving pairs, on the words of those documents only
-    wanted = small_side(materialize(pairs.select("doc", "body").distinct()), broadcast_rows)
+    wanted = small_side(materialize(pairs.select("doc", "body").distinct()), broadcast_bytes)
     again = keyed.alias("k").join(
         wanted.alias("p"), F.col("k.doc").eqNullSafe(F.col("p.doc")) & (F.col("k.body") == F.col("p.body")), "left_semi"
     )
     words = exploded_shingles(again, "w", k).select("doc", "body", shingle_text(F.col("w"), F.col("pos"), k).alias("s"))
     exact = (
-        words.join(small_side(shingles.select("item", "s"), broadcast_rows), "s")
+        words.join(small_side(shingles.select("item", "s"), broadcast_bytes), "s")
         .groupBy("doc", "body", "item", "s").agg(F.lit(1).alias("one"))
         .groupBy("doc", "body", "item").agg(F.count("*").alias("n_found"))
     )

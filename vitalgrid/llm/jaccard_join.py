@@ -10,12 +10,18 @@ classes link at ``100 * intersection >= percent * union``.
   Surviving pairs are verified on the sets.
 * Trees are small and local to a *cell*.  A linked pair differs in at most ``D`` shingles, so of
   ``D + 1 + e`` hash groups at least ``1 + e`` hold the very same shingles in both: classes that
-  agree on no group cannot link.  Each class therefore posts one key per group, for its own size
-  interval and for the next larger one; a class with more than ``e`` empty groups posts those too.
-  Classes connected by shared keys form a cell, so every linked pair lies in one cell.
-* Within a cell classes already in one component are not compared again, so a group of copies costs
-  about one comparison each and no pair list is ever made.  A cell above ``cell_rows`` classes or
-  ``CELL_BYTES`` is cut into chunks and every two chunks meet in a task of their own.
+  agree on no group cannot link.  Each class posts one key per group, for its own size interval and
+  for the next larger one.  Classes connected by shared keys form a cell, so every linked pair lies
+  in one cell.
+* Groups that hold nothing, or only shingles that many documents have, are *weak*: they would glue
+  pages together that merely share a passage.  A class with at most ``e`` weak groups does not post
+  them, since one of its ``1 + e`` equal groups is another.  Which shingles are common is read from a
+  table of ``2 ** BUCKET_BITS`` counters over all documents; it decides how much work is done, never
+  which links are found.
+* Within a cell, classes and tree nodes of one component already are not compared again, so a group
+  of copies costs about one comparison each and no pair list is ever made.  A cell above
+  ``cell_rows`` classes or ``CELL_BYTES`` is dealt into chunks twice, by two hashes; what is then
+  still outside the cell's largest component meets every chunk.
 
 Defined results: null, empty and blank texts have no shingles and are linked with nothing; texts
 under four words are one shingle; repeated rows are documents with equal sets; a null id never
@@ -25,7 +31,7 @@ bits, so sets are compared up to hash collisions.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +39,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import materialize, small_side
+from vitalgrid.llm.common import BROADCAST_BYTES, materialize, scratch, small_side
 from vitalgrid.llm.components import connected_components
 from vitalgrid.llm.lm_scoring import tokenize
+from vitalgrid.llm.packing import from_planes, planes
 
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 GROUPS = 64  # coordinates of a point
 FAN = 32  # children of a tree node
 CELL_BYTES = 64_000_000  # of the sets that one task holds at once
+BUCKET_BITS = 24  # counters of shingles: two megabytes of marks
+COUNTED = 2_000_000  # shingles that are counted together
+KEY_BITS = 48  # keys only gather candidates, so a shortened key costs at most a few needless comparisons
+POSTED_CLASSES = 8000  # classes that post together
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -73,6 +84,10 @@ def class_of(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
+def bucket_of(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
 class Intervals:
     """Size intervals ``low .. low * 100 / percent``; a linked pair lies in one or two neighbouring ones."""
 
@@ -85,17 +100,18 @@ class Intervals:
         return int(np.searchsorted(self.top, n))
 
     def groups(self, k: int) -> tuple[int, int]:
-        """Groups of interval ``k`` and how many of them may be empty."""
+        """Groups of interval ``k`` and how many of them may be weak."""
         while len(self.top) <= k:
             self.top.append((self.top[-1] + 1) * 100 // self.percent)
         most = 2 * self.top[k] * (100 - self.percent) // (100 + self.percent)
-        spare = 2 + -(-most // 20) if most else 0
+        spare = 2 + most // 2 if most else 0
         return most + 1 + spare, spare
 
-    def keys(self, s: np.ndarray) -> np.ndarray:
-        """Bucket keys of a set: of its own interval and the next larger one."""
+    def keys(self, s: np.ndarray, common: np.ndarray | None = None) -> np.ndarray:
+        """Keys of a set for its own interval and the next larger one; ``common`` marks shingles of many documents."""
         own = self.of(len(s))
         mixed = mix(s ^ M2)
+        rare = np.ones(len(s), bool) if common is None else ~common
         out = []
         for k in (own, own + 1):
             n, spare = self.groups(k)
@@ -105,83 +121,157 @@ class Intervals:
             first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
             held = group[first]
             key = mix(np.add.reduceat(mixed[order], first) + mix(held * M1 + np.uint64(k)))
-            out.append(key)
-            if n - len(held) > spare:
+            strong = np.logical_or.reduceat(rare[order], first)
+            if n - np.count_nonzero(strong) <= spare:
+                key = key[strong]
+            elif n - len(held) > spare:
                 empty = np.setdiff1d(np.arange(n, dtype=np.uint64), held)
                 out.append(mix(mix(empty * M1 + np.uint64(k)) ^ M3))
+            out.append(key)
         return np.concatenate(out).view(np.int64)
 
 
-def _summary(k: int):
+# one row per document, and rows of shingle counts
+
+
+def _summary(k: int, parts: int, id_type: pa.DataType):
+    out = pa.schema([("doc", id_type), ("body", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("part", pa.int32()), ("bucket", pa.binary()), ("count", pa.binary())])
+    width = (1 << BUCKET_BITS) // parts
+
+    def counts(held: list[np.ndarray]) -> pa.RecordBatch:
+        bucket, count = np.unique(np.concatenate(held), return_counts=True)
+        edge = np.searchsorted(bucket, np.arange(parts + 1) * width)
+        rows = []
+        for p in range(parts):
+            x = bucket[edge[p] : edge[p + 1]]
+            if len(x):
+                step = np.diff(x, prepend=p * width).astype(np.uint32)
+                rows.append({"part": p, "bucket": planes(step), "count": planes(count[edge[p] : edge[p + 1]].astype(np.uint32))})
+        return pa.RecordBatch.from_pylist(rows, out)
+
     def run(batches):
+        seen, held, size = set(), [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                sets = [(len(s), class_of(s)) for s in shingle_sets(part.column(1), k)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array([n for n, _ in sets], pa.int64()), pa.array([c for _, c in sets], pa.int64())],
-                    names=["doc", "body", "n", "cls"],
-                )
+                sets = []
+                for s in shingle_sets(part.column(1), k):
+                    sets.append((len(s), c := class_of(s)))
+                    if len(s) and c not in seen:
+                        seen.add(c)
+                        held.append(bucket_of(s))
+                        size += len(s)
+                none = [pa.nulls(part.num_rows, t) for t in (pa.int32(), pa.binary(), pa.binary())]
+                n, cls = (pa.array([x[i] for x in sets], pa.int64()) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), n, cls, *none], schema=out)
+                if size >= COUNTED:
+                    yield counts(held)
+                    held, size = [], 0
+        if held:
+            yield counts(held)
 
     return run
 
 
-KEY_BITS = 48  # keys only gather candidates, so a shortened key costs at most a few needless comparisons
+def _marks(parts: int, least: int):
+    """Of each range of counters, which ones reach ``least``, as packed bits."""
+    width = (1 << BUCKET_BITS) // parts
+
+    def run(batches):
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, bucket, count in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                total = totals.setdefault(part, np.zeros(width, np.uint64))
+                total[np.cumsum(from_planes(bucket, np.uint32), dtype=np.int64)] += from_planes(count, np.uint32)
+        bits = [np.packbits(t >= least, bitorder="little").tobytes() for t in totals.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(bits, pa.binary())], names=["part", "bits"])
+
+    return run
+
+
+def common_shingles(base: DataFrame, parts: int, common_docs: int) -> bytes:
+    """A bit for each counter: whether at least ``common_docs`` documents, and four times the mean, fall on it.
+
+    The table is of fixed size, so what reaches the driver does not grow with the corpus.
+    """
+    total = base.agg(F.sum("n")).first()[0] or 0
+    least = max(common_docs, 4 * total >> BUCKET_BITS)
+    rows = base.filter("part IS NOT NULL").select("part", "bucket", "count").repartition("part")
+    width = (1 << BUCKET_BITS) // parts // 8
+    out = bytearray(width * parts)
+    for part, bits in rows.mapInArrow(_marks(parts, least), "part int, bits binary").collect():
+        out[part * width : (part + 1) * width] = bits
+    return bytes(out)
+
+
+# candidates: classes connected by shared keys
 
 
-def _pack(x: np.ndarray) -> bytes:
-    return pa.compress(x.tobytes(), "zstd", asbytes=True)
+def least_members(member: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` members the least one it is connected with; group ``i`` of ``member`` begins at ``first[i]``."""
+    label = np.arange(n)
+    if not len(first):
+        return label
+    group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(member)]))
+    while True:
+        low = np.minimum.reduceat(label[member], first)
+        new = label.copy()
+        np.minimum.at(new, member, low[group])
+        new = np.minimum(new, new[new])
+        if np.array_equal(new, label):
+            return label
+        label = new
 
 
-def _unpack(data: bytes, n: int, kind) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, n * np.dtype(kind).itemsize, "zstd"), kind)
+def _starts(sorted_keys: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, sorted_keys[1:] != sorted_keys[:-1]][: len(sorted_keys)])
 
 
-POSTED = "part int, n int, keys binary, at binary, names int, classes binary"
+POSTED = "part int, n int, keys binary, at binary, classes binary"
 
 
-def _postings(k: int, percent: int, parts: int):
+def _postings(k: int, percent: int, parts: int, marks=None):
     """Keys, packed per key range: sorted differences and places in a class list.
 
-    Of the classes of a batch that share a key only the smallest is posted; the others' edges to it go in rows
-    of their own (``n`` 0, negative ``part``), so that a key posts once a batch however many classes hold it.
+    Classes of a batch that share keys are connected on the spot: each key is posted once, for the least class
+    connected with it, and the others' links to that class go in rows of their own (``n`` 0).
     """
 
     def rows(keys: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
         key = np.concatenate(keys).view(np.uint64) >> np.uint64(64 - KEY_BITS)
-        own = np.repeat(np.arange(len(keys), dtype=np.uint16), [len(x) for x in keys])
-        cls = np.array(names, np.int64)
-        order = np.lexsort((cls[own], key))
+        cls, rank = np.unique(np.array(names, np.int64), return_inverse=True)
+        own = np.repeat(rank, [len(x) for x in keys])
+        order = np.argsort(key, kind="stable")
         key, own = key[order], own[order]
-        first = np.r_[True, key[1:] != key[:-1]]
-        least = own[first][np.cumsum(first) - 1]
-        links = np.unique(np.stack([cls[own[~first]], cls[least[~first]]]), axis=1)
-        key, own = key[first], own[first]
+        first = _starts(key)
+        least = least_members(own, first, len(cls))
+        key, own = key[first], least[own[first]]
+        moved = np.flatnonzero(least != np.arange(len(cls)))
         edges = np.searchsorted(key, np.array([(i << KEY_BITS) // parts for i in range(parts + 1)], np.uint64))
-        out = {c: [] for c in ("part", "n", "keys", "at", "names", "classes")}
+        out = []
         for p in range(parts):
             x, at = key[edges[p] : edges[p + 1]], own[edges[p] : edges[p + 1]]
             if len(x):
                 here, at = np.unique(at, return_inverse=True)
-                for c, v in (("part", p), ("n", len(x)), ("keys", _pack(np.diff(x, prepend=np.uint64(0)))), ("at", _pack(at.astype(np.uint16))), ("names", len(here)), ("classes", cls[here].tobytes())):
-                    out[c].append(v)
-        if links.size:
-            p = -1 - int(links[0, 0]) % parts
-            for c, v in (("part", p), ("n", 0), ("keys", b""), ("at", b""), ("names", 0), ("classes", links.tobytes())):
-                out[c].append(v)
-        types = {"part": pa.int32(), "n": pa.int32(), "names": pa.int32()}
-        return pa.RecordBatch.from_pydict(out, schema=pa.schema([(c, types.get(c, pa.binary())) for c in out]))
+                out.append({"part": p, "n": len(x), "keys": planes(np.diff(x, prepend=np.uint64(0))), "at": planes(at.astype(np.uint32)), "classes": cls[here].tobytes()})
+        if len(moved):
+            links = np.stack([cls[moved], cls[least[moved]]])
+            out.append({"part": int(links[0, 0] % parts), "n": 0, "keys": b"", "at": b"", "classes": links.tobytes()})
+        types = {"part": pa.int32(), "n": pa.int32()}
+        return pa.RecordBatch.from_pylist(out, pa.schema([(c, types.get(c, pa.binary())) for c in ("part", "n", "keys", "at", "classes")]))
 
     def run(batches):
+        bits = np.zeros(1 << BUCKET_BITS >> 3, np.uint8) if marks is None else np.frombuffer(marks.value, np.uint8)
         intervals, seen, keys, names = Intervals(percent), set(), [], []
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 for s in shingle_sets(batch.slice(at, 2000).column(0), k):
                     if len(s) and (c := class_of(s)) not in seen:
                         seen.add(c)
-                        keys.append(intervals.keys(s))
+                        bucket = bucket_of(s)
+                        keys.append(intervals.keys(s, (bits[bucket >> 3] >> (bucket & 7)) & 1 == 1))
                         names.append(c)
-                        if len(names) == 8000:
+                        if len(names) == POSTED_CLASSES:
                             yield rows(keys, names)
                             keys, names = [], []
         if names:
@@ -191,69 +281,75 @@ def _postings(k: int, percent: int, parts: int):
 
 
 def _meet(part: pa.Table) -> pa.Table:
-    """For every key of two or more classes an edge from each to the smallest, each edge once per part."""
-    keys, cls, linked = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros((2, 0), np.int64)]
+    """A star for every set of classes that the keys of this range connect: an edge from each to the least."""
+    keys, cls, links = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros((2, 0), np.int64)]
     for n, x, at, classes in zip(*(part.column(c).to_pylist() for c in ("n", "keys", "at", "classes")), strict=True):
         if n == 0:
-            linked.append(np.frombuffer(classes, np.int64).reshape(2, -1))
+            links.append(np.frombuffer(classes, np.int64).reshape(2, -1))
             continue
-        keys.append(np.cumsum(_unpack(x, n, np.uint64), dtype=np.uint64))
-        cls.append(np.frombuffer(classes, np.int64)[_unpack(at, n, np.uint16)])
-    key, name = np.concatenate(keys), np.concatenate(cls)
-    order = np.lexsort((name, key))
+        keys.append(np.cumsum(from_planes(x, np.uint64), dtype=np.uint64))
+        cls.append(np.frombuffer(classes, np.int64)[from_planes(at, np.uint32)])
+    key, name, link = np.concatenate(keys), np.concatenate(cls), np.concatenate(links, axis=1)
+    order = np.argsort(key, kind="stable")
     key, name = key[order], name[order]
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
-    least = np.repeat(name[first], np.diff(np.r_[first, len(key)]))
-    edges = np.unique(np.concatenate([np.stack([name, least])[:, name != least], *linked], axis=1), axis=1)
-    return pa.table({"a": pa.array(edges[0]), "b": pa.array(edges[1])})
-
+    first = _starts(key)
+    shared = np.repeat(np.diff(np.r_[first, len(key)]) > 1, np.diff(np.r_[first, len(key)]))
+    first = _starts(key[shared])
+    names, member = np.unique(np.concatenate([name[shared], link.T.ravel()]), return_inverse=True)
+    n_keyed = np.count_nonzero(shared)
+    least = least_members(member, np.r_[first, n_keyed + 2 * np.arange(link.shape[1])], len(names))
+    moved = np.flatnonzero(least != np.arange(len(names)))
+    return pa.table({"a": pa.array(names[moved], pa.int64()), "b": pa.array(names[least[moved]], pa.int64())})
 
-def _sets(k: int):
-    def run(batches):
-        seen = set()  # one row repeated many times gives its set once a task
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                items = []
-                for c, s in zip(part.column(0).to_pylist(), shingle_sets(part.column(1), k), strict=True):
-                    items.append(s.tobytes() if c not in seen else None)
-                    seen.add(c)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(items, pa.binary())], names=["cls", "items"])
 
-    return run
+# verification: the R-tree of a cell
 
 
 class CountTree:
-    """Packed R-tree over the group counts of sets, all held in one cell."""
+    """Packed R-tree over the group counts of sets, all held in one cell; places are in order of size."""
 
-    def __init__(self, sets: list[np.ndarray], percent: int):
-        self.sets, self.percent = sets, percent
-        self.n = np.array([len(s) for s in sets])
+    def __init__(self, sets: Sequence[np.ndarray], percent: int):
+        self.percent = percent
+        n = np.array([len(s) for s in sets])
         counts = np.zeros((len(sets), GROUPS), np.int32)
         for row, s in zip(counts, sets, strict=True):
             row += np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32)
-        self.order = np.lexsort((counts.argmax(axis=1), self.n))
-        self.point = counts
+        self.order = np.lexsort((counts.argmax(axis=1), n))
+        self.sets = [sets[i] for i in self.order]
         # levels from the leaves up: maxima of the coordinates and the smallest size
-        high, small = counts[self.order], self.n[self.order]
+        high, small = counts[self.order], n[self.order]
         self.levels = [(high, small)]
         while len(high) > FAN:
             first = np.arange(0, len(high), FAN)
             high, small = np.maximum.reduceat(high, first), np.minimum.reduceat(small, first)
             self.levels.append((high, small))
-
-    def near(self, i: int) -> np.ndarray:
-        """Sets whose bound allows a link with set ``i``."""
-        q, n = self.point[i], int(self.n[i])
-        at = np.arange(len(self.levels[-1][0]))
-        for depth in range(len(self.levels) - 1, -1, -1):
-            high, small = self.levels[depth]
-            bound = np.minimum(high[at], q).sum(axis=1)
+        self.one = [np.zeros(len(small), bool) for _, small in self.levels]
+
+    def settle(self, label: np.ndarray) -> None:
+        """Note which nodes lie in one component as a whole."""
+        low = high = label
+        for level in range(1, len(self.levels)):
+            first = np.arange(0, len(low), FAN)
+            low, high = np.minimum.reduceat(low, first), np.maximum.reduceat(high, first)
+            self.one[level] = low == high
+
+    def near(self, q: int, label: np.ndarray | None = None, after: int = 0) -> np.ndarray:
+        """Places from ``after`` on, in other components than ``q`` if these are given, whose bound allows a link with ``q``."""
+        point, n = self.levels[0][0][q], int(self.levels[0][1][q])
+        at = np.arange(len(self.levels[-1][1]))
+        for level in range(len(self.levels) - 1, -1, -1):
+            high, small = self.levels[level]
+            size = FAN**level
+            at = at[(at + 1) * size > after]
+            if label is not None:
+                whole = self.one[level][at] if level else True
+                at = at[~(whole & (label[at * size] == label[q]))]
+            bound = np.minimum(high[at], point).sum(axis=1)
             at = at[bound * (100 + self.percent) >= self.percent * (n + small[at])]
-            if depth:
+            if level:
                 at = (at[:, None] * FAN + np.arange(FAN)).ravel()
-                at = at[at < len(self.levels[depth - 1][0])]
-        return self.order[at]
+                at = at[at < len(self.levels[level - 1][1])]
+        return at
 
     def linked(self, i: int, j: int) -> bool:
         a, b = self.sets[i], self.sets[j]
@@ -264,70 +360,117 @@ class CountTree:
         return 100 * both >= self.percent * (len(a) + len(b) - both)
 
 
-def cell_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that join all sets of the cell that any links join."""
-    above = list(range(len(sets)))
-
-    def find(x: int) -> int:
-        while above[x] != x:
-            above[x] = above[above[x]]
-            x = above[x]
-        return x
+def cell_links(sets: Sequence[np.ndarray], percent: int, label: np.ndarray | None = None, probe: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that join all sets of the cell that any links join.
 
-    left = len(sets)
+    ``label``: components known so far; ``probe``: the sets of which each is compared with all others (else all).
+    """
     tree = CountTree(sets, percent)
+    _, label = np.unique(np.arange(len(sets)) if label is None else label, return_inverse=True)
+    label = label[tree.order]
+    left = label.max(initial=-1) + 1
     links = []
-    for i in tree.order.tolist():
-        for j in tree.near(i).tolist():
-            if (a := find(i)) != (b := find(j)) and tree.linked(i, j):
-                above[a] = b
-                links.append((i, j))
+    whole = probe is None or bool(probe.all())
+    for step, q in enumerate(range(len(sets)) if whole else np.flatnonzero(probe[tree.order]).tolist()):
+        if left == 1:
+            break
+        if step % 256 == 0 or step == 1:
+            tree.settle(label)
+        for j in tree.near(q, label, q + 1 if whole else 0).tolist():
+            if label[j] != label[q] and tree.linked(q, j):
+                links.append((int(tree.order[q]), int(tree.order[j])))
+                label[label == label[j]] = label[q]
                 left -= 1
-                if left == 1:
-                    return links
     return links
 
 
+SETS = "cell long, i int, j int, cls long, label long, probe boolean, items binary"
+
+
+def _sets(k: int):
+    """Sets of the texts in column 3; the first three columns are those of ``SETS``."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                items = pa.array([s.tobytes() for s in shingle_sets(part.column(4), k)], pa.binary())
+                cls = part.column(3)
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], cls, pa.array([True] * part.num_rows), items], names=["cell", "i", "j", "cls", "label", "probe", "items"])
+
+    return run
+
+
 def _cells(percent: int):
+    """Links within each run of rows of equal ``cell, i, j``; equal classes stand side by side and count once."""
+
     def links_of(rows: list[tuple]) -> list[tuple[int, int]]:
-        names = [r[0] for r in rows]
-        found = cell_links([np.frombuffer(r[1], np.uint64) for r in rows], percent)
+        names, labels, probe, items = zip(*rows, strict=True)
+        found = cell_links([np.frombuffer(x, np.uint64) for x in items], percent, np.array(labels, np.int64), np.array(probe, bool))
         return [(names[i], names[j]) for i, j in found]
 
     def run(batches):
-        key, rows = None, []
+        cell, rows = None, []
+
+        def batch_of(out: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
         for batch in batches:
             out = []
-            cell, cls, items = (batch.column(i).to_pylist() for i in (0, 3, 4))
-            pair = zip(cell, batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-            for k, c, s in zip(pair, cls, items, strict=True):
-                if k != key:
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for *key, cls, label, probe, items in zip(*columns, strict=True):
+                if key != cell:
                     out += links_of(rows) if len(rows) > 1 else []
-                    key, rows = k, []
-                rows.append((c, s))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
-        if len(rows) > 1 and (out := links_of(rows)):
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
+                    cell, rows = key, []
+                if not rows or rows[-1][0] != cls:
+                    rows.append((cls, label, probe, items))
+                elif probe:
+                    rows[-1] = (cls, label, True, items)
+            yield batch_of(out)
+        yield batch_of(links_of(rows) if len(rows) > 1 else [])
 
     return run
 
 
-def _links(members: DataFrame, sets: DataFrame, percent: int, cell_rows: int) -> DataFrame:
-    """Links within the cells of ``members`` (cell, cls)."""
-    sized = members.join(sets.select("cls", F.length("items").alias("bytes")), "cls")
-    sizes = sized.groupBy("cell").agg(F.count("*").alias("rows"), F.sum("bytes").alias("bytes")).filter("rows > 1")
-    dealt = (
-        members.join(sizes, "cell")
-        .withColumn("chunks", F.ceil(F.greatest(F.col("rows") / cell_rows, F.col("bytes") / CELL_BYTES)).cast("int"))
-        .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls")
-    )
-    full = dealt.join(sets, "cls").select("cell", "i", "j", "cls", "items")
-    return (
-        full.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(_cells(percent), "a long, b long")
+def _dealt_links(rows: DataFrame, percent: int) -> DataFrame:
+    cell = ("cell", "i", "j")
+    return rows.repartition(*cell).sortWithinPartitions(*cell, "cls").mapInArrow(_cells(percent), "a long, b long")
+
+
+def _chunk(seed: int, chunks: str = "chunks"):
+    return F.pmod(F.xxhash64("cls", F.lit(seed)), F.greatest(chunks, F.lit(1))).cast("int")
+
+
+def _large_links(large: DataFrame, cells: DataFrame, percent: int, cell_rows: int) -> DataFrame:
+    """Links of cells of several chunks: ``large`` holds their sets, ``cells`` their ``cell, chunks``.
+
+    Two dealings join all dense groups; then every class outside the largest component of its cell meets all
+    classes of the cell, chunk by chunk.
+    """
+
+    def labelled(links: DataFrame) -> DataFrame:
+        known = connected_components(links).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        joined = large.join(known, F.col("cls") == F.col("_node"), "left")
+        return joined.withColumn("label", F.coalesce("_root", "cls")).drop("_node", "_root").join(cells, "cell")
+
+    columns = ["cell", "i", "j", "cls", "label", "probe", "items"]
+    first = materialize(_dealt_links(large.join(cells, "cell").withColumns({"i": _chunk(1), "j": _chunk(1)}).select(columns), percent))
+    again = labelled(first).withColumns({"i": _chunk(2), "j": _chunk(2)})
+    links = materialize(first.unionByName(_dealt_links(again.select(columns), percent)))
+
+    known = materialize(labelled(links))
+    sizes = known.groupBy("cell", "label").agg(F.count("*").alias("rows"))
+    main = sizes.groupBy("cell").agg(F.max_by("label", F.struct("rows", "label")).alias("main"))
+    apart = known.join(main, "cell").withColumn("probe", F.col("label") != F.col("main"))
+    rest = apart.filter("probe")
+    parts = rest.groupBy("cell").agg(
+        F.ceil(F.greatest(F.count("*") / cell_rows, F.sum(F.length("items")) / CELL_BYTES)).cast("int").alias("parts")
     )
+    ranks = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    held = apart.join(parts, "cell").withColumn("probe", F.lit(False)).withColumns({"j": _chunk(1), "i": ranks("parts")})
+    asking = rest.join(parts, "cell").withColumns({"i": _chunk(3, "parts"), "j": ranks("chunks")})
+    met = _dealt_links(held.select(columns).unionByName(asking.select(columns)), percent)
+    return links.unionByName(met)
 
 
 def jaccard_members(
@@ -338,36 +481,55 @@ def jaccard_members(
     k: int = 4,
     percent: int = 85,
     cell_rows: int = 20_000,
-    part_chars: int = 24_000_000,
-    broadcast_rows: int = 300_000,
+    part_shingles: int = 4_000_000,
+    common_docs: int = 32,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``doc_id, body, n_shingles, root, component_id`` for every row of ``docs``.
 
     ``body`` is the hash of the text and ``root`` names the component whatever the ids of its members are.
+    ``part_shingles`` bounds the shingles whose keys meet in one task, ``common_docs`` is the number of
+    documents from which a shingle may count as common.
     """
-    id_type = docs.schema[doc_id].dataType.simpleString()
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    spark = docs.sparkSession
+    id_type = docs.schema[doc_id].dataType
     whole = F.coalesce(F.col(text), F.lit("")).alias("text")
     body = F.xxhash64(text).alias("body")
-    base = materialize(docs.select(F.col(doc_id).alias("doc"), whole, body).mapInArrow(_summary(k), f"doc {id_type}, body long, n long, cls long"))
-
-    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
-    posted = docs.select(whole).mapInArrow(_postings(k, percent, 1 + chars // part_chars), POSTED)
-    edges = posted.groupBy("part").applyInArrow(_meet, "a long, b long").distinct()
-    cells = connected_components(edges).select(F.col("root").alias("cell"), F.col("node").alias("cls"))
-
-    wanted = (
-        base.filter("n > 0").groupBy("cls")
-        .agg(F.min("doc").alias("doc"), F.coalesce(F.min_by("body", "doc"), F.min("body")).alias("body"))
-        .join(cells.select("cls"), "cls", "left_semi").withColumnRenamed("cls", "_cls")
+    count_parts = 256
+    rows = docs.select(F.col(doc_id).alias("doc"), whole, body).mapInArrow(
+        _summary(k, count_parts, to_arrow_type(id_type)), f"doc {id_type.simpleString()}, body long, n long, cls long, part int, bucket binary, count binary"
     )
-    wanted = materialize(wanted)
-    own = docs.select(F.col(doc_id).alias("_doc"), F.xxhash64(text).alias("_body"), whole)
-    same = own["_doc"].eqNullSafe(wanted["doc"]) & (own["_body"] == wanted["body"])
-    held = own.join(small_side(wanted, broadcast_rows), same).select("_cls", "text")
-    sets = materialize(held.mapInArrow(_sets(k), "cls long, items binary").filter(F.length("items") > 0))
-    labels = connected_components(_links(cells, sets, percent, cell_rows))
-
-    rooted = base.join(labels, base["cls"] == labels["node"], "left").select(
+    with scratch(spark):
+        written = materialize(rows, outer=True)
+        base = written.filter("part IS NULL").select("doc", "body", "n", "cls")
+        marks = spark.sparkContext.broadcast(common_shingles(written, count_parts, common_docs))
+        shingles = base.agg(F.sum("n")).first()[0] or 0
+        posted = docs.select(whole).mapInArrow(_postings(k, percent, 1 + shingles // part_shingles, marks), POSTED)
+        cells = connected_components(posted.groupBy("part").applyInArrow(_meet, "a long, b long"))
+
+        classes = base.filter("n > 0").groupBy("cls").agg(
+            F.min("doc").alias("doc"), F.coalesce(F.min_by("body", "doc"), F.min("body")).alias("body"), F.first("n").alias("n")
+        )
+        wanted = materialize(classes.join(cells, F.col("cls") == F.col("node")).select("cls", "doc", "body", "n", F.col("root").alias("cell")))
+        sizes = wanted.groupBy("cell").agg(F.ceil(F.greatest(F.count("*") / cell_rows, F.sum("n") * 8 / CELL_BYTES)).cast("int").alias("chunks"))
+        large = materialize(sizes.filter("chunks > 1"))
+
+        def sets_of(classes: DataFrame) -> DataFrame:
+            named = materialize(classes.select("cell", "cls", F.col("doc").alias("_doc"), F.col("body").alias("_body")))
+            own = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("body"), whole)
+            same = own["doc"].eqNullSafe(named["_doc"]) & (own["body"] == named["_body"])
+            held = own.join(small_side(named, broadcast_bytes), same)
+            return held.select("cell", F.lit(0).alias("i"), F.lit(0).alias("j"), "cls", "text").mapInArrow(_sets(k), SETS)
+
+        links = _dealt_links(sets_of(wanted.join(large, "cell", "left_anti")), percent)
+        if not large.isEmpty():
+            sets = materialize(sets_of(wanted.join(large, "cell", "left_semi")).dropDuplicates(["cls"]))
+            links = links.unionByName(_large_links(sets, large, percent, cell_rows))
+        linked = materialize(connected_components(links), outer=True)
+
+    rooted = base.join(linked, base["cls"] == linked["node"], "left").select(
         "doc", "body", "n", F.coalesce("root", "cls").alias("root")
     )
     names = rooted.filter("n > 0").groupBy("root").agg(F.min("doc").alias("component"))
