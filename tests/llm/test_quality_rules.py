@@ -71,7 +71,7 @@ def test_lines_above_the_limit_go_and_copies_stay(spark):
 def test_shuffled_join_and_empty_table(spark):
     df = spark.createDataFrame(corpus(), "doc_id long, text string, source string")
     a = sorted(map(str, apply_rules(df).collect()))
-    assert a == sorted(map(str, apply_rules(df, broadcast_rows=0).collect()))
+    assert a == sorted(map(str, apply_rules(df, broadcast_bytes=0).collect()))
     empty = df.filter("false")
     assert apply_rules(empty).count() == 0 and removed_lines(empty).count() == 0
 

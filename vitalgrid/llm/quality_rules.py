@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import WS, let, materialize, shingle_hash, small_side, words_of
+from vitalgrid.llm.common import BROADCAST_BYTES, WS, fresh, let, materialize, shingle_hash, small_side, words_of
 
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
@@ -53,19 +53,20 @@ def with_base(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the per-document counts and ``base_failed``."""
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = docs.withColumn("_words", words_of(F.col(text))).withColumn("_lines", lines)
+    w, x, row = fresh(docs, "_words", "_lines", "_row")
+    out = docs.withColumn(w, words_of(F.col(text))).withColumn(x, lines)
     out = out.withColumns({
-        "n_words": F.size("_words").cast("long"),
-        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+        "n_words": F.size(w).cast("long"),
+        "word_chars": F.length(F.array_join(w, "")).cast("long"),
         "n_symbols": (F.length(t) - F.length(F.regexp_replace(t, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_repeat_words": _repeat_words(F.col("_words")).cast("long"),
+        "n_dup_lines": (F.size(x) - F.size(F.array_distinct(x))).cast("long"),
+        "n_repeat_words": _repeat_words(F.col(w)).cast("long"),
         # never negative; a later filter on the verdict cannot be pushed below this column, where it would
         # split the text anew for every word
-        "_row": F.monotonically_increasing_id(),
-    }).drop("_words", "_lines")
+        row: F.monotonically_increasing_id(),
+    }).drop(w, x)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return out.withColumn("base_failed", failed & (F.col("_row") >= 0)).drop("_row")
+    return out.withColumn("base_failed", failed & (F.col(row) >= 0)).drop(row)
 
 
 def _line_rows(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
@@ -98,7 +99,7 @@ def removed_lines(
     """Documents that hold lines above their host's limit.
 
     A line of ``long_line`` characters or more has the limit ``min_docs`` on every host.  Shorter ones recur
-    by chance: theirs is ``host_share`` of the host's documents, but at least ``min_docs`` and at most
+    by chance: theirs is ``host_share`` of the host's distinct texts, but at least ``min_docs`` and at most
     ``min_docs * (long_line / length) ** 2``, whatever the host's size.  Returns ``doc, body`` (hash of the
     text), ``removed`` (positions of those lines) and ``removed_chars``.
     """
@@ -108,7 +109,8 @@ def removed_lines(
         distinct.groupBy("line", "host").agg(F.count("*").alias("n_docs"), F.max("chars").alias("chars"))
         .filter(F.col("n_docs") > min_docs)
     )
-    hosts = docs.groupBy(F.xxhash64(host).alias("host")).agg((F.count("*") * host_share).alias("share"))
+    texts = docs.select(F.xxhash64(host).alias("host"), F.xxhash64(text).alias("body")).distinct()
+    hosts = texts.groupBy("host").agg((F.count("*") * host_share).alias("share"))
     limit = F.least("share", min_docs * F.pow(F.greatest(F.lit(1.0), long_line / F.col("chars")), 2))
     above = per_line.join(hosts, "host").filter(F.col("n_docs") > limit).select("line", "host")
     hit = rows.join(above, ["line", "host"]).groupBy("doc", "body", "pos").agg(F.max("chars").alias("chars"))
@@ -126,34 +128,34 @@ def apply_rules(
     min_docs: int = 20,
     host_share: float = 0.02,
     max_removed: float = 0.7,
-    broadcast_rows: int = 500_000,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``docs`` with base counts, ``n_removed_lines``, ``clean_text`` and ``kept``.
 
     A document is kept if it passes the base rules and loses at most ``max_removed`` of its word
     characters.  The table of affected documents is written once; it is broadcast only up to
-    ``broadcast_rows`` rows and joined by a shuffle beyond that.
+    ``broadcast_bytes`` and joined by a shuffle beyond that.  Columns of ``docs`` named like one of the
+    results are replaced.
     """
-    gone = materialize(
-        removed_lines(docs, doc_id=doc_id, text=text, host=host, min_docs=min_docs, host_share=host_share)
-    ).select(F.col("doc").alias("_doc"), F.col("body").alias("_body"), "removed", "removed_chars")
-    gone = gone.withColumnsRenamed({"removed": "_removed", "removed_chars": "_removed_chars"})
     base = with_base(docs, text)
+    doc, body, gone_lines, gone_chars = fresh(base, "_doc", "_body", "_removed", "_removed_chars")
+    gone = removed_lines(docs, doc_id=doc_id, text=text, host=host, min_docs=min_docs, host_share=host_share)
+    gone = materialize(gone.toDF(doc, body, gone_lines, gone_chars))
     joined = base.join(
-        small_side(gone, broadcast_rows),
-        base[doc_id].eqNullSafe(gone["_doc"]) & (F.xxhash64(base[text]) == gone["_body"]),
+        small_side(gone, broadcast_bytes),
+        base[doc_id].eqNullSafe(gone[doc]) & (F.xxhash64(base[text]) == gone[body]),
         "left",
     )
     t = F.col(text)
     cut = F.array_join(
-        F.filter(F.split(t, "\n", -1), lambda x, i: ~F.array_contains(F.col("_removed"), i)), "\n"
+        F.filter(F.split(t, "\n", -1), lambda x, i: ~F.array_contains(F.col(gone_lines), i)), "\n"
     )
-    share = F.coalesce(F.col("_removed_chars"), F.lit(0)) / F.greatest(F.length(F.coalesce(t, F.lit(""))), F.lit(1))
+    share = F.coalesce(F.col(gone_chars), F.lit(0)) / F.greatest(F.length(F.coalesce(t, F.lit(""))), F.lit(1))
     return joined.withColumns({
-        "n_removed_lines": F.coalesce(F.size("_removed"), F.lit(0)).cast("long"),
-        "clean_text": F.when(F.col("_removed").isNull(), t).otherwise(cut),
+        "n_removed_lines": F.coalesce(F.size(gone_lines), F.lit(0)).cast("long"),
+        "clean_text": F.when(F.col(gone_lines).isNull(), t).otherwise(cut),
         "kept": ~F.col("base_failed") & (share <= max_removed),
-    }).drop("_doc", "_body", "_removed", "_removed_chars")
+    }).drop(doc, body, gone_lines, gone_chars)
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
