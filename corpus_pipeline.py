@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import materialize, small_side
+from vitalgrid.llm.common import materialize, scratch, small_side
 from vitalgrid.llm.decontamination import contaminated
 from vitalgrid.llm.jaccard_join import jaccard_members
 from vitalgrid.llm.mixing import mix_to_targets
@@ -25,7 +25,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     pairs = materialize(found.groupBy("root", "doc_id", "body").agg(F.count("*").alias("rows")))
     member = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("body"))
     first = pairs.groupBy("root").agg(F.min(member).alias("first"), F.sum("rows").alias("all")).filter("all > 1")
-    first = small_side(materialize(first.withColumnRenamed("root", "_root")), 1_000_000)
+    first = small_side(materialize(first.withColumnRenamed("root", "_root")))
     spare = pairs.join(first, F.col("root") == F.col("_root"))
     spare = spare.withColumn("goes", member != F.col("first")).filter("goes or rows > 1")
     spare = materialize(spare.select(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), "goes"))
@@ -33,10 +33,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     def same(side: DataFrame):
         return docs["doc_id"].eqNullSafe(side["_doc"]) & (F.xxhash64(docs["text"]) == side["_body"])
 
-    kept = docs.join(marked := small_side(spare, 2_000_000), same(marked), "left_anti")
+    kept = docs.join(marked := small_side(spare), same(marked), "left_anti")
     again = spare.filter("not goes")
     if not again.isEmpty():  # equal rows of one id and text, of which one stays
-        again = small_side(again, 2_000_000)
+        again = small_side(again)
         once = docs.join(again, same(again)).select(*docs.columns, "_body").dropDuplicates(["doc_id", "_body"])
         kept = kept.unionByName(once.select(docs.columns))
     return kept.select(docs.columns)
@@ -46,7 +46,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that contain a benchmark item go."""
     leaks = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     leaks = materialize(leaks.select(F.col("doc_id").alias("_doc"), F.col("body").alias("_body")).distinct())
-    leaks = small_side(leaks, 1_000_000)
+    leaks = small_side(leaks)
     same = docs["doc_id"].eqNullSafe(leaks["_doc"]) & (F.xxhash64(docs["text"]) == leaks["_body"])
     return docs.join(leaks, same, "left_anti")
 
@@ -74,7 +74,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage writes besides its result is deleted with it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        with scratch(spark):
+            docs = materialize(stage(spark, docs, sf_dir), outer=True)
     return STAGES[-1][1](spark, docs, sf_dir)
