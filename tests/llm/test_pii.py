@@ -6,8 +6,9 @@ from vitalgrid.llm.pii import feistel, permute_digits, pseudonymize
 
 VALUES = [
     "4111111111111111", "4111-1111-1111-1111", "+1 (017) 555-7713", "10.0.255.7", "2024-02-29", "31/12/1999", "078-05-1120", "1600-01-01", "2399-12-31", "255.255.255.255", "4222222222222",
+    "(212) 555-0123", "212-555-0123", "899-99-9999", "001-01-0001", "667-12-3456",
 ]
-LEFT = ["4111111111111112", "2023-02-30", "1.2.3", "999.1.2.3", "1234567", "version 1.2.3.4.5", "31/02/2001", ""]
+LEFT = ["4111111111111112", "2023-02-30", "1.2.3", "999.1.2.3", "1234567", "version 1.2.3.4.5", "31/02/2001", "", "000-12-3456", "666-12-3456", "912-12-3456", "123-00-4567", "123-45-0000", "10.0.01.7", "(112) 555-0123", "212-155-0123"]
 
 
 def luhn(s):
@@ -32,6 +33,11 @@ def test_values_change_keep_their_format_and_come_back(spark):
         assert luhn(got[i].text) % 10 == 0
     assert re.sub(r"\D", "", got[0].text) == re.sub(r"\D", "", got[1].text)  # equal numbers stay linked
     assert all(0 <= int(x) <= 255 for i in (3, 9) for x in got[i].text.split("."))
+    for i in (13, 14, 15):
+        assert re.fullmatch(r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}", got[i].text)
+    for i in (11, 12):
+        assert re.fullmatch(r"\(?[2-9]\d\d(\) |-)[2-9]\d\d-\d{4}", got[i].text)
+    assert re.sub(r"\D", "", got[11].text) == re.sub(r"\D", "", got[12].text)
     back = run(spark, [got[i].text for i in range(len(VALUES))], inverse=True)
     assert [back[i].text for i in range(len(VALUES))] == VALUES
 
@@ -63,6 +69,21 @@ def test_permutations_are_one_to_one(spark):
     assert len({(r.s.a, r.s.b) for r in pairs.collect()}) == 42
 
 
+def test_numbers_of_a_plan_are_permuted_one_to_one(spark):
+    texts = [f"{a:03d}-{g:02d}-{n:04d}" for a in (1, 665, 667, 899) for g in (1, 99) for n in (1, 4444, 9999)]
+    texts += [f"{a}-{e}-{n:04d}" for a in (200, 999) for e in (200, 555, 999) for n in (0, 9999)]
+    new = {i: r.text for i, r in run(spark, texts).items()}
+    assert len(set(new.values())) == len(texts) and all(len(new[i]) == len(t) for i, t in enumerate(texts))
+    back = run(spark, [new[i] for i in range(len(texts))], inverse=True)
+    assert [back[i].text for i in range(len(texts))] == texts
+
+
+def test_columns_of_the_caller(spark):
+    df = spark.createDataFrame([(1, "card 4111111111111111", "a", "b", "c")], "doc_id long, text string, _found string, _new string, n_found string")
+    (row,) = pseudonymize(df, "k").collect()
+    assert (row._found, row._new, row.n_found, row.n_replaced) == ("a", "b", 1, 1)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pseudonymize(df, "k").count() == 0

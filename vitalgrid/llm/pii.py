@@ -1,7 +1,7 @@
 """Format-preserving pseudonyms for personal data (DataFrame functions only).
 
-Card numbers (Luhn), phone numbers, social security numbers, IPv4 addresses and calendar dates are
-validated and then permuted by a keyed Feistel network inside their own format: the result is again
+Card numbers (Luhn), phone numbers, social security numbers (areas, groups and serials that are given
+out), IPv4 addresses (octets without leading zeros) and calendar dates are validated and then permuted by a keyed Feistel network inside their own format: the result is again
 a valid card, phone, number, address or date with the same separators, equal values stay equal in
 all documents, and different values stay different.  Whoever has the key can invert it.  E-mail
 addresses and long hexadecimal secrets have no such finite format worth keeping; they get a keyed
@@ -11,7 +11,9 @@ Cards are looked for in whole runs of digit groups, so that a number beside a ca
 expiry date, a counter) hides neither.  Where a run leaves several readings the inverse may read it
 differently; a card written in one group, or evenly with no such group beside it, always comes back.
 
-Digits that do not validate (a 16-digit number that fails Luhn, 31 February) are left alone.
+Digits that do not validate (a 16-digit number that fails Luhn, 31 February, security number 000-12-3456)
+are left alone.  Phone numbers with a country code have no rule in common but their length; ten-digit
+numbers written without one follow the North American plan before and after.
 
 Defined results: null text stays null with zero counts; the empty text stays empty; texts of any
 length are handled whole; repeated rows give repeated results; further columns pass through.
@@ -22,24 +24,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import let
+from vitalgrid.llm.common import fresh, let
 
 ROUNDS = 8
-OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 EMAIL = r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 SECRET = r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,128}+(?![0-9A-Za-z])"
 PHONE = r"\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+#: Ten digits of the North American plan: area and exchange begin with 2 to 9.
+DOMESTIC = r"(?<![\d(.-])(?:\([2-9]\d{2}\) ?|[2-9]\d{2}-)[2-9]\d{2}-\d{4}(?![\d-])"
 ADDRESS = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)"
 ISO_DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 DAY_FIRST = r"(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])"
-SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-#: Between the groups of a run: one blank or hyphen that no date, security number or address follows.
-GAP = rf"[ -](?!{ADDRESS}|{ISO_DATE}|{DAY_FIRST}|{SSN})"
+#: Areas 000, 666 and from 900 on, group 00 and serial 0000 are never given out.
+SSN = r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\d-])"
+#: Between the groups of a run: one blank or hyphen that no date, security number, phone or address follows.
+GAP = rf"[ -](?!{ADDRESS}|{ISO_DATE}|{DAY_FIRST}|{SSN}|{DOMESTIC})"
 #: A run of digit groups with 13 digits or more, in which cards are looked for.
 CARD = rf"(?<![\d.])(?=\d(?:(?:{GAP})?\d){{12}})\d++(?:{GAP}\d++)*+"
 #: Sizes of the groups of cards that are written evenly, with one kind of separator.
 EVEN = ("4,4,4,4", "4,6,5")
-ANY = "|".join((EMAIL, SECRET, PHONE, ADDRESS, ISO_DATE, DAY_FIRST, SSN, CARD))
+ANY = "|".join((EMAIL, SECRET, PHONE, DOMESTIC, ADDRESS, ISO_DATE, DAY_FIRST, SSN, CARD))
 #: Dates of two Gregorian cycles of 400 years are permuted among themselves: 2 * 146097 = 378 * 773 days.
 FIRST_DAY, DAYS = "1600-01-01", (378, 773)
 
@@ -202,6 +207,35 @@ def _phone(m: Column, key: str, inverse: bool) -> Column:
     return let(_digits(m), body)
 
 
+def _domestic(m: Column, key: str, inverse: bool) -> Column:
+    """A ten-digit number, permuted among those of its plan."""
+
+    def body(d: Column) -> Column:
+        area, exchange, line = (F.substring(d, i, n).cast("long") for i, n in ((1, 3), (4, 3), (7, 4)))
+        mixed = feistel((area - 200) * 800 + exchange - 200, line, F.lit(640_000), F.lit(10_000), key, "domestic", inverse)
+        parts = lambda s: F.format_string("%03d%03d%04d", F.floor(s["a"] / 800) + 200, s["a"] % 800 + 200, s["b"])
+        return let(let(mixed, parts), lambda x: into_format(m, x))
+
+    return let(_digits(m), body)
+
+
+def _ssn(m: Column, key: str, inverse: bool) -> Column:
+    """A security number, permuted among the 898 areas, 99 groups and 9999 serials that are given out."""
+
+    def body(d: Column) -> Column:
+        area, group, serial = (F.substring(d, i, n).cast("long") for i, n in ((1, 3), (4, 2), (6, 4)))
+        place = (area - 1 - (area > 666).cast("long")) * 99 + group - 1
+        mixed = feistel(place, serial - 1, F.lit(898 * 99), F.lit(9999), key, "ssn", inverse)
+
+        def parts(s: Column) -> Column:
+            at = F.floor(s["a"] / 99)
+            return F.format_string("%03d%02d%04d", at + 1 + (at >= 665).cast("long"), s["a"] % 99 + 1, s["b"] + 1)
+
+        return let(let(mixed, parts), lambda x: into_format(m, x))
+
+    return let(_digits(m), body)
+
+
 def _address(m: Column, key: str, inverse: bool) -> Column:
     def body(p: Column) -> Column:
         low = [F.get(p, i).cast("long") for i in range(4)]
@@ -237,29 +271,34 @@ def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
         .when(whole(ADDRESS), _address(m, key, inverse))
         .when(whole(ISO_DATE), _date(m, "yyyy-MM-dd", key, inverse))
         .when(whole(DAY_FIRST), _date(m, "dd/MM/yyyy", key, inverse))
-        .when(whole(SSN), let(permute_digits(_digits(m), key, "ssn", inverse), lambda x: into_format(m, x)))
+        .when(whole(DOMESTIC), _domestic(m, key, inverse))
+        .when(whole(SSN), _ssn(m, key, inverse))
         .otherwise(m)
     )
 
 
 def pseudonymize(docs: DataFrame, key: str, *, text: str = "text", inverse: bool = False) -> DataFrame:
-    """``docs`` with ``text`` rewritten and ``n_found`` (values matched) and ``n_replaced`` added."""
+    """``docs`` with ``text`` rewritten and ``n_found`` (values matched) and ``n_replaced`` added.
+
+    Columns of these two names are replaced, all others pass through.
+    """
     t = F.col(text)
     maybe = t.rlike("[0-9@]")
     found = F.when(maybe, F.regexp_extract_all(t, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    out = docs.withColumn("_found", found)
+    held, made = fresh(docs, "_found", "_new")
+    out = docs.withColumn(held, found)
     run = lambda m: m.rlike(r"^\d[\d -]*$") & (F.length(_digits(m)) >= 13)
     other = lambda m: let(pseudonym(m, key, inverse), lambda x: _result(m, x, F.lit(1)))
-    out = out.withColumn("_new", F.transform("_found", lambda m: F.when(run(m), _cards(m, key, inverse)).otherwise(other(m))))
+    out = out.withColumn(made, F.transform(held, lambda m: F.when(run(m), _cards(m, key, inverse)).otherwise(other(m))))
     joined = F.array_join(
-        F.zip_with(F.split(t, ANY, -1), "_new", lambda p, r: F.concat(p, F.coalesce(r["new"], F.lit("")))), ""
+        F.zip_with(F.split(t, ANY, -1), made, lambda p, r: F.concat(p, F.coalesce(r["new"], F.lit("")))), ""
     )
-    total = lambda name: F.aggregate("_new", F.lit(0), lambda a, x: a + x[name])
+    total = lambda name: F.aggregate(made, F.lit(0), lambda a, x: a + x[name])
     return out.withColumns({
-        text: F.when(F.size("_found") > 0, joined).otherwise(t),
+        text: F.when(F.size(held) > 0, joined).otherwise(t),
         "n_found": F.coalesce(total("found"), F.lit(0)).cast("long"),
         "n_replaced": F.coalesce(total("replaced"), F.lit(0)).cast("long"),
-    }).drop("_found", "_new")
+    }).drop(held, made)
 
 
 #: Key of the query and of the tests; a real run passes its own secret.
