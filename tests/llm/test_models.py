@@ -64,6 +64,64 @@ def test_quality_is_learned(spark):
     assert quality_scores(docs.filter("false"), labels).count() == 0
 
 
+def test_votes_equal_brute_force(spark):
+    from vitalgrid.llm.quality_classifier import Neighbours
+
+    rng = np.random.default_rng(2)
+    counts = rng.integers(0, 5, (60, 40)).astype(np.float32)
+    counts[30:40] = counts[:10]  # ties
+    labels = rng.integers(0, 2, 60)
+    model = Neighbours(counts, labels, 20)
+    got = model.vote(counts, 7, 8.0)
+    cosine = model.project(counts) @ model.vectors.T
+    for i in range(60):
+        near = sorted(range(60), key=lambda j: (-cosine[i, j], j))[:7]
+        weight = [max(float(cosine[i, j]), 1e-6) ** 8 for j in near]
+        assert abs(got[i] - sum(w * labels[j] for w, j in zip(weight, near)) / sum(weight)) < 1e-4
+
+
+def test_one_row_of_each_labelled_id_is_learned_from(spark):
+    from vitalgrid.llm.quality_classifier import labelled_sample
+
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (1, "a"), (2, None), (3, "c"), (None, "d")] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0, 1), (1, 1, 0), (2, None, 1), (2, 0, 0), (3, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: (r.text in "ab", r.quality, r.toxic) for r in labelled_sample(docs, labels, "doc_id", "text", ["quality", "toxic"], 10).collect()}
+    assert got == {1: (True, 1, 0), 2: (True, 0, 0)}
+    assert labelled_sample(docs, labels, "doc_id", "text", ["toxic"], 1).count() == 1
+    twice = docs.withColumn("score", F.lit("x"))
+    scored = quality_scores(twice, labels, label="toxic").collect()
+    assert len(scored) == 300 and len({(r.doc_id, r.score) for r in scored if r.doc_id == 3}) == 1
+
+
+def test_rates_equal_projected_gradient(spark):
+    rng = np.random.default_rng(3)
+    p, n = rng.dirichlet([0.5, 0.5, 0.5], 80), rng.integers(0, 90, 80).astype(float)
+    n[:5] = 0
+    df = spark.createDataFrame([(i, int(k), [float(x) for x in q]) for i, (k, q) in enumerate(zip(n, p))], "doc_id long, n_tokens long, p array<double>")
+    for target in ([0.6, 0.4, 0.0], [0.2, 0.3, 0.5]):
+        rows = sorted(fit_rates(df, target, max_steps=20, keep_every=3).collect(), key=lambda r: r.doc_id)
+        share, total, r = np.array(target) / sum(target), n.sum(), np.ones(80)
+        hold = (p * n[:, None]).T @ p / total
+        metric = np.linalg.pinv(hold + 1e-6 * np.trace(hold) * np.eye(3))
+        far = lambda r: (p * (r * n)[:, None]).sum(axis=0) / total - share
+        worst = lambda r: np.abs(far(r) / np.maximum(share, 1e-3)).max()
+        for _ in range(20):
+            if worst(r) <= 1e-3:
+                break
+            r = np.maximum(0, r - (p @ (metric @ far(r)) + 1e-4 * (r - 1)) / (1 + 1e-4))
+        assert np.allclose([x.rate for x in rows], r, atol=1e-9) and abs(rows[0].worst_gap - worst(r)) < 1e-9
+        assert len({x.worst_gap for x in rows}) == 1
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    import pytest
+
+    df = spark.createDataFrame([(i, 10, [0.5, 0.5]) for i in range(4)], "doc_id long, n_tokens long, p array<double>")
+    with pytest.warns(UserWarning, match="not met"):
+        rows = fit_rates(df, [0.9, 0.1], max_steps=8).collect()
+    assert all(r.worst_gap > 1 and r.rate >= 0 for r in rows)
+
+
 def test_rates_meet_targets(spark):
     rng = np.random.default_rng(1)
     p = rng.dirichlet([0.3, 0.3, 0.3, 0.1], 500)

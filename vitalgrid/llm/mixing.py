@@ -9,12 +9,14 @@ the cluster; rates are a fold over the gaps so far, and are written out every fe
 
 Domains are the four combinations of the labels quality and toxic.  Defined results: null and empty
 texts have no tokens, the prior's posterior and a rate like any other; an empty table gives an empty
-result; without labelled rows all posteriors are equal; repeated rows count each; further columns
-are not read.
+result; without labelled rows all posteriors are equal; repeated rows count each; of one id one text and
+one row of labels is learned from; further columns are not read.
 """
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -88,7 +90,7 @@ def domain_posteriors(
 ) -> DataFrame:
     """``doc_id, n_tokens, p`` (array in the order of ``DOMAINS``) for every row."""
     sample = labelled_sample(docs, labels, doc_id, text, ["quality", "toxic"], max_labelled).select(
-        F.col(text).alias("text"), (2 * F.col("quality") + F.col("toxic")).cast("long").alias("y")
+        F.col(text).alias("text"), (2 * F.col("quality") + F.col("toxic")).cast("long").alias("y"), F.col(doc_id).cast("string").cast("binary").alias("id")
     )
 
     def count(batches):
@@ -99,11 +101,11 @@ def domain_posteriors(
                 cells = [np.flatnonzero(r).astype(np.int32) for r in pairs]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c.tobytes() for c in cells], pa.binary()), pa.array([r[c].tobytes() for r, c in zip(pairs, cells, strict=True)], pa.binary()),
-                     pa.array([t.astype(np.int64).tobytes() for t in terms], pa.binary()), part.column(1)],
-                    names=["cell", "n", "term", "y"],
+                     pa.array([t.astype(np.int64).tobytes() for t in terms], pa.binary()), part.column(1), part.column(2)],
+                    names=["cell", "n", "term", "y", "id"],
                 )
 
-    got = sample.mapInArrow(count, "cell binary, n binary, term binary, y long").toArrow()
+    got = sample.mapInArrow(count, "cell binary, n binary, term binary, y long, id binary").toArrow().sort_by([("id", "ascending")])
     model = None
     if got.num_rows:
         pairs = np.zeros((got.num_rows, pair_counts([""]).shape[1]), np.float32)
@@ -136,10 +138,16 @@ def fit_rates(
     budget: float = 1.0,
     ridge: float = 1e-4,
     tolerance: float = 1e-3,
+    floor: float = 1e-3,
     max_steps: int = 60,
     keep_every: int = 6,
 ) -> DataFrame:
-    """``members`` with ``rate``; ``targets`` are domain shares of ``budget`` times the corpus's tokens."""
+    """``members`` with ``rate`` and ``worst_gap``; ``targets`` are domain shares of ``budget`` times the corpus's tokens.
+
+    ``worst_gap`` is the same in all rows: how far the worst domain's total is from its target, in shares of that
+    target (of ``floor`` of the budget for smaller targets and those of 0).  Targets that no rates reach give the
+    nearest rates of ``max_steps`` steps, a warning and a ``worst_gap`` above ``tolerance``.
+    """
     k = len(targets)
     share = np.array(targets, float) / sum(targets)
     p = [F.get(posterior, i) for i in range(k)]
@@ -150,7 +158,7 @@ def fit_rates(
     total = moments[0] or 0.0
     current = materialize(members.withColumn("rate", F.lit(1.0)))
     if not total:
-        return current
+        return current.withColumn("worst_gap", F.lit(0.0))
     hold = np.array(moments[1 : 1 + k * k], float).reshape(k, k) / total
     # least squares in the metric of the domains' own moments: every direction then needs the same step
     metric = np.linalg.pinv(hold + 1e-6 * np.trace(hold) * np.eye(k))
@@ -168,24 +176,32 @@ def fit_rates(
 
         return F.aggregate(history, F.col("rate"), fold)
 
-    for _ in range(max_steps):
-        folded = current.withColumn("_r", rate())
-        held = np.array(folded.agg(*[F.sum(F.col("_r") * n * x) for x in p]).first(), float) / total
+    def worst() -> tuple[np.ndarray, float]:
+        """The gaps of the domains' totals, and the largest in shares of its target (of ``floor`` where that is less)."""
+        held = np.array(current.withColumn("_r", rate()).agg(*[F.sum(F.col("_r") * n * x) for x in p]).first(), float) / total
         gap = held - budget * share
-        if np.abs(gap / (budget * share)).max() <= tolerance:
+        return gap, float(np.abs(gap / (budget * np.maximum(share, floor))).max())
+
+    for _ in range(max_steps):
+        gap, far = worst()
+        if far <= tolerance:
             break
         gaps.append((metric @ gap).tolist())
         if len(gaps) == keep_every:
             current = materialize(current.withColumn("rate", rate()))
             gaps.clear()
-    return current.withColumn("rate", rate())
+    else:
+        _, far = worst()
+    if far > tolerance:
+        warnings.warn(f"targets not met after {max_steps} steps: the worst domain is off by {far:.2%}", stacklevel=2)
+    return current.withColumns({"rate": rate(), "worst_gap": F.lit(far)})
 
 
 def mix_to_targets(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_tokens``, a posterior column per domain and ``rate`` for every row."""
+    """``doc_id, n_tokens``, a posterior column per domain, ``rate`` and ``worst_gap`` for every row."""
     members = materialize(domain_posteriors(docs, labels, doc_id=doc_id, text=text))
     fitted = fit_rates(members, [targets[d] for d in DOMAINS])
-    return fitted.select(doc_id, "n_tokens", *[F.get("p", i).alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate")
+    return fitted.select(doc_id, "n_tokens", *[F.get("p", i).alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", "worst_gap")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

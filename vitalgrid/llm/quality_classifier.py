@@ -8,8 +8,10 @@ table is projected and compared with all labelled vectors in blocks of exact cos
 
 Terms are pairs of byte classes and shape terms of the text alone; id, language and source are not
 read.  Defined results: null text is empty and is scored like any other; without labelled rows every
-score is 0.5; labels that are null are not used, and of several labels of one id the largest counts;
-repeated rows get repeated results.
+score is 0.5; labels that are null are not used, of several label rows of one id the largest counts, and
+of several texts of one id one is learned from; of neighbours equally near the one of the smaller place in
+the sample votes, and a tie of the votes (0.5) predicts 1; repeated rows get repeated results; further
+columns are not read.
 """
 
 from __future__ import annotations
@@ -27,12 +29,20 @@ def id_crc(doc_id: str) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, columns: list[str], limit: int) -> DataFrame:
-    """``doc_id, text`` and label columns of at most ``limit`` labelled documents, chosen by a hash of the id."""
+    """``doc_id, text`` and label columns of at most ``limit`` labelled ids, chosen by a hash of the id.
+
+    One row each: of several texts of an id that of the smallest hash, of several label rows the largest.
+    """
+    pick = F.max(F.struct(*columns)).alias("_pick")
     chosen = (
-        labels.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(*[F.max(c).alias(c) for c in columns])
-        .dropna(subset=columns).orderBy(F.xxhash64(doc_id), doc_id).limit(limit)
+        labels.filter(F.col(doc_id).isNotNull()).dropna(subset=columns).groupBy(F.col(doc_id).alias("_id")).agg(pick)
+        .orderBy(F.xxhash64("_id"), "_id").limit(limit)
+    )
+    held = docs.select(F.col(doc_id).alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    first = held.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).groupBy("_id").agg(
+        F.min(F.struct(F.xxhash64("_text"), "_text")).alias("_first"), F.first("_pick").alias("_pick")
     )
-    return docs.select(doc_id, text).join(F.broadcast(chosen), doc_id)
+    return first.select(F.col("_id").alias(doc_id), F.col("_first._text").alias(text), *[F.col(f"_pick.{c}").alias(c) for c in columns])
 
 
 class Neighbours:
@@ -60,10 +70,19 @@ class Neighbours:
         z = self._weighted(counts) @ self.axes
         return z / (np.linalg.norm(z, axis=1, keepdims=True) + 1e-9)
 
+    @staticmethod
+    def nearest(cosine: np.ndarray, k: int) -> np.ndarray:
+        """Columns of the ``k`` largest cosines of each row; of equal ones those that come first."""
+        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+        least = np.take_along_axis(cosine, near, axis=1).min(axis=1, keepdims=True)
+        for i in np.flatnonzero((cosine >= least).sum(axis=1) > k):
+            near[i] = np.argsort(-cosine[i], kind="stable")[:k]
+        return near
+
     def vote(self, counts: np.ndarray, neighbours: int, sharpness: float) -> np.ndarray:
         cosine = self.project(counts) @ self.vectors.T
         k = min(neighbours, cosine.shape[1])
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+        near = self.nearest(cosine, k)
         weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-6) ** sharpness
         return (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
 
@@ -86,7 +105,7 @@ def quality_scores(
     Only labels of ids whose crc32 mod 3 is not 1 are learned from.
     """
     train = labels.filter(id_crc(doc_id) % 3 != 1)
-    sample = labelled_sample(docs, train, doc_id, text, [label], max_labelled).select(F.col(text).alias("text"), F.col(label).cast("double").alias("y"))
+    sample = labelled_sample(docs, train, doc_id, text, [label], max_labelled).select(F.col(text).alias("text"), F.col(label).cast("double").alias("y"), F.col(doc_id).cast("string").cast("binary").alias("id"))
 
     def count(batches):
         for batch in batches:
@@ -94,11 +113,11 @@ def quality_scores(
                 part = batch.slice(at, block)
                 x = pair_counts(as_texts(part.column(0)).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([np.flatnonzero(r).astype(np.int32).tobytes() for r in x], pa.binary()), pa.array([r[r > 0].tobytes() for r in x], pa.binary()), part.column(1)],
-                    names=["term", "n", "y"],
+                    [part.column(2), pa.array([np.flatnonzero(r).astype(np.int32).tobytes() for r in x], pa.binary()), pa.array([r[r > 0].tobytes() for r in x], pa.binary()), part.column(1)],
+                    names=["id", "term", "n", "y"],
                 )
 
-    rows = sample.mapInArrow(count, "term binary, n binary, y double").toArrow()
+    rows = sample.mapInArrow(count, "id binary, term binary, n binary, y double").toArrow().sort_by([("id", "ascending")])
     width = pair_counts([""]).shape[1]
     model = None
     if rows.num_rows:
