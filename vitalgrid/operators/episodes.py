@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.dt import ceil_hour, dt_diff, hours, micros
+from vitalgrid.functions.dt import MICROS, ceil_hour, dt_diff, hours, micros
 
 
 def hourly_spine(df: DataFrame, start: str, end: str, keys: Sequence[str], *, lead_hours: int = 24, grid: str = "endtime") -> DataFrame:
@@ -102,20 +102,23 @@ def attach_values(segments: DataFrame, named: dict[str, DataFrame], key: str, va
     return wide
 
 
-def ownership_windows(stays: DataFrame, subject: str, stay: str, intime: str, outtime: str, *, pad_hours: int = 12) -> DataFrame:
-    """Window of each stay in which its subject's events are the stay's: up to half the gap to its neighbours, else the pad."""
+def ownership_windows(stays: DataFrame, subject: str, stay: str, intime: str, outtime: str, *, pad_hours: int = 12, units: tuple[str, str] = ("SECOND", "SECOND")) -> DataFrame:
+    """Window of each stay in which its subject's events are the stay's: up to half the gap to its neighbours, else the pad.
+
+    Half a gap is counted and rounded in ``units``, before and after the stay.
+    """
     w = Window.partitionBy(subject).orderBy(intime, stay)
     prev_out, next_in = F.lag(outtime).over(w), F.lead(intime).over(w)
 
-    def half(a: Column, b: Column) -> Column:
-        return F.make_dt_interval(secs=F.round(dt_diff(b, a, "SECOND") / 2))
+    def half(a: Column, b: Column, unit: str) -> Column:
+        return F.make_dt_interval(secs=F.round(dt_diff(b, a, unit) / 2) * (MICROS[unit] // MICROS["SECOND"]))
 
     near_before = prev_out.isNotNull() & (prev_out > F.col(intime) - hours(2 * pad_hours))
     near_after = next_in.isNotNull() & (next_in < F.col(outtime) + hours(2 * pad_hours))
     return stays.select(
         subject, stay, intime, outtime,
-        F.when(near_before, F.col(intime) - half(prev_out, F.col(intime))).otherwise(F.col(intime) - hours(pad_hours)).alias("data_start"),
-        F.when(near_after, F.col(outtime) + half(F.col(outtime), next_in)).otherwise(F.col(outtime) + hours(pad_hours)).alias("data_end"),
+        F.when(near_before, F.col(intime) - half(prev_out, F.col(intime), units[0])).otherwise(F.col(intime) - hours(pad_hours)).alias("data_start"),
+        F.when(near_after, F.col(outtime) + half(F.col(outtime), next_in, units[1])).otherwise(F.col(outtime) + hours(pad_hours)).alias("data_end"),
     )
 
 

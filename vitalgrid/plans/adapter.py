@@ -61,6 +61,33 @@ ICD_CODES = [
     ("78552", 9), ("99592", 9), ("0389", 9), ("5849", 9), ("51881", 9), ("2874", 9),
 ]
 
+# The older generation: two bedside systems with codes of their own.
+OLDER_CHART_CODES = [
+    (211, 30, 4), (220045, 40, 3), (51, 60, 4), (442, 50, 5), (455, 60, 3), (220179, 60, 5), (8368, 20, 4), (8441, 30, 3), (220051, 30, 3), (456, 40, 3), (52, 30, 4), (220052, 40, 3),
+    (220181, 30, 3), (615, 4, 1), (618, 6, 1), (220210, 4, 1), (678, 92, 0.75), (676, 33, 0.5), (223761, 88, 0.75), (223762, 30, 0.5), (646, 70, 1), (220277, 72, 1), (807, 40, 12), (811, 50, 9),
+    (220621, 50, 12), (1529, 45, 10), (226, -4, 2), (1374, -2, 3), (220765, -10, 4), (227989, 0, 3), (454, 1, 0.25), (184, 1, 0.25), (723, 1, 0.25), (223901, 1, 0.25), (220739, 1, 0.25),
+    (223900, 2, 0.25), (190, 0, 0.25), (3420, 15, 3), (3422, 18, 3), (223835, 18, 2.25), (223835, 0.25, 0.25), (762, 40, 3.5), (763, 45, 2.5), (226512, 50, 2), (224639, 45, 2.5), (3580, 1, 0.25),
+    (3581, 2, 0.5), (3582, 1, 1), (3723, 1, 0.5), (920, 50, 0.75), (1394, 55, 0.5), (3485, 140, 3), (4188, 130, 4), (226707, 55, 0.75), (226730, 115, 4), (445, 3, 0.5), (639, 200, 10), (682, 300, 10),
+    (535, 10, 1), (543, 8, 1), (505, 0, 0.5), (220339, 0, 0.5), (224687, 4, 0.5), (224685, 300, 10), (223834, 1, 0.5), (227287, 1, 1), (470, 1, 1), (2510, 50, 60), (3087, 80, 60),
+]
+OLDER_TEXT_CODES = [
+    (720, ("Drager", "Other/Remarks", "Drager", "7200A")), (223848, ("Drager", "Hamilton", "Avea", "Other")), (223849, ("CMV", "PSV/SBT", "SIMV", "Standby")),
+    (467, ("Ventilator", "Nasal Cannula", "Face Tent", "Trach Mask")), (467, ("Cannula", "Ventilator", "None", "T-Piece")), (640, ("Extubated", "Self Extubation", "Intubated", "Extubated")),
+    (226732, ("Nasal cannula", "None", "Venti mask ", "High flow nasal cannula")), (723, ("1.0 ET/Trach", "5 Oriented", "1.0 ET/Trach", "2.0 Incomp sounds")),
+    (223900, ("No Response-ETT", "Oriented", "Confused", "No Response-ETT")), (128, ("Full Code", "Do Not Resuscita", "Comfort Measures", "CPR Not Indicate")),
+    (223758, ("Full code", "DNR (do not resuscitate)", "DNI (do not intubate)", "DNR / DNI")), (128, ("Do Not Intubate", "Other/Remarks", "Full Code", "Full Code")), (4183, ("3.25", "2100", "about 3", "0.75")),
+]
+OLDER_LAB_CODES = [*LAB_CODES, (50812, 0, 0.25), (50826, 300, 10), (50827, 8, 1), (50828, 0, 1)]
+OLDER_LAB_TEXTS = [(50800, ("ART", "VEN", "ART", "MIX")), (50807, ("INTUBATED", "NOT INTUBATED", "", "VENTED"))]
+OLDER_OUTPUT_CODES = [40055, 43175, 40069, 40094, 40715, 40473, 226559, 226560, 226561, 227488, 227489, 40056, 226573, 40428]
+OLDER_FLUID_CODES = [30179, 30001, 30004, 30005, 30180, 44172, 46410, 42324, 42588, 30008, 30009, 42832, 30018, 30021, 41491, 30012]
+OLDER_FLUID_ORDERS = [(225168, "ml", "mL/hour"), (220970, "ml", "mL/hour"), (227072, "ml", "mL/hour"), (227070, "ml", "mL/hour"), (220862, "ml", "mL/hour"), (220864, "L", "mL/min"), (225158, "ml", "mL/hour"), (225828, "L", "mL/min"), (225159, "ml", "mL/kg/hour")]
+ICD9_CODES = [
+    "39891", "40201", "4254", "4280", "42610", "4273", "7850", "0932", "394", "4240", "4150", "416", "0930", "440", "4439", "4019", "4039", "40301", "3341", "342", "33392", "3320", "345", "4168", "491", "25000", "2504", "2409",
+    "243", "585", "V420", "40493", "07022", "0706", "571", "5317", "5349", "042", "2030", "200", "196", "1970", "140", "1950", "72889", "714", "2871", "286", "2780", "7832", "260", "2536", "276", "2800", "2801", "281", "2652", "980",
+    "V6542", "3052", "292", "29604", "295", "2962", "311", "0389", "99591",
+]
+
 
 def _numbers(codes) -> str:
     rows = ", ".join(f"({i}, {c}, CAST({lo} AS DOUBLE), CAST({step} AS DOUBLE), CAST(NULL AS VARCHAR(60)), CAST(NULL AS VARCHAR(60)), CAST(NULL AS VARCHAR(60)), CAST(NULL AS VARCHAR(60)))" for i, (c, lo, step) in codes)
@@ -78,7 +105,7 @@ def _code_rows(numbers, texts) -> str:
     return f"(VALUES {_numbers(n)}, {_texts(t)}) AS c(idx, itemid, lo, step, t0, t1, t2, t3)"
 
 
-def _readings(numbers, texts, slots: int, mult: int) -> str:
+def _readings(numbers, texts, slots: int, mult: int, stride: int = 13) -> str:
     """One row per event and slot: its code, text and value."""
     n = len(numbers) + len(texts)
     return f"""
@@ -91,7 +118,7 @@ SELECT e.event_id, e.user_id, e.ts, s.slot, c.itemid,
             ELSE c.lo + c.step * CAST((e.event_id * 7 + s.slot * 3) % 37 AS DOUBLE) END AS valuenum
 FROM {{events}} e
 CROSS JOIN (VALUES {', '.join(f'({i})' for i in range(slots))}) AS s(slot)
-JOIN {_code_rows(numbers, texts)} ON c.idx = (e.event_id * {mult} + s.slot * 13) % {n}"""
+JOIN {_code_rows(numbers, texts)} ON c.idx = (e.event_id * {mult} + s.slot * {stride}) % {n}"""
 
 
 def _list(values, cols: str) -> str:
@@ -182,6 +209,59 @@ FROM {events}""",
     "poe_detail": """
 SELECT 'p' || CAST(event_id AS VARCHAR(20)) AS poe_id, user_id AS subject_id, CASE WHEN event_id % 8 = 0 THEN 'Code status' ELSE 'Other' END AS field_name,
        CASE event_id % 32 WHEN 0 THEN 'Resuscitate (Full code)' WHEN 8 THEN 'DNAR (DO NOT attempt resuscitation for cardiac arrest) ' WHEN 16 THEN 'Full code  (attempt resuscitation)' ELSE 'Do not resuscitate (DNR/DNI)' END AS field_value
+FROM {events}""",
+    "older_icustays": f"""
+SELECT user_id AS subject_id, user_id * 10 AS hadm_id, user_id * 100 + half AS icustay_id, min(ts) AS intime, max(ts) AS outtime
+FROM (SELECT user_id, ts, {HALF.format(t='ts')} AS half FROM {{events}}) x GROUP BY user_id, half""",
+    "older_patients": """
+SELECT user_id AS subject_id, CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS gender, CASE WHEN user_id % 6 = 0 THEN CAST('2024-06-01' AS DATE) END AS dod,
+       CAST(make_date(CAST(2024 - CASE WHEN user_id % 17 = 0 THEN 0 ELSE 18 + user_id % 70 END AS INT), 1, CAST(1 + user_id % 20 AS INT)) AS TIMESTAMP) AS dob
+FROM {events} GROUP BY user_id""",
+    "older_admissions": """
+SELECT user_id AS subject_id, user_id * 10 AS hadm_id, min(ts) - INTERVAL '6' HOUR AS admittime, max(ts) + INTERVAL '6' HOUR AS dischtime,
+       CASE user_id % 9 WHEN 0 THEN 'WHITE' WHEN 1 THEN 'BLACK/AFRICAN AMERICAN' WHEN 2 THEN 'HISPANIC OR LATINO' WHEN 3 THEN 'ASIAN - CHINESE' WHEN 4 THEN 'AMERICAN INDIAN/ALASKA NATIVE'
+         WHEN 5 THEN 'UNKNOWN/NOT SPECIFIED' WHEN 6 THEN 'PORTUGUESE' WHEN 7 THEN 'WHITE - RUSSIAN' ELSE 'CARIBBEAN ISLAND' END AS ethnicity,
+       CAST(CASE WHEN user_id % 9 = 0 THEN 1 ELSE 0 END AS INT) AS hospital_expire_flag, CAST(CASE WHEN user_id % 13 = 0 THEN 0 ELSE 1 END AS INT) AS has_chartevents_data
+FROM {events} GROUP BY user_id""",
+    "older_chartevents": f"""
+SELECT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, CASE WHEN e.event_id % 71 = 0 THEN NULL ELSE {_stay} END AS icustay_id, e.ts AS charttime, e.itemid, e.value, e.valuenum,
+       CAST(CASE WHEN (e.event_id + e.slot) % 47 = 0 THEN 1 WHEN e.event_id % 2 = 0 THEN 0 END AS INT) AS error
+FROM ({_readings(OLDER_CHART_CODES, OLDER_TEXT_CODES, 8, 5, 1)}) e""",
+    "older_labevents": f"""
+SELECT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, e.itemid, e.ts AS charttime, e.value, e.valuenum
+FROM ({_readings(OLDER_LAB_CODES, OLDER_LAB_TEXTS, 10, 7, 1)}) e""",
+    "older_outputevents": f"""
+SELECT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, CASE WHEN e.event_id % 71 = 0 THEN NULL ELSE {_stay} END AS icustay_id, e.ts AS charttime, c.itemid,
+       CASE WHEN e.event_id % 97 = 0 THEN CAST(6000 AS DOUBLE) ELSE CAST(e.event_id % 83 AS DOUBLE) * CAST(5 AS DOUBLE) END AS value, CASE WHEN e.event_id % 43 = 0 THEN '1' END AS iserror
+FROM {{events}} e CROSS JOIN (VALUES (0), (1)) AS s(slot) JOIN {_list(OLDER_OUTPUT_CODES, 'itemid')} ON c.idx = (e.event_id + s.slot * 5) % {len(OLDER_OUTPUT_CODES)}""",
+    "procedureevents_mv": f"""
+SELECT {_stay} AS icustay_id, e.ts + INTERVAL '20' MINUTE AS starttime, c.itemid
+FROM {{events}} e JOIN {_list([227194, 225468, 225477, 225792], 'itemid')} ON c.idx = e.event_id % 4""",
+    "older_diagnoses": f"""
+SELECT subject_id, hadm_id, icd9_code, CAST(row_number() OVER (PARTITION BY hadm_id ORDER BY icd9_code) AS INT) AS seq_num FROM (
+SELECT DISTINCT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, c.icd9_code FROM {{events}} e JOIN {_list(ICD9_CODES, 'icd9_code')} ON c.idx = (e.event_id * 11) % {len(ICD9_CODES)} AND e.event_id % 5 < 2) d""",
+    "older_prescriptions": f"""
+SELECT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, CAST(CAST(e.ts AS DATE) AS TIMESTAMP) AS startdate, CAST(CAST(e.ts AS DATE) AS TIMESTAMP) + (e.event_id % 5) * INTERVAL '1' DAY AS enddate,
+       CASE WHEN e.event_id % 37 = 0 THEN 'BASE' ELSE 'MAIN' END AS drug_type, c.drug, c.route
+FROM {{events}} e JOIN {_list(DRUGS, 'drug, route')} ON c.idx = e.event_id % {len(DRUGS)}""",
+    "older_fluids_cv": f"""
+SELECT {_stay} AS icustay_id, e.ts AS charttime, c.itemid, CASE WHEN e.event_id % 11 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(e.event_id % 41 AS DOUBLE) * CAST(25 AS DOUBLE) END AS amount, 'ml' AS amountuom,
+       CASE WHEN e.event_id % 22 = 0 THEN 'Stopped' END AS stopped
+FROM {{events}} e CROSS JOIN (VALUES (0), (1), (2)) AS s(slot) JOIN {_list(OLDER_FLUID_CODES, 'itemid')} ON c.idx = (e.event_id + s.slot * 5) % {len(OLDER_FLUID_CODES)}""",
+    "older_fluids_mv": f"""
+SELECT {_stay} AS icustay_id, e.ts AS starttime, e.ts + (e.event_id % 3 + 1) * INTERVAL '1' HOUR AS endtime, c.itemid, c.amountuom, c.rateuom, CAST(64 AS DOUBLE) AS patientweight,
+       CASE WHEN c.amountuom = 'L' THEN CAST(e.event_id % 9 AS DOUBLE) * CAST(0.25 AS DOUBLE) ELSE CAST(e.event_id % 41 AS DOUBLE) * CAST(25 AS DOUBLE) END AS amount,
+       CASE WHEN e.event_id % 7 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(e.event_id % 53 AS DOUBLE) * CAST(8 AS DOUBLE) END AS rate,
+       CASE WHEN e.event_id % 6 = 0 THEN 'Rewritten' ELSE 'FinishedRunning' END AS statusdescription
+FROM {{events}} e JOIN {_list(OLDER_FLUID_ORDERS, 'itemid, amountuom, rateuom')} ON c.idx = e.event_id % {len(OLDER_FLUID_ORDERS)}""",
+    "noteevents": """
+SELECT event_id AS row_id, user_id AS subject_id, CASE WHEN event_id % 10 = 0 THEN NULL ELSE user_id * 10 END AS hadm_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS chartdate,
+       CASE WHEN event_id % 2 = 0 THEN 'Echo' ELSE 'Nutrition' END AS category,
+       'Indication: chest pain ' || CAST(event_id % 7 AS VARCHAR(9)) || chr(10) || 'Height: (in) ' || CASE WHEN event_id % 8 = 0 THEN '[** Numeric Identifier **]' ELSE CAST(50 + event_id % 30 AS VARCHAR(9)) END || chr(10) ||
+       'Weight (lb): ' || CAST(90 + event_id % 150 AS VARCHAR(9)) || chr(10) || 'BSA (m2): ' || CASE WHEN event_id % 3 = 0 THEN '2' ELSE '1.87' END || ' m2' || chr(10) || 'BP (mm Hg): ' || CAST(90 + event_id % 60 AS VARCHAR(9)) ||
+       '/' || CAST(50 + event_id % 40 AS VARCHAR(9)) || chr(10) || 'HR (bpm): ' || CAST(50 + event_id % 60 AS VARCHAR(9)) || chr(10) || 'Status: Inpatient' || chr(10) || 'Date/Time: [**2024-1-5**] at ' ||
+       lpad(CAST(event_id % 24 AS VARCHAR(9)), 2, '0') || ':30' || chr(10) || 'Test: TTE (Complete)' || chr(10) || 'Doppler: Full Doppler' || chr(10) || 'Contrast: None' || chr(10) ||
+       CASE WHEN event_id % 6 = 0 THEN '' ELSE 'Technical Quality: Adequate' || chr(10) END AS text
 FROM {events}""",
 }
 

@@ -1,4 +1,4 @@
 """Imports every module of derived tables, so that the registry is complete."""
 
-from vitalgrid.plans import aps, comorbidity, cookbook, demographics, firstday, measurement, medication, older, saps, scores, treatment  # noqa: F401
+from vitalgrid.plans import aps, comorbidity, cookbook, demographics, firstday, measurement, medication, older, older_measurement, saps, scores, treatment  # noqa: F401
 from vitalgrid.plans.registry import CONCEPTS  # noqa: F401
