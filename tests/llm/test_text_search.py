@@ -4,7 +4,8 @@ import random
 import re
 
 from vitalgrid.llm.decontamination import contaminated
-from vitalgrid.llm.license_scan import NOTICES, PHRASES, scan_licenses
+from vitalgrid.llm.license_scan import PHRASES, scan_licenses
+from vitalgrid.llm.license_texts import BSD_CONDITIONS, BSD_WARRANTY, GNU_NOTICE, MIT_GRANT, MIT_NOTICE, MIT_WARRANTY
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -22,11 +23,13 @@ def places(ws):
 
 
 def test_licenses_equal_brute_force(spark):
-    mit = dict((a, b) for a, b in NOTICES)["mit"]
+    mit = " ".join(words(MIT_GRANT)[:21])
     edited = mit.replace("free of charge", "without any charge").replace("copy of this", "copy of that")
     texts = [
         None, "", "MIT License", "mit-license. MIT\nLICENSE and Apache License; GNU General Public License v3 general public license", "general public", "mit", "x " * 50 + mit, edited + " y" * 40,
         "Permission is granted.", "apache license apache license", "la mit licenses", "the mit license mit license", "a" * 100_000 + " mit license",
+        MIT_GRANT + MIT_NOTICE + MIT_WARRANTY, "intro " * 30 + BSD_CONDITIONS.replace("disclaimer", "notice") + BSD_WARRANTY,
+        GNU_NOTICE.format(program="program", name="General Public License", version="3"), "\u212a mit l\u0130cense mit licen\u017fe", "of the use of this software and of the " * 40,
     ]
     rows = [(i, t, "x") for i, t in enumerate(texts)] + [(3, texts[3], "again"), (None, "mit license", "x")]
     got = scan_licenses(spark.createDataFrame(rows, "doc_id long, text string, labels string")).collect()
@@ -41,6 +44,9 @@ def test_licenses_equal_brute_force(spark):
     by = {r.doc_id: r for r in got}
     assert by[6].labels == "mit" and by[6].n_base == 0 and by[6].score == 1.0
     assert by[7].labels == "mit" and 0.6 <= by[7].score < 1
+    assert (by[13].labels, by[13].score) == ("mit", 1.0)
+    assert by[14].labels == "bsd" and by[14].score == 1.0  # its warranty stands as it is
+    assert by[15].labels == by[15].base_labels == "gpl" and by[16].n_words == 5 and by[17].labels == ""
     assert by[8].labels == "" and by[8].score == 0.0
 
 

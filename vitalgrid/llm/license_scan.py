@@ -1,11 +1,12 @@
 """License scans by diagonal voting.
 
-Every two-word gram of every document is hashed and joined with the gram positions of the licence
-templates (a fixed list, broadcast; its size is that of the parameter).  Hits vote for
-``document position - template position``: an undisturbed copy puts all its votes on one diagonal,
-an edited one on neighbouring diagonals, which are merged.  Spans are verified on the words
-themselves: grams are compared as text, a base phrase needs its whole diagonal, and a notice needs
-``min_share`` of its grams inside a span not much longer than itself.
+Every word gram of every document is hashed and joined with the gram positions of the licence
+templates (a fixed list, broadcast; its size is that of the parameter): grams of ``K`` words for texts
+and notices, of two words for the base phrases, which are no longer.  Hits vote for ``document position
+- template position``: an undisturbed copy puts all its votes on one diagonal, an edited one on
+neighbouring diagonals, which are merged.  Spans are verified on the words themselves: grams are
+compared as text, a base phrase needs its whole diagonal, and a notice needs ``min_share`` of its words
+inside such grams, in a span not much longer than itself.
 
 Defined results: null text is empty (0 words, no labels, score 0); repeated rows (same id and text)
 get the same result each; a null id is kept; further columns are not read.
@@ -13,12 +14,15 @@ get the same result each; a null id is kept; further columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import alnum_words, exploded_shingles, shingle_text
+from vitalgrid.llm.common import alnum_words, exploded_shingles, lower_ascii, shingle_hash, shingle_text
+from vitalgrid.llm.license_texts import NOTICES
 
-K = 2
+K = 4
 
 #: Fixed phrases and their labels.
 PHRASES = (
@@ -26,16 +30,20 @@ PHRASES = (
     ("apache", "apache license"),
     ("gpl", "general public license"),
 )
-#: Opening words of public licence notices.
-NOTICES = (
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license"),
-    ("cc", "this work is licensed under a creative commons attribution"),
-)
+
+
+def _grams(spark: SparkSession, listed: list[tuple], k: int) -> DataFrame:
+    templates = spark.createDataFrame(listed, "tid int, label string, body string, base boolean").withColumn("w", F.split("body", " "))
+    return exploded_shingles(templates, "w", k).select(
+        "tid", "label", "base", F.size("w").alias("t_words"), F.lit(k).alias("k"), F.col("pos").alias("tpos"),
+        shingle_text(F.col("w"), F.col("pos"), k).alias("gram"), shingle_hash(F.col("w"), F.col("pos"), k).alias("h"),
+    )
+
+
+def _hits(placed: DataFrame, grams: DataFrame, k: int) -> DataFrame:
+    hashed = placed.withColumn("h", shingle_hash(F.col("w"), F.col("pos"), k))
+    met = hashed.join(F.broadcast(grams), "h").filter(shingle_text(F.col("w"), F.col("pos"), k) == F.col("gram"))
+    return met.select("doc", "body", "tid", "label", "base", "t_words", "k", "tpos", (F.col("pos") - F.col("tpos")).alias("diagonal"))
 
 
 def scan_licenses(
@@ -50,46 +58,35 @@ def scan_licenses(
 ) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` for every row."""
     spark = docs.sparkSession
-    listed = [(i, label, t, i < len(phrases)) for i, (label, t) in enumerate([*phrases, *notices])]
-    templates = spark.createDataFrame(listed, "tid int, label string, body string, base boolean").withColumn(
-        "w", F.split("body", " ")
-    )
-    grams = exploded_shingles(templates, "w", K).select(
-        "tid", "label", "base", F.size("w").alias("t_words"), F.col("pos").alias("tpos"),
-        shingle_text(F.col("w"), F.col("pos"), K).alias("gram"),
-        F.xxhash64(*[F.get("w", F.col("pos") + j) for j in range(K)]).alias("h"),
-    )
-    keyed = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("body"), alnum_words(F.col(text)).alias("w"))
-    placed = exploded_shingles(keyed, "w", K).select(
-        "doc", "body", "pos", "w", F.xxhash64(*[F.get("w", F.col("pos") + j) for j in range(K)]).alias("h")
-    )
-    hits = placed.join(F.broadcast(grams), "h").filter(shingle_text(F.col("w"), F.col("pos"), K) == F.col("gram"))
-    diagonals = (
-        hits.groupBy("doc", "body", "tid", "label", "base", "t_words", (F.col("pos") - F.col("tpos")).alias("diagonal"))
-        .agg(F.collect_set("tpos").alias("votes"))
-    )
-    base = (
-        diagonals.filter(F.col("base") & (F.size("votes") == F.col("t_words") - K + 1))
-        .select("doc", "body", "label", F.col("diagonal").alias("start"), F.lit(True).alias("base"), F.lit(1.0).alias("share"))
-    )
+    plain = lambda t: " ".join(re.findall("[0-9a-z]+", t.lower()))
+    listed = [(i, label, plain(t), i < len(phrases)) for i, (label, t) in enumerate([*phrases, *notices])]
+
+    def words() -> Column:
+        return alnum_words(F.col(text), lower_ascii)
+
+    keyed = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("body"), words().alias("w"))
+    starts = sorted({w for _, t in phrases for w in t.split()[:-1]})
+    first = F.filter(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.get("w", i).isin(starts))
+    short = keyed.filter(F.size("w") >= 2).withColumn("pos", F.explode(first))
+    hits = _hits(short, _grams(spark, listed[: len(phrases)], 2), 2)
+    hits = hits.unionByName(_hits(exploded_shingles(keyed, "w", K), _grams(spark, listed[len(phrases) :], K), K))
+    diagonals = hits.groupBy("doc", "body", "tid", "label", "base", "t_words", "k", "diagonal").agg(F.collect_set("tpos").alias("votes"))
     order = Window.partitionBy("doc", "body", "tid").orderBy("diagonal")
-    far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > diagonal_gap, F.lit(True))
+    gap = F.when(F.col("base"), 0).otherwise(diagonal_gap)  # a base phrase stands undisturbed
+    far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > gap, F.lit(True))
     merged = (
-        diagonals.filter(~F.col("base"))
-        .withColumn("island", F.sum(F.when(far, 1).otherwise(0)).over(order))
-        .withColumn("vote", F.explode("votes"))
-        .groupBy("doc", "body", "tid", "label", "t_words", "island")
+        diagonals.withColumn("island", F.sum(F.when(far, 1).otherwise(0)).over(order))
+        .withColumn("vote", F.explode(F.flatten(F.transform("votes", lambda v: F.sequence(v, v + F.col("k") - 1)))))
+        .groupBy("doc", "body", "tid", "label", "base", "t_words", "k", "island")
         .agg(
             F.count_distinct("vote").alias("n"),
             F.min(F.col("diagonal") + F.col("vote")).alias("start"),
-            F.max(F.col("diagonal") + F.col("vote") + K).alias("stop"),
+            F.max(F.col("diagonal") + F.col("vote") + 1).alias("stop"),
         )
-        .withColumn("share", F.col("n") / (F.col("t_words") - K + 1))
+        .withColumn("share", F.col("n") / F.col("t_words"))
     )
-    notice = merged.filter(
-        (F.col("share") >= min_share) & (F.col("stop") - F.col("start") <= 1.5 * F.col("t_words"))
-    ).select("doc", "body", "label", "start", F.lit(False).alias("base"), "share")
-    found = base.unionByName(notice).groupBy("doc", "body").agg(
+    near = (F.col("share") >= min_share) & (F.col("stop") - F.col("start") <= 1.5 * F.col("t_words"))
+    found = merged.filter(F.when(F.col("base"), F.col("n") == F.col("t_words")).otherwise(near)).groupBy("doc", "body").agg(
         F.count_if("base").alias("n_base"),
         F.min(F.when(F.col("base"), F.col("start"))).cast("long").alias("first_word"),
         F.max(F.when(F.col("base"), F.col("start"))).cast("long").alias("last_word"),
@@ -99,7 +96,7 @@ def scan_licenses(
     )
     found = found.withColumnsRenamed({"doc": "_doc", "body": "_body"})
     every = docs.select(
-        F.col(doc_id), F.xxhash64(text).alias("_text_hash"), F.size(alnum_words(F.col(text))).cast("long").alias("n_words")
+        F.col(doc_id), F.xxhash64(text).alias("_text_hash"), F.size(words()).cast("long").alias("n_words")
     )
     out = every.join(found, every[doc_id].eqNullSafe(found["_doc"]) & (F.col("_text_hash") == F.col("_body")), "left")
     return out.select(
