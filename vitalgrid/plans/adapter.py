@@ -77,7 +77,8 @@ OLDER_TEXT_CODES = [
     (223900, ("No Response-ETT", "Oriented", "Confused", "No Response-ETT")), (128, ("Full Code", "Do Not Resuscita", "Comfort Measures", "CPR Not Indicate")),
     (223758, ("Full code", "DNR (do not resuscitate)", "DNI (do not intubate)", "DNR / DNI")), (128, ("Do Not Intubate", "Other/Remarks", "Full Code", "Full Code")), (4183, ("3.25", "2100", "about 3", "0.75")),
 ]
-OLDER_LAB_CODES = [*LAB_CODES, (50812, 0, 0.25), (50826, 300, 10), (50827, 8, 1), (50828, 0, 1)]
+_GAS_LAST = [c for c in LAB_CODES if 50813 <= c[0] <= 50821]  # beside the specimen's text
+OLDER_LAB_CODES = [*[c for c in LAB_CODES if c not in _GAS_LAST], (50812, 0, 0.25), (50826, 300, 10), (50827, 8, 1), (50828, 0, 1), *_GAS_LAST]
 OLDER_LAB_TEXTS = [(50800, ("ART", "VEN", "ART", "MIX")), (50807, ("INTUBATED", "NOT INTUBATED", "", "VENTED"))]
 OLDER_OUTPUT_CODES = [40055, 43175, 40069, 40094, 40715, 40473, 226559, 226560, 226561, 227488, 227489, 40056, 226573, 40428]
 OLDER_FLUID_CODES = [30179, 30001, 30004, 30005, 30180, 44172, 46410, 42324, 42588, 30008, 30009, 42832, 30018, 30021, 41491, 30012]
@@ -157,7 +158,7 @@ FROM ({_readings(CHART_CODES, TEXT_CODES, 8, 5)}) e""",
     "labevents": f"""
 SELECT e.event_id * 10 + e.slot AS labevent_id, e.user_id AS subject_id, e.user_id * 10 AS hadm_id, e.event_id AS specimen_id, e.itemid,
        e.ts AS charttime, e.ts + INTERVAL '1' HOUR AS storetime, e.value, e.valuenum
-FROM ({_readings(LAB_CODES, LAB_TEXTS, 10, 7)}) e WHERE e.event_id % 3 <> 0""",
+FROM ({_readings(LAB_CODES, LAB_TEXTS, 10, 7)}) e""",
     "inputevents": f"""
 SELECT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, {_stay} AS stay_id, e.ts AS starttime, e.ts + (e.event_id % 12 + 1) * INTERVAL '1' HOUR AS endtime,
        c.itemid, CAST(e.event_id % 41 AS DOUBLE) * CAST(0.25 AS DOUBLE) AS amount,
@@ -173,8 +174,7 @@ FROM {{events}} e JOIN {_list(OUTPUT_CODES, 'itemid')} ON c.idx = e.event_id % {
 SELECT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, {_stay} AS stay_id, e.ts AS starttime, e.ts + (e.event_id % 17 + 1) * INTERVAL '1' HOUR AS endtime,
        c.itemid, CASE WHEN e.event_id % 19 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(e.event_id % 7 AS DOUBLE) END AS value,
        CASE e.event_id % 6 WHEN 0 THEN 'Left Antecub' WHEN 1 THEN 'Left Brachial' WHEN 2 THEN 'Right Femoral.' WHEN 3 THEN 'Right Radial' WHEN 4 THEN 'Left IJ' ELSE NULL END AS location
-FROM {{events}} e JOIN {_list(LINE_CODES, 'itemid, label')} ON c.idx = e.event_id % {len(LINE_CODES)}
-WHERE e.event_id % 2 = 0""",
+FROM {{events}} e JOIN {_list(LINE_CODES, 'itemid, label')} ON c.idx = e.event_id % {len(LINE_CODES)}""",
     "d_items": f"SELECT itemid, label FROM {_list(LINE_CODES, 'itemid, label')}",
     "prescriptions": f"""
 SELECT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, e.event_id AS pharmacy_id, e.ts AS starttime, e.ts + (e.event_id % 5) * INTERVAL '1' DAY AS stoptime,
@@ -186,10 +186,10 @@ SELECT event_id AS microevent_id, user_id AS subject_id, user_id * 10 AS hadm_id
        CASE event_id % 3 WHEN 0 THEN 'BLOOD CULTURE' WHEN 1 THEN 'URINE' ELSE 'SPUTUM' END AS spec_type_desc,
        CAST(CASE WHEN event_id % 7 = 0 THEN 90856 ELSE 80002 END AS INT) AS org_itemid,
        CASE WHEN event_id % 2 = 0 THEN 'ESCHERICHIA COLI' WHEN event_id % 11 = 0 THEN '' END AS org_name
-FROM {events} WHERE event_id % 6 = 1 OR event_id % 6 = 0""",
+FROM {events}""",
     "diagnoses_icd": f"""
 SELECT DISTINCT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, c.icd_code, CAST(c.icd_version AS INT) AS icd_version
-FROM {{events}} e JOIN {_list(ICD_CODES, 'icd_code, icd_version')} ON c.idx = (e.event_id * 11) % {len(ICD_CODES)} WHERE e.event_id % 9 = 0""",
+FROM {{events}} e JOIN {_list(ICD_CODES, 'icd_code, icd_version')} ON c.idx = (e.user_id * 11 + e.event_id % 5) % {len(ICD_CODES)}""",
     "inputevents_cv": f"""
 SELECT {_stay} AS icustay_id, e.ts AS charttime, c.itemid,
        CASE WHEN e.event_id % 7 = 0 THEN CAST(NULL AS DOUBLE) WHEN e.event_id % 5 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(floor(e.event_id / 3) % 4 AS DOUBLE) * CAST(0.5 AS DOUBLE) END AS rate,
@@ -200,7 +200,7 @@ SELECT {_stay} AS icustay_id, e.ts AS starttime, e.ts + (e.event_id % 12 + 1) *
        CAST(e.event_id % 29 AS DOUBLE) * CAST(0.25 AS DOUBLE) AS rate, c.rateuom, CAST(e.event_id % 41 AS DOUBLE) AS amount, CASE WHEN e.event_id % 6 = 0 THEN 'Rewritten' ELSE 'FinishedRunning' END AS statusdescription
 FROM {{events}} e JOIN {_list([*INPUT_CODES, (227692, 'mcg/min'), (221282, 'mg')], 'itemid, rateuom')} ON c.idx = e.event_id % {len(INPUT_CODES) + 2}""",
     "procedures_icd": f"""
-SELECT DISTINCT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, c.icd9_code FROM {{events}} e JOIN {_list(['9670', '967', '3995', '8914', '9672', '0001'], 'icd9_code')} ON c.idx = e.event_id % 6 WHERE e.event_id % 31 = 0""",
+SELECT DISTINCT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, c.icd9_code FROM {{events}} e JOIN {_list(['9670', '967', '3995', '8914', '9672', '0001'], 'icd9_code')} ON c.idx = (e.user_id + e.event_id % 2) % 6""",
     "poe": """
 SELECT 'p' || CAST(event_id AS VARCHAR(20)) AS poe_id, user_id AS subject_id, user_id * 10 AS hadm_id, ts AS ordertime,
        CASE WHEN event_id % 4 = 0 THEN 'General Care' ELSE 'Medications' END AS order_type,
@@ -239,7 +239,7 @@ SELECT {_stay} AS icustay_id, e.ts + INTERVAL '20' MINUTE AS starttime, c.itemid
 FROM {{events}} e JOIN {_list([227194, 225468, 225477, 225792], 'itemid')} ON c.idx = e.event_id % 4""",
     "older_diagnoses": f"""
 SELECT subject_id, hadm_id, icd9_code, CAST(row_number() OVER (PARTITION BY hadm_id ORDER BY icd9_code) AS INT) AS seq_num FROM (
-SELECT DISTINCT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, c.icd9_code FROM {{events}} e JOIN {_list(ICD9_CODES, 'icd9_code')} ON c.idx = (e.event_id * 11) % {len(ICD9_CODES)} AND e.event_id % 5 < 2) d""",
+SELECT DISTINCT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, c.icd9_code FROM {{events}} e JOIN {_list(ICD9_CODES, 'icd9_code')} ON c.idx = (e.user_id * 11 + e.event_id % 9) % {len(ICD9_CODES)}) d""",
     "older_prescriptions": f"""
 SELECT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, CAST(CAST(e.ts AS DATE) AS TIMESTAMP) AS startdate, CAST(CAST(e.ts AS DATE) AS TIMESTAMP) + (e.event_id % 5) * INTERVAL '1' DAY AS enddate,
        CASE WHEN e.event_id % 37 = 0 THEN 'BASE' ELSE 'MAIN' END AS drug_type, c.drug, c.route
@@ -254,6 +254,12 @@ SELECT {_stay} AS icustay_id, e.ts AS starttime, e.ts + (e.event_id % 3 + 1) * I
        CASE WHEN e.event_id % 7 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(e.event_id % 53 AS DOUBLE) * CAST(8 AS DOUBLE) END AS rate,
        CASE WHEN e.event_id % 6 = 0 THEN 'Rewritten' ELSE 'FinishedRunning' END AS statusdescription
 FROM {{events}} e JOIN {_list(OLDER_FLUID_ORDERS, 'itemid, amountuom, rateuom')} ON c.idx = e.event_id % {len(OLDER_FLUID_ORDERS)}""",
+    "ccs_multi_dx": """
+SELECT 'c' || CAST(p_partkey AS VARCHAR(20)) AS icd9_code, CAST(p_partkey % 18 + 1 AS VARCHAR(9)) AS ccs_level1, 'Group ' || p_brand || CASE WHEN p_partkey % 3 = 0 THEN ' [' || CAST(p_partkey % 90 AS VARCHAR(9)) || '.]' ELSE '' END AS ccs_group1,
+       CAST(p_partkey % 18 + 1 AS VARCHAR(9)) || '.' || CAST(p_partkey % 7 AS VARCHAR(9)) AS ccs_level2, p_type || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE ' [' || CAST(p_partkey % 250 AS VARCHAR(9)) || '.]' END AS ccs_group2,
+       CASE WHEN p_partkey % 2 = 0 THEN '1.' || CAST(p_partkey % 11 AS VARCHAR(9)) END AS ccs_level3, CASE WHEN p_partkey % 2 = 0 THEN p_name || CASE WHEN p_partkey % 4 = 0 THEN ' [' || CAST(p_partkey % 300 AS VARCHAR(9)) || '.]' ELSE '' END END AS ccs_group3,
+       CASE WHEN p_partkey % 6 = 0 THEN '1.2.3' END AS ccs_level4, CASE WHEN p_partkey % 6 = 0 THEN p_name || ' deep' END AS ccs_group4
+FROM {part}""",
     "noteevents": """
 SELECT event_id AS row_id, user_id AS subject_id, CASE WHEN event_id % 10 = 0 THEN NULL ELSE user_id * 10 END AS hadm_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS chartdate,
        CASE WHEN event_id % 2 = 0 THEN 'Echo' ELSE 'Nutrition' END AS category,
@@ -270,7 +276,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An adapted table, or a driver table of that name."""
     if name not in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    df = spark.sql(TABLES[name], events=spark.read.parquet(f"{sf_dir}/events.parquet"))
+    given = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("events", "part") if "{" + t + "}" in TABLES[name]}
+    df = spark.sql(TABLES[name], **given)
     zoned = [c for c, t in df.dtypes if t == "timestamp"]
     return df.withColumns({c: df[c].cast("timestamp_ntz") for c in zoned}) if zoned else df
 
@@ -284,7 +291,7 @@ def oracle(name: str) -> str | None:
     names = order([name], TABLES)
     parts = []
     for n in names:
-        body = CONCEPTS[n].sql if n in CONCEPTS else TABLES[n].format(events="events") if n in TABLES else None
+        body = CONCEPTS[n].sql if n in CONCEPTS else TABLES[n].format(events="events", part="part") if n in TABLES else None
         if n in CONCEPTS and body is None:
             return None
         if body is not None:
