@@ -106,3 +106,59 @@ def test_sources(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
     kept = io.first_subjects({"a": df, "b": spark.range(3)}, df, 1)
     assert kept["a"].count() == 1 and kept["b"].count() == 3
+
+
+def test_folder_of_tables(spark, tmp_path):
+    import pytest
+
+    from vitalgrid.sources import io
+
+    (tmp_path / "hosp").mkdir()
+    (tmp_path / "other").mkdir()
+    (tmp_path / "hosp" / "labs.csv").write_text("subject_id,charttime,value\n1,2031-01-02 03:04:05,\n2,2031-01-02 03:04:05,x\n")
+    (tmp_path / "hosp" / "readme.txt").write_text("no table")
+    (tmp_path / "other" / "labs.csv").write_text("a\n1\n")
+    known = {"hosp.labs": io.schema("subject_id int, charttime timestamp, value str"), "hosp.missing": None}
+    with pytest.warns(UserWarning, match="hosp.missing"):
+        tables = io.open_folder(spark, f"file://{tmp_path}", known, folders=["hosp"])
+    assert list(tables) == ["hosp.labs"] and [r.value for r in spark.table("hosp_labs").orderBy("subject_id").collect()] == [None, "x"]
+    tables["hosp.labs"].write.parquet(f"{tmp_path}/stored")
+    assert io.open_table(spark, f"{tmp_path}/stored", "stored").count() == spark.table("stored").count() == 2
+    assert io.read_lookup(spark, f"{tmp_path}/hosp/labs.csv", known["hosp.labs"]).count() == 2
+    assert all(len(io.schema(x)) > 3 for x in [*io.EMERGENCY.values(), *io.NOTES.values()])
+
+
+def test_tiers_and_missing_tables(spark):
+    from vitalgrid.operators import compare
+
+    row = {"only_left": 0, "only_right": 0, "differing_conflict": 0, "differing_null_only": 1, "identical": 999}
+    assert (compare.classify(row), compare.tier(row)) == ("review", "minor")
+    assert compare.tier(row | {"identical": 9}) == "major" and compare.tier(row | {"differing_null_only": 0}) is None
+    df = spark.range(3)
+    got = {r.tbl: r.status for r in compare.missing_or_empty(["a", "b", "c"], {"a": df, "b": df.filter("id < 0")}).collect()}
+    assert got == {"a": "present", "b": "empty", "c": "missing"}
+
+
+def test_natural_key_and_residual(spark):
+    from pyspark.sql import functions as F
+
+    from vitalgrid.operators import compare
+
+    df = spark.range(2000).select((F.col("id") % 50).alias("a"), F.floor(F.col("id") / 50).alias("b"), F.lit(1).alias("c"))
+    assert sorted(compare.natural_key(df, ["a"], 3)) == ["a", "b"] and compare.natural_key(df.unionByName(df), ["a"], 3) is None
+    assert compare.residual_columns(df, df.withColumn("c", F.when(F.col("a") == 3, 2).otherwise(1))) == ["c"]
+    assert compare.residual_columns(df, df) == [] and compare.residual_columns(df, df.limit(5)) is None
+
+
+def test_auroc_over_ranges(spark):
+    import random
+
+    from vitalgrid.operators.cohort import auroc
+
+    rng = random.Random(9)
+    rows = [(int(rng.random() < 0.3), rng.choice([0.25, 0.5, rng.random(), None])) for _ in range(3000)]
+    seen = [(y, x) for y, x in rows if x is not None]
+    good, bad = [x for y, x in seen if y], [x for y, x in seen if not y]
+    want = sum((g > b) + (g == b) / 2 for g in good for b in bad) / len(good) / len(bad)
+    df = spark.createDataFrame(rows, "y int, x double")
+    assert all(abs(auroc(df, "y", "x", parts).first().auroc - want) < 1e-9 for parts in (2, 200))

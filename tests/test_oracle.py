@@ -12,6 +12,8 @@ SF = "/root/testdata/sf0.001"
 NAMES = [
     "chemistry", "bg", "vitalsign", "gcs", "oxygen_delivery", "urine_output_rate", "weight_durations", "icustay_hourly", "vasoactive_agent", "antibiotic", "rrt", "ventilation", "code_status",
     "first_day_lab", "first_day_sofa", "charlson", "kdigo_stages", "sofa", "suspicion_of_infection", "keyed_diff", "sessionize_gap_state", "asof_latest_before", "merge_overlaps", "dt_diff_hour",
+    "pivoted_vital", "pivoted_lab", "pivoted_bg_art", "pivoted_gcs", "vitals_first_day", "rbc_transfusion", "older_weight_durations", "ventilation_durations", "kdigo_stages_7day", "older_sofa", "elixhauser_score_quan", "echo_data",
+    "diff_samples", "two_variant_probe", "label_evals", "length_of_stay_distribution", "demographics_mortality", "residual_pairing", "auroc",
 ]
 
 
@@ -48,6 +50,19 @@ def test_one_row_per_key(spark, name, key):
     assert df.groupBy(*key).count().filter("count > 1").isEmpty()
 
 
+def test_a_written_chain_equals_the_queries(spark, tmp_path):
+    from vitalgrid.plans.adapter import context
+    from vitalgrid.plans.registry import write_chain
+    from vitalgrid.sources.io import parquet_folder
+
+    done = []
+    put = parquet_folder(f"file://{tmp_path}")
+    out = write_chain(context(spark, SF), ["older_sirs", "older_qsofa"], lambda n, df: done.append(n) or put(n, df))
+    assert done.index("blood_gas_first_day") < done.index("blood_gas_first_day_arterial") < done.index("older_sirs") and len(done) == len(set(done))
+    for name, df in out.items():
+        assert df.exceptAll(entry.queries()[name](spark, SF)).isEmpty() and df.count() == spark.table(name).count() > 0
+
+
 def test_every_dependency_is_known():
     from vitalgrid.plans.adapter import TABLES
     from vitalgrid.plans.catalog import CONCEPTS

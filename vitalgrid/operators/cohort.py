@@ -40,18 +40,46 @@ def histogram(df: DataFrame, value: str, low: float, high: float, bins: int) ->
     return df.filter(F.col(value).isNotNull()).groupBy(F.width_bucket(F.col(value), F.lit(low), F.lit(high), F.lit(bins)).alias("bucket")).agg(F.count("*").alias("freq"))
 
 
-def auroc(df: DataFrame, target: str, score: str) -> DataFrame:
+def auroc(df: DataFrame, target: str, score: str, parts: int = 200) -> DataFrame:
     """Area under the ROC curve; ties count half.
 
-    Scores are first counted per distinct value; the running sum then goes over that small table.
+    Scores are counted per distinct value and dealt into ranges between ``parts`` quantiles; running sums go over
+    one range each, and over the few sums of the ranges.
     """
-    by = df.groupBy(score).agg(F.sum(F.col(target).cast("double")).alias("p"), F.sum((1 - F.col(target)).cast("double")).alias("n"))
-    w = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = by.withColumn("below", F.coalesce(F.sum("n").over(w), F.lit(0.0)))
+    by = df.filter(F.col(score).isNotNull()).groupBy(score).agg(F.sum(F.col(target).cast("double")).alias("p"), F.sum((1 - F.col(target)).cast("double")).alias("n"))
+    cuts = by.agg(F.percentile_approx(score, [i / parts for i in range(1, parts)], 10 * parts)).first()[0] or []
+    ranges = F.array(*[F.lit(c) for c in sorted(set(cuts))])
+    by = by.withColumn("part", F.size(F.filter(ranges, lambda c: c < F.col(score))) if cuts else F.lit(0))
+    sums = by.groupBy("part").agg(F.sum("n").alias("_n"))
+    ahead = sums.withColumn("ahead", F.coalesce(F.sum("_n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    w = Window.partitionBy("part").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = by.join(F.broadcast(ahead.select("part", "ahead")), "part").withColumn("below", F.col("ahead") + F.coalesce(F.sum("n").over(w), F.lit(0.0)))
     total = ranked.agg(F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)).alias("u"), F.sum("p").alias("pp"), F.sum("n").alias("nn"))
     return total.select(F.try_divide("u", F.col("pp") * F.col("nn")).alias("auroc"))
 
 
+def scaled_histogram(df: DataFrame, value: str, low: float, high: float, bins: int, width: int) -> DataFrame:
+    """A histogram with each bin's bar of at most ``width`` marks; the largest bin is found over the few bins."""
+    bars = histogram(df, value, low, high, bins)
+    most = bars.agg(F.max("freq").alias("_most"))
+    return bars.join(F.broadcast(most)).withColumn("bar", F.repeat(F.lit("="), F.round(F.col("freq") * width / F.col("_most")).cast("int"))).drop("_most")
+
+
+def item_counts(events: DataFrame, items: DataFrame, code: str, label: str) -> DataFrame:
+    """Rows per item and its label; events are counted per code before they meet the items."""
+    return items.select(code, label).join(events.groupBy(code).agg(F.count("*").alias("rows")), code, "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+
+
+def labelled_events(items: DataFrame, sources: Sequence[tuple[DataFrame, str]], code: str, label: str, pattern: str) -> DataFrame:
+    """Events of all ``sources`` (rows and the name of the time column) whose item's label matches ``pattern``."""
+    chosen = F.broadcast(items.filter(F.lower(label).rlike(pattern)).select(code, label))
+    out = None
+    for df, at in sources:
+        one = df.select("subject_id", "hadm_id", F.col(at).alias("charttime"), code).join(chosen, code)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def flatten_resources(df: DataFrame, spec: dict) -> DataFrame:
     """Flat rows from nested resources.
 

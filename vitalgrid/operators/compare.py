@@ -47,7 +47,8 @@ def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 def natural_key(df: DataFrame, anchor: Sequence[str], width: int = 3) -> list[str] | None:
     """Smallest unique set of columns without nulls that holds an ``anchor`` column.
 
-    All candidates of one size are counted in one pass with exact distinct counts.
+    Candidates of one size are screened together by sketches of their distinct hashes, which does not multiply the rows;
+    those that may be unique are counted exactly, one after the other.
     """
     total, *nulls = df.agg(F.count("*"), *[F.count_if(F.col(c).isNull()) for c in df.columns]).first()
     usable = [c for c, n in zip(df.columns, nulls, strict=True) if n == 0]
@@ -55,9 +56,9 @@ def natural_key(df: DataFrame, anchor: Sequence[str], width: int = 3) -> list[st
         sets = [s for s in combinations(usable, size) if any(a in s for a in anchor)]
         if not sets:
             continue
-        found = df.agg(*[F.count_distinct(*s).alias(str(i)) for i, s in enumerate(sets)]).first()
-        for s, n in zip(sets, found, strict=True):
-            if n == total:
+        about = df.agg(*[F.approx_count_distinct(F.xxhash64(*s), 0.02).alias(str(i)) for i, s in enumerate(sets)]).first()
+        for s, n in zip(sets, about, strict=True):
+            if n >= 0.85 * total and duplicates(df, s).isEmpty():
                 return list(s)
     return None
 
@@ -133,15 +134,63 @@ def multiset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def residual_columns(left: DataFrame, right: DataFrame, width: int = 2) -> list[str] | None:
-    """Smallest set of columns without which both tables are equal as multisets."""
-    for size in range(width + 1):
-        for drop in combinations(left.columns, size):
-            kept = [c for c in left.columns if c not in drop]
-            if kept and multiset_diff(left.select(kept), right.select(kept)).isEmpty():
-                return list(drop)
+    """Smallest set of columns without which both tables are equal as multisets.
+
+    Sums of row hashes tell in one pass of each table which sets can be it; the first of these is verified.
+    """
+    drops = [d for size in range(width + 1) for d in combinations(left.columns, size) if size < len(left.columns)]
+    kept = [[c for c in left.columns if c not in d] for d in drops]
+
+    def hashes(df: DataFrame) -> list:
+        return list(df.agg(F.count("*"), *[F.sum(F.xxhash64(*k).cast("decimal(38,0)")).alias(str(i)) for i, k in enumerate(kept)]).first())
+
+    a, b = hashes(left), hashes(right)
+    if a[0] != b[0]:
+        return None
+    for d, k, x, y in zip(drops, kept, a[1:], b[1:], strict=True):
+        if x == y and multiset_diff(left.select(k), right.select(k)).isEmpty():
+            return list(d)
     return None
 
 
+def diff_samples(left: DataFrame, right: DataFrame, key: Sequence[str], n: int = 5) -> DataFrame:
+    """Up to ``n`` keys of each class of difference: ``only_left``, ``only_right``, ``null_only`` and ``conflict``.
+
+    Each class is its own bounded sample of the smallest keys, so no class is ranked as a whole.
+    """
+    values = [c for c in left.columns if c not in key and c in right.columns]
+    kinds = {f.name: logical_class(f.dataType) for f in left.schema}
+    both = left.select(*key, F.struct(*values).alias("_a")).join(right.select(*key, F.struct(*values).alias("_b")), list(key), "full")
+    same = [equal_within(F.col(f"_a.{c}"), F.col(f"_b.{c}"), kinds[c]) for c in values]
+    nulls = [F.col(f"_a.{c}").isNull() != F.col(f"_b.{c}").isNull() for c in values]
+    every, conflict = F.lit(True), F.lit(False)
+    for s, x in zip(same, nulls, strict=True):
+        every, conflict = every & s, conflict | (~s & ~x)
+    kind = F.when(F.col("_b").isNull(), "only_left").when(F.col("_a").isNull(), "only_right").when(~every & ~conflict, "null_only").when(conflict, "conflict")
+    marked = both.select(*key, kind.alias("difference"))
+    out = None
+    for name in ("only_left", "only_right", "null_only", "conflict"):
+        one = marked.filter(F.col("difference") == name).orderBy(*key).limit(n)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def rounded_diff(left: DataFrame, right: DataFrame, digits: int = 6) -> DataFrame:
+    """``multiset_diff`` of two tables, or of the results of two variants of a query, with numbers rounded first."""
+
+    def plain(df: DataFrame) -> DataFrame:
+        return df.select(*[F.round(c, digits).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.select(left.columns).dtypes])
+
+    return multiset_diff(plain(left), plain(right))
+
+
+def missing_or_empty(expected: Sequence[str], tables: dict[str, DataFrame]) -> DataFrame:
+    """``tbl, status`` of every expected table: present, empty or missing; one row of each is read."""
+    spark = next(iter(tables.values())).sparkSession
+    status = [(name, "missing" if name not in tables else "empty" if tables[name].isEmpty() else "present") for name in expected]
+    return spark.createDataFrame(status, "tbl string, status string")
+
+
 def all_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per declared-unavailable column the number of values that are there after all."""
     return df.agg(*[F.count(c).alias(c) for c in columns]).unpivot([], list(columns), "column", "present")
@@ -160,6 +209,15 @@ def classify(diff_row: dict) -> str:
     return "review" if diff_row["differing_null_only"] else "match"
 
 
+TIERS = (("minor", 0.001), ("moderate", 0.01), ("major", 1.0))
+
+
+def tier(diff_row: dict, tiers: Sequence[tuple[str, float]] = TIERS) -> str | None:
+    """The first tier whose share of all keys the keys that differ stay within; None without any."""
+    off = sum(diff_row[c] for c in ("only_left", "only_right", "differing_conflict", "differing_null_only"))
+    return next((name for name, most in tiers if off <= most * (off + diff_row["identical"])), tiers[-1][0]) if off else None
+
+
 def manifest(tables: dict[str, DataFrame], anchor: Sequence[str]) -> DataFrame:
     """Per table its rows, columns, key and hash."""
     out = None

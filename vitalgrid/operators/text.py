@@ -84,3 +84,28 @@ def echo_fields(df: DataFrame, text: str) -> DataFrame:
 def latest_per_name(sections: DataFrame, key: str) -> DataFrame:
     w = Window.partitionBy(key, "name").orderBy(F.desc("pos"))
     return sections.withColumn("n", F.row_number().over(w)).filter("n = 1").drop("n")
+
+
+def binarize_labels(df: DataFrame, labels, uncertain: int | None = 1) -> DataFrame:
+    """Labels 1 (mentioned), 0 (denied), -1 (uncertain) or null (not mentioned) as 0 and 1; ``uncertain`` None drops these."""
+    return df.withColumns({c: F.when(F.col(c) == -1, F.lit(uncertain)).otherwise(F.coalesce((F.col(c) == 1).cast("int"), F.lit(0))) for c in labels})
+
+
+def label_evals(truth: DataFrame, predicted: DataFrame, key: str, labels) -> DataFrame:
+    """``label_eval`` of each label, one row each, in one pass over the joined tables."""
+    both = truth.select(key, *[F.col(c).alias(f"t_{c}") for c in labels]).join(predicted.select(key, *labels), key)
+    rows = both.select(F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(f"t_{c}").alias("t"), F.col(c).alias("p")) for c in labels])).alias("x")).select("x.*").dropna()
+    n = rows.groupBy("label").agg(*[F.count_if((F.col("t") == t) & (F.col("p") == p)).alias(name) for name, t, p in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0))], F.count_if(F.col("t") == 1).alias("positives"))
+    n = n.withColumns({"precision": F.try_divide("tp", F.col("tp") + F.col("fp")), "recall": F.try_divide("tp", F.col("tp") + F.col("fn"))})
+    return n.withColumn("f1", F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")))
+
+
+def agreement(a: DataFrame, b: DataFrame, key: str, label: str) -> DataFrame:
+    """Counts of each pair of the values two labelers gave; a study that one of them lacks counts as null."""
+    both = a.select(key, F.col(label).alias("first")).join(b.select(key, F.col(label).alias("second")), key, "full")
+    return both.groupBy("first", "second").agg(F.count("*").alias("studies"))
+
+
+def split_statistics(df: DataFrame, split: str, view: str, subject: str, views) -> DataFrame:
+    """Per split: rows, distinct subjects, and rows of each view."""
+    return df.groupBy(split).agg(F.count("*").alias("rows"), F.count_distinct(subject).alias("subjects"), *[F.count_if(F.col(view) == v).alias(f"view_{v}") for v in views])

@@ -75,10 +75,13 @@ def range_assertions(t):
     return compare.violations(t.lineitem, {"quantity": F.col("l_quantity") < 45, "discount": F.col("l_discount") <= 0.05})
 
 
-@query("SELECT 'l_linenumber,l_orderkey' AS key WHERE (SELECT count(*) FROM lineitem) = (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) UNION ALL SELECT 'none' WHERE (SELECT count(*) FROM lineitem) <> (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))")
+@query("""WITH n AS (SELECT count(*) AS rows, count(DISTINCT l_orderkey) AS a, count(DISTINCT (l_orderkey, l_linenumber)) AS b, count(DISTINCT (l_orderkey, l_returnflag)) AS c FROM lineitem)
+SELECT CASE WHEN a = rows THEN 'l_orderkey' WHEN b = rows THEN 'l_linenumber,l_orderkey' WHEN c = rows THEN 'l_orderkey,l_returnflag' ELSE 'none' END AS key, rows, CASE WHEN a = rows OR b = rows OR c = rows THEN rows END AS distinct_keys FROM n""")
 def natural_key(t):
-    found = compare.natural_key(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag"), ["l_orderkey"], 2)
-    return t.lineitem.agg(F.count("*")).select(F.lit(",".join(sorted(found)) if found else "none").alias("key"))
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag")
+    found = compare.natural_key(rows, ["l_orderkey"], 2)
+    distinct = F.count_distinct(*found) if found else F.lit(None).cast("long")
+    return rows.agg(F.lit(",".join(sorted(found)) if found else "none").alias("key"), F.count("*").alias("rows"), distinct.alias("distinct_keys"))
 
 
 @query()
@@ -109,12 +112,59 @@ def multiset_diff(t):
     return compare.multiset_diff(a.select("o_custkey", "o_orderstatus"), b.select("o_custkey", "o_orderstatus"))
 
 
-@query("SELECT 'o_orderstatus' AS dropped FROM (SELECT 1 FROM orders LIMIT 1)")
+@query("""WITH a AS (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders), b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders),
+d AS ((SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a)),
+k AS (SELECT 'o_orderkey' AS dropped, 1 AS n, count(*) AS rest FROM ((SELECT o_custkey, o_orderstatus FROM a EXCEPT ALL SELECT o_custkey, o_orderstatus FROM b) UNION ALL (SELECT o_custkey, o_orderstatus FROM b EXCEPT ALL SELECT o_custkey, o_orderstatus FROM a)) x
+ UNION ALL SELECT 'o_custkey', 2, count(*) FROM ((SELECT o_orderkey, o_orderstatus FROM a EXCEPT ALL SELECT o_orderkey, o_orderstatus FROM b) UNION ALL (SELECT o_orderkey, o_orderstatus FROM b EXCEPT ALL SELECT o_orderkey, o_orderstatus FROM a)) x
+ UNION ALL SELECT 'o_orderstatus', 3, count(*) FROM ((SELECT o_orderkey, o_custkey FROM a EXCEPT ALL SELECT o_orderkey, o_custkey FROM b) UNION ALL (SELECT o_orderkey, o_custkey FROM b EXCEPT ALL SELECT o_orderkey, o_custkey FROM a)) x)
+SELECT CASE WHEN (SELECT count(*) FROM d) = 0 THEN '' ELSE (SELECT min_by(dropped, n) FROM k WHERE rest = 0) END AS dropped, (SELECT count(*) FROM d) AS differing_rows""")
 def residual_pairing(t):
     a = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
     b = a.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 3 == 0, "X").otherwise(F.col("o_orderstatus")))
     found = compare.residual_columns(a, b)
-    return t.orders.agg(F.count("*")).select(F.lit(",".join(found or [])).alias("dropped"))
+    return compare.multiset_diff(a, b).agg(F.lit(",".join(found or [])).alias("dropped"), F.count("*").alias("differing_rows"))
+
+
+_DIFF_SQL = """WITH a AS (SELECT o_orderkey k, o_custkey c, o_orderstatus s, o_totalprice p FROM orders), b AS (SELECT k, c, CASE WHEN k % 15 = 0 THEN 'X' ELSE s END AS s, CASE WHEN k % 10 = 0 THEN p * 1.01 WHEN k % 7 = 0 THEN NULL ELSE p END AS p FROM a WHERE k % 11 <> 0),
+j AS (SELECT a.k, b.k IS NOT NULL AS there, a.s = b.s AS es, coalesce(abs(a.p - b.p) <= greatest(1e-6, 1e-3 * greatest(abs(a.p), abs(b.p))), FALSE) AS ep, b.p IS NULL AS pn FROM a LEFT JOIN b USING (k)),
+m AS (SELECT k, CASE WHEN NOT there THEN 'only_left' WHEN es AND ep THEN NULL WHEN es AND pn THEN 'null_only' ELSE 'conflict' END AS difference FROM j)"""
+
+
+@query(f"{_DIFF_SQL} SELECT k AS o_orderkey, difference FROM (SELECT *, row_number() OVER (PARTITION BY difference ORDER BY k) AS n FROM m WHERE difference IS NOT NULL) x WHERE n <= 5")
+def diff_samples(t):
+    a, b = _altered(t)
+    return compare.diff_samples(a, b, ["o_orderkey"], 5)
+
+
+@query(f"""{_DIFF_SQL}, n AS (SELECT count(*) FILTER (WHERE difference IS NULL) AS same, count(*) FILTER (WHERE difference IN ('only_left', 'conflict')) AS hard, count(*) FILTER (WHERE difference = 'null_only') AS soft, count(*) AS total FROM m)
+SELECT CASE WHEN hard > 0 THEN 'mismatch' WHEN soft > 0 THEN 'review' ELSE 'match' END AS verdict, CASE WHEN hard + soft = 0 THEN NULL WHEN (hard + soft) / total <= 0.001 THEN 'minor' WHEN (hard + soft) / total <= 0.01 THEN 'moderate' ELSE 'major' END AS tier, same AS identical FROM n""")
+def divergence_classes(t):
+    a, b = _altered(t)
+    one = compare.keyed_diff(a, b, ["o_orderkey"])
+    row = one.first().asDict()
+    return one.select(F.lit(compare.classify(row)).alias("verdict"), F.lit(compare.tier(row)).cast("string").alias("tier"), "identical")
+
+
+@query("SELECT o_custkey, p, 'left' AS side FROM (SELECT o_custkey, round(o_totalprice, 2) AS p FROM orders EXCEPT ALL SELECT o_custkey, round(o_totalprice + CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE 0.000000001 END, 2) FROM orders) x UNION ALL SELECT o_custkey, p, 'right' FROM (SELECT o_custkey, round(o_totalprice + CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE 0.000000001 END, 2) AS p FROM orders EXCEPT ALL SELECT o_custkey, round(o_totalprice, 2) FROM orders) x")
+def two_variant_probe(t):
+    price = F.col("o_totalprice").cast("double")
+    moved = price + F.when(F.col("o_orderkey") % 9 == 0, 1.0).otherwise(1e-9)
+    return compare.rounded_diff(t.orders.select("o_custkey", price.alias("p")), t.orders.select("o_custkey", moved.alias("p")), 2)
+
+
+@query("SELECT 'orders' AS tbl, CASE WHEN count(*) = 0 THEN 'empty' ELSE 'present' END AS status FROM orders UNION ALL SELECT 'customer', CASE WHEN count(*) = 0 THEN 'empty' ELSE 'present' END FROM customer WHERE c_custkey < -1 UNION ALL SELECT 'returns', 'missing'")
+def missing_or_empty(t):
+    return compare.missing_or_empty(["orders", "customer", "returns"], {"orders": t.orders, "customer": t.customer.filter("c_custkey < -1")})
+
+
+@query("""WITH e AS (SELECT event_id, ts FROM events), s AS (SELECT event_id, ts, CASE WHEN event_id % 4 = 0 THEN ts + INTERVAL '1' HOUR ELSE ts END AS moved FROM e)
+SELECT count(*) FILTER (WHERE ts <> moved) AS conflicts, CAST(0 AS BIGINT) AS explained FROM s""")
+def wall_clock_shift(t):
+    """Conflicts that a zone's missing hour explains: in winter there is none."""
+    at = F.col("ts").cast("timestamp_ntz")
+    moved = F.when(F.col("event_id") % 4 == 0, at + hours(1)).otherwise(at)
+    rows = t.events.select(at.alias("a"), moved.alias("b"))
+    return rows.agg(F.count_if(F.col("a") != F.col("b")).alias("conflicts"), F.count_if(compare.zone_shift_explains(F.col("a"), F.col("b"), "America/New_York")).alias("explained"))
 
 
 @query()
@@ -181,7 +231,7 @@ def numeric_text_guard(t):
 
 
 def _spans(t):
-    return t.procedureevents.select("stay_id", "starttime", "endtime", "itemid").filter("itemid % 2 = 0")
+    return t.procedureevents.select("stay_id", "starttime", "endtime", "itemid")
 
 
 def _interval(closed: str, low: str, high: str) -> None:
@@ -192,7 +242,7 @@ def _interval(closed: str, low: str, high: str) -> None:
         return joins.interval_join(points, _spans(t), ["stay_id"], "charttime", "starttime", "endtime", closed=closed)
 
     f.__name__ = name
-    query(f"SELECT o.stay_id, o.charttime, o.value, p.starttime, p.endtime, p.itemid FROM outputevents o JOIN procedureevents p ON p.stay_id = o.stay_id AND p.itemid % 2 = 0 AND o.charttime {low} p.starttime AND o.charttime {high} p.endtime", "outputevents procedureevents")(f)
+    query(f"SELECT o.stay_id, o.charttime, o.value, p.starttime, p.endtime, p.itemid FROM outputevents o JOIN procedureevents p ON p.stay_id = o.stay_id AND o.charttime {low} p.starttime AND o.charttime {high} p.endtime", "outputevents procedureevents")(f)
 
 
 _interval("left", ">=", "<")
@@ -557,7 +607,7 @@ def strict_extremes(t):
 
 def _notes(t):
     d = F.col("doc_id")
-    head = F.concat(F.lit("EXAM: "), F.col("lang"), F.lit("\nFINDINGS: "), F.substring("text", 1, 40), F.lit("\nIMPRESSION: "), F.col("source"))
+    head = F.concat(F.lit("EXAM: "), F.col("lang"), F.lit("\nFINDINGS: "), F.col("text"), F.lit("\nIMPRESSION: "), F.col("source"))
     note = F.when(d % 4 == 0, F.concat(F.lit("x "), F.col("lang"))).when(d % 4 == 1, head).otherwise(F.concat(head, F.lit("\nIMPRESSIONS: addendum "), d))
     return t.documents.select("doc_id", note.alias("note"))
 
@@ -613,3 +663,71 @@ def polypharmacy(t):
 def first_value_by_outcome(t):
     rows = t.outputevents.join(t.admissions.select("hadm_id", F.col("hospital_expire_flag").alias("expired")), "hadm_id")
     return rows.groupBy("stay_id").agg(F.min(F.struct("charttime", "value")).alias("s"), F.max("expired").alias("expired")).select("stay_id", F.col("s.value").alias("first_value"), "expired")
+
+
+@query("""WITH p AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN -1 END AS quality, CASE doc_id % 3 WHEN 0 THEN 1 WHEN 1 THEN -1 END AS toxic FROM labels),
+b AS (SELECT doc_id, CASE WHEN quality = -1 THEN 1 ELSE coalesce(CAST(quality = 1 AS INT), 0) END AS quality, CASE WHEN toxic = -1 THEN 1 ELSE coalesce(CAST(toxic = 1 AS INT), 0) END AS toxic FROM p),
+r AS (SELECT 'quality' AS label, l.quality AS t, b.quality AS p FROM labels l JOIN b USING (doc_id) UNION ALL SELECT 'toxic', l.toxic, b.toxic FROM labels l JOIN b USING (doc_id)),
+n AS (SELECT label, count(*) FILTER (WHERE t = 1 AND p = 1) AS tp, count(*) FILTER (WHERE t = 0 AND p = 1) AS fp, count(*) FILTER (WHERE t = 1 AND p = 0) AS fn, count(*) FILTER (WHERE t = 1) AS positives FROM r GROUP BY 1)
+SELECT *, tp / nullif(tp + fp, 0) AS precision, tp / nullif(tp + fn, 0) AS recall, 2 * tp / nullif(2 * tp + fp + fn, 0) AS f1 FROM n""")
+def label_evals(t):
+    d = F.col("doc_id")
+    given = t.labels.select("doc_id", F.when(d % 4 == 0, 1).when(d % 4 == 1, 0).when(d % 4 == 2, -1).alias("quality"), F.when(d % 3 == 0, 1).when(d % 3 == 1, -1).alias("toxic"))
+    return text.label_evals(t.labels, text.binarize_labels(given, ["quality", "toxic"]), "doc_id", ["quality", "toxic"])
+
+
+@query("SELECT a.quality AS first, b.quality AS second, count(*) AS studies FROM labels a FULL JOIN (SELECT doc_id, toxic AS quality FROM labels WHERE doc_id % 5 <> 0) b ON a.doc_id = b.doc_id GROUP BY 1, 2")
+def labeler_agreement(t):
+    return text.agreement(t.labels, t.labels.filter("doc_id % 5 <> 0").select("doc_id", F.col("toxic").alias("quality")), "doc_id", "quality")
+
+
+@query("SELECT source, count(*) AS rows, count(DISTINCT doc_id) AS subjects, count(*) FILTER (WHERE lang = 'en') AS view_en, count(*) FILTER (WHERE lang = 'de') AS view_de FROM documents GROUP BY 1")
+def split_statistics(t):
+    return text.split_statistics(t.documents, "source", "lang", "doc_id", ["en", "de"])
+
+
+@query("SELECT drug, count(*) AS n FROM prescriptions GROUP BY 1", "prescriptions")
+def drug_name_frequency(t):
+    return t.prescriptions.groupBy("drug").agg(F.count("*").alias("n"))
+
+
+@query("SELECT stay_id, charttime, value, date_diff('hour', admittime, charttime) AS hours_since_admission FROM outputevents o JOIN admissions a ON a.hadm_id = o.hadm_id", "outputevents admissions")
+def relative_time(t):
+    adm = t.admissions.select("hadm_id", "admittime")
+    return t.outputevents.join(adm, "hadm_id").select("stay_id", "charttime", "value", dt_diff(F.col("charttime"), F.col("admittime"), "HOUR").alias("hours_since_admission"))
+
+
+@query("""WITH l AS (SELECT CAST(date_diff('hour', intime, outtime) AS DOUBLE) / 24 AS los FROM icustays), h AS (SELECT CASE WHEN los < 0 THEN 0 WHEN los >= 40 THEN 21 ELSE CAST(floor(los / 2) AS BIGINT) + 1 END AS bucket, count(*) AS freq FROM l GROUP BY 1)
+SELECT bucket, freq, repeat('=', CAST(round(freq * 30 / CAST((SELECT max(freq) FROM h) AS DOUBLE)) AS INT)) AS bar FROM h""", "icustays")
+def length_of_stay_distribution(t):
+    los = dt_diff(F.col("outtime"), F.col("intime"), "HOUR").cast("double") / 24
+    return cohort.scaled_histogram(t.icustays.select(los.alias("los")), "los", 0.0, 40.0, 20, 30)
+
+
+@query("SELECT d.itemid, label, coalesce(n, 0) AS rows FROM d_items d LEFT JOIN (SELECT itemid, count(*) AS n FROM procedureevents GROUP BY 1) p ON p.itemid = d.itemid", "d_items procedureevents")
+def item_counts(t):
+    return cohort.item_counts(t.procedureevents, t.d_items, "itemid", "label")
+
+
+@query("SELECT subject_id, hadm_id, starttime AS charttime, p.itemid, label FROM procedureevents p JOIN d_items d ON d.itemid = p.itemid AND lower(label) LIKE '%dialysis%' UNION ALL SELECT subject_id, hadm_id, charttime, o.itemid, label FROM outputevents o JOIN d_items d ON d.itemid = o.itemid AND lower(label) LIKE '%dialysis%'", "d_items procedureevents outputevents")
+def labelled_intake(t):
+    return cohort.labelled_events(t.d_items, [(t.procedureevents, "starttime"), (t.outputevents, "charttime")], "itemid", "label", "dialysis")
+
+
+@query("""SELECT i.subject_id, i.hadm_id, i.stay_id, dense_rank() OVER (PARTITION BY i.subject_id ORDER BY i.intime) AS stay_seq, first_value(curr_service) OVER (PARTITION BY i.subject_id ORDER BY transfertime, i.intime) AS first_service, hospital_expire_flag,
+ CASE WHEN dod <= CAST(dischtime + INTERVAL '1' YEAR AS DATE) THEN 1 ELSE 0 END AS died_within_year FROM icustays i JOIN admissions a ON a.hadm_id = i.hadm_id JOIN patients p ON p.subject_id = i.subject_id JOIN services s ON s.hadm_id = i.hadm_id""", "icustays admissions patients services")
+def demographics_mortality(t):
+    j = t.icustays.select("subject_id", "hadm_id", "stay_id", "intime").join(t.admissions.select("hadm_id", "dischtime", "hospital_expire_flag"), "hadm_id").join(t.patients.select("subject_id", "dod"), "subject_id")
+    j = j.join(t.services.select("hadm_id", "transfertime", "curr_service"), "hadm_id")
+    w = Window.partitionBy("subject_id")
+    late = F.col("dod") <= (F.col("dischtime") + F.expr("INTERVAL '1' YEAR")).cast("date")
+    return j.select(
+        "subject_id", "hadm_id", "stay_id", F.dense_rank().over(w.orderBy("intime")).cast("long").alias("stay_seq"), F.first_value("curr_service").over(w.orderBy("transfertime", "intime")).alias("first_service"),
+        "hospital_expire_flag", F.when(late, 1).otherwise(0).alias("died_within_year"),
+    )
+
+
+@query("SELECT 'event/' || CAST(event_id AS VARCHAR) AS path, 'k' AS tag, json_extract_string(props, '$.k') AS value FROM events WHERE length(json_extract_string(props, '$.k')) <= 100")
+def image_metadata(t):
+    rows = t.events.select(F.concat(F.lit("event/"), F.col("event_id").cast("string")).alias("path"), F.col("props").alias("tags"))
+    return io.image_metadata(rows).filter("tag = 'k'")

@@ -51,6 +51,18 @@ class Context:
         return self.built[name]
 
 
+def write_chain(ctx: Context, names: Sequence[str], save: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
+    """Derived tables written in dependency order, each read by the next ones from where ``save`` put it.
+
+    ``save`` writes a table under its name and returns what to read instead; every shared table is computed once.
+    """
+    out = {}
+    for name in order(names, {}):
+        if name in CONCEPTS:
+            ctx.built[name] = out[name] = save(name, ctx[name])
+    return {n: out[n] for n in names}
+
+
 def order(names: Sequence[str], sources: dict[str, str]) -> list[str]:
     """``names`` with all they need, dependencies first; source tables by the names their SQL mentions."""
     out: list[str] = []

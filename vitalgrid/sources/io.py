@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import warnings
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,65 @@ def table_name(path: str) -> str | None:
     return f"{parts[-2]}.{stem}".lower()
 
 
+def open_folder(spark: SparkSession, root: str, known: dict[str, T.StructType | None], *, folders: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Tables of the files under ``root/folder/`` by name, also registered as views (``hosp_labevents``).
+
+    ``known`` names the expected tables with their CSV schemas (None for Parquet). Files of other names and folders are
+    skipped, expected tables without a file are warned about and skipped. Only names are listed on the driver.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = {}
+    for folder in fs.listStatus(path):
+        if not folder.isDirectory() or (folders is not None and folder.getPath().getName() not in folders):
+            continue
+        for file in fs.listStatus(folder.getPath()):
+            where = file.getPath().toString()
+            name = table_name(where)
+            if name in known:
+                out[name] = spark.read.parquet(where) if known[name] is None else read_csv(spark, where, known[name])
+                out[name].createOrReplaceTempView(name.replace(".", "_"))
+    for name in known.keys() - out.keys():
+        warnings.warn(f"no file for table {name}", stacklevel=2)
+    return out
+
+
+def open_table(spark: SparkSession, path: str, name: str, *, fmt: str = "parquet") -> DataFrame:
+    """A stored table (``parquet``, or ``delta`` where that source is installed) as DataFrame and view."""
+    df = spark.read.format(fmt).load(path)
+    df.createOrReplaceTempView(name)
+    return df
+
+
+def read_lookup(spark: SparkSession, path: str, shape: T.StructType, max_rows: int = 1_000_000) -> DataFrame:
+    """A code table, marked for broadcast if it has at most ``max_rows`` rows."""
+    df = read_csv(spark, path, shape)
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+#: Further source tables: emergency department and notes.
+EMERGENCY = {
+    "ed.edstays": "subject_id int, hadm_id int, stay_id int, intime timestamp, outtime timestamp, gender str, race str, arrival_transport str, disposition str",
+    "ed.diagnosis": "subject_id int, stay_id int, seq_num int, icd_code str, icd_version int, icd_title str",
+    "ed.medrecon": "subject_id int, stay_id int, charttime timestamp, name str, gsn str, ndc str, etc_rn int, etccode str, etcdescription str",
+    "ed.pyxis": "subject_id int, stay_id int, charttime timestamp, med_rn int, name str, gsn_rn int, gsn str",
+    "ed.triage": "subject_id int, stay_id int, temperature numeric, heartrate numeric, resprate numeric, o2sat numeric, sbp numeric, dbp numeric, pain str, acuity numeric, chiefcomplaint str",
+    "ed.vitalsign": "subject_id int, stay_id int, charttime timestamp, temperature numeric, heartrate numeric, resprate numeric, o2sat numeric, sbp numeric, dbp numeric, rhythm str, pain str",
+}
+NOTES = {
+    "note.discharge": "note_id str, subject_id int, hadm_id int, note_type str, note_seq int, charttime timestamp, storetime timestamp, text str",
+    "note.discharge_detail": "note_id str, subject_id int, field_name str, field_value str, field_ordinal int",
+    "note.radiology": "note_id str, subject_id int, hadm_id int, note_type str, note_seq int, charttime timestamp, storetime timestamp, text str",
+    "note.radiology_detail": "note_id str, subject_id int, field_name str, field_value str, field_ordinal int",
+}
+
+
+def image_metadata(rows: DataFrame, longest: int = 100) -> DataFrame:
+    """``path, tag, value`` of extracted image headers (``path``, and ``tags`` as JSON text); longer values are left out."""
+    tags = F.from_json("tags", "map<string,string>")
+    return rows.select("path", F.explode(F.map_filter(tags, lambda k, v: F.length(v) <= longest)).alias("tag", "value"))
+
+
 def first_subjects(tables: dict[str, DataFrame], subjects: DataFrame, n: int, key: str = "subject_id") -> dict[str, DataFrame]:
     """Every table with that column, kept to the ``n`` smallest subjects (a bounded side, broadcast)."""
     chosen = F.broadcast(subjects.select(key).distinct().orderBy(key).limit(n))
@@ -69,6 +129,18 @@ def save_concept(df: DataFrame, name: str, *, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).saveAsTable(name)
 
 
+def parquet_folder(root: str) -> Callable[[str, DataFrame], DataFrame]:
+    """A sink for ``write_chain``: ``root/name`` as Parquet, also a view of that name."""
+
+    def save(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        stored = df.sparkSession.read.schema(df.schema).parquet(f"{root}/{name}")
+        stored.createOrReplaceTempView(name)
+        return stored
+
+    return save
+
+
 def save_metadata(spark: SparkSession, values: dict[str, str], name: str) -> None:
     spark.createDataFrame(list(values.items()), "attribute string, value string").write.mode("overwrite").saveAsTable(name)
 
