@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import materialize, scratch, small_side
+from vitalgrid.llm.common import fresh, materialize, scratch, small_side
 from vitalgrid.llm.decontamination import contaminated
 from vitalgrid.llm.jaccard_join import jaccard_members
 from vitalgrid.llm.mixing import mix_to_targets
@@ -14,13 +16,22 @@ from vitalgrid.llm.quality_rules import apply_rules
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; lines above their host's limit go from those that stay."""
+    """Rejected documents go (null and empty texts among them); lines above their host's limit go from those that stay."""
     kept = apply_rules(docs).filter("kept")
     return kept.withColumns({"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}).select(docs.columns)
 
 
+def _same_row(docs: DataFrame, side: DataFrame, doc: str, body: str):
+    """Equal id (null like any other) and equal text."""
+    return docs["doc_id"].eqNullSafe(side[doc]) & (F.xxhash64(docs["text"]) == side[body])
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group (five-word shingles, similarity 0.8) stays: that of the smallest id, then text hash."""
+    """One row of each group (five-word shingles, similarity 0.8) stays: that of the smallest id, then text hash.
+
+    Null ids come last and are ids like any other; equal rows are copies of each other; texts without words stay.
+    """
+    doc, body = fresh(docs, "_doc", "_body")
     found = jaccard_members(docs, k=5, percent=80).filter("n_shingles > 0")
     pairs = materialize(found.groupBy("root", "doc_id", "body").agg(F.count("*").alias("rows")))
     member = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("body"))
@@ -28,36 +39,39 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = small_side(materialize(first.withColumnRenamed("root", "_root")))
     spare = pairs.join(first, F.col("root") == F.col("_root"))
     spare = spare.withColumn("goes", member != F.col("first")).filter("goes or rows > 1")
-    spare = materialize(spare.select(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), "goes"))
-
-    def same(side: DataFrame):
-        return docs["doc_id"].eqNullSafe(side["_doc"]) & (F.xxhash64(docs["text"]) == side["_body"])
-
-    kept = docs.join(marked := small_side(spare), same(marked), "left_anti")
-    again = spare.filter("not goes")
+    spare = materialize(spare.select(F.col("doc_id").alias(doc), F.col("body").alias(body), "goes"))
+    kept = docs.join(marked := small_side(spare), _same_row(docs, marked, doc, body), "left_anti")
+    again = spare.filter("not goes").drop("goes")
     if not again.isEmpty():  # equal rows of one id and text, of which one stays
         again = small_side(again)
-        once = docs.join(again, same(again)).select(*docs.columns, "_body").dropDuplicates(["doc_id", "_body"])
+        once = docs.join(again, _same_row(docs, again, doc, body)).select(*docs.columns, body).dropDuplicates(["doc_id", body])
         kept = kept.unionByName(once.select(docs.columns))
     return kept.select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark item go."""
+    """Documents that contain a benchmark item go; those without words stay, and so do all if there are no items."""
+    doc, body = fresh(docs, "_doc", "_body")
     leaks = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaks = materialize(leaks.select(F.col("doc_id").alias("_doc"), F.col("body").alias("_body")).distinct())
-    leaks = small_side(leaks)
-    same = docs["doc_id"].eqNullSafe(leaks["_doc"]) & (F.xxhash64(docs["text"]) == leaks["_body"])
-    return docs.join(leaks, same, "left_anti")
+    leaks = small_side(materialize(leaks.select(F.col("doc_id").alias(doc), F.col("body").alias(body)).distinct()))
+    return docs.join(leaks, _same_row(docs, leaks, doc, body), "left_anti")
+
+
+def pii_key(spark: SparkSession) -> str:
+    """The secret of the pseudonyms: ``spark.vitalgrid.pii.key`` of the session, which a real run must set."""
+    if (key := spark.conf.get("spark.vitalgrid.pii.key", None)) is None:
+        warnings.warn("spark.vitalgrid.pii.key is not set: the pseudonyms are made with the public demonstration key", stacklevel=2)
+        return DEMO_KEY
+    return key
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in the texts is replaced by pseudonyms."""
-    return pseudonymize(docs, DEMO_KEY).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    """Personal data in the texts is replaced by pseudonyms; every row stays, null texts as they are."""
+    return pseudonymize(docs, pii_key(spark)).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its rate in the mixture."""
+    """Every document with its rate in the mixture; null and empty texts have no tokens and a rate like any other."""
     return mix_to_targets(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
