@@ -160,6 +160,69 @@ def test_pipeline_stages(spark, sf_dir):
     assert final.count() == docs.count() < rows
 
 
+def odd_documents(spark):
+    """Nulls in every column, empty texts, repeated rows and columns whose names the stages use."""
+    page = " ".join(f"word{i} is here" for i in range(30))
+    rows = [(1, page, None, None, None), (1, page, None, None, None), (None, page + " end", "en", "s", 5), (None, None, None, None, None), (2, "", "en", "s", 0), (3, "other " + " ".join(f"x{i}" for i in range(50)), "en", None, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return df.withColumns({c: F.lit(7) for c in ("_doc", "_body", "_root", "root", "goes", "rows", "_words", "_found", "_new", "_removed", "p", "block", "cls", "n")})
+
+
+def test_stages_take_odd_rows(spark, sf_dir):
+    import corpus_pipeline as c
+
+    docs = odd_documents(spark)
+    want = {"quality rules": 4, "n-gram Jaccard join": 4, "benchmark decontamination": 6, "PII": 6}
+    for name, stage in c.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns and out.count() == want[name], name
+        assert {r._doc for r in out.select("_doc").collect()} == {7}
+        assert stage(spark, docs.filter("false"), sf_dir).count() == 0, name
+    assert c.STAGES[-1][1](spark, docs, sf_dir).count() == 6
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """All stages over a small folder, against plain Python; what they write besides the result is deleted."""
+    import random
+    from pathlib import Path
+
+    import corpus_pipeline as c
+    from vitalgrid.llm.common import shared_dir
+
+    rng = random.Random(4)
+    fresh = lambda n: [f"v{rng.randrange(3000)}" for _ in range(n)]
+    item = fresh(12)
+    base = fresh(80)
+    texts = [fresh(60) for _ in range(12)] + [fresh(4), ["same"] * 40, base, base, [*base[:40], "edit", *base[41:]], [*fresh(300), *item, *fresh(200)], [*fresh(30), *item[:6], *fresh(30)]]
+    texts = [" ".join(t) for t in texts] + ["card 4111 1111 1111 1111 12/27 " + " ".join(fresh(30)), None, ""]
+    spark.createDataFrame([(i, t, "en", f"host{i % 3}", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, " ".join(item)), (2, "x y")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, i % 2, int(i % 4 == 3)) for i in range(12)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    def shingles(t):
+        w = t.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    def repeated(t):
+        w = t.split()
+        windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+        return len({j for i, x in enumerate(windows) if windows.count(x) > 1 for j in range(i, i + 5)})
+
+    kept = [i for i, t in enumerate(texts) if t and len(t.split()) >= 10 and 100 * repeated(t) <= 20 * len(t.split())]
+    one = [i for i in kept if not any(j < i and 100 * len(shingles(texts[i]) & shingles(texts[j])) >= 80 * len(shingles(texts[i]) | shingles(texts[j])) for j in kept)]
+    clean = [i for i in one if len(shingles(texts[i]) & shingles(" ".join(item))) < 0.8 * len(shingles(" ".join(item)))]
+    assert len(texts) > len(kept) > len(one) > len(clean)
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    spark.conf.set("spark.vitalgrid.pii.key", "of this test")
+    got = {r.doc_id: r for r in c.run(spark, str(tmp_path)).collect()}
+    spark.conf.unset("spark.vitalgrid.pii.key")
+    assert sorted(got) == clean
+    for i, r in got.items():
+        assert r.n_tokens == len(texts[i].split()) and r.rate >= 0
+    assert len(set(folder.iterdir()) - before) < 20  # the fourth stage's documents and what the fit of the rates still reads
+
+
 def test_near_duplicates_equal_brute_force(spark):
     import corpus_pipeline as c
 
@@ -182,3 +245,16 @@ def test_near_duplicates_equal_brute_force(spark):
     for i in stays:
         ids = [rows[j][0] for j in range(len(rows)) if group[j] == group[i] and rows[j][0] is not None]
         assert rows[i][0] == min(ids, default=None)
+
+
+def test_the_key_is_the_sessions(spark):
+    import pytest
+
+    import corpus_pipeline as c
+
+    docs = spark.createDataFrame([(1, "host 10.0.0.1", 1)], "doc_id long, text string, n_chars long")
+    with pytest.warns(UserWarning, match="demonstration key"):
+        public = c.pii(spark, docs, "").first().text
+    spark.conf.set("spark.vitalgrid.pii.key", "another")
+    assert c.pii(spark, docs, "").first().text not in (public, "host 10.0.0.1")
+    spark.conf.unset("spark.vitalgrid.pii.key")

@@ -115,3 +115,12 @@ def test_limit_of_long_lines_does_not_grow_with_the_host(spark):
     got = {r.doc_id: r for r in apply_rules(df).collect()}
     assert all(got[i].n_removed_lines == (i < 30) and long not in got[i].clean_text for i in range(3000))
     assert all(short in got[i].clean_text for i in range(30))  # short lines recur by chance
+
+
+def test_helper_names_and_a_very_long_text(spark):
+    names = ["_words", "_lines", "_row", "_doc", "_body", "_removed", "_removed_chars", "removed", "host", "l"]
+    long = "\n".join(f"line{i} a{i} b{i} c{i} d{i}" for i in range(30_000))
+    df = spark.createDataFrame([(1, long, "a"), (1, long, "a"), (2, "short", None)], "doc_id long, text string, source string").withColumns({c: F.lit(c) for c in names})
+    rows = apply_rules(df).collect()
+    assert len(rows) == 3 and all(r[c] == c for r in rows for c in names)
+    assert {(r.n_words, r.kept) for r in rows} == {(150_000, True), (1, False)}

@@ -76,6 +76,18 @@ def test_counts_equal_the_library(spark, vocabulary):
         assert got[i] == (len((t or "").encode()), want), repr(t)[:60]
 
 
+def test_no_rows_and_repeated_rows(spark, vocabulary):
+    docs = spark.createDataFrame([(1, "some words"), (1, "some words"), (None, "some words")], "doc_id long, text string")
+    assert len({r.n_tokens for r in count_tokens(docs, vocabulary).collect()}) == 1 and count_tokens(docs, vocabulary).count() == 3
+    assert count_tokens(docs.filter("false"), vocabulary).count() == 0
+
+
+def test_a_very_long_url(spark):
+    urls = ["http://example.org/es/" + "a/" * 20_000 + "x.exe", "http://" + "b" * 20_000 + ".com/de/", "x" * 20_000]
+    got = {r.page_id: (len(r.host), len(r.path), r.rule, r.verdict) for r in filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert got == {0: (11, 40_009, "example.org/es/", "block"), 1: (20_004, 4, "com/de/", "block"), 2: (0, 0, None, "block")}
+
+
 def test_counts_equal_the_library_on_documents(spark, vocabulary, sf_dir):
     from tokenizers import Tokenizer
 

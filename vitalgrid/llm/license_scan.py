@@ -6,7 +6,8 @@ and notices, of two words for the base phrases, which are no longer.  Hits vote
 - template position``: an undisturbed copy puts all its votes on one diagonal, an edited one on
 neighbouring diagonals, which are merged.  Spans are verified on the words themselves: grams are
 compared as text, a base phrase needs its whole diagonal, and a notice needs ``min_share`` of its words
-inside such grams, in a span not much longer than itself.
+inside such grams, in a span not much longer than itself.  Of notices that overlap, the one with most
+words there stays, so that a licence is not also taken for its relatives.
 
 Defined results: null text is empty (0 words, no labels, score 0); repeated rows (same id and text)
 get the same result each; a null id is kept; further columns are not read.
@@ -86,13 +87,17 @@ def scan_licenses(
         .withColumn("share", F.col("n") / F.col("t_words"))
     )
     near = (F.col("share") >= min_share) & (F.col("stop") - F.col("start") <= 1.5 * F.col("t_words"))
-    found = merged.filter(F.when(F.col("base"), F.col("n") == F.col("t_words")).otherwise(near)).groupBy("doc", "body").agg(
-        F.count_if("base").alias("n_base"),
-        F.min(F.when(F.col("base"), F.col("start"))).cast("long").alias("first_word"),
-        F.max(F.when(F.col("base"), F.col("start"))).cast("long").alias("last_word"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("base"), F.col("label")))), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"),
-        F.least(F.max("share"), F.lit(1.0)).alias("score"),
+    passed = merged.filter(F.when(F.col("base"), F.col("n") == F.col("t_words")).otherwise(near))
+    spans = F.collect_list(F.struct("label", "base", "start", "stop", "n", "share"))
+    rank = lambda x: F.struct(x["n"], x["share"])
+    apart = lambda x, y: y["base"] | (y["start"] >= x["stop"]) | (x["start"] >= y["stop"]) | (rank(y) <= rank(x))
+    own = F.filter("s", lambda x: x["base"] | F.forall("s", lambda y: apart(x, y)))
+    of = lambda field, some: F.transform(F.filter("s", some), lambda x: x[field])
+    listed_labels = lambda some: F.array_join(F.array_sort(F.array_distinct(of("label", some))), ",")
+    base, any_ = lambda x: x["base"], lambda x: F.lit(True)
+    found = passed.groupBy("doc", "body").agg(spans.alias("s")).withColumn("s", own).select(
+        "doc", "body", F.size(of("start", base)).alias("n_base"), F.array_min(of("start", base)).cast("long").alias("first_word"), F.array_max(of("start", base)).cast("long").alias("last_word"),
+        listed_labels(base).alias("base_labels"), listed_labels(any_).alias("labels"), F.least(F.array_max(of("share", any_)), F.lit(1.0)).alias("score"),
     )
     found = found.withColumnsRenamed({"doc": "_doc", "body": "_body"})
     every = docs.select(

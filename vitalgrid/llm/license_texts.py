@@ -87,6 +87,7 @@ NOTICES = (
     ("bsd", BSD_CONDITIONS.split("1.")[0]), ("bsd", BSD_CONDITIONS), ("bsd", BSD_WARRANTY), ("bsd", BSD_CONDITIONS + BSD_WARRANTY),
     ("isc", ISC.split(", provided")[0]), ("isc", ISC),
     ("gpl", GNU_NOTICE.format(program="program", name="General Public License", version="2")),
+    ("gpl", GNU_NOTICE.format(program="program", name="General Public License", version="3")),
     ("gpl", GNU_NOTICE.split(" {name}")[0].format(program="program")),
     ("lgpl", GNU_NOTICE.format(program="library", name="Lesser General Public License", version="2.1")),
     ("agpl", GNU_NOTICE.format(program="program", name="Affero General Public License", version="3")),
