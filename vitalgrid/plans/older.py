@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vitalgrid.functions.dt import dt_diff
 from vitalgrid.functions.scalar import step_score
 from vitalgrid.operators.episodes import merge_adjacent_equal, merge_overlaps
+from vitalgrid.operators.joins import interval_join
 from vitalgrid.plans.comorbidity import prefix_flags, rules_sql
 from vitalgrid.plans.registry import concept
 
@@ -101,6 +102,34 @@ UNION ALL SELECT icustay_id, starttime, endtime, {rate_sql}, amount FROM inputev
         return glued.unionByName(orders.select("icustay_id", "starttime", "endtime", rate.alias("vaso_rate"), F.col("amount").alias("vaso_amount")))
 
 
+def _weighted_dose(name: str, whole: int, per: tuple[int, ...], ordered: int, usual: float = 80.0) -> None:
+    """A dose per kilogram: readings of the code ``whole`` are divided by the weight then known, or by a usual one."""
+    codes = (whole, *per)
+    runs = RUNS_SQL.format(keys="icustay_id", codes=_in(codes)).replace("FROM inputevents_cv", "FROM w0")
+
+    @concept(f"{name}_dose", ["inputevents_cv", "inputevents_mv", "older_weight_durations"], f"""
+WITH w0 AS (SELECT c.icustay_id, c.charttime, c.itemid, c.amount, c.stopped, CASE WHEN itemid = {whole} THEN rate / coalesce(w.weight, {usual}) ELSE rate END AS rate FROM inputevents_cv c LEFT JOIN older_weight_durations w ON w.icustay_id = c.icustay_id AND c.charttime BETWEEN w.starttime AND w.endtime WHERE itemid IN ({_in(codes)})),
+{runs}, d AS (SELECT icustay_id, charttime AS starttime, lead(charttime) OVER (PARTITION BY icustay_id, run ORDER BY charttime) AS endtime, rate, amount FROM c5 WHERE run > 0),
+e AS (SELECT *, lag(endtime) OVER w AS pe, lag(rate) OVER w AS pr FROM d WHERE endtime IS NOT NULL AND rate > 0 WINDOW w AS (PARTITION BY icustay_id ORDER BY starttime, endtime)),
+f AS (SELECT *, sum(CASE WHEN pe = starttime AND pr = rate THEN 0 ELSE 1 END) OVER (PARTITION BY icustay_id ORDER BY starttime, endtime) AS n FROM e)
+SELECT icustay_id, min(starttime) AS starttime, max(endtime) AS endtime, rate AS vaso_rate, sum(amount) AS vaso_amount FROM f GROUP BY icustay_id, n, rate
+UNION ALL SELECT icustay_id, starttime, endtime, rate, amount FROM inputevents_mv WHERE itemid = {ordered} AND statusdescription <> 'Rewritten'""")
+    def build(ctx):
+        rows = ctx["inputevents_cv"].filter(F.col("itemid").isin(list(codes))).select("icustay_id", "charttime", "itemid", "rate", "amount", "stopped")
+        weights = ctx["older_weight_durations"].select("icustay_id", F.col("starttime").alias("_s"), F.col("endtime").alias("_e"), "weight")
+        rows = interval_join(rows, weights, ["icustay_id"], "charttime", "_s", "_e", how="left")
+        rows = rows.withColumn("rate", F.when(F.col("itemid") == whole, F.col("rate") / F.coalesce("weight", F.lit(usual))).otherwise(F.col("rate")))
+        runs = charted_runs(rows, ["icustay_id"]).filter("run > 0")
+        until = F.lead("charttime").over(Window.partitionBy("icustay_id", "run").orderBy("charttime"))
+        steps = runs.select("icustay_id", F.col("charttime").alias("starttime"), until.alias("endtime"), F.col("rate").alias("vaso_rate"), F.col("amount").alias("vaso_amount"))
+        glued = merge_adjacent_equal(steps.filter("endtime IS NOT NULL AND vaso_rate > 0"), ["icustay_id"], "starttime", "endtime", "vaso_rate", "vaso_amount")
+        orders = ctx["inputevents_mv"].filter((F.col("itemid") == ordered) & (F.col("statusdescription") != "Rewritten"))
+        return glued.unionByName(orders.select("icustay_id", "starttime", "endtime", F.col("rate").alias("vaso_rate"), F.col("amount").alias("vaso_amount")))
+
+
+_weighted_dose("norepinephrine", 30047, (30120,), 221906)
+_weighted_dose("epinephrine", 30044, (30119, 30309), 221289)
+
 for _name, (_charted, _ordered) in DRUGS.items():
     _durations(_name, _charted, _ordered)
 for _name in ("dobutamine", "dopamine", "phenylephrine", "vasopressin"):
