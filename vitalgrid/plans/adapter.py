@@ -76,6 +76,7 @@ OLDER_TEXT_CODES = [
     (226732, ("Nasal cannula", "None", "Venti mask ", "High flow nasal cannula")), (723, ("1.0 ET/Trach", "5 Oriented", "1.0 ET/Trach", "2.0 Incomp sounds")),
     (223900, ("No Response-ETT", "Oriented", "Confused", "No Response-ETT")), (128, ("Full Code", "Do Not Resuscita", "Comfort Measures", "CPR Not Indicate")),
     (223758, ("Full code", "DNR (do not resuscitate)", "DNI (do not intubate)", "DNR / DNI")), (128, ("Do Not Intubate", "Other/Remarks", "Full Code", "Full Code")), (4183, ("3.25", "2100", "about 3", "0.75")),
+    (229, ("A-Line", "Dialysis Line", "Multi-lumen", "IABP")), (235, ("PICC line", "A-Line", "Swan", "Venous Access")), (271, ("None", "Portacath", "None", "None")), (582, ("CVVHD Start", "Procedure", "OR", "Imaging")), (466, ("Primary RN", "Dialysis RN", "Primary RN", "Resident")),
 ]
 _GAS_LAST = [c for c in LAB_CODES if 50813 <= c[0] <= 50821]  # beside the specimen's text
 OLDER_LAB_CODES = [*[c for c in LAB_CODES if c not in _GAS_LAST], (50812, 0, 0.25), (50826, 300, 10), (50827, 8, 1), (50828, 0, 1), *_GAS_LAST]
@@ -211,7 +212,7 @@ SELECT 'p' || CAST(event_id AS VARCHAR(20)) AS poe_id, user_id AS subject_id, CA
        CASE event_id % 32 WHEN 0 THEN 'Resuscitate (Full code)' WHEN 8 THEN 'DNAR (DO NOT attempt resuscitation for cardiac arrest) ' WHEN 16 THEN 'Full code  (attempt resuscitation)' ELSE 'Do not resuscitate (DNR/DNI)' END AS field_value
 FROM {events}""",
     "older_icustays": f"""
-SELECT user_id AS subject_id, user_id * 10 AS hadm_id, user_id * 100 + half AS icustay_id, min(ts) AS intime, max(ts) AS outtime
+SELECT user_id AS subject_id, user_id * 10 AS hadm_id, user_id * 100 + half AS icustay_id, min(ts) AS intime, max(ts) AS outtime, CASE WHEN user_id % 2 = 0 THEN 'carevue' ELSE 'metavision' END AS dbsource
 FROM (SELECT user_id, ts, {HALF.format(t='ts')} AS half FROM {{events}}) x GROUP BY user_id, half""",
     "older_patients": """
 SELECT user_id AS subject_id, CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS gender, CASE WHEN user_id % 6 = 0 THEN CAST('2024-06-01' AS DATE) END AS dod,
@@ -235,8 +236,10 @@ SELECT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, CASE WHEN e.event_id
        CASE WHEN e.event_id % 97 = 0 THEN CAST(6000 AS DOUBLE) ELSE CAST(e.event_id % 83 AS DOUBLE) * CAST(5 AS DOUBLE) END AS value, CASE WHEN e.event_id % 43 = 0 THEN '1' END AS iserror
 FROM {{events}} e CROSS JOIN (VALUES (0), (1)) AS s(slot) JOIN {_list(OLDER_OUTPUT_CODES, 'itemid')} ON c.idx = (e.event_id + s.slot * 5) % {len(OLDER_OUTPUT_CODES)}""",
     "procedureevents_mv": f"""
-SELECT {_stay} AS icustay_id, e.ts + INTERVAL '20' MINUTE AS starttime, c.itemid
-FROM {{events}} e JOIN {_list([227194, 225468, 225477, 225792], 'itemid')} ON c.idx = e.event_id % 4""",
+SELECT {_stay} AS icustay_id, e.ts + INTERVAL '20' MINUTE AS starttime, e.ts + (e.event_id % 90 + 1) * INTERVAL '1' HOUR AS endtime, c.itemid, CASE e.event_id % 3 WHEN 0 THEN 'Invasive Arterial' WHEN 1 THEN 'Invasive Venous' END AS locationcategory
+FROM {{events}} e JOIN {_list([227194, 225468, 225477, 225792, 224263, 225752, 225789, 224272, 224267, 225202, 227719], 'itemid')} ON c.idx = e.event_id % 11""",
+    "datetimeevents": f"""
+SELECT {_stay} AS icustay_id, e.ts AS charttime, c.itemid FROM {{events}} e JOIN {_list([224183, 224186, 225318, 225343, 224288, 225319, 224290, 225344, 224187, 224284, 224285], 'itemid')} ON c.idx = (e.user_id + e.event_id % 2) % 11""",
     "older_diagnoses": f"""
 SELECT subject_id, hadm_id, icd9_code, CAST(row_number() OVER (PARTITION BY hadm_id ORDER BY icd9_code) AS INT) AS seq_num FROM (
 SELECT DISTINCT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, c.icd9_code FROM {{events}} e JOIN {_list(ICD9_CODES, 'icd9_code')} ON c.idx = (e.user_id * 11 + e.event_id % 9) % {len(ICD9_CODES)}) d""",

@@ -381,3 +381,23 @@ def _bolus_orders(mv: DataFrame, codes: list[int], fast: str) -> DataFrame:
     amount = F.when(F.col("amountuom") == "L", F.col("amount") * 1000).when(F.col("amountuom") == "ml", F.col("amount"))
     rows = mv.filter(F.col("itemid").isin(codes) & (F.col("statusdescription") != "Rewritten")).filter(fast)
     return rows.select("icustay_id", F.col("starttime").alias("charttime"), F.round(amount).alias("amount"))
+
+
+CRYSTALLOID_ORDERS = [225158, 225828, 225944, 225797, 225159, 225823, 225825, 225827, 225941, 226089]
+CRYSTALLOIDS = [
+    30015, 30018, 30020, 30021, 30058, 30060, 30061, 30063, 30065, 30159, 30160, 30169, 30190, 40850, 41491, 42639, 42187, 43819, 41430, 40712, 44160, 42383, 42297, 42453, 40872, 41915, 41490, 46501, 45045, 41984, 41371, 41582,
+    41322, 40778, 41896, 41428, 43936, 44200, 41619, 40424, 41457, 41581, 42844, 42429, 41356, 40532, 42548, 44184, 44521, 44741, 44126, 44110, 44633, 44983, 44815, 43986, 45079, 46781, 45155, 43909, 41467, 44367, 41743, 40423,
+    44263, 42749, 45480, 44491, 41695, 46169, 41580, 41392, 45989, 45137, 45154, 44053, 41416, 44761, 41237, 44426, 43975, 44894, 41380, 42671,
+]
+_FAST = "((rateuom = 'mL/hour' AND rate > 248) OR (rateuom = 'mL/min' AND rate > 248 / CAST(60 AS DOUBLE)) OR (rate IS NULL AND amountuom = 'L' AND amount > 0.248) OR (rate IS NULL AND amountuom = 'ml' AND amount > 248))"
+
+
+@concept("crystalloid_bolus", ["older_fluids_cv", "older_fluids_mv"], f"""
+WITH a AS (SELECT icustay_id, starttime AS charttime, round(CASE WHEN amountuom = 'L' THEN amount * 1000 WHEN amountuom = 'ml' THEN amount END) AS amount FROM older_fluids_mv WHERE itemid IN ({_in(CRYSTALLOID_ORDERS)}) AND statusdescription <> 'Rewritten' AND {_FAST}),
+b AS (SELECT icustay_id, charttime, round(amount) AS amount FROM older_fluids_cv WHERE itemid IN ({_in(CRYSTALLOIDS)}) AND amount > 248 AND amount <= 2000 AND amountuom = 'ml')
+SELECT icustay_id, charttime, sum(amount) AS crystalloid_bolus FROM a WHERE amount > 248 GROUP BY 1, 2 UNION SELECT icustay_id, charttime, sum(amount) FROM b GROUP BY 1, 2""")
+def crystalloid_bolus(ctx):
+    ordered = _bolus_orders(ctx["older_fluids_mv"], CRYSTALLOID_ORDERS, _FAST).filter("amount > 248")
+    charted = ctx["older_fluids_cv"].filter(F.col("itemid").isin(CRYSTALLOIDS)).filter("amount > 248 AND amount <= 2000 AND amountuom = 'ml'").select("icustay_id", "charttime", F.round("amount").alias("amount"))
+    total = lambda df: df.groupBy("icustay_id", "charttime").agg(F.sum("amount").alias("crystalloid_bolus"))
+    return total(ordered).unionByName(total(charted)).distinct()

@@ -363,3 +363,86 @@ def older_suspicion_of_infection(ctx):
         "icustay_id", "antibiotic_name", "antibiotic_time", last.alias("last72_charttime"), following.alias("next24_charttime"), F.coalesce(last, following).alias("suspected_infection_time"),
         pick("s").alias("specimen"), pick("p").alias("positiveculture"),
     )
+
+
+# Codes of line types in the charting system, and of placed lines in the ordering system.
+LINE_TYPES = [229, 235, 241, 247, 253, 259, 265, 271]
+ARTERIAL_TYPES = ["A-Line", "IABP"]
+CENTRAL_TYPES = ["Multi-lumen", "PICC line", "Dialysis Line", "Introducer", "Trauma Line", "Portacath", "Venous Access", "Hickman", "PacerIntroducer", "TripleIntroducer"]
+ARTERIAL_PLACED, CENTRAL_PLACED = [224263, 224267, 224268, 225199, 225752, 225789, 224272], [224263, 224264, 224267, 224268, 225199, 225202, 225203, 225315, 225752, 227719, 224270]
+_IS_ARTERIAL = "(itemid IN (225752, 224272) OR locationcategory = 'Invasive Arterial' OR (itemid = 225789 AND locationcategory IS NULL))"
+_IS_CENTRAL = "(locationcategory <> 'Invasive Arterial' OR locationcategory IS NULL)"
+
+
+def _line(name: str, types: list[str], placed: list[int], which: str) -> None:
+    @concept(f"{name}_line_durations", ["older_chartevents", "procedureevents_mv"], f"""
+WITH a AS (SELECT DISTINCT icustay_id, charttime FROM older_chartevents WHERE itemid IN ({_in(LINE_TYPES)}) AND value IN ({_in(types)})),
+b AS (SELECT *, CASE WHEN date_diff('hour', lag(charttime) OVER (PARTITION BY icustay_id ORDER BY charttime), charttime) > 16 THEN 1 ELSE 0 END AS new FROM a),
+c AS (SELECT *, sum(new) OVER (PARTITION BY icustay_id ORDER BY charttime) AS k FROM b)
+SELECT icustay_id, min(charttime) AS starttime, max(charttime) AS endtime, date_diff('hour', min(charttime), max(charttime)) AS duration_hours FROM c GROUP BY icustay_id, k HAVING min(charttime) <> max(charttime)
+UNION ALL SELECT icustay_id, starttime, endtime, date_diff('hour', starttime, endtime) FROM procedureevents_mv WHERE itemid IN ({_in(placed)}) AND {which}""")
+    def build(ctx):
+        """Time with a line: charted runs without a gap of more than 16 hours, and placed lines."""
+        at = ctx["older_chartevents"].filter(F.col("itemid").isin(LINE_TYPES) & F.col("value").isin(types)).select("icustay_id", "charttime").distinct()
+        w = Window.partitionBy("icustay_id").orderBy("charttime")
+        new = F.coalesce((dt_diff(F.col("charttime"), F.lag("charttime").over(w), "HOUR") > 16).cast("int"), F.lit(0))
+        runs = at.withColumn("new", new).withColumn("k", F.sum("new").over(w)).groupBy("icustay_id", "k").agg(F.min("charttime").alias("starttime"), F.max("charttime").alias("endtime")).filter("starttime <> endtime")
+        done = ctx["procedureevents_mv"].filter(F.col("itemid").isin(placed)).filter(which).select("icustay_id", "starttime", "endtime")
+        both = runs.select("icustay_id", "starttime", "endtime").unionByName(done)
+        return both.withColumn("duration_hours", dt_diff(F.col("endtime"), F.col("starttime"), "HOUR"))
+
+
+_line("arterial", ARTERIAL_TYPES, ARTERIAL_PLACED, _IS_ARTERIAL)
+_line("central", CENTRAL_TYPES, CENTRAL_PLACED, _IS_CENTRAL)
+
+# Signs of renal replacement in every source; of the charts some count for the first day as well.
+_CHART_ANY, _CHART_LINE = [152, 148, 149, 146, 147, 151, 150], LINE_TYPES
+_CHART_582 = ["CAVH Start", "CAVH D/C", "CVVHD Start", "CVVHD D/C", "Hemodialysis st", "Hemodialysis end"]
+_CHART_917 = [
+    "+ INITIATE DIALYSIS", "BLEEDING FROM DIALYSIS CATHETER", "FAILED DIALYSIS CATH.", "FEBRILE SYNDROME;DIALYSIS", "HYPOTENSION WITH HEMODIALYSIS", "HYPOTENSION.GLOGGED DIALYSIS", "INFECTED DIALYSIS CATHETER",
+]
+_RRT_DAY = f"(itemid IN ({_in(_CHART_ANY)}) OR (itemid IN ({_in(_CHART_LINE)}) AND value = 'Dialysis Line') OR (itemid = 582 AND value IN ({_in(_CHART_582)})))"
+_RRT_STAY = f"({_RRT_DAY} OR (itemid = 466 AND value = 'Dialysis RN') OR (itemid = 927 AND value = 'Dialysis Solutions') OR (itemid = 6250 AND value = 'dialys') OR (itemid = 917 AND value IN ({_in(_CHART_917)})))"
+_MV_DAY = [226118, 227357, 225725, 226499, 224154, 225810, 227639, 225183, 227438, 224191, 225806, 225807, 228004, 228005, 228006, 224144, 224145, 224149, 224150, 224151, 224152, 224153, 224404, 224406, 226457]
+_MV_STAY = [*_MV_DAY, 225959, 224135, 224139, 224146, 225323, 225740, 225776, 225951, 225952, 225953, 225954, 225956, 225958, 225961, 225963, 225965, 225976, 225977, 227124, 227290, 227638, 227640, 227753]
+_CV_IN = [
+    40788, 40907, 41063, 41147, 41307, 41460, 41620, 41711, 41791, 41792, 42562, 43829, 44037, 44188, 44526, 44527, 44584, 44591, 44698, 44927, 44954, 45157, 45268, 45352, 45353, 46012, 46013, 46172, 46173, 46250, 46262, 46292,
+    46293, 46311, 46389, 46574, 46681, 46720, 46769, 46773,
+]
+_CV_OUT = [
+    40386, 40425, 40426, 40507, 40613, 40624, 40690, 40745, 40789, 40881, 40910, 41016, 41034, 41069, 41112, 41250, 41374, 41417, 41500, 41527, 41623, 41635, 41713, 41750, 41829, 41842, 41897, 42289, 42388, 42464, 42524, 42536,
+    42868, 42928, 42972, 43016, 43052, 43098, 43115, 43687, 43941, 44027, 44085, 44193, 44199, 44216, 44286, 44567, 44843, 44845, 44857, 44901, 44943, 45479, 45828, 46230, 46232, 46394, 46464, 46712, 46713, 46715, 46741,
+]
+_MV_IN, _MV_DATES, _MV_DONE = [227536, 227525], [225318, 225319, 225321, 225322, 225324], [225441, 225802, 225803, 225805, 224270, 225809, 225955, 225436]
+_OLD_SYSTEM = "icustay_id IN (SELECT icustay_id FROM older_icustays WHERE dbsource = 'carevue')"
+
+
+def _rrt(name: str, first_day: bool) -> None:
+    sources = [  # table, time, condition, whether it counts for stays of the charting system only
+        ("older_chartevents", "charttime", f"{_RRT_DAY if first_day else _RRT_STAY} AND value IS NOT NULL" + ("" if first_day else " AND (error IS NULL OR error = 0)"), True),
+        ("older_chartevents", "charttime", f"itemid IN ({_in(_MV_DAY if first_day else _MV_STAY)}) AND valuenum > 0" + ("" if first_day else " AND (error IS NULL OR error = 0)"), False),
+        ("inputevents_mv", "starttime", f"itemid IN ({_in(_MV_IN)}) AND amount > 0", False), ("datetimeevents", "charttime", f"itemid IN ({_in(_MV_DATES)})", False),
+        ("procedureevents_mv", "starttime", f"itemid IN ({_in(_MV_DONE)})", False),
+    ]
+    if not first_day:
+        sources += [("older_fluids_cv", "charttime", f"itemid IN ({_in(_CV_IN)}) AND amount > 0", False), ("older_outputevents", "charttime", f"itemid IN ({_in(_CV_OUT)}) AND value > 0", False)]
+    rows_sql = " UNION ALL ".join(f"SELECT icustay_id, {at} AS t FROM {t} WHERE {cond}{f' AND {_OLD_SYSTEM}' if old else ''}" for t, at, cond, old in sources)
+    within = " AND r.t BETWEEN i.intime AND i.intime + INTERVAL '1' DAY" if first_day else ""
+
+    @concept(name, ["older_icustays", *dict.fromkeys(t for t, *_ in sources)], f"""
+WITH r AS ({rows_sql}) SELECT i.subject_id, i.hadm_id, i.icustay_id, max(CASE WHEN r.icustay_id IS NOT NULL THEN 1 ELSE 0 END) AS rrt FROM older_icustays i LEFT JOIN r ON r.icustay_id = i.icustay_id{within} GROUP BY ALL""")
+    def build(ctx):
+        """Whether any source shows renal replacement."""
+        stays = ctx["older_icustays"].select(*STAY, "intime", "dbsource")
+        found = None
+        for table, at, cond, old in sources:
+            rows = ctx[table].filter(cond).select("icustay_id", F.col(at).alias("t"))
+            kept = rows.join(stays.drop("subject_id", "hadm_id"), "icustay_id")
+            kept = kept.filter("dbsource = 'carevue'") if old else kept
+            kept = kept.filter(F.col("t").between(F.col("intime"), F.col("intime") + hours(24))) if first_day else kept
+            found = kept.select("icustay_id") if found is None else found.unionByName(kept.select("icustay_id"))
+        return stays.select(*STAY).join(found.distinct().withColumn("rrt", F.lit(1)), "icustay_id", "left").withColumn("rrt", F.coalesce("rrt", F.lit(0)))
+
+
+_rrt("older_rrt", False)
+_rrt("rrt_first_day", True)
