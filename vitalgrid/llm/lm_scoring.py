@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from vitalgrid.llm.packing import from_narrow, from_slim, narrow, slim
 
-NGRAM_BITS = 48
+NGRAM_BITS = 46
 STRETCH = 256  # places of a text that are read one after the other
 END = np.uint64(xxhash.xxh3_64_intdigest(b"", seed=1))
 START = np.uint64(xxhash.xxh3_64_intdigest(b"", seed=2))
@@ -64,7 +64,7 @@ class Grams:
 
     def __init__(self, hashes: np.ndarray, own: np.ndarray, bits: int):
         short = hashes >> np.uint64(64 - bits)
-        self.bits, self.order = bits, np.argsort(short, kind="stable")
+        self.bits, self.order = bits, np.argsort(short)
         self.hash, self.own = short[self.order], own[self.order]
 
     def total(self, answered: np.ndarray) -> np.ndarray:
@@ -110,8 +110,10 @@ class Block:
         later = np.ones(total, bool)
         later[self.first] = False
         later = np.flatnonzero(later)
-        key, place, which = np.unique(self.pair_of[later - 1] * self.width + self.token[later], return_index=True, return_inverse=True)
-        self.triple_before, self.triple_last = key // self.width, self.pair_of[later[place]] if len(place) else key
+        key, which = np.unique(self.pair_of[later - 1] * self.width + self.token[later], return_inverse=True)
+        place = np.empty(len(key), np.int64)
+        place[which] = np.arange(len(which))
+        self.triple_before, self.triple_last = key // self.width, self.pair_of[later[place]]
         self.triple_of = np.full(total, -1, np.int64)
         self.triple_of[later] = which
         own = np.bincount(which[trained[later]], minlength=len(key)).astype(np.uint64)
