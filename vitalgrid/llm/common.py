@@ -105,10 +105,13 @@ def shingle_hash(words: Column, i: Column, k: int) -> Column:
     return F.xxhash64(*[F.get(words, i + j) for j in range(k)])
 
 
-def lower_ascii(text: Column) -> Column:
-    """``text`` with A-Z lower-cased and everything else as it is."""
-    plain = F.octet_length(text) == F.length(text)
-    return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
+def lower_but_ascii(text: Column) -> Column:
+    """``text`` in lower case, of which no ASCII letter was anything but one before.
+
+    Two letters of other scripts have ASCII ones in their lower case (the Kelvin sign and the dotted I); they stay.
+    """
+    odd = text.contains("\u212a") | text.contains("\u0130")
+    return F.when(odd, F.translate(text, string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.lower(text))
 
 
 def alnum_words(text: Column, lower=F.lower) -> Column:

@@ -20,7 +20,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import alnum_words, exploded_shingles, lower_ascii, shingle_hash, shingle_text
+from vitalgrid.llm.common import alnum_words, exploded_shingles, let, lower_but_ascii, shingle_hash, shingle_text
 from vitalgrid.llm.license_texts import NOTICES
 
 K = 4
@@ -41,9 +41,10 @@ def _grams(spark: SparkSession, listed: list[tuple], k: int) -> DataFrame:
     )
 
 
-def _hits(placed: DataFrame, grams: DataFrame, k: int) -> DataFrame:
-    hashed = placed.withColumn("h", shingle_hash(F.col("w"), F.col("pos"), k))
-    met = hashed.join(F.broadcast(grams), "h").filter(shingle_text(F.col("w"), F.col("pos"), k) == F.col("gram"))
+def _hits(placed: DataFrame, grams: DataFrame, gram: Column) -> DataFrame:
+    """Grams of the templates among ``doc, body, pos, h``: hashes meet first, then the words of ``gram``."""
+    met = placed.join(F.broadcast(grams.withColumnRenamed("gram", "_gram")), "h")
+    met = met.filter(F.array_contains(F.array("_gram"), gram))  # an equality would become a key, made for every place
     return met.select("doc", "body", "tid", "label", "base", "t_words", "k", "tpos", (F.col("pos") - F.col("tpos")).alias("diagonal"))
 
 
@@ -63,14 +64,27 @@ def scan_licenses(
     listed = [(i, label, plain(t), i < len(phrases)) for i, (label, t) in enumerate([*phrases, *notices])]
 
     def words() -> Column:
-        return alnum_words(F.col(text), lower_ascii)
+        return alnum_words(F.col(text), lower_but_ascii)
 
-    keyed = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("body"), words().alias("w"))
+    key = (F.col(doc_id).alias("doc"), F.xxhash64(text).alias("body"))
     starts = sorted({w for _, t in phrases for w in t.split()[:-1]})
-    first = F.filter(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.get("w", i).isin(starts))
-    short = keyed.filter(F.size("w") >= 2).withColumn("pos", F.explode(first))
-    hits = _hits(short, _grams(spark, listed[: len(phrases)], 2), 2)
-    hits = hits.unionByName(_hits(exploded_shingles(keyed, "w", K), _grams(spark, listed[len(phrases) :], K), K))
+
+    def pairs(w: Column) -> Column:
+        """Two-word grams that may begin a base phrase; ``w`` is split once, not anew for each place."""
+        at = F.filter(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.get(w, i).isin(starts) & (i + 1 < F.size(w)))
+        return F.transform(at, lambda i: F.struct(i.alias("pos"), F.get(w, i).alias("a"), F.get(w, i + 1).alias("b")))
+
+    # a text without the last word of any phrase has no base phrase
+    last = "|".join(sorted({re.escape(t.split()[-1]) for _, t in phrases}))
+    short = docs.filter(lower_but_ascii(F.col(text)).rlike(last)).select(*key, F.explode(let(words(), pairs)).alias("x")).select("doc", "body", "x.*").withColumn("h", F.xxhash64("a", "b"))
+    # most texts share no gram with any notice; the others are read place by place
+    notices_of = _grams(spark, listed[len(phrases) :], K)
+    known = F.lit([r.h for r in notices_of.select("h").distinct().collect()]).cast("array<bigint>")  # as many as the parameter has
+    hashes = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - 1), lambda i: shingle_hash(w, i, K))
+    some = docs.filter(F.arrays_overlap(let(words(), hashes), known))
+    long = exploded_shingles(some.select(*key, words().alias("w")), "w", K).withColumn("h", shingle_hash(F.col("w"), F.col("pos"), K))
+    hits = _hits(short, _grams(spark, listed[: len(phrases)], 2), F.concat_ws(" ", "a", "b"))
+    hits = hits.unionByName(_hits(long, notices_of, shingle_text(F.col("w"), F.col("pos"), K)))
     diagonals = hits.groupBy("doc", "body", "tid", "label", "base", "t_words", "k", "diagonal").agg(F.collect_set("tpos").alias("votes"))
     order = Window.partitionBy("doc", "body", "tid").orderBy("diagonal")
     gap = F.when(F.col("base"), 0).otherwise(diagonal_gap)  # a base phrase stands undisturbed
