@@ -45,7 +45,7 @@ def _skyline(block: np.ndarray, tf: np.ndarray, size: np.ndarray) -> tuple[np.nd
     block, tf, size = block[order], tf[order], size[order]
     wide = int(size.max(initial=0)) + 1
     least = np.minimum.accumulate(size - block * wide)  # falls with each new block, so no block sees the one before
-    best = np.r_[True, (size - block * wide)[1:] < least[:-1]]
+    best = np.r_[True, (size - block * wide)[1:] < least[:-1]][: len(size)]
     return block[best], tf[best], size[best]
 
 
@@ -236,7 +236,8 @@ def _terms(text: Column) -> Column:
 
 def _weighted_items(items: DataFrame, segments: DataFrame, item_id: str, text: str, n_docs: int, block_bytes: int) -> tuple[DataFrame, int]:
     """Items with their terms and weights, dealt into blocks, one row a block; and how many blocks."""
-    terms = items.select(F.col(item_id).alias("item"), F.xxhash64(text).alias("body"), F.explode(_terms(F.col(text))).alias("term"))
+    once = items.select(F.col(item_id).alias("item"), F.col(text).alias("text")).distinct()
+    terms = once.select("item", F.xxhash64("text").alias("body"), F.explode(_terms(F.col("text"))).alias("term"))
     asked = terms.groupBy("item", "body", "term").agg(F.count("*").alias("q"))
     df = segments.select(F.explode(F.arrays_zip("terms", "df")).alias("x")).groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.df").alias("df"))
     weight = F.floor(1000 * F.log((2.0 * n_docs + 2.0) / (2.0 * F.col("df") + 1.0)))
