@@ -6,10 +6,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.lm_scoring import lm_scores
-from vitalgrid.llm.mixing import DOMAINS, fit_rates, mix_to_targets
+from vitalgrid.llm.mixing import DOMAINS, fit_rates, mix_to_targets, op8_mixing
 from vitalgrid.llm.quality_classifier import quality_scores
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -98,27 +99,41 @@ def test_rates_equal_projected_gradient(spark):
     p, n = rng.dirichlet([0.5, 0.5, 0.5], 80), rng.integers(0, 90, 80).astype(float)
     n[:5] = 0
     df = spark.createDataFrame([(i, int(k), [float(x) for x in q]) for i, (k, q) in enumerate(zip(n, p))], "doc_id long, n_tokens long, p array<double>")
-    for target in ([0.6, 0.4, 0.0], [0.2, 0.3, 0.5]):
-        rows = sorted(fit_rates(df, target, max_steps=20, keep_every=3).collect(), key=lambda r: r.doc_id)
+    for target in ([0.6, 0.3, 0.1], [0.2, 0.3, 0.5], [0.1, 0.2, 0.7]):
+        rows = sorted(fit_rates(df, target, keep_every=3).collect(), key=lambda r: r.doc_id)
         share, total, r = np.array(target) / sum(target), n.sum(), np.ones(80)
-        hold = (p * n[:, None]).T @ p / total
-        metric = np.linalg.pinv(hold + 1e-6 * np.trace(hold) * np.eye(3))
         far = lambda r: (p * (r * n)[:, None]).sum(axis=0) / total - share
-        worst = lambda r: np.abs(far(r) / np.maximum(share, 1e-3)).max()
-        for _ in range(20):
-            if worst(r) <= 1e-3:
+        sizes = lambda r: far(r) / np.maximum(share, 1e-3)
+        for _ in range(100):
+            if np.abs(sizes(r)).max() <= 1e-3:
                 break
-            r = np.maximum(0, r - (p @ (metric @ far(r)) + 1e-4 * (r - 1)) / (1 + 1e-4))
-        assert np.allclose([x.rate for x in rows], r, atol=1e-9) and abs(rows[0].worst_gap - worst(r)) < 1e-9
-        assert len({x.worst_gap for x in rows}) == 1
+            hold = (p * (n * (r > 0))[:, None]).T @ p / total
+            step, size = p @ (np.linalg.pinv(hold + 1e-6 * np.trace(hold) * np.eye(3)) @ far(r)), (sizes(r) ** 2).sum()
+            for _ in range(20):
+                if (sizes(np.maximum(0, r - step)) ** 2).sum() >= size:
+                    step = step / 2
+            r = np.maximum(0, r - step)
+        assert np.allclose([x.rate for x in rows], r, atol=1e-9) and abs(rows[0].worst_gap - np.abs(sizes(r)).max()) < 1e-9
+        assert len({x.worst_gap for x in rows}) == 1 and rows[0].worst_gap <= 1e-3
 
 
-def test_targets_out_of_reach_are_reported(spark):
-    import pytest
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_targets_of_the_query_are_met(spark, sf):
+    import os
+    import warnings
+
+    if not os.path.isdir(f"/root/testdata/{sf}"):
+        pytest.skip("no such table here")
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        got = op8_mixing(spark, f"/root/testdata/{sf}").agg(F.max("worst_gap"), F.min("rate"), F.count("*")).first()
+    assert got[0] <= 1e-3 and got[1] >= 0 and got[2] > 0
 
+
+def test_targets_out_of_reach_are_reported(spark):
     df = spark.createDataFrame([(i, 10, [0.5, 0.5]) for i in range(4)], "doc_id long, n_tokens long, p array<double>")
     with pytest.warns(UserWarning, match="not met"):
-        rows = fit_rates(df, [0.9, 0.1], max_steps=8).collect()
+        rows = fit_rates(df, [0.9, 0.1]).collect()
     assert all(r.worst_gap > 1 and r.rate >= 0 for r in rows)
 
 

@@ -124,3 +124,15 @@ def test_helper_names_and_a_very_long_text(spark):
     rows = apply_rules(df).collect()
     assert len(rows) == 3 and all(r[c] == c for r in rows for c in names)
     assert {(r.n_words, r.kept) for r in rows} == {(150_000, True), (1, False)}
+
+
+def test_emptied_documents_are_rejected(spark):
+    """The share that is removed is one of word characters, whatever blanks stand around them."""
+    line = "these twelve words stand on one line that all of the pages share"
+    other = "and here are ten more words that only this page has no {}"
+    rows = [(i, line + " " * 500 + f"\n  \n{' ' * i}", "h") for i in range(30)] + [(100 + i, f"{line}\n{other.format(i)}", "h") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in apply_rules(docs).collect()}
+    assert not any(got[i].kept or got[i].clean_text.strip() for i in range(30))
+    assert all(got[100 + i].kept and got[100 + i].clean_text == other.format(i) for i in range(3))
+    assert not any(r.kept for r in apply_rules(docs, max_removed=1.0).collect() if r.doc_id < 30)

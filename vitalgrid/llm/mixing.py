@@ -3,9 +3,10 @@
 A softmax classifier learned from a bounded labelled sample (``max_labelled``) gives each document a
 posterior over domains.  Document rates ``r >= 0`` (expected copies) are then fitted by projected
 gradient least squares so that the expected domain totals ``sum r * tokens * posterior`` match the
-targets: with ``g`` the gap of the totals, weighted by the inverse of the domains' second moments, one step is
-``r <- max(0, r - step * (posterior . g + ridge * (r - 1)))``.  A step needs only the few totals from
-the cluster; rates are a fold over the gaps so far, and are written out every few steps.
+targets: with ``g`` the gap of the totals, weighted by the inverse second moments of the documents whose rate is
+above 0, one step is ``r <- max(0, r - posterior . g)``.  That metric makes the step the whole way as long as no further
+document reaches 0, so a few steps suffice.  A step needs only the few totals from the cluster; rates
+are a fold over the steps so far, and are written out every few steps.
 
 Domains are the four combinations of the labels quality and toxic.  Defined results: null and empty
 texts have no tokens, the prior's posterior and a rate like any other; an empty table gives an empty
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import materialize
+from vitalgrid.llm.common import materialize, scratch
 from vitalgrid.llm.features import as_texts, pair_counts, word_counts
 from vitalgrid.llm.quality_classifier import labelled_sample
 
@@ -136,71 +137,75 @@ def fit_rates(
     tokens: str = "n_tokens",
     posterior: str = "p",
     budget: float = 1.0,
-    ridge: float = 1e-4,
     tolerance: float = 1e-3,
     floor: float = 1e-3,
-    max_steps: int = 60,
+    max_steps: int = 100,
     keep_every: int = 6,
 ) -> DataFrame:
     """``members`` with ``rate`` and ``worst_gap``; ``targets`` are domain shares of ``budget`` times the corpus's tokens.
 
     ``worst_gap`` is the same in all rows: how far the worst domain's total is from its target, in shares of that
-    target (of ``floor`` of the budget for smaller targets and those of 0).  Targets that no rates reach give the
-    nearest rates of ``max_steps`` steps, a warning and a ``worst_gap`` above ``tolerance``.
+    target (of ``floor`` of the budget for smaller targets and those of 0).  Steps go on until it is at most
+    ``tolerance``; a step that leads away is halved.  Where no step leads nearer, the targets are out of reach (or
+    further than ``max_steps`` steps), which gives the nearest rates, a warning and a ``worst_gap`` above ``tolerance``.
     """
     k = len(targets)
     share = np.array(targets, float) / sum(targets)
     p = [F.get(posterior, i) for i in range(k)]
     n = F.col(tokens).cast("double")
-    moments = members.agg(
-        F.sum(n), *[F.sum(n * p[i] * p[j]) for i in range(k) for j in range(k)], *[F.sum(n * x) for x in p]
-    ).first()
-    total = moments[0] or 0.0
+    total = members.agg(F.sum(n)).first()[0] or 0.0
     current = materialize(members.withColumn("rate", F.lit(1.0)))
     if not total:
         return current.withColumn("worst_gap", F.lit(0.0))
-    hold = np.array(moments[1 : 1 + k * k], float).reshape(k, k) / total
-    # least squares in the metric of the domains' own moments: every direction then needs the same step
-    metric = np.linalg.pinv(hold + 1e-6 * np.trace(hold) * np.eye(k))
-    step = 1 / (1 + ridge)
-    gaps: list[list[float]] = []
-
-    def rate() -> Column:
-        if not gaps:
-            return F.col("rate")
-        history = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in gaps])
-
-        def fold(r: Column, g: Column) -> Column:
-            slope = sum((p[i] * F.get(g, i) for i in range(1, k)), p[0] * F.get(g, 0))
-            return F.greatest(F.lit(0.0), r - step * (slope + ridge * (r - 1)))
-
-        return F.aggregate(history, F.col("rate"), fold)
-
-    def worst() -> tuple[np.ndarray, float]:
-        """The gaps of the domains' totals, and the largest in shares of its target (of ``floor`` where that is less)."""
-        held = np.array(current.withColumn("_r", rate()).agg(*[F.sum(F.col("_r") * n * x) for x in p]).first(), float) / total
-        gap = held - budget * share
-        return gap, float(np.abs(gap / (budget * np.maximum(share, floor))).max())
+    upper = [(i, j) for i in range(k) for j in range(i, k)]
+    steps: list[list[float]] = []  # since ``current`` was written
 
+    def rate(steps: list[list[float]]) -> Column:
+        if not steps:
+            return F.col("rate")
+        slope = lambda g: sum((p[i] * F.get(g, i) for i in range(1, k)), p[0] * F.get(g, 0))
+        history = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in steps])
+        return F.aggregate(history, F.col("rate"), lambda r, g: F.greatest(F.lit(0.0), r - slope(g)))
+
+    def measure() -> tuple[np.ndarray, float, np.ndarray]:
+        """The gaps of the domains' totals, the worst one, and the inverse moments of the documents that can move both ways."""
+        r = F.col("_r")
+        free = [F.sum(F.when(r > 0, n * p[i] * p[j])) for i, j in upper]
+        row = np.array([x or 0.0 for x in current.withColumn("_r", rate(steps)).agg(*[F.sum(r * n * x) for x in p], *free).first()], float) / total
+        gap, hold = row[:k] - budget * share, np.zeros((k, k))
+        for (i, j), x in zip(upper, row[k:], strict=True):
+            hold[i, j] = hold[j, i] = x
+        metric = np.linalg.pinv(hold + 1e-6 * np.trace(hold) * np.eye(k))
+        return gap / (budget * np.maximum(share, floor)), float(np.abs(gap / (budget * np.maximum(share, floor))).max()), metric @ gap
+
+    best, halved = np.inf, 0
     for _ in range(max_steps):
-        gap, far = worst()
-        if far <= tolerance:
+        gaps, far, step = measure()
+        size = float(gaps @ gaps)
+        if far <= tolerance or (size < best and size > best * (1 - 1e-6)):
             break
-        gaps.append((metric @ gap).tolist())
-        if len(gaps) == keep_every:
-            current = materialize(current.withColumn("rate", rate()))
-            gaps.clear()
+        if size >= best:
+            if (halved := halved + 1) > 20:
+                break
+            steps[-1] = [x / 2 for x in steps[-1]]
+            continue
+        best, halved = size, 0
+        if len(steps) >= keep_every:
+            current = materialize(current.withColumn("rate", rate(steps)))
+            steps.clear()
+        steps.append(step.tolist())
     else:
-        _, far = worst()
+        _, far, _ = measure()
     if far > tolerance:
-        warnings.warn(f"targets not met after {max_steps} steps: the worst domain is off by {far:.2%}", stacklevel=2)
-    return current.withColumns({"rate": rate(), "worst_gap": F.lit(far)})
+        warnings.warn(f"targets not met: the worst domain is off by {far:.2%}", stacklevel=2)
+    return current.withColumns({"rate": rate(steps), "worst_gap": F.lit(far)})
 
 
 def mix_to_targets(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_tokens``, a posterior column per domain, ``rate`` and ``worst_gap`` for every row."""
-    members = materialize(domain_posteriors(docs, labels, doc_id=doc_id, text=text))
-    fitted = fit_rates(members, [targets[d] for d in DOMAINS])
+    with scratch(docs.sparkSession):
+        members = materialize(domain_posteriors(docs, labels, doc_id=doc_id, text=text))
+        fitted = materialize(fit_rates(members, [targets[d] for d in DOMAINS]), outer=True)
     return fitted.select(doc_id, "n_tokens", *[F.get("p", i).alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", "worst_gap")
 
 

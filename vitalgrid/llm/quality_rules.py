@@ -2,7 +2,7 @@
 
 Lines are normalised (lower case, white space collapsed) and hashed.  For each host the operator
 counts the distinct documents that hold a line; a line above the host's limit is removed, and a
-document that loses most of its characters that way is rejected as depleted.
+document that loses most of its word characters that way is rejected as depleted.
 
 Equal texts are one document for this count, and a line repeated in one text counts once.  Otherwise
 every member of a large group of copies would be emptied by the others and the content would be lost
@@ -132,8 +132,8 @@ def apply_rules(
 ) -> DataFrame:
     """``docs`` with base counts, ``n_removed_lines``, ``clean_text`` and ``kept``.
 
-    A document is kept if it passes the base rules and loses at most ``max_removed`` of its word
-    characters.  The table of affected documents is written once; it is broadcast only up to
+    A document is kept if it passes the base rules, loses at most ``max_removed`` of its word
+    characters and has a word left.  The table of affected documents is written once; it is broadcast only up to
     ``broadcast_bytes`` and joined by a shuffle beyond that.  Columns of ``docs`` named like one of the
     results are replaced.
     """
@@ -150,11 +150,13 @@ def apply_rules(
     cut = F.array_join(
         F.filter(F.split(t, "\n", -1), lambda x, i: ~F.array_contains(F.col(gone_lines), i)), "\n"
     )
-    share = F.coalesce(F.col(gone_chars), F.lit(0)) / F.greatest(F.length(F.coalesce(t, F.lit(""))), F.lit(1))
+    # word characters that are left; nothing is removed from most documents
+    left = F.when(F.col(gone_lines).isNull(), F.col("word_chars")).otherwise(F.length(F.array_join(words_of(cut), "")))
+    enough = (left > 0) & (left >= (1 - max_removed) * F.col("word_chars"))
     return joined.withColumns({
         "n_removed_lines": F.coalesce(F.size(gone_lines), F.lit(0)).cast("long"),
         "clean_text": F.when(F.col(gone_lines).isNull(), t).otherwise(cut),
-        "kept": ~F.col("base_failed") & (share <= max_removed),
+        "kept": ~F.col("base_failed") & enough,
     }).drop(doc, body, gone_lines, gone_chars)
 
 
