@@ -108,3 +108,42 @@ def test_cards_beside_other_numbers(spark):
     assert got[0].text.endswith(" 12/25") and got[1].text.endswith(" 123") and got[2].text.startswith("5 ")
     assert [got[i].n_replaced for i in (0, 1, 2, 3, 6, 9)] == [1, 1, 1, 2, 2, 2]
     assert got[5].text.startswith("no 7 ") and got[5].text.endswith(" 12 9")
+
+
+def test_values_written_otherwise(spark):
+    """Cards after a full stop or with full stops, bare phones and security numbers, letters of all scripts, months first."""
+    texts = [
+        "Card no.4111 1111 1111 1111", "no.4111111111111111", "4111.1111.1111.1111", "212.555.0123", "call 2125550123 now", "SSN 123456789", "social security no: 123456789.", "12/25/2024", "02/29/2024", "12/31/2399", "01/13/1600",
+    ]
+    got = run(spark, texts)
+    shape = lambda s: re.sub(r"\d", "9", s)
+    for i, t in enumerate(texts):
+        assert got[i].text != t and shape(got[i].text) == shape(t) and (got[i].n_found, got[i].n_replaced) == (1, 1), t
+    assert len({re.sub(r"\D", "", got[i].text) for i in (0, 1, 2)}) == 1
+    assert all(int(got[i].text[3:5]) > 12 for i in (7, 8, 9, 10))
+    back = run(spark, [got[i].text for i in range(len(texts))], inverse=True)
+    assert [back[i].text for i in range(len(texts))] == texts
+    mails = run(spark, ["andré@example.fr", "x josé.müller@bücher.de y"])
+    assert not any(x in r.text for r in mails.values() for x in ("andr", "josé", "müller", "bücher"))
+    left = ["id 123456789", "SSN 000456789", "02/30/2024", "13/13/2024", "table 12 34 56 78 90 12 34 56 78 90", "1.2345 2.3456 3.4567 4.5678", "1125550123", "2121550123", "212.555.0123.4", "4111.1111.1111.1112"]
+    assert [r.text for _, r in sorted(run(spark, left).items())] == left
+
+
+def test_found_values_equal_a_plain_search(spark):
+    """Phones, bare or not, and cards in one group among random numbers."""
+    import random
+
+    r = random.Random(4)
+    card = lambda d: d + str(-luhn(d + "0") % 10)
+    for_sure = [card("".join(r.choices("0123456789", k=15))) for _ in range(60)] + [f"{r.randint(200, 999)}{r.randint(200, 999)}{r.randint(0, 9999):04d}" for _ in range(60)]
+    texts = [f"a {x}, {r.randint(0, 99999)} b" for x in for_sure] * 2  # repeated rows get repeated results
+    got = run(spark, texts)
+    for i, t in enumerate(texts):
+        digits = [x for x in re.findall(r"(?<!\d)\d+(?!\d)", t) if (len(x) == 10 and x[0] > "1" and x[3] > "1") or (13 <= len(x) <= 19 and luhn(x) % 10 == 0)]
+        assert got[i].n_replaced == len(digits) == 1 and digits[0] not in got[i].text
+    assert [got[i].text for i in range(120)] == [got[i].text for i in range(120, 240)]
+
+
+def test_no_plan_shows_the_key(spark):
+    df = spark.createDataFrame([(1, "4111111111111111")], "doc_id long, text string")
+    assert "very-own-key" not in pseudonymize(df, "very-own-key")._jdf.queryExecution().toString()

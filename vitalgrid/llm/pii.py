@@ -28,32 +28,41 @@ from vitalgrid.llm.common import fresh, let
 
 ROUNDS = 8
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-EMAIL = r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+EMAIL = r"(?<![\w.%+\p{L}\p{M}-])[\w.%+\p{L}\p{M}-]++@[0-9\p{L}\p{M}-]++(?:\.[0-9\p{L}\p{M}-]+)*\.\p{L}{2,}"
 SECRET = r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,128}+(?![0-9A-Za-z])"
 PHONE = r"\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
-#: Ten digits of the North American plan: area and exchange begin with 2 to 9.
-DOMESTIC = r"(?<![\d(.-])(?:\([2-9]\d{2}\) ?|[2-9]\d{2}-)[2-9]\d{2}-\d{4}(?![\d-])"
+#: Ten digits of the North American plan: area and exchange begin with 2 to 9; with one kind of separator or none.
+DOMESTIC = r"(?<![\d(.-])(?:(?:\([2-9]\d{2}\) ?|[2-9]\d{2}-)[2-9]\d{2}-\d{4}(?![\d-])|[2-9]\d{2}\.[2-9]\d{2}\.\d{4}(?!\.?\d)|[2-9]\d{2}[2-9]\d{6}(?![\d-]|\.\d))"
 ADDRESS = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)"
 ISO_DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 DAY_FIRST = r"(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])"
 #: Areas 000, 666 and from 900 on, group 00 and serial 0000 are never given out.
 SSN = r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\d-])"
-#: Between the groups of a run: one blank or hyphen that no date, security number, phone or address follows.
-GAP = rf"[ -](?!{ADDRESS}|{ISO_DATE}|{DAY_FIRST}|{SSN}|{DOMESTIC})"
+#: Nine digits without hyphens, where the text before says what they are.
+BARE_SSN = r"(?<!\d)(?=(?!000|666|9)\d{3}(?!00)\d{2}(?!0000)\d{4}(?!\d))(?<=(?i:ssn|social security|security n)[^\d\n]{0,16})\d{9}"
+#: Between the groups of a run: one blank or hyphen that no date, security number, phone or address follows, or
+#: a full stop before four digits.
+GAP = rf"(?:[ -](?!{ADDRESS}|{ISO_DATE}|{DAY_FIRST}|{SSN}|{DOMESTIC})|\.(?=\d{{4}}(?!\d)))"
 #: A run of digit groups with 13 digits or more, in which cards are looked for.
-CARD = rf"(?<![\d.])(?=\d(?:(?:{GAP})?\d){{12}})\d++(?:{GAP}\d++)*+"
+CARD = rf"(?<!\d)(?<!\d\.)(?=\d(?:(?:{GAP})?\d){{12}})\d++(?:{GAP}\d++)*+"
 #: Sizes of the groups of cards that are written evenly, with one kind of separator.
 EVEN = ("4,4,4,4", "4,6,5")
-ANY = "|".join((EMAIL, SECRET, PHONE, DOMESTIC, ADDRESS, ISO_DATE, DAY_FIRST, SSN, CARD))
+ANY = "|".join((EMAIL, SECRET, PHONE, DOMESTIC, ADDRESS, ISO_DATE, DAY_FIRST, SSN, BARE_SSN, CARD))
+#: Groups of a card that is not written evenly, at most; rows of many short numbers are none.
+LOOSE_GROUPS = 6
 #: Dates of two Gregorian cycles of 400 years are permuted among themselves: 2 * 146097 = 378 * 773 days.
 FIRST_DAY, DAYS = "1600-01-01", (378, 773)
+#: Of them, those after the twelfth of their month: 2 * 88497 = 18 * 9833.
+LATE_DAYS, LATE_IN_MONTH = (18, 9833), 176994 / 9600
 
 
-def feistel(a: Column, b: Column, size_a: Column, size_b: Column, key: str, kind: str, inverse: bool = False) -> Column:
+def feistel(a: Column, b: Column, size_a: Column, size_b: Column, key: Column, kind: str, inverse: bool = False) -> Column:
     """Struct ``a, b``: the pair permuted among all pairs below ``size_a`` and ``size_b``."""
 
+    key = F.lit(key) if isinstance(key, str) else key
+
     def pseudo(i: Column, x: Column, size: Column) -> Column:
-        digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), size_a, size_b, i, x), 256)
+        digest = F.sha2(F.concat_ws("|", key, F.lit(kind), size_a, size_b, i, x), 256)
         return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), size)
 
     def forward(s: Column, i: Column) -> Column:
@@ -69,7 +78,7 @@ def feistel(a: Column, b: Column, size_a: Column, size_b: Column, key: str, kind
     return F.aggregate(rounds, start, back if inverse else forward)
 
 
-def permute_digits(digits: Column, key: str, kind: str, inverse: bool = False) -> Column:
+def permute_digits(digits: Column, key: Column, kind: str, inverse: bool = False) -> Column:
     """A string of two to 20 digits, permuted among those of its length."""
     n = F.length(digits)
     u = F.floor(n / 2).cast("int")
@@ -108,7 +117,7 @@ def _digits(m: Column) -> Column:
     return F.regexp_replace(m, r"\D", "")
 
 
-def _card(m: Column, key: str, inverse: bool) -> Column:
+def _card(m: Column, key: Column, inverse: bool) -> Column:
     """A valid card with its digits permuted."""
 
     def body(d: Column) -> Column:
@@ -122,8 +131,8 @@ def _card(m: Column, key: str, inverse: bool) -> Column:
 def _spans(groups: Column, marks: Column) -> Column:
     """The cards in a run of digit groups: first and last group, none overlapping, in order.
 
-    Whole groups of 13 to 19 digits and even cards come before any other groups with 13 to 19 digits together,
-    of which longer ones are tried first. Only spans that pass Luhn count.
+    Whole groups of 13 to 19 digits and even cards come before any other groups (at most ``LOOSE_GROUPS``, no full stop
+    between them) with 13 to 19 digits together, of which longer ones are tried first. Only spans that pass Luhn count.
     """
     n = F.size(groups)
 
@@ -143,10 +152,11 @@ def _spans(groups: Column, marks: Column) -> Column:
 
     def loose(first: Column) -> Column:
         def free(part: Column, i: Column, j: Column) -> Column:
-            return ~F.exists(F.slice(first, i + 1, j - i + 1), lambda x: x >= 0)
+            dotted = F.array_contains(F.slice(marks, i + 1, j - i), ".")
+            return ~dotted & ~F.exists(F.slice(first, i + 1, j - i + 1), lambda x: x >= 0)
 
         return F.transform(
-            first, lambda x, i: F.when(x >= 0, x).otherwise(ends(i, free, F.least(i + 18, n - 1)))
+            first, lambda x, i: F.when(x >= 0, x).otherwise(ends(i, free, F.least(i + LOOSE_GROUPS - 1, n - 1)))
         )
 
     def chosen(end: Column) -> Column:
@@ -160,7 +170,7 @@ def _spans(groups: Column, marks: Column) -> Column:
     return let(let(first, loose), chosen)
 
 
-def _cards(m: Column, key: str, inverse: bool) -> Column:
+def _cards(m: Column, key: Column, inverse: bool) -> Column:
     """A run of digit groups with its cards permuted: ``new``, ``found``, ``replaced``."""
 
     def rewrite(groups: Column, marks: Column) -> Column:
@@ -185,7 +195,7 @@ def _cards(m: Column, key: str, inverse: bool) -> Column:
         return let(_spans(groups, marks), joined)
 
     both = F.struct(
-        F.regexp_extract_all(m, F.lit(r"\d+"), F.lit(0)).alias("g"), F.regexp_extract_all(m, F.lit("[ -]"), F.lit(0)).alias("s")
+        F.regexp_extract_all(m, F.lit(r"\d+"), F.lit(0)).alias("g"), F.regexp_extract_all(m, F.lit("[ .-]"), F.lit(0)).alias("s")
     )
     return let(both, lambda b: rewrite(b["g"], b["s"]))
 
@@ -198,7 +208,7 @@ def _result(m: Column, new: Column, values: Column) -> Column:
     )
 
 
-def _phone(m: Column, key: str, inverse: bool) -> Column:
+def _phone(m: Column, key: Column, inverse: bool) -> Column:
     def body(d: Column) -> Column:
         code = F.length(d) - 10
         own = permute_digits(F.substring(d, code + 1, F.lit(10)), key, "phone", inverse)
@@ -207,7 +217,7 @@ def _phone(m: Column, key: str, inverse: bool) -> Column:
     return let(_digits(m), body)
 
 
-def _domestic(m: Column, key: str, inverse: bool) -> Column:
+def _domestic(m: Column, key: Column, inverse: bool) -> Column:
     """A ten-digit number, permuted among those of its plan."""
 
     def body(d: Column) -> Column:
@@ -219,7 +229,7 @@ def _domestic(m: Column, key: str, inverse: bool) -> Column:
     return let(_digits(m), body)
 
 
-def _ssn(m: Column, key: str, inverse: bool) -> Column:
+def _ssn(m: Column, key: Column, inverse: bool) -> Column:
     """A security number, permuted among the 898 areas, 99 groups and 9999 serials that are given out."""
 
     def body(d: Column) -> Column:
@@ -236,7 +246,7 @@ def _ssn(m: Column, key: str, inverse: bool) -> Column:
     return let(_digits(m), body)
 
 
-def _address(m: Column, key: str, inverse: bool) -> Column:
+def _address(m: Column, key: Column, inverse: bool) -> Column:
     def body(p: Column) -> Column:
         low = [F.get(p, i).cast("long") for i in range(4)]
         size = F.lit(65536)
@@ -247,7 +257,7 @@ def _address(m: Column, key: str, inverse: bool) -> Column:
     return let(F.split(m, r"\."), body)
 
 
-def _date(m: Column, pattern: str, key: str, inverse: bool) -> Column:
+def _date(m: Column, pattern: str, key: Column, inverse: bool) -> Column:
     a, b = DAYS
     first = F.lit(FIRST_DAY).cast("date")
 
@@ -260,19 +270,41 @@ def _date(m: Column, pattern: str, key: str, inverse: bool) -> Column:
     return let(F.try_to_timestamp(m, F.lit(pattern)).cast("date"), body)
 
 
-def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
+def _month_first(m: Column, key: Column, inverse: bool) -> Column:
+    """A date that can only be read with its month first, permuted among those: the ones after the twelfth of a month."""
+    a, b = LATE_DAYS
+    first = F.lit(FIRST_DAY).cast("date")
+    before = lambda month: F.date_diff(F.add_months(first, month), first) - 12 * month  # noqa: E731  late days before it
+
+    def dated(s: Column) -> Column:
+        at = (s["a"] * b + s["b"]).cast("int")
+        near = F.floor(at / LATE_IN_MONTH).cast("int")  # right but for one month
+        month = F.element_at(F.filter(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: near + d), lambda k: (k >= 0) & (before(k) <= at)), -1)
+        return let(month, lambda k: F.date_format(F.date_add(F.add_months(first, k), (at - before(k)).cast("int") + 12), "MM/dd/yyyy"))
+
+    def body(day: Column) -> Column:
+        month = (F.year(day) - 1600) * 12 + F.month(day) - 1
+        n = before(month) + F.day(day) - 13
+        mixed = feistel(F.floor(n / b), n % b, F.lit(a), F.lit(b), key, "month first", inverse)
+        return F.when(day.isNull() | (F.day(day) < 13) | (F.year(day) < 1600) | (F.year(day) >= 2400), m).otherwise(let(mixed, dated))
+
+    return let(F.try_to_timestamp(m, F.lit("MM/dd/yyyy")).cast("date"), body)
+
+
+def pseudonym(m: Column, key: Column, inverse: bool = False) -> Column:
     """The pseudonym of one matched value other than a card, or the value itself if it does not validate."""
     whole = lambda p: m.rlike(rf"^(?:{p})$")
-    keyed = F.sha2(F.concat(F.lit(key + "|"), F.lower(m)), 512)
+    keyed = F.sha2(F.concat(key, F.lit("|"), F.lower(m)), 512)
     return (
         F.when(m.contains("@"), F.concat(F.lit("user-"), F.substring(keyed, 1, 16), F.lit("@example.invalid")))
         .when(whole(SECRET) & m.rlike("[a-fA-F]"), F.substring(keyed, F.lit(1), F.length(m)))
         .when(whole(PHONE), _phone(m, key, inverse))
         .when(whole(ADDRESS), _address(m, key, inverse))
         .when(whole(ISO_DATE), _date(m, "yyyy-MM-dd", key, inverse))
+        .when(m.rlike(r"^(?:0\d|1[0-2])/(?:1[3-9]|[23]\d)/\d{4}$"), _month_first(m, key, inverse))
         .when(whole(DAY_FIRST), _date(m, "dd/MM/yyyy", key, inverse))
         .when(whole(DOMESTIC), _domestic(m, key, inverse))
-        .when(whole(SSN), _ssn(m, key, inverse))
+        .when(whole(SSN) | m.rlike(r"^\d{9}$"), _ssn(m, key, inverse))
         .otherwise(m)
     )
 
@@ -280,14 +312,16 @@ def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
 def pseudonymize(docs: DataFrame, key: str, *, text: str = "text", inverse: bool = False) -> DataFrame:
     """``docs`` with ``text`` rewritten and ``n_found`` (values matched) and ``n_replaced`` added.
 
-    Columns of these two names are replaced, all others pass through.
+    Columns of these two names are replaced, all others pass through.  The key is a row of a local table that meets all
+    others, so that it stands in no expression and no plan's text shows it.
     """
     t = F.col(text)
     maybe = t.rlike("[0-9@]")
     found = F.when(maybe, F.regexp_extract_all(t, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    held, made = fresh(docs, "_found", "_new")
-    out = docs.withColumn(held, found)
-    run = lambda m: m.rlike(r"^\d[\d -]*$") & (F.length(_digits(m)) >= 13)
+    held, made, secret = fresh(docs, "_found", "_new", "_secret")
+    keys = docs.sparkSession.createDataFrame([(key,)], f"{secret} string")  # one row
+    out, key = docs.withColumn(held, found).join(F.broadcast(keys)), F.col(secret)
+    run = lambda m: m.rlike(r"^\d[\d .-]*$") & (F.length(_digits(m)) >= 13)
     other = lambda m: let(pseudonym(m, key, inverse), lambda x: _result(m, x, F.lit(1)))
     out = out.withColumn(made, F.transform(held, lambda m: F.when(run(m), _cards(m, key, inverse)).otherwise(other(m))))
     joined = F.array_join(
@@ -298,7 +332,7 @@ def pseudonymize(docs: DataFrame, key: str, *, text: str = "text", inverse: bool
         text: F.when(F.size(held) > 0, joined).otherwise(t),
         "n_found": F.coalesce(total("found"), F.lit(0)).cast("long"),
         "n_replaced": F.coalesce(total("replaced"), F.lit(0)).cast("long"),
-    }).drop(held, made)
+    }).drop(held, made, secret)
 
 
 #: Key of the query and of the tests; a real run passes its own secret.
