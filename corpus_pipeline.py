@@ -57,12 +57,18 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(leaks, _same_row(docs, leaks, doc, body), "left_anti")
 
 
+#: True lets runs without a secret use the public key; a real run sets the secret, and this to False to be sure of it.
+DEMONSTRATION = True
+
+
 def pii_key(spark: SparkSession) -> str:
-    """The secret of the pseudonyms: ``spark.vitalgrid.pii.key`` of the session, which a real run must set."""
-    if (key := spark.conf.get("spark.vitalgrid.pii.key", None)) is None:
-        warnings.warn("spark.vitalgrid.pii.key is not set: the pseudonyms are made with the public demonstration key", stacklevel=2)
-        return DEMO_KEY
-    return key
+    """The secret of the pseudonyms: ``spark.vitalgrid.pii.secret`` of the session, a name that Spark redacts."""
+    if (key := spark.conf.get("spark.vitalgrid.pii.secret", None)) is not None:
+        return key
+    if not DEMONSTRATION:
+        raise RuntimeError("spark.vitalgrid.pii.secret must be set")
+    warnings.warn("spark.vitalgrid.pii.secret is not set: the pseudonyms are made with the public demonstration key", stacklevel=2)
+    return DEMO_KEY
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
