@@ -229,9 +229,9 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     assert len(texts) > len(kept) > len(one) > len(clean)
     folder = Path(shared_dir(spark).removeprefix("file://"))
     before = set(folder.iterdir()) if folder.exists() else set()
-    spark.conf.set("spark.vitalgrid.pii.key", "of this test")
+    spark.conf.set("spark.vitalgrid.pii.secret", "of this test")
     got = {r.doc_id: r for r in c.run(spark, str(tmp_path)).collect()}
-    spark.conf.unset("spark.vitalgrid.pii.key")
+    spark.conf.unset("spark.vitalgrid.pii.secret")
     assert sorted(got) == clean
     for i, r in got.items():
         assert r.n_tokens == len(texts[i].split()) and r.rate >= 0
@@ -270,6 +270,6 @@ def test_the_key_is_the_sessions(spark):
     docs = spark.createDataFrame([(1, "host 10.0.0.1", 1)], "doc_id long, text string, n_chars long")
     with pytest.warns(UserWarning, match="demonstration key"):
         public = c.pii(spark, docs, "").first().text
-    spark.conf.set("spark.vitalgrid.pii.key", "another")
+    spark.conf.set("spark.vitalgrid.pii.secret", "another")
     assert c.pii(spark, docs, "").first().text not in (public, "host 10.0.0.1")
-    spark.conf.unset("spark.vitalgrid.pii.key")
+    spark.conf.unset("spark.vitalgrid.pii.secret")
