@@ -1,9 +1,11 @@
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.dt import hours
 from vitalgrid.operators import cohort, compare, episodes, joins, text
+from vitalgrid.operators.resources import crosswalk, typed_values, view
 from vitalgrid.sources import io
 
 T0 = dt.datetime(2150, 1, 1)
@@ -59,7 +61,7 @@ def test_joins_on_time(spark):
     assert [count(c) for c in ("both", "left", "right", "neither")] == [2, 1, 1, 0]
     left = frame(spark, [(1, "r1", at(5)), (1, "r2", at(20)), (3, "r3", at(5))], ["k", "id", "t"])
     right = frame(spark, [(1, at(3), 1.0), (1, at(4), 2.0), (1, at(6), 3.0)], ["k", "seen", "v"])
-    got = joins.asof_join(left, right, ["k"], "t", "seen", ["v"], hours(4), ["id"])
+    got = joins.asof_join(left, right, ["k"], "t", "seen", ["v"], 4)
     assert {r.id: r.v for r in got.collect()} == {"r1": 2.0, "r2": None, "r3": None}
 
 
@@ -70,6 +72,86 @@ def test_range_joins_have_an_equality(spark):
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def _random_rows(seed, n, hot):
+    r = random.Random(seed)
+    return [(1 if r.random() < hot else r.randint(2, 9), at(r.randint(0, 400)) if r.random() > 0.02 else None, float(i)) for i in range(n)]
+
+
+def test_as_of_join_equals_brute_force_without_a_join(spark):
+    left, right = _random_rows(1, 300, 0.5), _random_rows(2, 300, 0.5) + [(None, at(1), 1.0)]
+    l, r = frame(spark, left, ["k", "t", "id"]), frame(spark, right, ["k", "seen", "v"])
+    for tolerance, wide in ((4, 24), (30, 1), (3, 3)):
+        out = joins.asof_join(l, r, ["k"], "t", "seen", ["v"], tolerance, bucket_hours=wide)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        want = {}
+        for k, t, i in left:
+            near = [(s, v) for q, s, v in right if q == k and t and s and t - dt.timedelta(hours=tolerance) <= s <= t]
+            want[i] = max(near)[1] if near else None
+        assert {x.id: x.v for x in out.collect()} == want and out.columns == ["k", "t", "id", "v"]
+        assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_interval_join_spreads_a_hot_key(spark):
+    points = _random_rows(3, 600, 0.5)
+    r = random.Random(4)
+    spans = [(1 if r.random() < 0.5 else r.randint(2, 9), s := at(r.randint(0, 400)), s + dt.timedelta(hours=r.choice([0, 1, 30, 100, -5])), i) for i in range(80)] + [(1, None, at(5), 98), (1, at(5), None, 99)]
+    p, iv = frame(spark, points, ["k", "t", "id"]), frame(spark, spans, ["k", "s", "e", "n"])
+    for how in ("inner", "left"):
+        out = joins.interval_join(p, iv, ["k"], "t", "s", "e", closed="left", how=how)
+        want = []
+        for k, t, i in points:
+            own = [n for q, s, e, n in spans if q == k and t and s and e and s <= t < e]
+            want += [(i, n) for n in own] or ([(i, None)] if how == "left" else [])
+        assert sorted((x.id, -1 if x.n is None else x.n) for x in out.collect()) == sorted((i, -1 if n is None else n) for i, n in want)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    hot = joins.interval_join(p.filter("k = 1"), iv, ["k"], "t", "s", "e").groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(hot) >= 4  # one key's rows are in several tasks
+
+
+NESTED = "id string, status string, tags array<struct<system:string,use:string,value:string>>, subject struct<reference:string>, valueQuantity struct<value:double>, valueString string, parts array<struct<name:string,codes:array<struct<system:string,code:string>>>>"
+
+
+def test_views_of_nested_resources(spark):
+    rows = [
+        ("a", "final", [("s", "x", "1"), ("s", "y", "2"), ("t", "x", "3")], ("Patient/p1",), (1.5,), None, [("n1", [("s", "c1"), ("t", "c2")]), ("n2", []), ("n3", None)]),
+        ("b", "final", [], ("Group/g1",), None, "text", []),
+        ("c", "draft", [("s", "x", "9")], None, None, None, None),
+        ("d", "final", None, None, None, None, [("n4", [("s", "c3")])]),
+    ]
+    df = spark.createDataFrame(rows, NESTED)
+    got = lambda spec: sorted((tuple(r) for r in view(df, {"resource": "Thing", **spec}).collect()), key=str)
+    final = [{"path": "status.where(x = 'y')"}]
+    with pytest.raises(ValueError, match="no field"):
+        view(df, {"where": final, "select": [{"column": [{"path": "id", "name": "i"}]}]})
+    deep = {"select": [{"column": [{"path": "getResourceKey()", "name": "key"}]}, {"forEach": "parts", "column": [{"path": "name", "name": "n"}], "select": [{"forEachOrNull": "codes", "column": [{"path": "code", "name": "c"}]}]}]}
+    assert sorted(map(str, got(deep))) == sorted(map(str, [("Thing/a", "n1", "c1"), ("Thing/a", "n1", "c2"), ("Thing/a", "n2", None), ("Thing/a", "n3", None), ("Thing/d", "n4", "c3")]))
+    inner = {"select": [{"forEach": "parts", "select": [{"forEach": "codes.where(system='s')", "column": [{"path": "code", "name": "c"}]}]}]}
+    assert got(inner) == [("c1",), ("c3",)]
+    several = {"where": [{"path": "tags.where(system = 's' and use = 'x').exists()"}], "select": [{"column": [{"path": "id", "name": "i"}, {"path": "tags.where(system='s' and use='x').value", "name": "v", "type": "int"}, {"path": "tags.value", "name": "all", "collection": True}]}]}
+    assert got(several) == [("a", 1, ["1", "2", "3"]), ("c", 9, ["9"])]
+    typed = {"where": [{"path": "subject.exists()"}], "select": [{"column": [{"path": "subject.getReferenceKey(Patient)", "name": "p"}, {"path": "value.ofType(quantity).value", "name": "q"}, {"path": "value.ofType(string)", "name": "s"}, {"path": "tags.first().value", "name": "t"}]}]}
+    assert sorted(got(typed), key=str) == sorted([("Patient/p1", 1.5, None, "1"), (None, None, "text", None)], key=str)
+    side = {"select": [{"forEach": "tags", "column": [{"path": "value", "name": "v"}]}, {"forEach": "parts", "column": [{"path": "name", "name": "n"}]}]}
+    assert len(got(side)) == 9  # parts side by side multiply
+    both = {"select": [{"column": [{"path": "id", "name": "i"}]}, {"unionAll": [{"forEach": "tags", "column": [{"path": "value", "name": "v"}]}, {"forEach": "parts", "column": [{"path": "name", "name": "v"}]}]}]}
+    assert got(both) == sorted([("a", x) for x in ("1", "2", "3", "n1", "n2", "n3")] + [("c", "9"), ("d", "n4")], key=str)
+    for bad in ("parts.nothing", "parts.where(name)", "id.sum()", "a b"):
+        with pytest.raises(ValueError):
+            view(df, {"select": [{"column": [{"path": bad, "name": "x"}]}]})
+    lean = view(df, {"select": [{"forEach": "parts", "column": [{"path": "name", "name": "n"}]}]})
+    assert lean.columns == ["n"] and "valueString" not in lean._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+
+
+def test_codes_and_typed_values(spark):
+    rows = spark.createDataFrame([("s", "1", 2.5, None), ("s", "1", None, "t"), ("u", "1", 9.0, None), ("s", "7", 1.0, None), ("u", "k", None, None)], "system string, code string, q double, x string")
+    codes = spark.createDataFrame([("s", "1", 100), ("u", "k", 200), ("s", "1", 100)], "system string, code string, itemid int")
+    got = typed_values(crosswalk(rows, codes), "q", ["x"]).select("itemid", "valuenum", "value").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(100, 2.5, "2.5"), (100, None, "t"), (200, None, None)], key=str)
+
+
 def test_comparison(spark):
     a = spark.createDataFrame([(1, 1.0, "x"), (2, 2.0, "y"), (3, None, "z"), (4, 4.0, "w")], "k int, v double, s string")
     b = spark.createDataFrame([(1, 1.0000001, "x"), (2, 2.5, "y"), (3, 3.0, "z"), (5, 5.0, "q")], "k int, v double, s string")

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.dt import ceil_hour
+from vitalgrid.functions.dt import MICROS, ceil_hour, hours, micros
 
 
 def _keyed(left: DataFrame, right: DataFrame, on: Sequence[str], cond: Column, how: str) -> DataFrame:
@@ -28,14 +28,28 @@ def _r(c: str) -> Column:
     return F.col(f"r.{c}")
 
 
+def bucket_of(at: Column, hours_wide: int) -> Column:
+    """Number of the bucket of ``hours_wide`` hours that a time lies in."""
+    return F.floor(micros(at) / (hours_wide * MICROS["HOUR"]))
+
+
 def interval_join(
-    points: DataFrame, intervals: DataFrame, on: Sequence[str], at: str, start: str, end: str, *, closed: str = "both", how: str = "inner",
+    points: DataFrame, intervals: DataFrame, on: Sequence[str], at: str, start: str, end: str, *, closed: str = "both", how: str = "inner", bucket_hours: int | None = 24,
 ) -> DataFrame:
-    """Rows of ``points`` with the intervals their time ``at`` lies in; ``closed``: left, right, both or neither."""
+    """Rows of ``points`` with the intervals their time ``at`` lies in; ``closed``: left, right, both or neither.
+
+    The time's bucket is part of the equality key: an interval stands in each bucket it touches, a point in one, so
+    points of one key meet only the intervals of their day and a key with very many rows spreads over its days.
+    ``bucket_hours`` None pairs by ``on`` alone, for intervals that are long against what a key holds.
+    """
     t = _l(at)
     low = t >= _r(start) if closed in ("left", "both") else t > _r(start)
     high = t <= _r(end) if closed in ("right", "both") else t < _r(end)
-    return _keyed(points, intervals, on, low & high, how)
+    if bucket_hours is None:
+        return _keyed(points, intervals, on, low & high, how)
+    reached = F.when(F.col(start) <= F.col(end), F.sequence(bucket_of(F.col(start), bucket_hours), bucket_of(F.col(end), bucket_hours)))
+    dealt = intervals.withColumn("_bucket", F.explode(reached))
+    return _keyed(points.withColumn("_bucket", bucket_of(F.col(at), bucket_hours)), dealt, [*on, "_bucket"], low & high, how).drop("_bucket")
 
 
 def anchored_join(
@@ -62,22 +76,25 @@ def hour_grid_join(grid: DataFrame, events: DataFrame, on: Sequence[str], grid_e
 
 
 def asof_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], left_at: str, right_at: str, values: Sequence[str], tolerance: Column, row_key: Sequence[str],
+    left: DataFrame, right: DataFrame, on: Sequence[str], left_at: str, right_at: str, values: Sequence[str], tolerance: int, *, bucket_hours: int = 24,
 ) -> DataFrame:
-    """``left`` with ``values`` of the latest row of ``right`` at or before it, not older than ``tolerance``.
+    """``left`` with ``values`` of the latest row of ``right`` at or before it, at most ``tolerance`` hours older.
 
-    One aggregation over the range join; every row of ``left`` (identified by ``row_key``) survives.
+    An ordered merge: both sides are shuffled once by key and bucket of time and sorted once, and the last row of
+    ``right`` is carried along; no pairs are formed.  A row of ``right`` also stands in the next bucket where it is still
+    valid there, so a key with very many rows spreads over its buckets.  Of rows at one time the one with the largest
+    values counts.  Every row of ``left`` survives.
     """
-    slim = right.select(*on, right_at, *values)
-    keys = left.select(*row_key, *on, left_at)
-    cond = (_r(right_at) <= _l(left_at)) & (_r(right_at) >= _l(left_at) - tolerance)
-    found = (
-        _keyed(keys, slim, on, cond, "inner")
-        .groupBy(*[_l(c) for c in row_key])
-        .agg(F.max(F.struct(_r(right_at), *[_r(v) for v in values])).alias("_last"))
-        .select(*row_key, *[F.col(f"_last.{v}").alias(v) for v in values])
-    )
-    return left.join(found, list(row_key), "left")
+    wide = max(bucket_hours, tolerance)
+    own = bucket_of(F.col(right_at), wide)
+    reached = F.explode(F.when(bucket_of(F.col(right_at) + hours(tolerance), wide) > own, F.array(own, own + 1)).otherwise(F.array(own)))
+    seen = right.filter(F.col(right_at).isNotNull()).select(*on, reached.alias("_bucket"), F.col(right_at).alias("_at"), F.lit(0).alias("_side"), F.struct(F.col(right_at).alias("at"), *values).alias("_seen"))
+    asked = left.withColumns({"_bucket": bucket_of(F.col(left_at), wide), "_at": F.col(left_at), "_side": F.lit(1)})
+    merged = asked.unionByName(seen, allowMissingColumns=True)
+    before = Window.partitionBy(*on, "_bucket").orderBy("_at", "_side", "_seen").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = merged.withColumn("_last", F.last("_seen", ignorenulls=True).over(before)).filter("_side = 1")
+    near = F.col("_last.at") >= F.col(left_at) - hours(tolerance)
+    return out.select(*left.columns, *[F.when(near, F.col(f"_last.{v}")).alias(v) for v in values])
 
 
 def previous_within(df: DataFrame, keys: Sequence[str], at: str, values: Sequence[str], tolerance: Column) -> DataFrame:

@@ -125,7 +125,7 @@ def bg(ctx):
         ctx["chartevents"].filter("itemid = 223835 AND valuenum > 0 AND valuenum <= 100").groupBy("subject_id", F.col("charttime").alias("chart_at"))
         .agg(column(CHART_FIO2)).filter("fio2_chartevents > 0")
     )
-    both = asof_join(gas, charted, ["subject_id"], "charttime", "chart_at", ["fio2_chartevents"], hours(4), ["specimen_id"])
+    both = asof_join(gas, charted, ["subject_id"], "charttime", "chart_at", ["fio2_chartevents"], 4)
     fraction = F.coalesce("fio2", "fio2_chartevents")
     gradient = fraction / 100 * (760 - 47) - F.col("pco2") / 0.8 - F.col("po2")
     return both.select(

@@ -144,8 +144,8 @@ _PRED_SQL = f"round(1 / (1 + exp(-({_TERMS_SQL}))), 9)"
 def _arterial(gas: DataFrame, keys: list[str], row: list[str], spo2: DataFrame, fio2: DataFrame, ratio: str, first: list[str]) -> DataFrame:
     """Gases known or predicted to be arterial, with the saturation and fraction charted last before them."""
     gas = gas.filter("po2 IS NOT NULL")
-    gas = asof_join(gas, spo2.withColumnRenamed("charttime", "_at"), keys, "charttime", "_at", ["spo2"], hours(2), row)
-    gas = asof_join(gas, fio2.withColumnRenamed("charttime", "_at"), keys, "charttime", "_at", ["fio2_chartevents"], hours(4), row)
+    gas = asof_join(gas, spo2.withColumnRenamed("charttime", "_at"), keys, "charttime", "_at", ["spo2"], 2)
+    gas = asof_join(gas, fio2.withColumnRenamed("charttime", "_at"), keys, "charttime", "_at", ["fio2_chartevents"], 4)
     terms = F.lit(-0.02544) + 0.04598 * F.col("po2")
     for c, (weight, mean, rest) in ARTERIAL.items():
         terms = terms + F.coalesce(weight * F.col(c), F.lit(weight) * F.lit(mean) + F.lit(rest))

@@ -279,7 +279,7 @@ FROM events p WHERE p.event_type = 'purchase'""")
 def asof_latest_before(t):
     left = t.events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     right = t.events.filter("event_type = 'view'").select("user_id", F.col("ts").alias("seen"), F.col("value").alias("last_view"))
-    return joins.asof_join(left, right, ["user_id"], "ts", "seen", ["last_view"], hours(12), ["event_id"])
+    return joins.asof_join(left, right, ["user_id"], "ts", "seen", ["last_view"], 12)
 
 
 @query("""SELECT p.event_id, min(v.ts) FILTER (WHERE v.ts > p.ts AND v.ts <= p.ts + INTERVAL '24' HOUR) AS first_after, max(v.ts) FILTER (WHERE v.ts < p.ts AND v.ts >= p.ts - INTERVAL '72' HOUR) AS last_before
