@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from vitalgrid.functions.dt import hours
 from vitalgrid.operators import cohort, compare, episodes, joins, text
 from vitalgrid.operators.resources import crosswalk, typed_values, view
 from vitalgrid.sources import io
@@ -244,3 +245,13 @@ def test_auroc_over_ranges(spark):
     want = sum((g > b) + (g == b) / 2 for g in good for b in bad) / len(good) / len(bad)
     df = spark.createDataFrame(rows, "y int, x double")
     assert all(abs(auroc(df, "y", "x", parts).first().auroc - want) < 1e-9 for parts in (2, 200))
+
+
+def test_values_at_an_anchor(spark):
+    anchors = frame(spark, [(1, at(10)), (2, at(10)), (3, None)], ["id", "t0"])
+    events = frame(spark, [(1, at(8), "a", 1.0), (1, at(9), "a", 2.0), (1, at(9), "a", 3.0), (1, at(11), "a", 9.0), (1, at(11), "b", 5.0), (1, at(12), "b", 6.0), (2, at(1), "a", 1.0), (2, at(9), "b", 7.0), (3, at(9), "a", 1.0)], ["id", "t", "label", "v"])
+    got = cohort.last_at_anchor(anchors, events, "id", "t0", "t", "label", "v", ["a", "b"], hours(4), hours(2), "id").collect()
+    assert sorted(map(tuple, got)) == [(1, 3.0, 6.0), (2, None, 7.0)]
+    spans = frame(spark, [(1, at(9), at(10), 7), (1, at(10), at(12), 8), (2, at(1), None, 8), (2, at(1), at(9), 7)], ["id", "s", "e", "code"])
+    flags = cohort.flag_within(anchors, spans, "id", "t0", "s", "e", {"any": F.col("code").isNotNull(), "seven": F.col("code") == 7}, "id").collect()
+    assert sorted(map(tuple, flags)) == [(1, 1, 1), (2, 1, 0)]

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalgrid.operators.joins import anchored_join
+
 
 def cohort_flags(df: DataFrame, exclusions: dict[str, Column]) -> DataFrame:
     """``df`` with a 0/1 column per exclusion and ``included``."""
@@ -103,3 +105,22 @@ def _has(field: str, value):
 def short_values(metadata: Column, limit: int = 100) -> Column:
     """Map entries whose value is at most ``limit`` characters."""
     return F.map_filter(metadata, lambda k, v: F.length(v) <= limit)
+
+
+def last_at_anchor(anchors: DataFrame, events: DataFrame, on: str, anchor: str, at: str, label: str, value: str, labels: Sequence[str], before: Column, after: Column, key: str) -> DataFrame:
+    """``key`` and a column per label: the last value up to the anchor, or else the last one after it.
+
+    Events count from ``before`` ahead of the anchor to ``after`` behind it.  All labels are taken in one pass: one join
+    on ``on`` and the window, one aggregation; of values at one time the largest counts.  A last value that is
+    null leaves the place to those after the anchor.
+    """
+    near = anchored_join(anchors.select(*dict.fromkeys([key, on, anchor])), events.select(on, at, label, value), [on], anchor, at, before, after, how="inner")
+    late = F.col(at) > F.col(anchor)
+    last = lambda x, phase: F.max(F.when((F.col(label) == x) & phase, F.struct(at, value)))[value]
+    return near.groupBy(key).agg(*[F.coalesce(last(x, ~late), last(x, late)).alias(x) for x in labels])
+
+
+def flag_within(anchors: DataFrame, spans: DataFrame, on: str, anchor: str, start: str, end: str, flags: dict[str, Column], key: str) -> DataFrame:
+    """``key`` and 0/1 per flag: whether a span that began before the anchor and had not ended holds it."""
+    held = anchors.select(*dict.fromkeys([key, on, anchor])).join(spans, on).filter((F.col(start) < F.col(anchor)) & (F.col(end).isNull() | (F.col(anchor) <= F.col(end))))
+    return held.groupBy(key).agg(*[F.max(c.cast("int")).alias(n) for n, c in flags.items()])

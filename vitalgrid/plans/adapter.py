@@ -43,7 +43,7 @@ LAB_CODES = [
 ]
 LAB_TEXTS = [(52033, ("ART.", "VEN.", "ART.", "MIX.")), (52033, ("ART.", "ART.", "VEN.", "CENTRAL VENOUS.")), (50807, ("INTUBATED", "NOT INTUBATED", "", "VENTED"))]
 INPUT_CODES = [(221653, "mcg/kg/min"), (221662, "mcg/kg/min"), (221289, "mcg/kg/min"), (221986, "mcg/kg/min"), (222062, "mg/hour"), (221555, "mg/hour"), (221906, "mg/kg/min"), (221906, "mcg/kg/min"), (221749, "mcg/min"), (221749, "mcg/kg/min"), (222315, "units/min"), (222315, "units/hour"), (227536, "mEq/hour"), (227525, "mL/hour")]
-OLDER_CODES = [4649, 30042, 30306, 30043, 30307, 30044, 30119, 30309, 30046, 30125, 30047, 30120, 30127, 30128, 30051]
+OLDER_CODES = [4649, 30042, 30306, 30043, 30307, 30044, 30119, 30309, 30046, 30125, 30047, 30120, 30127, 30128, 30051, 30124, 30150, 30131]
 OUTPUT_CODES = [226559, 226560, 226561, 226584, 226563, 226564, 226565, 226567, 226557, 226558, 227488, 227489, 226559, 226559, 226560, 226573]
 LINE_CODES = [
     (225752, "Arterial Line"), (225789, "Sheath"), (225761, "Sheath Insertion"), (224263, "Multi Lumen"), (224264, "PICC Line"), (224267, "Cordis/Introducer"), (224268, "Trauma line"),
@@ -193,13 +193,13 @@ SELECT DISTINCT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, c.icd_code,
 FROM {{events}} e JOIN {_list(ICD_CODES, 'icd_code, icd_version')} ON c.idx = (e.user_id * 11 + e.event_id % 5) % {len(ICD_CODES)}""",
     "inputevents_cv": f"""
 SELECT {_stay} AS icustay_id, e.ts AS charttime, c.itemid,
-       CASE WHEN e.event_id % 7 = 0 THEN CAST(NULL AS DOUBLE) WHEN e.event_id % 5 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(floor(e.event_id / 3) % 4 AS DOUBLE) * CAST(0.5 AS DOUBLE) END AS rate,
+       CASE WHEN e.event_id % 7 = 0 THEN CAST(NULL AS DOUBLE) WHEN e.event_id % 5 = 0 OR e.user_id % 2 = 1 THEN CAST(0 AS DOUBLE) ELSE CAST(floor(e.event_id / 3) % 4 AS DOUBLE) * CAST(0.5 AS DOUBLE) END AS rate,
        CAST(e.event_id % 9 AS DOUBLE) AS amount, CASE WHEN e.event_id % 13 = 0 THEN 'Stopped' WHEN e.event_id % 17 = 0 THEN 'D/C''d' WHEN e.event_id % 3 = 0 THEN 'Restart' END AS stopped
 FROM {{events}} e CROSS JOIN (VALUES (0), (1), (2), (3), (4)) AS s(slot) JOIN {_list(OLDER_CODES, 'itemid')} ON c.idx = (e.event_id + s.slot * 4) % {len(OLDER_CODES)}""",
     "inputevents_mv": f"""
 SELECT {_stay} AS icustay_id, e.ts AS starttime, e.ts + (e.event_id % 12 + 1) * INTERVAL '1' HOUR AS endtime, c.itemid, CAST(floor(e.event_id / 4) AS BIGINT) AS linkorderid,
-       CAST(e.event_id % 29 AS DOUBLE) * CAST(0.25 AS DOUBLE) AS rate, c.rateuom, CAST(e.event_id % 41 AS DOUBLE) AS amount, CASE WHEN e.event_id % 6 = 0 THEN 'Rewritten' ELSE 'FinishedRunning' END AS statusdescription
-FROM {{events}} e JOIN {_list([*INPUT_CODES, (227692, 'mcg/min'), (221282, 'mg')], 'itemid, rateuom')} ON c.idx = e.event_id % {len(INPUT_CODES) + 2}""",
+       CASE WHEN e.user_id % 2 = 1 THEN CAST(0 AS DOUBLE) ELSE CAST(e.event_id % 29 AS DOUBLE) * CAST(0.25 AS DOUBLE) END AS rate, c.rateuom, CAST(e.event_id % 41 AS DOUBLE) AS amount, CASE WHEN e.event_id % 6 = 0 THEN 'Rewritten' ELSE 'FinishedRunning' END AS statusdescription
+FROM {{events}} e JOIN {_list([*INPUT_CODES, (227692, 'mcg/min'), (221282, 'mg'), (221668, 'mg/hour'), (222168, 'mcg/kg/min'), (221744, 'mcg/hour')], 'itemid, rateuom')} ON c.idx = e.event_id % {len(INPUT_CODES) + 5}""",
     "procedures_icd": f"""
 SELECT DISTINCT e.user_id AS subject_id, e.user_id * 10 AS hadm_id, c.icd9_code FROM {{events}} e JOIN {_list(['9670', '967', '3995', '8914', '9672', '0001'], 'icd9_code')} ON c.idx = (e.user_id + e.event_id % 2) % 6""",
     "poe": """
