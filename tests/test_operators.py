@@ -166,11 +166,55 @@ def test_comparison(spark):
     assert compare.schema_differences(a, a.withColumn("k", F.col("k").cast("double")).drop("s")) == [("s", "string", "missing")]
 
 
+REPORTS = [
+    "no headers", "", None, "one\n \ntwo\n \nthree ", "intro\n FINDINGS: heart normal\n IMPRESSION:\n\n IMPRESSIONS: fine now\n", "\n COMPARISON: none\n \nall\n is well\n \nbye", "\n CHEST, PA LATERAL:\n\n INDICATION:\tpain\n TECHNIQUE: x",
+    "\n FINDINGS: \n HISTORY OF FINDINGS: a\n Conclusion: b", "x\n ADDENDUM (LATE):y z\n BONE WINDOW: c\n RECOMMENDATION(S): d\n REASON:e", "\n IMPRESSION: é\u3000ü\n COMPARISON:\n \n last", "\n EXAM: k\n IMPRESSION: one\n IMPRESSION: two \n FINDINGS:\n",
+]
+
+
+def _plain_sections(report):
+    """Sections by scanning the text once."""
+    import re
+
+    found = [*re.finditer(r"\n ([A-Z ()/,-]+):\s", report)]
+    out = [["preamble" if found else "full report", 0, report[: found[0].start(1)] if found else report]]
+    for m, n in zip(found, [*found[1:], None]):
+        name = m[1].lower().strip()
+        plain = text.SECTION_NAMES.get(name) or next((x for x in text.MAIN_SECTIONS if x in name), None) or ("findings" if any(v in name for v in text.VIEWS) else name)
+        out.append([plain, m.end(), report[m.end() : n.start() if n else len(report)]])
+    out = [x for x in out if x[0] not in ("impression", "findings") or x[2].strip()]
+    if not any(x[0] in ("impression", "findings") for x in out) and "\n \n" in out[-1][2]:
+        name, start, body = out.pop()
+        head, _, rest = body.partition("\n \n")
+        out += [[name, start, head], ["last_paragraph", start + len(head) + 3, rest]]
+    return out
+
+
 def test_sections(spark):
-    note = "intro\nFINDINGS: heart normal\nIMPRESSION:\nIMPRESSIONS: fine now"
-    s = text.normalize_names(text.section_split(spark.createDataFrame([(1, note), (2, "no headers")], "id int, t string"), "id", "t"))
-    assert sorted((r.id, r.name, r.body) for r in s.collect()) == [(1, "findings", "heart normal"), (1, "impression", "fine now"), (1, "preamble", "intro"), (2, "full report", "no headers")]
-    assert [(r.id, r.section, r.body) for r in text.section_select(s, "id").orderBy("id").collect()] == [(1, "impression", "fine now"), (2, None, None)]
+    r = random.Random(8)
+    pieces = ["\n ", "\n", " ", "\n \n", "FINDINGS:", "IMPRESSION: ", "CHEST (AP): ", "HISTORY:\n", "word", "é:", "ONE/TWO,-: ", "COMPARISON FILM: "]
+    reports = REPORTS + ["".join(r.choices(pieces, k=r.randint(1, 25))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(reports)), "id int, t string")
+    got = {}
+    for x in text.section_split(df, "id", "t").orderBy("id", "pos").collect():
+        got.setdefault(x.id, []).append([x.name, x.start, x.body])
+    want = {i: _plain_sections(x or "") for i, x in enumerate(reports)}
+    assert got == want
+    table = {x.id: x for x in text.section_table(df, "id", "t").collect()}
+    chosen = {x.id: x for x in text.section_select(df, "id", "t").collect()}
+    for i, found in want.items():
+        last = {n: b.strip() for n, _, b in found}
+        assert [table[i][n] for n in text.CONCLUSIONS] == [last.get(n) for n in text.CONCLUSIONS]
+        name = next((n for n in text.CONCLUSIONS if n in last), None)
+        assert (chosen[i].section, chosen[i].body) == (name, last.get(name, ""))
+
+
+def test_stated_sections(spark):
+    df = spark.createDataFrame([(1, "\n HISTORY: h\n IMPRESSION: i"), (2, "\n HISTORY: h\n IMPRESSION: i"), (3, "0123456789"), (4, "\n IMPRESSION: i"), (5, None)], "id int, t string")
+    by_name = spark.createDataFrame([(1, "history"), (4, "history"), (3, "history")], "id int, name string")
+    by_place = spark.createDataFrame([(3, 2, 5), (5, 0, 0)], "id int, start int, stop int")
+    got = text.section_select(df, "id", "t", by_name=by_name, by_place=by_place).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, "history", "h"), (2, "impression", "i"), (3, "given place", "234"), (4, "history", ""), (5, "given place", "")]
 
 
 def test_curve_area_counts_ties_half(spark):

@@ -2,61 +2,125 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.scalar import extract
 
-HEADER = r"(?m)^ *([A-Z][A-Z ()/,-]{2,}):"
-
-
-def section_split(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, pos, name, body`` of the sections under ALL-CAPS headers; what stands before is ``preamble``.
-
-    A text without headers is one ``full report``; empty findings and impressions are dropped.
-    """
-    names = F.regexp_extract_all(F.col(text), F.lit(HEADER), F.lit(1))
-    bodies = F.split(F.col(text), HEADER, -1)
-    rows = df.select(F.col(key), names.alias("n"), bodies.alias("b")).select(key, "n", F.posexplode("b").alias("pos", "body"))
-    name = F.when(F.col("pos") > 0, F.lower(F.trim(F.get("n", F.col("pos") - 1)))).when(F.size("n") == 0, "full report").otherwise("preamble")
-    out = rows.select(key, "pos", name.alias("name"), F.btrim(F.col("body"), F.lit(" \t\r\n")).alias("body"))
-    return out.filter((F.col("body") != "") | ~F.col("name").isin("impression", "findings", "preamble"))
-
+#: White space, spelt out as it means more to other engines than to this one's patterns.
+BLANK = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+HEADER = rf"\n ([A-Z ()/,-]+):{BLANK}"
+PARAGRAPH = "\n \n"
 
 # Names under which the same section is written.
 SECTION_NAMES = {
-    "impressions": "impression", "imression": "impression", "impresson": "impression", "impressoin": "impression", "conclusion": "impression", "finding": "findings", "findins": "findings",
-    "indications": "indication", "reason for exam": "indication", "reason for examination": "indication", "clinical information": "history", "clinical history": "history", "comparisons": "comparison",
-    "techniques": "technique",
+    "comparison": "comparison", "comparisons": "comparison", "reference exam": "comparison", "comparison exam": "comparison", "comparison film": "comparison", "comparision": "comparison", "comparsion": "comparison", "comparrison": "comparison",
+    "comparisions": "comparison", "indication": "indication", "reason for examination": "indication", "reason for exam": "indication", "clinical indication": "indication", "idication": "indication", "history": "history", "clinical history": "history",
+    "clinical information": "history", "patient history": "history", "pfi": "history", "examination": "examination", "exam": "examination", "type of examination": "examination", "technique": "technique", "notification": "notification",
+    "recommendations": "recommendations", "recommendation": "recommendations", "recommendation(s)": "recommendations", "addendum": "addendum", "date": "date", "comment": "comment", "wet read": "wet read", "wetread": "wet read", "preamble": "preamble",
+    "findings": "findings", "finding": "findings", "chest, two views": "findings", "findins": "findings", "findindgs": "findings", "findgings": "findings", "findngs": "findings", "findnings": "findings", "finidngs": "findings", "reference findings": "findings",
+    "impression": "impression", "conclusion": "impression", "findings and impression": "impression", "findings/impression": "impression", "findings/ impression": "impression", "ndication": "impression", "impresson": "impression",
+    "imprression": "impression", "imoression": "impression", "impressoin": "impression", "imprssion": "impression", "impresion": "impression", "imperssion": "impression", "mpression": "impression", "impession": "impression",
 }
+# Names that other headers are taken for where they contain them, in this order; views that stand over findings.
+MAIN_SECTIONS = ("impression", "findings", "history", "comparison", "addendum")
+VIEWS = (
+    "chest", "portable", "pa and lateral", "lateral and pa", "ap and lateral", "lateral and ap", "frontal and", "two views", "frontal view", "pa view", "ap view", "one view", "lateral view", "bone window", "frontal upright", "frontal semi-upright",
+    "ribs", "pa and lat",
+)
+#: Sections that hold a report's conclusion, best first.
+CONCLUSIONS = ("impression", "findings", "last_paragraph", "comparison")
 
 
-def normalize_names(df: DataFrame, name: str = "name") -> DataFrame:
+def strip(text: Column) -> Column:
+    return F.regexp_replace(text, rf"^{BLANK}+|{BLANK}+\z", "")
+
+
+def section_name(header: Column) -> Column:
+    """The common name of a section from its header."""
+    plain = strip(F.lower(header))
     table = F.create_map(*[F.lit(x) for kv in SECTION_NAMES.items() for x in kv])
-    return df.withColumn(name, F.coalesce(F.try_element_at(table, F.col(name)), F.col(name)))
+    out = F.when(plain.rlike("|".join(VIEWS)), "findings").otherwise(plain)
+    for name in reversed(MAIN_SECTIONS):
+        out = F.when(plain.contains(name), name).otherwise(out)
+    return F.coalesce(F.try_element_at(table, plain), out)
 
 
-def section_select(sections: DataFrame, key: str, priority=("impression", "findings", "last paragraph", "comparison")) -> DataFrame:
-    """Per report the last section of the first name of ``priority`` it has."""
-    last = [F.max_by("body", F.when(F.col("name") == p, F.col("pos"))).alias(f"_{i}") for i, p in enumerate(priority)]
-    has = [F.max(F.when(F.col("name") == p, F.col("pos"))).alias(f"_h{i}") for i, p in enumerate(priority)]
-    rows = sections.groupBy(key).agg(*last, *has)
-    pick, which = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for i in reversed(range(len(priority))):
-        there = F.col(f"_h{i}").isNotNull()
-        pick = F.when(there, F.col(f"_{i}")).otherwise(pick)
-        which = F.when(there, F.lit(priority[i])).otherwise(which)
-    return rows.select(key, which.alias("section"), pick.alias("body"))
+def _let(value: Column, body) -> Column:
+    return F.transform(F.array(value), body)[0]
 
 
-def last_paragraph(text: Column) -> Column:
-    return F.element_at(F.split(F.regexp_replace(text, r"\s+$", ""), r"\n\s*\n"), -1)
+def sections(text: Column) -> Column:
+    """Array of a report's sections: ``name``, ``start`` (place of its text, from 0) and ``body``, as it stands.
 
+    A section begins under a header in capitals that starts its line after one blank; what stands before the first is
+    the preamble, a text without headers one full report.  Findings and impressions without text are left out.  Where
+    neither is left, the last section ends with its first paragraph, and the rest is the ``last_paragraph``.
+    """
+    whole = F.coalesce(text, F.lit(""))
+    parts = F.struct(F.split(whole, HEADER, -1).alias("body"), F.regexp_extract_all(whole, F.lit(HEADER), F.lit(0)).alias("header"), F.transform(F.regexp_extract_all(whole, F.lit(HEADER), F.lit(1)), section_name).alias("name"))
+    size = lambda items, n: F.aggregate(F.slice(items, 1, n), F.lit(0), lambda a, x: a + F.length(x))
+    main = lambda x: x["name"].isin("impression", "findings")
+
+    def placed(p: Column) -> Column:
+        n = F.size(p["name"])
+        first = lambda b: F.when(n == 0, b).otherwise(F.concat(b, F.lit("\n ")))
+        return F.transform(p["body"], lambda b, i: F.struct(
+            F.when(i > 0, F.get(p["name"], i - 1)).when(n == 0, "full report").otherwise("preamble").alias("name"),
+            (size(p["body"], i) + size(p["header"], i)).alias("start"), F.when(i > 0, b).otherwise(first(b)).alias("body"),
+        ))
+
+    def ended(s: Column) -> Column:
+        def cut(last: Column) -> Column:
+            at = F.instr(last["body"], PARAGRAPH)
+            end, rest = F.substring(last["body"], F.lit(1), at - 1), F.substring(last["body"], at + len(PARAGRAPH), F.length(last["body"]))
+            pair = F.array(
+                F.struct(last["name"].alias("name"), last["start"].alias("start"), end.alias("body")),
+                F.struct(F.lit("last_paragraph").alias("name"), (last["start"] + at - 1 + len(PARAGRAPH)).alias("start"), rest.alias("body")),
+            )
+            return F.when(F.exists(s, main) | (at == 0), s).otherwise(F.concat(F.slice(s, 1, F.size(s) - 1), pair))
+
+        return _let(F.element_at(s, -1), cut)
+
+    return _let(_let(parts, lambda p: F.filter(placed(p), lambda x: ~(main(x) & (strip(x["body"]) == "")))), ended)
 
-def apply_overrides(sections: DataFrame, overrides: DataFrame, key: str) -> DataFrame:
-    """Sections with the name given per report and position where there is one."""
-    given = overrides.select(key, "pos", F.col("name").alias("_name"))
-    return sections.join(given, [key, "pos"], "left").withColumn("name", F.coalesce("_name", "name")).drop("_name")
+
+def section_split(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, pos, name, start, body`` of all ``sections``, one row each."""
+    return df.select(key, F.posexplode(sections(F.col(text))).alias("pos", "s")).select(key, "pos", "s.*")
+
+
+def _last(found: Column, name) -> Column:
+    """The text of the last section of that name, null if there is none."""
+    return strip(F.try_element_at(F.filter(found, lambda x: x["name"] == name), F.lit(-1))["body"])
+
+
+def section_table(df: DataFrame, key: str, text: str, names=CONCLUSIONS) -> DataFrame:
+    """``key`` and the last section of each of ``names``, null where a report has none."""
+    held = df.select(key, sections(F.col(text)).alias("_s"))
+    return held.select(key, *[_last(F.col("_s"), n).alias(n) for n in names])
+
+
+def section_select(df: DataFrame, key: str, text: str, priority=CONCLUSIONS, by_name: DataFrame | None = None, by_place: DataFrame | None = None) -> DataFrame:
+    """``key, section, body``: each report's conclusion, from the first name of ``priority`` it has; empty if it has none.
+
+    ``by_name`` (key, name) states another section for some reports, ``by_place`` (key, start, stop) the characters
+    themselves; places come first.  A stated section that the report lacks leaves it empty.
+    """
+    held = df.select(key, F.col(text).alias("_text"), sections(F.col(text)).alias("_s"))
+    found = [_last(F.col("_s"), n) for n in priority]
+    which = F.coalesce(*[F.when(x.isNotNull(), n) for n, x in zip(priority, found)])
+    body = F.coalesce(*found)
+    if by_name is not None:
+        held = held.join(by_name.select(key, F.col("name").alias("_name")), key, "left")
+        stated = F.col("_name").isNotNull()
+        which, body = F.when(stated, F.col("_name")).otherwise(which), F.when(stated, _last(F.col("_s"), F.col("_name"))).otherwise(body)
+    if by_place is not None:
+        held = held.join(by_place.select(key, F.col("start").alias("_start"), F.col("stop").alias("_stop")), key, "left")
+        stated = F.col("_start").isNotNull()
+        span = F.substring(F.coalesce("_text", F.lit("")), F.col("_start") + 1, F.greatest(F.col("_stop") - F.col("_start"), F.lit(0)))
+        which, body = F.when(stated, "given place").otherwise(which), F.when(stated, span).otherwise(body)
+    return held.select(key, which.alias("section"), F.coalesce(body, F.lit("")).alias("body"))
 
 
 def label_eval(df: DataFrame, truth: str, predicted: str) -> DataFrame:
@@ -81,11 +145,6 @@ def echo_fields(df: DataFrame, text: str) -> DataFrame:
     })
 
 
-def latest_per_name(sections: DataFrame, key: str) -> DataFrame:
-    w = Window.partitionBy(key, "name").orderBy(F.desc("pos"))
-    return sections.withColumn("n", F.row_number().over(w)).filter("n = 1").drop("n")
-
-
 def binarize_labels(df: DataFrame, labels, uncertain: int | None = 1) -> DataFrame:
     """Labels 1 (mentioned), 0 (denied), -1 (uncertain) or null (not mentioned) as 0 and 1; ``uncertain`` None drops these."""
     return df.withColumns({c: F.when(F.col(c) == -1, F.lit(uncertain)).otherwise(F.coalesce((F.col(c) == 1).cast("int"), F.lit(0))) for c in labels})

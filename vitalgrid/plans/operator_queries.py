@@ -157,13 +157,14 @@ def missing_or_empty(t):
     return compare.missing_or_empty(["orders", "customer", "returns"], {"orders": t.orders, "customer": t.customer.filter("c_custkey < -1")})
 
 
-@query("""WITH e AS (SELECT event_id, ts FROM events), s AS (SELECT event_id, ts, CASE WHEN event_id % 4 = 0 THEN ts + INTERVAL '1' HOUR ELSE ts END AS moved FROM e)
-SELECT count(*) FILTER (WHERE ts <> moved) AS conflicts, CAST(0 AS BIGINT) AS explained FROM s""")
+@query("""WITH s AS (SELECT event_id, TIMESTAMP '2024-03-10 00:00:00' + (ts - date_trunc('day', ts)) AS a FROM events), m AS (SELECT a, a + (CASE WHEN event_id % 3 = 0 THEN INTERVAL '1' HOUR WHEN event_id % 3 = 1 THEN INTERVAL '30' MINUTE ELSE INTERVAL '0' HOUR END) AS b FROM s)
+SELECT count(*) FILTER (WHERE a <> b) AS conflicts, count(*) FILTER (WHERE extract(hour FROM a) = 2 AND b - a = INTERVAL '1' HOUR) AS explained FROM m""")
 def wall_clock_shift(t):
-    """Conflicts that a zone's missing hour explains: in winter there is none."""
-    at = F.col("ts").cast("timestamp_ntz")
-    moved = F.when(F.col("event_id") % 4 == 0, at + hours(1)).otherwise(at)
-    rows = t.events.select(at.alias("a"), moved.alias("b"))
+    """Conflicts that a zone's missing hour explains: events at their hours on the day its clocks go forward, some an hour off."""
+    at = F.lit("2024-03-10").cast("timestamp_ntz") + (F.col("ts").cast("timestamp_ntz") - F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    a = t.events.select("event_id", at.alias("a"))
+    b = F.when(F.col("event_id") % 3 == 0, F.col("a") + hours(1)).when(F.col("event_id") % 3 == 1, F.col("a") + F.expr("INTERVAL '30' MINUTE")).otherwise(F.col("a"))
+    rows = a.select("a", b.alias("b"))
     return rows.agg(F.count_if(F.col("a") != F.col("b")).alias("conflicts"), F.count_if(compare.zone_shift_explains(F.col("a"), F.col("b"), "America/New_York")).alias("explained"))
 
 
@@ -605,21 +606,56 @@ def strict_extremes(t):
 # ---- text, cohort, nested
 
 
+#: Reports from whole texts, in the forms that radiology notes have: no header, one header and paragraphs, findings with or without text, odd headers.
+_NOTE = """CASE doc_id % 6 WHEN 0 THEN coalesce(text, '') WHEN 1 THEN chr(10) || ' COMPARISON: ' || lang || '. ' || replace(text, chr(10), chr(10) || ' ' || chr(10))
+  WHEN 2 THEN 'Report ' || lang || chr(10) || ' EXAMINATION:  CHEST' || chr(10) || chr(10) || ' FINDINGS: ' || text || chr(10) || ' IMPRESSION: ' || source
+  WHEN 3 THEN chr(10) || ' CHEST, PA LATERAL:' || chr(10) || chr(10) || ' FINDINGS AND IMPRESSIONS:  ' || text || chr(10) || ' IMPRESSON: ' || chr(10) || ' TECHNIQUE: ' || lang
+  WHEN 4 THEN chr(10) || ' INDICATION: ' || text || chr(10) || ' ' || chr(10) || ' second ' || source || chr(10) || ' WET READ (OLD): x' || chr(10) || ' ' || chr(10) || 'rest' || chr(10) || ' ' || chr(10) || 'end '
+  ELSE chr(10) || ' CLINICAL INFORMATION: ' || source || chr(10) || ' IMPRESSION: first' || chr(10) || ' REASON FOR EXAM:' || chr(10) || text || chr(10) || ' CONCLUSION: ' || text || chr(10) || ' FINDINGS:   ' END"""
+_NOTES_SQL = f"""n AS (SELECT doc_id, coalesce({_NOTE}, '') AS t FROM documents),
+a AS (SELECT doc_id, t, regexp_split_to_array(t, '\\n [A-Z ()/,-]+:[\\s\\x{{1c}}-\\x{{1f}}\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]') AS parts,
+  regexp_extract_all(t, '\\n [A-Z ()/,-]+:[\\s\\x{{1c}}-\\x{{1f}}\\x{{85}}\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]') AS heads FROM n),
+b AS (SELECT doc_id, len(heads) AS heads_n, unnest(range(len(parts))) AS i, unnest(parts) AS part, unnest(list_concat([''], heads)) AS head FROM a),
+c AS (SELECT *, sum(length(part) + length(head)) OVER (PARTITION BY doc_id ORDER BY i) - length(part) AS start, trim(lower(regexp_extract(head, '\\n ([A-Z ()/,-]+):', 1))) AS h FROM b),
+v AS (SELECT * FROM (VALUES {', '.join(f"('{k}', '{v}')" for k, v in text.SECTION_NAMES.items())}) AS v(h, name)),
+d AS (SELECT doc_id, i, start, CASE WHEN i = 0 AND heads_n > 0 THEN part || chr(10) || ' ' ELSE part END AS body,
+  CASE WHEN i = 0 THEN CASE WHEN heads_n > 0 THEN 'preamble' ELSE 'full report' END WHEN v.name IS NOT NULL THEN v.name WHEN contains(c.h, 'impression') THEN 'impression' WHEN contains(c.h, 'findings') THEN 'findings' WHEN contains(c.h, 'history') THEN 'history' WHEN contains(c.h, 'comparison') THEN 'comparison'
+    WHEN contains(c.h, 'addendum') THEN 'addendum' WHEN {' OR '.join(f"contains(c.h, '{x}')" for x in text.VIEWS)} THEN 'findings' ELSE c.h END AS name FROM c LEFT JOIN v ON v.h = c.h),
+e AS (SELECT * FROM d WHERE NOT (name IN ('impression', 'findings') AND trim(body, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') = '')),
+f AS (SELECT *, max(i) OVER w = i AND NOT bool_or(name IN ('impression', 'findings')) OVER w AND contains(body, chr(10) || ' ' || chr(10)) AS ends, instr(body, chr(10) || ' ' || chr(10)) AS cut FROM e WINDOW w AS (PARTITION BY doc_id)),
+g AS (SELECT doc_id, i, start, name, CASE WHEN ends THEN left(body, cut - 1) ELSE body END AS body FROM f UNION ALL SELECT doc_id, i + 1, start + cut + 2, 'last_paragraph', substr(body, cut + 3) FROM f WHERE ends),
+s AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INT) AS pos, name, CAST(start AS INT) AS start, body FROM g)"""
+_LAST_SQL = lambda name: f"trim(arg_max(body, pos) FILTER (WHERE name = '{name}'), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')"
+_SECTIONS_SQL = f"r AS (SELECT doc_id, {', '.join(f'{_LAST_SQL(n)} AS {n}' for n in text.CONCLUSIONS)}, {_LAST_SQL('examination')} AS examination FROM s GROUP BY 1)"
+_CHOSEN_SQL = "CASE WHEN impression IS NOT NULL THEN 'impression' WHEN findings IS NOT NULL THEN 'findings' WHEN last_paragraph IS NOT NULL THEN 'last_paragraph' WHEN comparison IS NOT NULL THEN 'comparison' END AS section, coalesce(impression, findings, last_paragraph, comparison, '') AS body"
+
+
 def _notes(t):
-    d = F.col("doc_id")
-    head = F.concat(F.lit("EXAM: "), F.col("lang"), F.lit("\nFINDINGS: "), F.col("text"), F.lit("\nIMPRESSION: "), F.col("source"))
-    note = F.when(d % 4 == 0, F.concat(F.lit("x "), F.col("lang"))).when(d % 4 == 1, head).otherwise(F.concat(head, F.lit("\nIMPRESSIONS: addendum "), d))
-    return t.documents.select("doc_id", note.alias("note"))
+    return t.documents.select("doc_id", F.coalesce(F.expr(_NOTE), F.lit("")).alias("note"))
 
 
-@query()
+@query(f"WITH {_NOTES_SQL} SELECT * FROM s")
 def section_split(t):
-    return text.normalize_names(text.section_split(_notes(t), "doc_id", "note"))
+    return text.section_split(_notes(t), "doc_id", "note")
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE 'impression' END AS section, CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 4 = 1 THEN source ELSE 'addendum ' || doc_id END AS body FROM documents")
+@query(f"WITH {_NOTES_SQL}, {_SECTIONS_SQL} SELECT doc_id, {', '.join(text.CONCLUSIONS)} FROM r")
+def section_table(t):
+    return text.section_table(_notes(t), "doc_id", "note")
+
+
+@query(f"WITH {_NOTES_SQL}, {_SECTIONS_SQL} SELECT doc_id, {_CHOSEN_SQL} FROM r")
 def section_select(t):
-    return text.section_select(section_split(t), "doc_id")
+    return text.section_select(_notes(t), "doc_id", "note")
+
+
+@query(f"""WITH {_NOTES_SQL}, {_SECTIONS_SQL}, o AS (SELECT doc_id, {_CHOSEN_SQL}, examination FROM r)
+SELECT o.doc_id, CASE WHEN o.doc_id % 11 = 0 THEN 'given place' WHEN o.doc_id % 4 = 2 THEN 'examination' ELSE section END AS section, CASE WHEN o.doc_id % 11 = 0 THEN substr(n.t, 4, 40) WHEN o.doc_id % 4 = 2 THEN coalesce(examination, '') ELSE body END AS body FROM o JOIN n ON n.doc_id = o.doc_id""")
+def section_overrides(t):
+    """Some reports state the section or the characters that hold their conclusion."""
+    by_name = t.documents.filter("doc_id % 4 = 2").select("doc_id", F.lit("examination").alias("name"))
+    by_place = t.documents.filter("doc_id % 11 = 0").select("doc_id", F.lit(3).alias("start"), F.lit(43).alias("stop"))
+    return text.section_select(_notes(t), "doc_id", "note", by_name=by_name, by_place=by_place)
 
 
 @query("SELECT *, tp / nullif(tp + fp, 0) AS precision, tp / nullif(tp + fn, 0) AS recall, 2 * tp / nullif(2 * tp + fp + fn, 0) AS f1 FROM (SELECT count(*) FILTER (WHERE quality = 1 AND toxic = 0) AS tp, count(*) FILTER (WHERE quality <> 1 AND toxic = 0) AS fp, count(*) FILTER (WHERE quality = 1 AND toxic <> 0) AS fn, count(*) FILTER (WHERE quality = 1) AS positives FROM labels) q")
