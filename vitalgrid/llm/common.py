@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import string
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +58,23 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def give_back() -> None:
+    """Free memory of this process goes back to the machine; Python workers wait for further tasks with what they hold."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def released(run):
+    """``run`` for ``mapInArrow``, after which the worker gives its memory back."""
+
+    def inner(batches):
+        yield from run(batches)
+        give_back()
+
+    return inner
+
+
 BROADCAST_BYTES = 32_000_000
 
 

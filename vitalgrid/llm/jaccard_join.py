@@ -39,7 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import BROADCAST_BYTES, materialize, scratch, small_side
+from vitalgrid.llm.arrow_words import slices
+from vitalgrid.llm.common import BROADCAST_BYTES, give_back, materialize, released, scratch, small_side
 from vitalgrid.llm.components import connected_components
 from vitalgrid.llm.lm_scoring import tokenize
 from vitalgrid.llm.packing import from_planes, planes
@@ -51,7 +52,8 @@ CELL_BYTES = 64_000_000  # of the sets that one task holds at once
 BUCKET_BITS = 24  # counters of shingles: two megabytes of marks
 COUNTED = 2_000_000  # shingles that are counted together
 KEY_BITS = 48  # keys only gather candidates, so a shortened key costs at most a few needless comparisons
-POSTED_CLASSES = 8000  # classes that post together
+POSTED_CLASSES = 8000  # classes that post together, at most
+POSTED_KEYS = 2_000_000  # and about how many keys
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -152,8 +154,7 @@ def _summary(k: int, parts: int, id_type: pa.DataType):
     def run(batches):
         seen, held, size = set(), [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for part in slices(batch, 1):
                 sets = []
                 for s in shingle_sets(part.column(1), k):
                     sets.append((len(s), c := class_of(s)))
@@ -199,7 +200,7 @@ def common_shingles(base: DataFrame, parts: int, common_docs: int) -> bytes:
     rows = base.filter("part IS NOT NULL").select("part", "bucket", "count").repartition("part")
     width = (1 << BUCKET_BITS) // parts // 8
     out = bytearray(width * parts)
-    for part, bits in rows.mapInArrow(_marks(parts, least), "part int, bits binary").collect():
+    for part, bits in rows.mapInArrow(released(_marks(parts, least)), "part int, bits binary").collect():
         out[part * width : (part + 1) * width] = bits
     return bytes(out)
 
@@ -262,18 +263,19 @@ def _postings(k: int, percent: int, parts: int, marks=None):
 
     def run(batches):
         bits = np.zeros(1 << BUCKET_BITS >> 3, np.uint8) if marks is None else np.frombuffer(marks.value, np.uint8)
-        intervals, seen, keys, names = Intervals(percent), set(), [], []
+        intervals, seen, keys, names, size = Intervals(percent), set(), [], [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                for s in shingle_sets(batch.slice(at, 2000).column(0), k):
+            for part in slices(batch, 0):
+                for s in shingle_sets(part.column(0), k):
                     if len(s) and (c := class_of(s)) not in seen:
                         seen.add(c)
                         bucket = bucket_of(s)
                         keys.append(intervals.keys(s, (bits[bucket >> 3] >> (bucket & 7)) & 1 == 1))
                         names.append(c)
-                        if len(names) == POSTED_CLASSES:
+                        size += len(keys[-1])
+                        if len(names) == POSTED_CLASSES or size >= POSTED_KEYS:
                             yield rows(keys, names)
-                            keys, names = [], []
+                            keys, names, size = [], [], 0
         if names:
             yield rows(keys, names)
 
@@ -302,6 +304,12 @@ def _meet(part: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(names[moved], pa.int64()), "b": pa.array(names[least[moved]], pa.int64())})
 
 
+def _met(part: pa.Table) -> pa.Table:
+    out = _meet(part)
+    give_back()
+    return out
+
+
 # verification: the R-tree of a cell
 
 
@@ -392,8 +400,7 @@ def _sets(k: int):
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in slices(batch, 4):
                 items = pa.array([s.tobytes() for s in shingle_sets(part.column(4), k)], pa.binary())
                 cls = part.column(3)
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], cls, pa.array([True] * part.num_rows), items], names=["cell", "i", "j", "cls", "label", "probe", "items"])
@@ -434,7 +441,7 @@ def _cells(percent: int):
 
 def _dealt_links(rows: DataFrame, percent: int) -> DataFrame:
     cell = ("cell", "i", "j")
-    return rows.repartition(*cell).sortWithinPartitions(*cell, "cls").mapInArrow(_cells(percent), "a long, b long")
+    return rows.repartition(*cell).sortWithinPartitions(*cell, "cls").mapInArrow(released(_cells(percent)), "a long, b long")
 
 
 def _chunk(seed: int, chunks: str = "chunks"):
@@ -481,7 +488,7 @@ def jaccard_members(
     k: int = 4,
     percent: int = 85,
     cell_rows: int = 20_000,
-    part_shingles: int = 4_000_000,
+    part_shingles: int = 2_000_000,
     common_docs: int = 32,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -499,15 +506,15 @@ def jaccard_members(
     body = F.xxhash64(text).alias("body")
     count_parts = 256
     rows = docs.select(F.col(doc_id).alias("doc"), whole, body).mapInArrow(
-        _summary(k, count_parts, to_arrow_type(id_type)), f"doc {id_type.simpleString()}, body long, n long, cls long, part int, bucket binary, count binary"
+        released(_summary(k, count_parts, to_arrow_type(id_type))), f"doc {id_type.simpleString()}, body long, n long, cls long, part int, bucket binary, count binary"
     )
     with scratch(spark):
         written = materialize(rows, outer=True)
         base = written.filter("part IS NULL").select("doc", "body", "n", "cls")
         marks = spark.sparkContext.broadcast(common_shingles(written, count_parts, common_docs))
         shingles = base.agg(F.sum("n")).first()[0] or 0
-        posted = docs.select(whole).mapInArrow(_postings(k, percent, 1 + shingles // part_shingles, marks), POSTED)
-        cells = connected_components(posted.groupBy("part").applyInArrow(_meet, "a long, b long"))
+        posted = docs.select(whole).mapInArrow(released(_postings(k, percent, 1 + shingles // part_shingles, marks)), POSTED)
+        cells = connected_components(posted.groupBy("part").applyInArrow(_met, "a long, b long"))
 
         classes = base.filter("n > 0").groupBy("cls").agg(
             F.min("doc").alias("doc"), F.coalesce(F.min_by("body", "doc"), F.min("body")).alias("body"), F.first("n").alias("n")
@@ -521,7 +528,7 @@ def jaccard_members(
             own = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("body"), whole)
             same = own["doc"].eqNullSafe(named["_doc"]) & (own["body"] == named["_body"])
             held = own.join(small_side(named, broadcast_bytes), same)
-            return held.select("cell", F.lit(0).alias("i"), F.lit(0).alias("j"), "cls", "text").mapInArrow(_sets(k), SETS)
+            return held.select("cell", F.lit(0).alias("i"), F.lit(0).alias("j"), "cls", "text").mapInArrow(released(_sets(k)), SETS)
 
         links = _dealt_links(sets_of(wanted.join(large, "cell", "left_anti")), percent)
         if not large.isEmpty():

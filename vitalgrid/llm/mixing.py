@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import materialize, scratch
+from vitalgrid.llm.common import materialize, released, scratch
 from vitalgrid.llm.features import as_texts, pair_counts, word_counts
 from vitalgrid.llm.quality_classifier import labelled_sample
 
@@ -106,7 +106,7 @@ def domain_posteriors(
                     names=["cell", "n", "term", "y", "id"],
                 )
 
-    got = sample.mapInArrow(count, "cell binary, n binary, term binary, y long, id binary").toArrow().sort_by([("id", "ascending")])
+    got = sample.mapInArrow(released(count), "cell binary, n binary, term binary, y long, id binary").toArrow().sort_by([("id", "ascending")])
     model = None
     if got.num_rows:
         pairs = np.zeros((got.num_rows, pair_counts([""]).shape[1]), np.float32)
@@ -127,7 +127,7 @@ def domain_posteriors(
                 )
 
     id_type = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(doc_id, text).mapInArrow(score, f"`{doc_id}` {id_type}, n_tokens long, p array<double>")
+    return docs.select(doc_id, text).mapInArrow(released(score), f"`{doc_id}` {id_type}, n_tokens long, p array<double>")
 
 
 def fit_rates(
