@@ -162,3 +162,16 @@ def infusion_episodes(df: DataFrame, keys: Sequence[str], at: str, rate: str, st
     return inside.groupBy(*keys, F.col("_run").alias("episode")).agg(
         F.min(at).alias("starttime"), F.max(at).alias("endtime"), F.max("_rate").alias("max_rate")
     )
+
+
+def slot_episodes(df: DataFrame, keys: Sequence[str], at: str, state: str, gone: str, by: Sequence[str], gap_hours: int) -> DataFrame:
+    """``keys``, ``by``, ``starttime`` and ``endtime`` of what numbered slots held.
+
+    A slot's episode ends where its ``state`` changes or is unknown, where the row before was marked ``gone``, and after
+    ``gap_hours`` without a row; rows that are not marked 0 only end episodes.
+    """
+    w = Window.partitionBy(*keys).orderBy(at)
+    goes_on = (F.lag(state).over(w) == F.col(state)) & (dt_diff(F.col(at), F.lag(at).over(w), "HOUR") < gap_hours)
+    new = F.coalesce(F.lag(gone).over(w) == 1, F.lit(False)) | ~F.coalesce(goes_on, F.lit(False))
+    numbered = df.withColumn("_new", new.cast("int")).withColumn("_episode", F.sum("_new").over(w))
+    return numbered.filter(F.col(gone) == 0).groupBy(*keys, "_episode", *by).agg(F.min(at).alias("starttime"), F.max(at).alias("endtime")).drop("_episode")

@@ -271,6 +271,26 @@ SELECT event_id AS row_id, user_id AS subject_id, CASE WHEN event_id % 10 = 0 TH
        '/' || CAST(50 + event_id % 40 AS VARCHAR(9)) || chr(10) || 'HR (bpm): ' || CAST(50 + event_id % 60 AS VARCHAR(9)) || chr(10) || 'Status: Inpatient' || chr(10) || 'Date/Time: [**2024-1-5**] at ' ||
        lpad(CAST(event_id % 24 AS VARCHAR(9)), 2, '0') || ':30' || chr(10) || 'Test: TTE (Complete)' || chr(10) || 'Doppler: Full Doppler' || chr(10) || 'Contrast: None' || chr(10) ||
        CASE WHEN event_id % 6 = 0 THEN '' ELSE 'Technical Quality: Adequate' || chr(10) END AS text
+FROM {events}""",
+    "older_line_events": f"""
+SELECT {_stay} AS icustay_id, e.ts AS charttime, e.ts + s.slot * INTERVAL '3' MINUTE AS storetime, c.itemid,
+       CASE WHEN c.itemid > 8000 THEN CASE (e.event_id + s.slot) % 5 WHEN 0 THEN 'Left Antecub' WHEN 1 THEN 'Right Femoral.' WHEN 2 THEN 'Left IJ' WHEN 3 THEN 'Right Brachial' ELSE NULL END
+            ELSE CASE CAST(floor(e.event_id / 40) AS BIGINT) % 5 WHEN 0 THEN 'A-Line' WHEN 1 THEN 'Dialysis Line' WHEN 2 THEN 'Multi-lumen' WHEN 3 THEN 'IABP' ELSE 'Portacath' END END AS value,
+       CASE WHEN e.event_id % 6 = 0 THEN 'D/C''d' WHEN e.event_id % 11 = 0 THEN NULL ELSE 'NotStopd' END AS stopped, CAST(CASE WHEN e.event_id % 47 = 0 THEN 1 WHEN e.event_id % 2 = 0 THEN 0 END AS INT) AS error
+FROM {{events}} e CROSS JOIN (VALUES (0), (1), (2), (3)) AS s(slot) JOIN {_list([229, 8392, 229, 8392, 235, 8393, 8399, 271], 'itemid')} ON c.idx = (e.user_id + s.slot * CASE WHEN e.event_id % 2 = 0 THEN 1 ELSE 2 END) % 8""",
+    "older_line_procedures": f"""
+SELECT {_stay} AS icustay_id, e.ts AS starttime, e.ts + (e.event_id % 90 + 1) * INTERVAL '1' HOUR AS endtime, c.itemid, c.label,
+       CASE e.event_id % 5 WHEN 0 THEN 'Left Antecube' WHEN 1 THEN 'Left Axilla.' WHEN 2 THEN 'Right Brachial.' WHEN 3 THEN 'Right IJ' ELSE NULL END AS location, CASE WHEN e.event_id % 6 = 0 THEN 'Rewritten' ELSE 'FinishedRunning' END AS statusdescription
+FROM {{events}} e JOIN {_list(LINE_CODES, 'itemid, label')} ON c.idx = e.event_id % {len(LINE_CODES)}""",
+    "drgcodes": """
+SELECT DISTINCT user_id * 10 AS hadm_id, CASE WHEN event_id % 2 = 0 THEN 'MS' ELSE 'HCFA' END AS drg_type,
+       lpad(CAST(CASE WHEN event_id % 2 = 0 THEN (user_id * 37 + event_id % 3 * 200) % 999 + 1 ELSE (user_id * 53 + event_id % 3 * 150) % 579 + 1 END AS VARCHAR(9)), 3, '0') AS drg_code
+FROM {events} WHERE user_id % 4 <> 3 AND event_id % 5 = 0""",
+    "older_notes": """
+SELECT event_id AS row_id, user_id AS subject_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS chartdate, CASE WHEN event_id % 13 = 0 THEN NULL ELSE ts END AS charttime, CASE event_id % 4 WHEN 0 THEN 'Echo' WHEN 1 THEN 'Nutrition' WHEN 2 THEN 'Physician ' ELSE 'Nutrition' END AS category,
+       CASE event_id % 4 WHEN 0 THEN 'Indication: pain' || chr(10) || 'Height: (in) ' || CASE WHEN event_id % 8 = 0 THEN '[**Numeric Identifier **]' ELSE CAST(50 + event_id % 30 AS VARCHAR(9)) END || chr(10) || 'Date/Time: [**2024-1-5**] at ' || lpad(CAST(event_id % 24 AS VARCHAR(9)), 2, '0') || ':30' || chr(10)
+         WHEN 1 THEN 'Weight 70 kg, ' || CASE WHEN event_id % 3 = 0 THEN 'height ' WHEN event_id % 3 = 1 THEN 'Height: ' ELSE '' END || CAST(60 + event_id % 130 AS VARCHAR(9)) || CASE WHEN event_id % 7 = 0 THEN ' in' ELSE ' cm' END || ' (5 ft)'
+         WHEN 2 THEN 'Assessment. Ideal body weight: ' || CASE WHEN event_id % 5 = 0 THEN CAST(event_id % 40 + 45 AS VARCHAR(9)) || '.5' WHEN event_id % 5 = 1 THEN '0' ELSE CAST(event_id % 40 + 45 AS VARCHAR(9)) END || ' kg' ELSE 'Ideal body weight: none' END AS text
 FROM {events}""",
 }
 
