@@ -299,3 +299,31 @@ def test_values_at_an_anchor(spark):
     spans = frame(spark, [(1, at(9), at(10), 7), (1, at(10), at(12), 8), (2, at(1), None, 8), (2, at(1), at(9), 7)], ["id", "s", "e", "code"])
     flags = cohort.flag_within(anchors, spans, "id", "t0", "s", "e", {"any": F.col("code").isNotNull(), "seven": F.col("code") == 7}, "id").collect()
     assert sorted(map(tuple, flags)) == [(1, 1, 1), (2, 1, 0)]
+
+
+def test_code_layout_prunes_partitions(spark, tmp_path):
+    rows = [(c, i, None if i % 7 else "x") for i in range(60) for c in (5, 51, 211, 400, 615, 700, 220045, None)] + [(211, i, "hot") for i in range(500)]
+    df = spark.createDataFrame(rows, "itemid int, n int, value string")
+    layout = io.write_by_code(df, f"{tmp_path}/chart", "itemid", (161, 428, 615, 220000), hot=(211, 220045))
+    assert [layout.number(c) for c in (5, 161, 211, 427, 428, 615, 700, 220045, 230000)] == [1, 2, 0, 2, 3, 4, 4, 0, 5]
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    chosen = layout.read(spark, f"{tmp_path}/chart", [51, 615, 211, 999])
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "code_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert same(chosen.select(df.columns), df.filter("itemid IN (51, 615, 211)")) and chosen.columns == df.columns
+    numbers = {f.split("code_bucket=")[1].split("/")[0] for f in layout.read(spark, f"{tmp_path}/chart", [51, 700]).inputFiles() if "code_bucket=" in f}
+    assert numbers >= {"1", "4"}
+    whole = layout.read(spark, f"{tmp_path}/chart")
+    assert same(whole.select(df.columns), df)
+    for low, high in ((161, 428), (None, 52), (600, None), (211, 212), (161, 162)):
+        got = layout.read(spark, f"{tmp_path}/chart", low=low, high=high)
+        cond = " AND ".join(x for x in (f"itemid >= {low}" if low is not None else "", f"itemid < {high}" if high is not None else "") if x)
+        assert same(got.select(df.columns), df.filter(cond))
+    metrics = layout.read(spark, f"{tmp_path}/chart", [5])
+    assert metrics.count() == 60
+
+
+def test_line_episodes_of_slots(spark):
+    rows = [(1, at(0), "a", 0), (1, at(10), "a", 0), (1, at(30), "a", 0), (1, at(31), "b", 0), (1, at(32), "b", 1), (1, at(33), "b", 0), (1, at(34), None, 0), (1, at(35), None, None)]
+    got = episodes.slot_episodes(frame(spark, rows, ["slot", "t", "kind", "gone"]), ["slot"], "t", "kind", "gone", ["kind"], 16).orderBy("starttime").collect()
+    assert [(r.kind, r.starttime, r.endtime) for r in got] == [("a", at(0), at(10)), ("a", at(30), at(30)), ("b", at(31), at(31)), ("b", at(33), at(33)), (None, at(34), at(34))]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import warnings
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,10 +82,11 @@ def open_table(spark: SparkSession, path: str, name: str, *, fmt: str = "parquet
     return df
 
 
-def read_lookup(spark: SparkSession, path: str, shape: T.StructType, max_rows: int = 1_000_000) -> DataFrame:
-    """A code table, marked for broadcast if it has at most ``max_rows`` rows."""
+def read_lookup(spark: SparkSession, path: str, shape: T.StructType, max_bytes: int = 32_000_000) -> DataFrame:
+    """A code table, marked for broadcast if its rows take at most ``max_bytes``."""
     df = read_csv(spark, path, shape)
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    row = sum((16 + F.coalesce(F.octet_length(c), F.lit(0)) if t == "string" else F.lit(8) for c, t in df.dtypes), F.lit(16))
+    return F.broadcast(df) if (df.agg(F.sum(row)).first()[0] or 0) <= max_bytes else df
 
 
 #: Further source tables: emergency department and notes.
@@ -152,10 +154,54 @@ def copy_schema(spark: SparkSession, tables: Sequence[str], version: str) -> Non
         spark.table(t).write.mode("overwrite").saveAsTable(f"`{version}`.`{t.split('.')[-1]}`")
 
 
-def write_by_code(df: DataFrame, path: str, code: str, bounds: Sequence[int]) -> None:
-    """Partition an event table by code range, sorted by code within each file."""
-    bucket = sum((F.when(F.col(code) >= b, 1).otherwise(0) for b in bounds), F.lit(0))
-    df.withColumn("code_bucket", bucket).repartitionByRange(code).sortWithinPartitions(code).write.mode("overwrite").partitionBy("code_bucket").parquet(path)
+@dataclass(frozen=True)
+class CodeLayout:
+    """Where an event table's rows lie: one partition for the ``hot`` codes, one for each range between ``bounds``.
+
+    Rows without a code lie with the hot ones, at number 0; number 1 is the range below the first bound.
+    """
+
+    code: str
+    bounds: tuple[int, ...]
+    hot: tuple[int, ...] = ()
+    column: str = "code_bucket"
+
+    def number(self, code: int) -> int:
+        return 0 if code in self.hot else 1 + sum(code >= b for b in self.bounds)
+
+    def write(self, df: DataFrame, path: str) -> None:
+        """Partitioned by number and sorted by code, so that files and row groups hold few codes each.
+
+        Ranges are cut by code and then by the row's hash: a code with very many rows is several tasks' and files'.
+        """
+        code = F.col(self.code)
+        between = sum((F.when(code >= b, 1).otherwise(0) for b in sorted(self.bounds)), F.lit(1))
+        number = F.when(code.isNull() | code.isin(list(self.hot)), 0).otherwise(between) if self.hot else F.when(code.isNull(), 0).otherwise(between)
+        dealt = df.withColumn(self.column, number)
+        dealt = dealt.repartitionByRange(self.column, self.code, F.xxhash64(*df.columns)).sortWithinPartitions(self.column, self.code)
+        dealt.write.mode("overwrite").partitionBy(self.column).parquet(path)
+
+    def read(self, spark: SparkSession, path: str, codes: Sequence[int] | None = None, *, low: int | None = None, high: int | None = None) -> DataFrame:
+        """The rows of a list of codes, or of codes from ``low`` up to but not including ``high``; only their partitions are listed and read."""
+        df, code = spark.read.parquet(path), F.col(self.code)
+        if codes is not None:
+            numbers, wanted = {self.number(c) for c in codes}, code.isin(list(codes))
+        elif low is None and high is None:
+            return df.drop(self.column)
+        else:
+            first = 1 if low is None else 1 + sum(low >= b for b in self.bounds)
+            last = 1 + len(self.bounds) if high is None else 1 + sum(high - 1 >= b for b in self.bounds)
+            hot = any((low is None or c >= low) and (high is None or c < high) for c in self.hot)
+            numbers = {*range(first, last + 1), *([0] if hot else [])}
+            wanted = (code >= low if low is not None else F.lit(True)) & (code < high if high is not None else F.lit(True))
+        return df.filter(F.col(self.column).isin(sorted(numbers)) & wanted).drop(self.column)
+
+
+def write_by_code(df: DataFrame, path: str, code: str, bounds: Sequence[int], hot: Sequence[int] = ()) -> CodeLayout:
+    """Partition an event table by code range, sorted by code within each file; returns the layout to read it by."""
+    layout = CodeLayout(code, tuple(bounds), tuple(hot))
+    layout.write(df, path)
+    return layout
 
 
 def write_texts(df: DataFrame, path: str, per_file: int = 10_000) -> None:
