@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.arrow_words import slices
-from vitalgrid.llm.common import BROADCAST_BYTES, give_back, materialize, released, scratch, small_side
+from vitalgrid.llm.common import BROADCAST_BYTES, give_back, materialize, released, scratch, small_batches, small_side
 from vitalgrid.llm.components import connected_components
 from vitalgrid.llm.lm_scoring import tokenize
 from vitalgrid.llm.packing import from_planes, planes
@@ -53,7 +53,7 @@ BUCKET_BITS = 24  # counters of shingles: two megabytes of marks
 COUNTED = 2_000_000  # shingles that are counted together
 KEY_BITS = 48  # keys only gather candidates, so a shortened key costs at most a few needless comparisons
 POSTED_CLASSES = 8000  # classes that post together, at most
-POSTED_KEYS = 2_000_000  # and about how many keys
+POSTED_KEYS = 700_000  # and about how many keys
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -508,7 +508,7 @@ def jaccard_members(
     rows = docs.select(F.col(doc_id).alias("doc"), whole, body).mapInArrow(
         released(_summary(k, count_parts, to_arrow_type(id_type))), f"doc {id_type.simpleString()}, body long, n long, cls long, part int, bucket binary, count binary"
     )
-    with scratch(spark):
+    with scratch(spark), small_batches(spark):
         written = materialize(rows, outer=True)
         base = written.filter("part IS NULL").select("doc", "body", "n", "cls")
         marks = spark.sparkContext.broadcast(common_shingles(written, count_parts, common_docs))
