@@ -1,4 +1,4 @@
-"""Invasive lines of the older generation, and heights from charts and notes."""
+"""Invasive lines and continuous dialysis of the older generation, and heights from charts and notes."""
 
 from __future__ import annotations
 
@@ -99,3 +99,39 @@ def pivoted_height(ctx):
     for part in (echo, weighed, fed):
         out = out.unionByName(part)
     return out.filter("height > 0")
+
+
+# Codes of continuous dialysis and the texts that start, hold and end it.
+RUNNING = [224149, 224144, 228004, 225183, 225977, 224154, 224151, 224150, 225958, 224145, 224191, 228005, 228006, 225976, 224153, 224152, 226457, 29, 173, 192, 624, 79, 142, 146, 611, 5683]
+SYSTEM, OLD_SYSTEM, INFUSING, CHANGED = 224146, 665, 147, 225956
+RUNNING_TEXTS, STARTING, ENDING = ["Active", "Clot Increasing", "Clots Present", "No Clot Present"], ["New Filter", "Reinitiated"], ["Discontinued", "Recirculating"]
+
+
+def _texts(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+@concept("crrt_durations", ["older_dialysis_events"], f"""
+WITH a AS (SELECT icustay_id, charttime, bool_or(itemid IN ({_in(RUNNING)}) OR (itemid = {OLD_SYSTEM} AND value IN ({_texts(RUNNING_TEXTS)})) OR (itemid = {INFUSING} AND value = 'Yes')) AS runs,
+  bool_or((itemid = {SYSTEM} AND value IN ({_texts(STARTING)})) OR (itemid = {OLD_SYSTEM} AND value = 'Initiated')) AS starts, bool_or((itemid = {SYSTEM} AND value IN ({_texts(ENDING)})) OR (itemid = {OLD_SYSTEM} AND (value = 'Clotted' OR starts_with(value, 'DC'))) OR itemid = {CHANGED}) AS ends
+  FROM older_dialysis_events WHERE value IS NOT NULL AND (valuenum IS NULL OR valuenum <> 0) AND itemid IN ({_in([SYSTEM, OLD_SYSTEM, INFUSING, CHANGED, 612, *RUNNING])}) GROUP BY 1, 2),
+b AS (SELECT *, lag(charttime) OVER w AS before, coalesce(lag(ends) OVER w, false) AS ended FROM a WINDOW w AS (PARTITION BY icustay_id, runs OR ends ORDER BY charttime)),
+c AS (SELECT *, sum(CAST(starts OR (NOT ends AND (ended OR before IS NULL OR date_diff('hour', before, charttime) > 2)) AS INT)) OVER (PARTITION BY icustay_id ORDER BY charttime) AS n FROM b WHERE starts OR runs OR ends),
+d AS (SELECT icustay_id, min(charttime) AS starttime, max(charttime) AS endtime FROM c GROUP BY icustay_id, n HAVING min(charttime) <> max(charttime))
+SELECT icustay_id, row_number() OVER (PARTITION BY icustay_id ORDER BY starttime) AS num, starttime, endtime, date_diff('hour', starttime, endtime) AS duration_hours FROM d""")
+def crrt_durations(ctx):
+    """Runs of continuous dialysis: a start, the row after an end and a gap of more than two hours each begin one."""
+    code, value = F.col("itemid"), F.col("value")
+    rows = ctx["older_dialysis_events"].filter(code.isin([SYSTEM, OLD_SYSTEM, INFUSING, CHANGED, 612, *RUNNING]) & value.isNotNull() & (F.coalesce("valuenum", F.lit(1.0)) != 0))
+    marks = {
+        "runs": code.isin(RUNNING) | ((code == OLD_SYSTEM) & value.isin(RUNNING_TEXTS)) | ((code == INFUSING) & (value == "Yes")), "starts": ((code == SYSTEM) & value.isin(STARTING)) | ((code == OLD_SYSTEM) & (value == "Initiated")),
+        "ends": ((code == SYSTEM) & value.isin(ENDING)) | ((code == OLD_SYSTEM) & ((value == "Clotted") | value.startswith("DC"))) | (code == CHANGED),
+    }
+    at = rows.groupBy("icustay_id", "charttime").agg(*[F.max(m).alias(n) for n, m in marks.items()])
+    alike = Window.partitionBy("icustay_id", F.col("runs") | F.col("ends")).orderBy("charttime")
+    far = F.coalesce(dt_diff(F.col("charttime"), F.lag("charttime").over(alike), "HOUR") > 2, F.lit(True))
+    begins = F.col("starts") | (~F.col("ends") & (F.coalesce(F.lag("ends").over(alike), F.lit(False)) | far))
+    own = Window.partitionBy("icustay_id")
+    runs = at.withColumn("_begins", begins.cast("int")).filter("starts OR runs OR ends").withColumn("_run", F.sum("_begins").over(own.orderBy("charttime")))
+    spans = runs.groupBy("icustay_id", "_run").agg(F.min("charttime").alias("starttime"), F.max("charttime").alias("endtime")).filter("starttime <> endtime")
+    return spans.select("icustay_id", F.row_number().over(own.orderBy("starttime")).cast("long").alias("num"), "starttime", "endtime", dt_diff(F.col("endtime"), F.col("starttime"), "HOUR").alias("duration_hours"))
