@@ -50,6 +50,15 @@ def test_language_model_equals_brute_force(spark, sf_dir):
     assert lm_scores(df.filter("false")).count() == 0
 
 
+def test_language_model_of_shuffled_long_and_repeated_rows(spark):
+    words = [f"w{(i * i) % 97}" for i in range(60_000)]
+    rows = [(i, " ".join(words[i : i + 30])) for i in range(80)] + [(900, " ".join(words))] + [(3, "again and again")] * 300 + [(4, None)] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for chars in (400_000, 4_000):  # all rows in few blocks; one document's repeats fill several
+        got = lm_scores(df, weight=2.0, block_chars=chars, bucket_chars=chars).collect()
+        assert sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), round(r.score, 4)) for r in got), key=str) == sorted([(*x[:5], round(x[5], 4), round(x[6], 4)) for x in brute(rows, 2.0)], key=str)
+
+
 def test_quality_is_learned(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
