@@ -283,13 +283,20 @@ SELECT {_stay} AS icustay_id, e.ts AS starttime, e.ts + (e.event_id % 90 + 1) *
        CASE e.event_id % 5 WHEN 0 THEN 'Left Antecube' WHEN 1 THEN 'Left Axilla.' WHEN 2 THEN 'Right Brachial.' WHEN 3 THEN 'Right IJ' ELSE NULL END AS location, CASE WHEN e.event_id % 6 = 0 THEN 'Rewritten' ELSE 'FinishedRunning' END AS statusdescription
 FROM {{events}} e JOIN {_list(LINE_CODES, 'itemid, label')} ON c.idx = e.event_id % {len(LINE_CODES)}""",
     "older_dialysis_events": f"""
-SELECT {_stay} AS icustay_id, e.ts + s.slot * INTERVAL '90' MINUTE AS charttime, c.itemid,
+SELECT {_stay} AS icustay_id, e.ts + s.slot * INTERVAL '90' MINUTE AS charttime, c.itemid, CAST(CASE WHEN e.event_id % 53 = 0 THEN 1 WHEN e.event_id % 2 = 0 THEN 0 END AS INT) AS error,
        CASE WHEN c.itemid = 224146 THEN CASE e.event_id % 6 WHEN 0 THEN 'New Filter' WHEN 1 THEN 'Discontinued' WHEN 2 THEN 'Active' WHEN 3 THEN 'Reinitiated' WHEN 4 THEN 'Recirculating' ELSE NULL END
             WHEN c.itemid = 665 THEN CASE e.event_id % 6 WHEN 0 THEN 'Initiated' WHEN 1 THEN 'DC''d' WHEN 2 THEN 'Active' WHEN 3 THEN 'Clotted' WHEN 4 THEN 'Clots Present' ELSE 'Other' END
-            WHEN c.itemid = 147 THEN CASE WHEN e.event_id % 2 = 0 THEN 'Yes' ELSE 'No' END WHEN c.itemid = 225956 THEN 'Clotted' ELSE 'v' END AS value,
-       CASE WHEN c.itemid IN (224146, 665, 147, 225956) THEN NULL ELSE CAST((e.event_id + s.slot) % 7 AS DOUBLE) END AS valuenum
-FROM {{events}} e CROSS JOIN (VALUES (0), (1), (2), (3), (4)) AS s(slot) JOIN {_list([224149, 224144, 665, 29, 79, 224146, 147, 5683, 224191, 612, 225956], 'itemid')} ON c.idx = (e.event_id * 3 + s.slot) % 11
+            WHEN c.itemid = 147 THEN CASE WHEN e.event_id % 2 = 0 THEN 'Yes' ELSE 'No' END WHEN c.itemid = 225956 THEN 'Clotted'
+            WHEN c.itemid IN (152, 227290) THEN CASE e.event_id % 6 WHEN 0 THEN 'CVVH' WHEN 1 THEN 'CVVHD' WHEN 2 THEN 'CVVHDF' WHEN 3 THEN 'SCUF' WHEN 4 THEN 'Peritoneal' ELSE 'Unknown' END
+            WHEN c.itemid = 582 THEN CASE e.event_id % 6 WHEN 0 THEN 'CAVH Start' WHEN 1 THEN 'CVVHD D/C' WHEN 2 THEN 'Hemodialysis st' WHEN 3 THEN 'Hemodialysis end' WHEN 4 THEN 'Peritoneal Dial' ELSE 'OR' END
+            WHEN c.itemid = 235 THEN CASE WHEN e.event_id % 2 = 0 THEN 'Dialysis Line' ELSE 'A-Line' END WHEN c.itemid = 225965 THEN CASE WHEN e.event_id % 2 = 0 THEN 'In use' ELSE 'Capped' END ELSE 'v' END AS value,
+       CASE WHEN c.itemid IN (224146, 665, 147, 225956, 152, 227290, 582, 235, 225965) THEN NULL ELSE CAST((e.event_id + s.slot) % 7 AS DOUBLE) END AS valuenum
+FROM {{events}} e CROSS JOIN (VALUES (0), (1), (2), (3), (4)) AS s(slot)
+JOIN {_list([224149, 224144, 665, 29, 79, 224146, 147, 5683, 224191, 612, 225956, 152, 227290, 582, 235, 225965, 226499, 225810, 226118, 146], 'itemid')} ON c.idx = (e.event_id * 3 + s.slot) % 20
 WHERE e.user_id % 3 <> 2""",
+    "older_dialysis_fluids": f"""
+SELECT {_stay} AS icustay_id, e.ts AS charttime, c.itemid, c.side, CASE WHEN e.event_id % 9 = 0 THEN NULL ELSE CAST(e.event_id % 5 AS DOUBLE) END AS amount
+FROM {{events}} e JOIN {_list([(40788, 'in'), (40907, 'in'), (44954, 'in'), (45353, 'in'), (45268, 'in'), (46013, 'in'), (30018, 'in'), (40386, 'out'), (40789, 'out'), (41897, 'out'), (44843, 'out'), (40055, 'out')], 'itemid, side')} ON c.idx = e.event_id % 12""",
     "drgcodes": """
 SELECT DISTINCT user_id * 10 AS hadm_id, CASE WHEN event_id % 2 = 0 THEN 'MS' ELSE 'HCFA' END AS drg_type,
        lpad(CAST(CASE WHEN event_id % 2 = 0 THEN (user_id * 37 + event_id % 3 * 200) % 999 + 1 ELSE (user_id * 53 + event_id % 3 * 150) % 579 + 1 END AS VARCHAR(9)), 3, '0') AS drg_code

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vitalgrid.functions.dt import dt_diff
 from vitalgrid.functions.scalar import extract, num
 from vitalgrid.operators.episodes import slot_episodes
+from vitalgrid.operators.joins import interval_join
 from vitalgrid.plans.registry import concept
 
 # Codes of the eight numbered lines' types and sites, of placed lines, and common names.
@@ -135,3 +136,59 @@ def crrt_durations(ctx):
     runs = at.withColumn("_begins", begins.cast("int")).filter("starts OR runs OR ends").withColumn("_run", F.sum("_begins").over(own.orderBy("charttime")))
     spans = runs.groupBy("icustay_id", "_run").agg(F.min("charttime").alias("starttime"), F.max("charttime").alias("endtime")).filter("starttime <> endtime")
     return spans.select("icustay_id", F.row_number().over(own.orderBy("starttime")).cast("long").alias("num"), "starttime", "endtime", dt_diff(F.col("endtime"), F.col("starttime"), "HOUR").alias("duration_hours"))
+
+
+# What shows dialysis, what shows that it runs, and its kinds, by code of charts, fluids, outputs and orders.
+PRESENT = [
+    146, 147, 148, 149, 150, 151, 152, 226118, 227357, 225725, 226499, 224154, 225810, 225959, 227639, 225183, 227438, 224191, 225806, 225807, 228004, 228005, 228006, 224144, 224145, 224149, 224150, 224151, 224152, 224153, 224404, 224406, 226457,
+    224135, 224139, 224146, 225323, 225740, 225776, 225951, 225952, 225953, 225954, 225956, 225958, 225961, 225963, 225965, 225976, 225977, 227124, 227290, 227638, 227640, 227753,
+]
+ACTIVE = [146, 226499, 224154, 225183, 227438, 224191, 225806, 225807, 228004, 228005, 228006, 224144, 224145, 224153, 226457]
+PERITONEAL = [225810, 225806, 225807, 227639, 225959, 225951, 225952, 225961, 225953, 225963, 225965, 227638, 227640]
+PROCEDURE_STARTS, PROCEDURE_ENDS = ["CAVH Start", "CVVHD Start", "Hemodialysis st", "Peritoneal Dial"], ["CAVH D/C", "CVVHD D/C", "Hemodialysis end"]
+MODES = ["CVVH", "CVVHD", "CVVHDF", "SCUF", "Peritoneal"]
+FLUIDS_IN = [
+    40788, 40907, 41063, 41147, 41307, 41460, 41620, 41711, 41791, 41792, 42562, 43829, 44037, 44188, 44526, 44527, 44584, 44591, 44698, 44927, 44954, 45157, 45268, 45352, 45353, 46012, 46013, 46172, 46173, 46250, 46262, 46292, 46293, 46311, 46389, 46574,
+    46681, 46720, 46769, 46773,
+]
+FLUIDS_OUT = [
+    40386, 40425, 40426, 40507, 40613, 40624, 40690, 40745, 40789, 40881, 40910, 41016, 41034, 41069, 41112, 41250, 41374, 41417, 41500, 41527, 41623, 41635, 41713, 41750, 41829, 41842, 41897, 42289, 42388, 42464, 42524, 42536, 42868, 42928, 42972, 43016,
+    43052, 43098, 43115, 43687, 43941, 44027, 44085, 44193, 44199, 44216, 44286, 44567, 44843, 44845, 44857, 44901, 44943, 45479, 45828, 46230, 46232, 46394, 46464, 46712, 46713, 46715, 46741,
+]
+FLUID_KINDS = {"Peritoneal": [40788, 41063, 41307, 43829, 44698, 46720, 40789, 40910, 41069, 44843, 46394], "CVVH": [45352, 45353], "CVVHD": [45268, 46769, 46773], "CVVHDF": [46012, 46013, 46172, 46173]}
+ONLY_PRESENT, ORDERS = [44954, 41897], [227536, 227525]
+PLACED_KINDS = {225441: "IHD", 225802: "CRRT", 225803: "CVVHD", 225805: "Peritoneal", 225809: "CVVHDF", 225955: "SCUF", 224270: None, 225436: None}
+_KINDS_SQL = ", ".join(f"({c}, '{k}')" for k, codes in FLUID_KINDS.items() for c in codes)
+_PLACED_SQL = ", ".join(f"({c}, {repr(k) if k else 'CAST(NULL AS VARCHAR)'})" for c, k in PLACED_KINDS.items())
+
+
+@concept("pivoted_rrt", ["older_dialysis_events", "older_dialysis_fluids", "inputevents_mv", "older_line_procedures"], f"""
+WITH e AS (SELECT icustay_id, charttime, itemid, value, itemid = 582 AND value IN ({_texts(PROCEDURE_STARTS)}) AS begun, itemid = 582 AND value IN ({_texts(PROCEDURE_ENDS)}) AS over FROM older_dialysis_events WHERE value IS NOT NULL AND icustay_id IS NOT NULL AND coalesce(error, 0) = 0),
+c AS (SELECT icustay_id, charttime, CAST(begun OR itemid IN ({_in(ACTIVE)}) OR (itemid = 147 AND value = 'Yes') OR (itemid = 225965 AND value = 'In use') AS INT) AS active,
+  CASE WHEN itemid IN (152, 227290) AND list_contains([{_texts(MODES)}], value) THEN value WHEN itemid IN ({_in(PERITONEAL)}) THEN 'Peritoneal' WHEN itemid = 226499 THEN 'IHD' WHEN itemid = 582 AND starts_with(value, 'CAVH') THEN 'CAVH' WHEN itemid = 582 AND starts_with(value, 'CVVHD') THEN 'CVVHD' END AS kind
+  FROM e WHERE begun OR over OR itemid IN ({_in(PRESENT)}) OR (itemid IN ({_in(LINE_TYPES)}) AND value = 'Dialysis Line')),
+f AS (SELECT icustay_id, charttime, CAST(itemid NOT IN ({_in(ONLY_PRESENT)}) AS INT) AS active, k.kind FROM older_dialysis_fluids t LEFT JOIN (VALUES {_KINDS_SQL}) AS k(code, kind) ON k.code = t.itemid WHERE amount > 0 AND itemid IN ({_in(FLUIDS_IN + FLUIDS_OUT)})),
+r AS (SELECT icustay_id, starttime, endtime, 1 AS active, 'CRRT' AS kind FROM inputevents_mv WHERE itemid IN ({_in(ORDERS)}) AND amount > 0
+  UNION SELECT icustay_id, starttime, endtime, CAST(itemid NOT IN (224270, 225436) AS INT), k.kind FROM older_line_procedures p JOIN (VALUES {_PLACED_SQL}) AS k(code, kind) ON k.code = p.itemid),
+s AS (SELECT * FROM c UNION SELECT * FROM f UNION SELECT icustay_id, starttime, active, kind FROM r UNION SELECT icustay_id, endtime, active, kind FROM r)
+SELECT s.icustay_id, s.charttime, 1 AS dialysis_present, coalesce(r.active, s.active) AS dialysis_active, coalesce(r.kind, s.kind) AS dialysis_type FROM s LEFT JOIN r ON r.icustay_id = s.icustay_id AND s.charttime >= r.starttime AND s.charttime <= r.endtime""")
+def pivoted_rrt(ctx):
+    """When dialysis was seen, whether it ran and which kind: charts, fluids and outputs, and the orders that cover them."""
+    code, value = F.col("itemid"), F.col("value")
+    begun, over = (code == 582) & value.isin(PROCEDURE_STARTS), (code == 582) & value.isin(PROCEDURE_ENDS)
+    seen = begun | over | code.isin(PRESENT) | (code.isin(LINE_TYPES) & (value == "Dialysis Line"))
+    runs = begun | code.isin(ACTIVE) | ((code == 147) & (value == "Yes")) | ((code == 225965) & (value == "In use"))
+    kind = F.when(code.isin(152, 227290) & value.isin(MODES), value).when(code.isin(PERITONEAL), "Peritoneal").when(code == 226499, "IHD").when((code == 582) & value.startswith("CAVH"), "CAVH").when((code == 582) & value.startswith("CVVHD"), "CVVHD")
+    chart = ctx["older_dialysis_events"].filter(value.isNotNull() & F.col("icustay_id").isNotNull() & (F.coalesce("error", F.lit(0)) == 0)).filter(seen).select("icustay_id", "charttime", runs.cast("int").alias("active"), kind.alias("kind"))
+    kinds = F.create_map(*[F.lit(x) for k, codes in FLUID_KINDS.items() for c in codes for x in (c, k)])
+    fluids = ctx["older_dialysis_fluids"].filter((F.col("amount") > 0) & code.isin(FLUIDS_IN + FLUIDS_OUT)).select("icustay_id", "charttime", (~code.isin(ONLY_PRESENT)).cast("int").alias("active"), F.try_element_at(kinds, code).alias("kind"))
+    ordered = ctx["inputevents_mv"].filter(code.isin(ORDERS) & (F.col("amount") > 0)).select("icustay_id", "starttime", "endtime", F.lit(1).alias("active"), F.lit("CRRT").alias("kind"))
+    placed_kinds = F.create_map(*[F.lit(x) for c, k in PLACED_KINDS.items() if k for x in (c, k)])
+    placed = ctx["older_line_procedures"].filter(code.isin(list(PLACED_KINDS))).select("icustay_id", "starttime", "endtime", (~code.isin(224270, 225436)).cast("int").alias("active"), F.try_element_at(placed_kinds, code).alias("kind"))
+    spans = ordered.unionByName(placed).distinct()
+    at = chart.unionByName(fluids)
+    for edge in ("starttime", "endtime"):
+        at = at.unionByName(spans.select("icustay_id", F.col(edge).alias("charttime"), "active", "kind"))
+    covering = spans.withColumnsRenamed({"starttime": "_s", "endtime": "_e", "active": "_active", "kind": "_kind"})
+    out = interval_join(at.distinct(), covering, ["icustay_id"], "charttime", "_s", "_e", how="left")
+    return out.select("icustay_id", "charttime", F.lit(1).alias("dialysis_present"), F.coalesce("_active", "active").alias("dialysis_active"), F.coalesce("_kind", "kind").alias("dialysis_type"))
