@@ -294,6 +294,11 @@ SELECT {_stay} AS icustay_id, e.ts + s.slot * INTERVAL '90' MINUTE AS charttime,
 FROM {{events}} e CROSS JOIN (VALUES (0), (1), (2), (3), (4)) AS s(slot)
 JOIN {_list([224149, 224144, 665, 29, 79, 224146, 147, 5683, 224191, 612, 225956, 152, 227290, 582, 235, 225965, 226499, 225810, 226118, 146], 'itemid')} ON c.idx = (e.event_id * 3 + s.slot) % 20
 WHERE e.user_id % 3 <> 2""",
+    "older_blockers": f"""
+SELECT {_stay} AS icustay_id, e.ts AS charttime, c.itemid, c.side, CASE WHEN c.side = 'chart' THEN CAST(e.event_id % 16 AS DOUBLE) END AS valuenum,
+       CASE WHEN c.side = 'chart' OR e.event_id % 7 = 0 THEN NULL WHEN e.event_id % 5 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(floor(e.event_id / 6) % 3 AS DOUBLE) * CAST(0.5 AS DOUBLE) END AS rate,
+       CASE WHEN c.side = 'chart' OR e.event_id % 4 = 0 THEN NULL ELSE CAST(e.event_id % 9 AS DOUBLE) END AS amount, CASE WHEN e.event_id % 13 = 0 THEN 'Stopped' WHEN e.event_id % 17 = 0 THEN 'D/C''d' WHEN e.event_id % 3 = 0 THEN 'Restart' END AS stopped
+FROM {{events}} e JOIN {_list([(30114, 'fluid'), (30138, 'fluid'), (42174, 'fluid'), (30114, 'fluid'), (2164, 'chart'), (30113, 'fluid'), (30018, 'fluid')], 'itemid, side')} ON c.idx = e.event_id % 7""",
     "older_dialysis_fluids": f"""
 SELECT {_stay} AS icustay_id, e.ts AS charttime, c.itemid, c.side, CASE WHEN e.event_id % 9 = 0 THEN NULL ELSE CAST(e.event_id % 5 AS DOUBLE) END AS amount
 FROM {{events}} e JOIN {_list([(40788, 'in'), (40907, 'in'), (44954, 'in'), (45353, 'in'), (45268, 'in'), (46013, 'in'), (30018, 'in'), (40386, 'out'), (40789, 'out'), (41897, 'out'), (44843, 'out'), (40055, 'out')], 'itemid, side')} ON c.idx = e.event_id % 12""",

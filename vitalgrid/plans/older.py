@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.dt import dt_diff
+from vitalgrid.functions.dt import MICROS, dt_diff, micros
 from vitalgrid.functions.scalar import step_score
 from vitalgrid.operators.episodes import merge_adjacent_equal, merge_overlaps
 from vitalgrid.operators.joins import interval_join
@@ -135,6 +135,46 @@ for _name, (_charted, _ordered) in DRUGS.items():
 for _name in ("dobutamine", "dopamine", "phenylephrine", "vasopressin"):
     _dose(_name, *DRUGS[_name])
 
+# Codes of neuromuscular blockers: fluids, chart entries, orders; fluids from 40000 on give their amount as rate.
+BLOCKER_FLUIDS, BLOCKER_CHART, BLOCKER_ORDERS = [30114, 30138, 30113, 42174, 42385, 41916, 42100, 42045, 42246, 42291, 42590, 42284, 45096], [1856, 2164, 2548, 2285, 2290, 2670, 2546, 1098, 2390, 2511, 1028, 1858], [222062, 221555]
+
+
+@concept("neuroblock_dose", ["older_blockers", "inputevents_mv"], f"""
+WITH a AS (SELECT icustay_id, charttime, max(CAST(stopped IN ('Stopped', 'D/C''d') AS INT)) AS stop, max(CASE WHEN itemid >= 40000 THEN CAST(amount IS NOT NULL AS INT) ELSE CAST(rate IS NOT NULL AS INT) END) AS told, max(CASE WHEN itemid >= 40000 THEN coalesce(rate, amount) ELSE rate END) AS rate, max(amount) AS amount
+    FROM older_blockers WHERE side = 'fluid' AND itemid IN ({_in(BLOCKER_FLUIDS)}) GROUP BY 1, 2
+  UNION SELECT icustay_id, charttime, max(CAST(stopped IN ('Stopped', 'D/C''d') AS INT)), max(CASE WHEN valuenum <= 10 THEN 0 ELSE 1 END), max(CASE WHEN valuenum <= 10 THEN valuenum END), max(CASE WHEN valuenum > 10 THEN valuenum END) FROM older_blockers WHERE side = 'chart' AND itemid IN ({_in(BLOCKER_CHART)}) GROUP BY 1, 2),
+b AS (SELECT *, sum(told) OVER (PARTITION BY icustay_id ORDER BY charttime) AS part FROM a), c AS (SELECT *, first_value(rate) OVER (PARTITION BY icustay_id, part ORDER BY charttime) AS known FROM b),
+d AS (SELECT *, lag(known) OVER (PARTITION BY icustay_id, told ORDER BY charttime) AS alike, lag(known) OVER w AS was, coalesce(lag(stop) OVER w, 0) AS halted, lag(charttime) OVER w AS before FROM c WINDOW w AS (PARTITION BY icustay_id ORDER BY charttime)),
+e AS (SELECT *, sum(CASE WHEN rate > 0 AND alike IS NULL THEN 1 WHEN was = 0 AND (rate = 0 OR known = 0) THEN 0 WHEN was = 0 OR halted = 1 OR charttime - before > INTERVAL '8' HOUR THEN 1 END) OVER (PARTITION BY icustay_id ORDER BY charttime) AS run FROM d),
+f AS (SELECT *, lead(charttime) OVER (PARTITION BY icustay_id, run ORDER BY charttime) AS until FROM e WHERE run > 0 AND icustay_id IS NOT NULL),
+g AS (SELECT *, CASE WHEN lag(until) OVER w = charttime AND lag(rate) OVER w = rate THEN 0 ELSE 1 END AS fresh FROM f WHERE until IS NOT NULL AND rate > 0 AND until <> charttime WINDOW w AS (PARTITION BY icustay_id ORDER BY charttime, until)),
+h AS (SELECT *, sum(fresh) OVER (PARTITION BY icustay_id ORDER BY charttime, until) AS n FROM g)
+SELECT icustay_id, min(charttime) AS starttime, max(until) AS endtime, rate AS drug_rate, sum(amount) AS drug_amount FROM h GROUP BY icustay_id, n, rate
+UNION SELECT icustay_id, starttime, endtime, rate, amount FROM inputevents_mv WHERE itemid IN ({_in(BLOCKER_ORDERS)}) AND statusdescription <> 'Rewritten' AND rate IS NOT NULL""")
+def neuroblock_dose(ctx):
+    """Times at one rate of a blocker: runs as for other infusions, also ended by eight hours without an entry."""
+    c, code = F.col, F.col("itemid")
+    stop = F.max(c("stopped").isin("Stopped", "D/C'd").cast("int")).alias("stop")
+    swapped = code >= 40000
+    fluids = ctx["older_blockers"].filter((c("side") == "fluid") & code.isin(BLOCKER_FLUIDS)).groupBy("icustay_id", "charttime").agg(
+        stop, F.max(F.when(swapped, c("amount").isNotNull()).otherwise(c("rate").isNotNull()).cast("int")).alias("told"), F.max(F.when(swapped, F.coalesce("rate", "amount")).otherwise(c("rate"))).alias("rate"), F.max("amount").alias("amount"))
+    low = c("valuenum") <= 10
+    chart = ctx["older_blockers"].filter((c("side") == "chart") & code.isin(BLOCKER_CHART)).groupBy("icustay_id", "charttime").agg(
+        stop, F.max(F.when(low, 0).otherwise(1)).alias("told"), F.max(F.when(low, c("valuenum"))).alias("rate"), F.max(F.when(c("valuenum") > 10, c("valuenum"))).alias("amount"))
+    at = fluids.unionByName(chart).distinct()
+    own = Window.partitionBy("icustay_id").orderBy("charttime")
+    at = at.withColumn("part", F.sum("told").over(own)).withColumn("known", F.first("rate").over(Window.partitionBy("icustay_id", "part").orderBy("charttime")))
+    alike = F.lag("known").over(Window.partitionBy("icustay_id", "told").orderBy("charttime"))
+    was, far = F.lag("known").over(own), (micros(c("charttime")) - micros(F.lag("charttime").over(own))) > 8 * MICROS["HOUR"]
+    start = F.when((c("rate") > 0) & alike.isNull(), 1).when((was == 0) & ((c("rate") == 0) | (c("known") == 0)), 0).when((was == 0) | (F.lag("stop").over(own) == 1) | far, 1)
+    runs = at.withColumn("_start", start).withColumn("run", F.sum("_start").over(own)).filter("run > 0 AND icustay_id IS NOT NULL")
+    until = F.lead("charttime").over(Window.partitionBy("icustay_id", "run").orderBy("charttime"))
+    steps = runs.select("icustay_id", c("charttime").alias("starttime"), until.alias("endtime"), c("rate").alias("drug_rate"), c("amount").alias("drug_amount")).filter("endtime IS NOT NULL AND drug_rate > 0 AND endtime <> starttime")
+    glued = merge_adjacent_equal(steps, ["icustay_id"], "starttime", "endtime", "drug_rate", "drug_amount")
+    orders = ctx["inputevents_mv"].filter(code.isin(BLOCKER_ORDERS) & (c("statusdescription") != "Rewritten") & c("rate").isNotNull())
+    return glued.unionByName(orders.select("icustay_id", "starttime", "endtime", c("rate").alias("drug_rate"), c("amount").alias("drug_amount"))).distinct()
+
+
 _codes = [c for d in PRESSORS for c in DRUGS[d][0]] + [42273, 42802]
 _orders = [DRUGS[d][1] for d in PRESSORS]
 _MERGE = """{o}1 AS (SELECT *, max(endtime) OVER (PARTITION BY icustay_id ORDER BY starttime, endtime ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM (SELECT DISTINCT icustay_id, starttime, endtime FROM {i}) d),
