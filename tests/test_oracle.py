@@ -13,7 +13,9 @@ NAMES = [
     "chemistry", "bg", "vitalsign", "gcs", "oxygen_delivery", "urine_output_rate", "weight_durations", "icustay_hourly", "vasoactive_agent", "antibiotic", "rrt", "ventilation", "code_status",
     "first_day_lab", "first_day_sofa", "charlson", "kdigo_stages", "sofa", "suspicion_of_infection", "keyed_diff", "sessionize_gap_state", "asof_latest_before", "merge_overlaps", "dt_diff_hour",
     "pivoted_vital", "pivoted_lab", "pivoted_bg_art", "pivoted_gcs", "vitals_first_day", "rbc_transfusion", "older_weight_durations", "ventilation_durations", "kdigo_stages_7day", "older_sofa", "elixhauser_score_quan", "echo_data",
-    "diff_samples", "two_variant_probe", "label_evals", "length_of_stay_distribution", "demographics_mortality", "residual_pairing", "auroc",
+    "nested_bg", "nested_icustay_hourly", "section_split", "section_select", "section_overrides", "section_table", "wall_clock_shift", "catheter_cohort_all", "catheter_labs", "catheter_vitals", "catheter_sedatives", "catheter_sofa", "catheter_icd",
+    "mlods", "older_oasis", "older_lods", "older_sapsii", "older_apsiii", "saps", "older_kdigo_uo", "pivoted_sofa", "pivoted_oasis", "pivoted_invasive_lines", "pivoted_height", "pivoted_rrt", "crrt_durations", "neuroblock_dose", "elixhauser_ahrq_v37",
+    "elixhauser_score_ahrq", "diff_samples", "two_variant_probe", "label_evals", "length_of_stay_distribution", "demographics_mortality", "residual_pairing", "auroc",
 ]
 
 
@@ -44,7 +46,7 @@ def test_query_equals_its_sql(spark, duck, name):
     assert got == want and got
 
 
-@pytest.mark.parametrize(("name", "key"), [("sofa", ["stay_id", "hr"]), ("sepsis3", ["stay_id"]), ("first_day_lab", ["stay_id"]), ("bg", ["specimen_id"])])
+@pytest.mark.parametrize(("name", "key"), [("sofa", ["stay_id", "hr"]), ("sepsis3", ["stay_id"]), ("first_day_lab", ["stay_id"]), ("bg", ["specimen_id"]), *[(n, ["icustay_id"]) for n in ("older_oasis", "older_lods", "mlods", "older_sapsii", "older_apsiii", "saps", "older_sofa", "catheter_cohort_all", "catheter_sofa")], ("pivoted_sofa", ["icustay_id", "hr"]), ("pivoted_oasis", ["icustay_id", "hr"])])
 def test_one_row_per_key(spark, name, key):
     df = entry.queries()[name](spark, SF)
     assert df.groupBy(*key).count().filter("count > 1").isEmpty()
