@@ -292,8 +292,7 @@ SELECT {_stay} AS icustay_id, e.ts + s.slot * INTERVAL '90' MINUTE AS charttime,
             WHEN c.itemid = 235 THEN CASE WHEN e.event_id % 2 = 0 THEN 'Dialysis Line' ELSE 'A-Line' END WHEN c.itemid = 225965 THEN CASE WHEN e.event_id % 2 = 0 THEN 'In use' ELSE 'Capped' END ELSE 'v' END AS value,
        CASE WHEN c.itemid IN (224146, 665, 147, 225956, 152, 227290, 582, 235, 225965) THEN NULL ELSE CAST((e.event_id + s.slot) % 7 AS DOUBLE) END AS valuenum
 FROM {{events}} e CROSS JOIN (VALUES (0), (1), (2), (3), (4)) AS s(slot)
-JOIN {_list([224149, 224144, 665, 29, 79, 224146, 147, 5683, 224191, 612, 225956, 152, 227290, 582, 235, 225965, 226499, 225810, 226118, 146], 'itemid')} ON c.idx = (e.event_id * 3 + s.slot) % 20
-WHERE e.user_id % 3 <> 2""",
+JOIN {_list([224149, 224144, 665, 29, 79, 224146, 147, 5683, 224191, 612, 225956, 152, 227290, 582, 235, 225965, 226499, 225810, 226118, 146], 'itemid')} ON c.idx = (e.event_id * 3 + s.slot) % 20""",
     "older_blockers": f"""
 SELECT {_stay} AS icustay_id, e.ts AS charttime, c.itemid, c.side, CASE WHEN c.side = 'chart' THEN CAST(e.event_id % 16 AS DOUBLE) END AS valuenum,
        CASE WHEN c.side = 'chart' OR e.event_id % 7 = 0 THEN NULL WHEN e.event_id % 5 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(floor(e.event_id / 6) % 3 AS DOUBLE) * CAST(0.5 AS DOUBLE) END AS rate,
@@ -303,9 +302,9 @@ FROM {{events}} e JOIN {_list([(30114, 'fluid'), (30138, 'fluid'), (42174, 'flui
 SELECT {_stay} AS icustay_id, e.ts AS charttime, c.itemid, c.side, CASE WHEN e.event_id % 9 = 0 THEN NULL ELSE CAST(e.event_id % 5 AS DOUBLE) END AS amount
 FROM {{events}} e JOIN {_list([(40788, 'in'), (40907, 'in'), (44954, 'in'), (45353, 'in'), (45268, 'in'), (46013, 'in'), (30018, 'in'), (40386, 'out'), (40789, 'out'), (41897, 'out'), (44843, 'out'), (40055, 'out')], 'itemid, side')} ON c.idx = e.event_id % 12""",
     "drgcodes": """
-SELECT DISTINCT user_id * 10 AS hadm_id, CASE WHEN event_id % 2 = 0 THEN 'MS' ELSE 'HCFA' END AS drg_type,
+SELECT DISTINCT user_id * 10 AS hadm_id, CASE WHEN user_id % 4 = 3 THEN 'APR' WHEN event_id % 2 = 0 THEN 'MS' ELSE 'HCFA' END AS drg_type,
        lpad(CAST(CASE WHEN event_id % 2 = 0 THEN (user_id * 37 + event_id % 3 * 200) % 999 + 1 ELSE (user_id * 53 + event_id % 3 * 150) % 579 + 1 END AS VARCHAR(9)), 3, '0') AS drg_code
-FROM {events} WHERE user_id % 4 <> 3 AND event_id % 5 = 0""",
+FROM {events}""",
     "older_notes": """
 SELECT event_id AS row_id, user_id AS subject_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS chartdate, CASE WHEN event_id % 13 = 0 THEN NULL ELSE ts END AS charttime, CASE event_id % 4 WHEN 0 THEN 'Echo' WHEN 1 THEN 'Nutrition' WHEN 2 THEN 'Physician ' ELSE 'Nutrition' END AS category,
        CASE event_id % 4 WHEN 0 THEN 'Indication: pain' || chr(10) || 'Height: (in) ' || CASE WHEN event_id % 8 = 0 THEN '[**Numeric Identifier **]' ELSE CAST(50 + event_id % 30 AS VARCHAR(9)) END || chr(10) || 'Date/Time: [**2024-1-5**] at ' || lpad(CAST(event_id % 24 AS VARCHAR(9)), 2, '0') || ':30' || chr(10)
