@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import materialize
+from vitalgrid.llm.common import give_back, materialize
 from vitalgrid.llm.packing import from_narrow, from_slim, narrow, slim
 
 NGRAM_BITS = 46
@@ -289,6 +289,26 @@ def _score(weight: float, id_type: pa.DataType):
     return run
 
 
+def _given_back(run):
+    """``run`` for one group, after which the worker gives its memory back."""
+
+    def inner(rows: pa.Table) -> pa.Table:
+        out = run(rows)
+        give_back()
+        return out
+
+    return inner
+
+
+def _given_back2(run):
+    def inner(rows: pa.Table, others: pa.Table) -> pa.Table:
+        out = run(rows, others)
+        give_back()
+        return out
+
+    return inner
+
+
 def lm_scores(
     docs: DataFrame,
     *,
@@ -308,13 +328,14 @@ def lm_scores(
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
-    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    repeated = docs.groupBy(F.col(doc_id).alias("id"), F.xxhash64(text).alias("body")).agg(F.count("*").alias("rows"), F.sum(16 + F.coalesce(F.length(text), F.lit(0))).alias("chars"))
+    chars, fills = repeated.agg(F.sum(F.col("chars") - 16 * F.col("rows")), F.max(F.when(F.col("rows") > 1, F.col("chars")))).first()
+    chars = chars or 0
     blocks, buckets = 1 + chars // block_chars, 1 + chars // bucket_chars
     id_type = docs.schema[doc_id].dataType
     crc = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
-    repeated = docs.groupBy(F.col(doc_id).alias("id"), F.xxhash64(text).alias("body")).agg(F.count("*").alias("rows"), F.sum(16 + F.coalesce(F.length(text), F.lit(0))).alias("chars"))
     own = F.xxhash64(doc_id, text)
-    if (repeated.filter("rows > 1").agg(F.max("chars")).first()[0] or 0) > block_chars // 2:
+    if (fills or 0) > block_chars // 2:
         docs, own = materialize(docs.select(doc_id, text)), F.xxhash64(F.monotonically_increasing_id())
     dealt = docs.select(
         F.pmod(own, F.lit(blocks)).cast("int").alias("block"),
@@ -323,11 +344,11 @@ def lm_scores(
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     by_block = dealt.groupBy("block")
-    asked = by_block.applyInArrow(_ask(buckets), ASKED).groupBy("bucket")
-    sizes = asked.applyInArrow(_count(buckets), "n long, v long").agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.lit(buckets).alias("buckets"))
-    answers = asked.applyInArrow(_answer(buckets), ANSWERED).crossJoin(F.broadcast(sizes))  # one row
+    asked = by_block.applyInArrow(_given_back(_ask(buckets)), ASKED).groupBy("bucket")
+    sizes = asked.applyInArrow(_given_back(_count(buckets)), "n long, v long").agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.lit(buckets).alias("buckets"))
+    answers = asked.applyInArrow(_given_back(_answer(buckets)), ANSWERED).crossJoin(F.broadcast(sizes))  # one row
     scored = by_block.cogroup(answers.groupBy("block")).applyInArrow(
-        _score(weight, to_arrow_type(id_type)),
+        _given_back2(_score(weight, to_arrow_type(id_type))),
         f"id {id_type.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
     return scored.withColumnRenamed("id", doc_id)
