@@ -74,6 +74,17 @@ def test_quality_is_learned(spark):
     assert quality_scores(docs.filter("false"), labels).count() == 0
 
 
+def test_very_long_texts_are_scored_and_mixed(spark, sf_dir):
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    text = "one two three\n" * 150_000
+    long = spark.createDataFrame([(10**9, text), (10**9, text), (10**9 + 1, "x" * 1_000_000)], "doc_id long, text string")
+    both = docs.unionByName(long)
+    scored = [r for r in quality_scores(both, labels).collect() if r.doc_id >= 10**9]
+    assert len(scored) == 3 and all(0 <= r.score <= 1 for r in scored) and len({r.score for r in scored if r.doc_id == 10**9}) == 1
+    mixed = [r for r in mix_to_targets(both, labels).collect() if r.doc_id >= 10**9]
+    assert sorted(r.n_tokens for r in mixed) == [1, 450_000, 450_000] and all(r.rate >= 0 for r in mixed)
+
+
 def test_votes_equal_brute_force(spark):
     from vitalgrid.llm.quality_classifier import Neighbours
 

@@ -26,7 +26,10 @@ SEP = b"\xff"
 
 @dataclass(frozen=True)
 class Rule:
-    """``verdict`` for a host with its subdomains and a path prefix (``host/path``)."""
+    """``verdict`` for a host with its subdomains and a path prefix (``host/path``).
+
+    ``*`` and ``?`` in the name are wildcards as in a ``Glob``; a rule cannot name them literally.
+    """
 
     verdict: str
     name: str
