@@ -4,7 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.dt import hours
+from vitalgrid.functions.dt import ceil_hour, dt_trunc, hours
+from vitalgrid.functions.scalar import pack_points, unpack_points
 from vitalgrid.operators import cohort, compare, episodes, joins, text
 from vitalgrid.operators.resources import crosswalk, typed_values, view
 from vitalgrid.sources import io
@@ -327,3 +328,38 @@ def test_line_episodes_of_slots(spark):
     rows = [(1, at(0), "a", 0), (1, at(10), "a", 0), (1, at(30), "a", 0), (1, at(31), "b", 0), (1, at(32), "b", 1), (1, at(33), "b", 0), (1, at(34), None, 0), (1, at(35), None, None)]
     got = episodes.slot_episodes(frame(spark, rows, ["slot", "t", "kind", "gone"]), ["slot"], "t", "kind", "gone", ["kind"], 16).orderBy("starttime").collect()
     assert [(r.kind, r.starttime, r.endtime) for r in got] == [("a", at(0), at(10)), ("a", at(30), at(30)), ("b", at(31), at(31)), ("b", at(33), at(33)), (None, at(34), at(34))]
+
+
+def test_readings_meet_the_grid_in_one_merge(spark):
+    """An hour's readings are summarised once; hours off the grid and unknown keys are left out, and no join is formed."""
+    at = dt.datetime(2024, 1, 1, 0, 0)
+    hour = lambda h, m=0: at + dt.timedelta(hours=h, minutes=m)
+    stays = spark.createDataFrame([(1, hour(0), hour(5)), (2, hour(3), hour(4))], "k long, a timestamp_ntz, b timestamp_ntz")
+    grid = episodes.hourly_spine(stays, "a", "b", ["k"], lead_hours=2)
+    x = spark.createDataFrame([(1, hour(1, 1), 4.0), (1, hour(2), 3.0), (1, hour(40), 9.0), (None, hour(1), 1.0), (2, hour(3), 7.0)], "k long, t timestamp_ntz, x double")
+    spans = spark.createDataFrame([(1, hour(-9), hour(0)), (2, hour(3, 1), hour(3, 50))], "k long, s timestamp_ntz, e timestamp_ntz")
+    y = joins.covered_hours(spans, ceil_hour(F.col("s")), dt_trunc(F.col("e"), "HOUR"), "end").select("k", F.col("end").alias("endtime"), F.lit(1).alias("y"))
+    summary = joins.hour_summary([x, y], "k", "t", "endtime", x=F.min("x"), y=F.max("y"))
+    got = joins.grid_merge(grid, summary, "k", "endtime", ["x", "y"])
+    rows = {(r.k, r.hr): (r.x, r.y) for r in got.collect()}
+    assert len(rows) == got.count() == 8 + 4
+    assert {k: v for k, v in rows.items() if v != (None, None)} == {(1, -2): (None, 1), (1, -1): (None, 1), (1, 0): (None, 1), (1, 2): (3.0, None), (2, 0): (7.0, None)}
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_packed_points_keep_the_largest_of_each_part(spark):
+    rows = [(None, 3, 10), (4, None, 0), (1, 0, None)]
+    packed = spark.createDataFrame(rows, "a int, b int, c int").select(pack_points(["a", "b", "c"], 10).alias("p"))
+    parts = [unpack_points(F.col("p"), i, 10) for i in range(4)]
+    assert sorted(map(tuple, packed.select(*parts).collect()), key=str) == sorted([(*r, None) for r in rows], key=str)
+    assert tuple(packed.agg(F.bit_or("p").alias("p")).select(*parts).first()) == (4, 3, 10, None)
+
+
+@pytest.mark.parametrize("name", ["sofa", "sepsis3"])
+def test_the_hours_of_a_stay_are_not_shuffled_by_hour(spark, name):
+    import re
+
+    import __spark_entry__ as entry
+
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\([^)]*\b(hr|endtime)#", plan)

@@ -38,6 +38,11 @@ def hours(n: int | Column) -> Column:
     return F.make_dt_interval(hours=n if isinstance(n, Column) else F.lit(n))
 
 
+def times_hours(n: Column) -> Column:
+    """Interval of a column's number of hours; one multiplication a row, where ``hours`` goes through decimals."""
+    return F.expr("INTERVAL '1' HOUR") * n
+
+
 def days(n: int | Column) -> Column:
     return F.make_dt_interval(days=n if isinstance(n, Column) else F.lit(n))
 

@@ -66,5 +66,24 @@ def step_score(cases: Sequence[tuple[Column, int]], otherwise: int | None = 0, n
     return out.otherwise(F.lit(otherwise)).cast("int")
 
 
+def pack_points(points: Sequence[str], top: int = 4, first: int = 0) -> Column:
+    """Points from 0 to ``top`` of several parts in one number: ``p`` low bits of a part's ``top`` + 1 are set, the last if known.
+
+    The bitwise or of such numbers holds the largest points of each part, so one aggregate serves all parts.
+    ``first`` is the place of the first part given; a number holds as many as fit 63 bits.
+    """
+    out = F.lit(0).cast("long")
+    for i, p in enumerate(points, first):
+        bits = F.call_function("shiftleft", F.lit(1).cast("long"), F.col(p)) - 1 + (1 << top)
+        out = out.bitwiseOR(F.coalesce(F.shiftleft(bits, i * (top + 1)), F.lit(0).cast("long")))
+    return out
+
+
+def unpack_points(packed: Column, part: int, top: int = 4) -> Column:
+    """Points of a part from ``pack_points``, null if unknown."""
+    bits = F.shiftright(packed, part * (top + 1)).bitwiseAND(F.lit((1 << top + 1) - 1))
+    return F.when(bits > 0, F.bit_count(bits) - 1).cast("int")
+
+
 def logistic(x: Column) -> Column:
     return 1 / (1 + F.exp(-x))

@@ -10,14 +10,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.dt import MICROS, ceil_hour, dt_diff, hours, micros
+from vitalgrid.functions.dt import MICROS, ceil_hour, dt_diff, hours, micros, times_hours
 
 
 def hourly_spine(df: DataFrame, start: str, end: str, keys: Sequence[str], *, lead_hours: int = 24, grid: str = "endtime") -> DataFrame:
     """One row per hour, from ``lead_hours`` before ``start`` to ``end``; ``grid`` falls on whole hours."""
     n = dt_diff(F.col(end), F.col(start), "HOUR")
     out = df.filter(n >= -lead_hours).select(*keys, ceil_hour(F.col(start)).alias("_t"), F.explode(F.sequence(F.lit(-lead_hours).cast("long"), n)).alias("hr"))
-    return out.select(*keys, "hr", (F.col("_t") + hours(F.col("hr").cast("int"))).alias(grid))
+    return out.select(*keys, "hr", (F.col("_t") + times_hours(F.col("hr"))).alias(grid))
 
 
 def day_spine(df: DataFrame, start: str, end: str, keys: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.dt import MICROS, ceil_hour, hours, micros
+from vitalgrid.functions.dt import MICROS, ceil_hour, dt_diff, hours, micros, times_hours
 
 
 def _keyed(left: DataFrame, right: DataFrame, on: Sequence[str], cond: Column, how: str) -> DataFrame:
@@ -75,6 +75,38 @@ def hour_grid_join(grid: DataFrame, events: DataFrame, on: Sequence[str], grid_e
     return _keyed(grid, dealt, on, _l(grid_end) == _r("_hour"), how).drop("_hour")
 
 
+def covered_hours(spans: DataFrame, start: Column, end: Column, at: str, after: int = 0) -> DataFrame:
+    """Each span once for every hour from ``start`` to ``end``, both whole hours, and ``after`` more, as ``at``; spans without one are dropped."""
+    n = dt_diff(end, start, "HOUR") + after
+    each = spans.filter(end >= start).withColumns({"_first": start, "_n": F.explode(F.sequence(F.lit(0).cast("long"), n))})
+    return each.withColumn(at, F.col("_first") + times_hours(F.col("_n"))).drop("_first", "_n")
+
+
+def hour_summary(readings: Sequence[DataFrame], key: str, at: str, end: str, **aggs: Column) -> DataFrame:
+    """One row for each ``key`` and hour end that any of ``readings`` falls in, all kinds summarised by one aggregation.
+
+    A table has the time ``at`` or, if it is dealt to hours already, their ``end``; a column that it lacks is null.
+    """
+    united = None
+    for r in readings:
+        one = (r if end in r.columns else r.withColumn(end, ceil_hour(F.col(at))).drop(at)).filter(F.col(key).isNotNull())
+        united = one if united is None else united.unionByName(one, allowMissingColumns=True)
+    return united.repartition(key).groupBy(key, end).agg(*[a.alias(n) for n, a in aggs.items()])
+
+
+def grid_merge(grid: DataFrame, found: DataFrame, key: str, at: str, values: Sequence[str]) -> DataFrame:
+    """``grid`` with ``values`` of the one row of ``found`` at its key and time; null where there is none.
+
+    An ordered merge by ``key``: the grid is partitioned and sorted by key once and every later window over the key finds
+    it so.  A grid that was made from rows dealt by ``key`` is not shuffled at all; only ``found`` is.
+    """
+    both = grid.withColumn("_grid", F.lit(1)).unionByName(found.select(key, at, *values, F.lit(0).alias("_grid")), allowMissingColumns=True)
+    own = Window.partitionBy(key).orderBy(at, "_grid")
+    same = F.lag(at).over(own) == F.col(at)
+    merged = both.select(*grid.columns, "_grid", *[F.when(same, F.lag(v).over(own)).alias(v) for v in values])
+    return merged.filter("_grid = 1").drop("_grid")
+
+
 def asof_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], left_at: str, right_at: str, values: Sequence[str], tolerance: int, *, bucket_hours: int = 24,
 ) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.dt import days, dt_diff, dt_trunc, hours
-from vitalgrid.functions.scalar import logistic, num, step_score
+from vitalgrid.functions.scalar import logistic, num, pack_points, step_score, unpack_points
 from vitalgrid.operators.episodes import trailing_window
-from vitalgrid.operators.joins import anchored_join, hour_grid_join, interval_join
+from vitalgrid.operators.joins import anchored_join, covered_hours, grid_merge, hour_summary, interval_join
 from vitalgrid.plans.firstday import ORGAN_SQL, ORGANS, organ_points
 from vitalgrid.plans.registry import concept
 
@@ -216,50 +216,42 @@ SELECT stay_id, hr, starttime, endtime, {', '.join(ORGANS)}, {', '.join(f'{o}_24
 def sofa(ctx):
     """Organ failure points for every hour of a stay and their worst over 24 hours.
 
-    Measurements are dealt to hours by an equality on the hour's end, each summarised before it
-    meets the grid, so every join of the grid is one row to one row on (stay_id, hr).
+    Measurements are dealt to the hours that they fall in and all kinds are summarised together, one row per stay and
+    hour; the grid, made where its stay is, then meets these rows in one ordered merge and is never shuffled.
     """
-    ids = _stays(ctx).select("stay_id", "hadm_id", "subject_id")
-    grid = ctx["icustay_hourly"].join(ids, "stay_id").withColumn("starttime", F.col("endtime") - hours(1))
-    slim = grid.select("stay_id", "hadm_id", "hr", "endtime")
-
-    def hourly(table, key, **aggs):
-        dealt = hour_grid_join(slim, table, [key], "endtime", "charttime", how="inner")
-        return dealt.groupBy("stay_id", "hr").agg(*[a.alias(n) for n, a in aggs.items()])
-
+    c, ids = F.col, ctx["icustays"].select("stay_id", "hadm_id", "subject_id")
     vent = ctx["ventilation"].filter("ventilation_status = 'InvasiveVent'").select("stay_id", "starttime", "endtime", F.lit(1).alias("vent"))
-    gas = ctx["bg"].filter("specimen = 'ART.'").select("subject_id", "charttime", "pao2fio2ratio").join(ids.select("subject_id", "stay_id"), "subject_id")
-    gas = interval_join(gas, vent, ["stay_id"], "charttime", "starttime", "endtime", how="left").select("stay_id", "charttime", "pao2fio2ratio", "vent")
-    rate = F.col("urineoutput_24hr") / F.col("uo_tm_24hr") * 24
-    parts = [
-        hourly(ctx["vitalsign"].select("stay_id", "charttime", "mbp"), "stay_id", mbp_min=F.min("mbp")),
-        hourly(ctx["gcs"].select("stay_id", "charttime", "gcs"), "stay_id", gcs_min=F.min("gcs")),
-        hourly(ctx["enzyme"].select("hadm_id", "charttime", "bilirubin_total"), "hadm_id", bilirubin_max=F.max("bilirubin_total")),
-        hourly(ctx["chemistry"].select("hadm_id", "charttime", "creatinine"), "hadm_id", creatinine_max=F.max("creatinine")),
-        hourly(ctx["complete_blood_count"].select("hadm_id", "charttime", "platelet"), "hadm_id", platelet_min=F.min("platelet")),
-        hourly(ctx["urine_output_rate"].filter("uo_tm_24hr BETWEEN 22 AND 30").select("stay_id", "charttime", "urineoutput_24hr", "uo_tm_24hr"), "stay_id", urine=F.max(rate)),
-        hourly(gas, "stay_id", pn=F.min(F.when(F.col("vent").isNull(), F.col("pao2fio2ratio"))), pv=F.min(F.when(F.col("vent") == 1, F.col("pao2fio2ratio")))),
+    gas = ctx["bg"].filter("specimen = 'ART.'").select("subject_id", "charttime", "pao2fio2ratio").filter("pao2fio2ratio IS NOT NULL").join(ids.select("subject_id", "stay_id"), "subject_id")
+    gas = interval_join(gas, vent, ["stay_id"], "charttime", "starttime", "endtime", how="left")
+    labs = None
+    for table, value, name in (("enzyme", "bilirubin_total", "bilirubin_max"), ("chemistry", "creatinine", "creatinine_max"), ("complete_blood_count", "platelet", "platelet_min")):
+        one = ctx[table].filter(c(value).isNotNull()).select("hadm_id", "charttime", c(value).alias(name))
+        labs = one if labs is None else labs.unionByName(one, allowMissingColumns=True)
+    measured = [
+        ctx["vitalsign"].filter("mbp IS NOT NULL").select("stay_id", "charttime", c("mbp").alias("mbp_min")), ctx["gcs"].select("stay_id", "charttime", c("gcs").alias("gcs_min")),
+        labs.join(ids.select("hadm_id", "stay_id"), "hadm_id").drop("hadm_id"),
+        ctx["urine_output_rate"].filter("uo_tm_24hr BETWEEN 22 AND 30").select("stay_id", "charttime", (c("urineoutput_24hr") / c("uo_tm_24hr") * 24).alias("urine")),
+        gas.select("stay_id", "charttime", F.when(c("vent").isNull(), c("pao2fio2ratio")).alias("pn"), F.when(c("vent") == 1, c("pao2fio2ratio")).alias("pv")),
     ]
-    # infusions cover whole runs of the grid: spread each over the hours it covers, then meet the grid by equality
     running = None
     for d in RATES:
-        one = ctx[d].select("stay_id", "starttime", "endtime", "vaso_rate", F.lit(d).alias("drug"))
-        running = one if running is None else running.unionByName(one)
-    first = dt_trunc(F.col("starttime"), "HOUR") + hours(1)
-    covered = running.filter(F.col("endtime") >= first).withColumn("at", F.explode(F.sequence(first, dt_trunc(F.col("endtime"), "HOUR"), F.expr("INTERVAL '1' HOUR"))))
-    rates = slim.select("stay_id", "hr", F.col("endtime").alias("at")).join(covered.drop("endtime", "starttime"), ["stay_id", "at"]).groupBy("stay_id", "hr").agg(
-        *[F.max(F.when(F.col("drug") == d, F.col("vaso_rate"))).alias(f"rate_{d}") for d in RATES]
-    )
-    j = grid.select("stay_id", "hr", "starttime", "endtime")
-    for p in (*parts, rates):
-        j = j.join(p, ["stay_id", "hr"], "left")
-    pv, pn = F.col("pv"), F.col("pn")
+        one = ctx[d].select("stay_id", "starttime", "endtime", c("vaso_rate").alias(f"rate_{d}"))
+        running = one if running is None else running.unionByName(one, allowMissingColumns=True)
+    # an infusion counts in every hour whose end it covers
+    measured.append(covered_hours(running, dt_trunc(c("starttime"), "HOUR") + hours(1), dt_trunc(c("endtime"), "HOUR"), "at").select("stay_id", c("at").alias("endtime"), *[f"rate_{d}" for d in RATES]))
+    lowest, highest = ("mbp_min", "gcs_min", "platelet_min", "pn", "pv"), ("bilirubin_max", "creatinine_max", "urine", *[f"rate_{d}" for d in RATES])
+    hour = hour_summary(measured, "stay_id", "charttime", "endtime", **{n: F.min(n) for n in lowest}, **{n: F.max(n) for n in highest})
+    pv, pn = c("pv"), c("pn")
     oxygen = [(pv < 100, 4), (pv < 200, 3), ((pn < 300) | (pv < 300), 2), ((pn < 400) | (pv < 400), 1)]
-    points = organ_points(oxygen, F.coalesce(pv, pn), F.col("mbp_min"), F.col("urine"))
-    s = j.select("stay_id", "hr", "starttime", "endtime", *[c.alias(n) for n, c in points.items()])
-    w = Window.partitionBy("stay_id").orderBy("hr").rowsBetween(-23, 0)
-    s = s.withColumns({f"{o}_24hours": F.coalesce(F.max(o).over(w), F.lit(0)) for o in ORGANS})
-    return s.withColumn("sofa_24hours", sum((F.col(f"{o}_24hours") for o in ORGANS), F.lit(0))).filter("hr >= 0")
+    points = organ_points(oxygen, F.coalesce(pv, pn), c("mbp_min"), c("urine"))
+    hour = hour.select("stay_id", "endtime", *[p.alias(n) for n, p in points.items()]).select("stay_id", "endtime", pack_points(ORGANS).alias("now"))
+    s = grid_merge(ctx["icustay_hourly"].select("stay_id", "hr", "endtime"), hour, "stay_id", "endtime", ["now"])
+    day = F.bit_or("now").over(Window.partitionBy("stay_id").orderBy("endtime").rowsBetween(-23, 0))
+    s = s.withColumn("day", day).filter("hr >= 0").select(
+        "stay_id", "hr", (c("endtime") - hours(1)).alias("starttime"), "endtime", *[unpack_points(c("now"), i).alias(o) for i, o in enumerate(ORGANS)],
+        *[F.coalesce(unpack_points(c("day"), i), F.lit(0)).alias(f"{o}_24hours") for i, o in enumerate(ORGANS)],
+    )
+    return s.withColumn("sofa_24hours", sum((c(f"{o}_24hours") for o in ORGANS), F.lit(0)))
 
 
 @concept("suspicion_of_infection", ["antibiotic", "microbiologyevents"], """
