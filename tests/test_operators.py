@@ -355,7 +355,7 @@ def test_packed_points_keep_the_largest_of_each_part(spark):
     assert tuple(packed.agg(F.bit_or("p").alias("p")).select(*parts).first()) == (4, 3, 10, None)
 
 
-@pytest.mark.parametrize("name", ["sofa", "sepsis3"])
+@pytest.mark.parametrize("name", ["sofa", "sepsis3", "pivoted_sofa", "pivoted_oasis"])
 def test_the_hours_of_a_stay_are_not_shuffled_by_hour(spark, name):
     import re
 

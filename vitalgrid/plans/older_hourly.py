@@ -1,7 +1,7 @@
 """Hourly severity scores of the older generation.
 
 An hour is one row, whichever number of gases or doses touches it; of several doses the largest counts.  Measurements
-are dealt to hours by an equality on the hour's end and summarised before they meet the grid.
+are dealt to hours and summarised before they meet the grid, which is made where its stay is and not shuffled.
 """
 
 from __future__ import annotations
@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.dt import dt_diff, hours
-from vitalgrid.functions.scalar import step_score
-from vitalgrid.operators.joins import hour_grid_join, interval_join
+from vitalgrid.functions.dt import ceil_hour, dt_diff, dt_trunc, hours
+from vitalgrid.functions.scalar import pack_points, step_score, unpack_points
+from vitalgrid.operators.joins import covered_hours, grid_merge, hour_summary, interval_join
 from vitalgrid.plans.older_measurement import STAY
 from vitalgrid.plans.older_scores import _OASIS, _OASIS_SQL, _points
 from vitalgrid.plans.registry import concept
@@ -28,19 +28,8 @@ def _hour_sql(table: str, key: str, aggs: str, where: str = "true") -> str:
 
 
 def _grid(ctx) -> DataFrame:
-    stays = ctx["older_icustays"].select("icustay_id", "hadm_id")
-    return ctx["icustay_hours"].join(stays, "icustay_id").withColumn("starttime", F.col("endtime") - hours(1))
-
-
-def _hourly(grid: DataFrame, table: DataFrame, key: str, **aggs) -> DataFrame:
-    dealt = hour_grid_join(grid.select("icustay_id", "hadm_id", "hr", "endtime"), table, [key], "endtime", "charttime", how="inner")
-    return dealt.groupBy("icustay_id", "hr").agg(*[a.alias(n) for n, a in aggs.items()])
-
-
-def _covered(grid: DataFrame, spans: DataFrame, at: str, closed: str) -> DataFrame:
-    """Hours of the grid whose ``at`` lies in a span, with the span's other columns."""
-    points = grid.select("icustay_id", "hr", F.col(at).alias("_at"))
-    return interval_join(points, spans.withColumnsRenamed({"starttime": "_s", "endtime": "_e"}), ["icustay_id"], "_at", "_s", "_e", closed=closed).drop("_at", "_s", "_e")
+    """The hours as they were made: every stay of theirs is one of ``older_icustays``, so nothing is joined."""
+    return ctx["icustay_hours"].select("icustay_id", "hr", "endtime")
 
 
 @concept("pivoted_sofa", ["icustay_hours", "older_icustays", "older_chartevents", "pivoted_gcs", "pivoted_lab", "pivoted_bg_art", "ventilation_durations", "pivoted_uo", *[f"{d}_dose" for d in RATES]], f"""
@@ -62,26 +51,22 @@ w AS (SELECT *, {', '.join(f'coalesce(max({o}) OVER w, 0) AS {o}_24hours' for o
 SELECT *, {' + '.join(f'{o}_24hours' for o in ORGANS)} AS sofa_24hours FROM w WHERE hr >= 0""")
 def pivoted_sofa(ctx):
     """Organ failure of every hour and its worst over the last 24."""
-    c, grid = F.col, _grid(ctx)
-    chart = ctx["older_chartevents"].filter(c("itemid").isin(MEAN_PRESSURE)).filter("coalesce(error, 0) <> 1 AND valuenum > 0 AND valuenum < 300").select("icustay_id", "charttime", "valuenum")
+    c, own = F.col, Window.partitionBy("icustay_id").orderBy("endtime")
+    chart = ctx["older_chartevents"].filter(c("itemid").isin(MEAN_PRESSURE)).filter("coalesce(error, 0) <> 1 AND valuenum > 0 AND valuenum < 300").select("icustay_id", "charttime", c("valuenum").alias("bp"))
     runs = ctx["ventilation_durations"].select("icustay_id", c("starttime").alias("_s"), c("endtime").alias("_e"), F.lit(1).alias("held"))
-    gas = interval_join(ctx["pivoted_bg_art"].select("icustay_id", "charttime", "pao2fio2ratio"), runs, ["icustay_id"], "charttime", "_s", "_e", how="left").select("icustay_id", "charttime", "pao2fio2ratio", "held")
+    gas = interval_join(ctx["pivoted_bg_art"].filter("icustay_id IS NOT NULL AND pao2fio2ratio IS NOT NULL").select("icustay_id", "charttime", "pao2fio2ratio"), runs, ["icustay_id"], "charttime", "_s", "_e", how="left")
+    labs = ctx["pivoted_lab"].select("hadm_id", "charttime", "bilirubin", "creatinine", "platelet").join(ctx["older_icustays"].select("hadm_id", "icustay_id"), "hadm_id").drop("hadm_id")
     doses = None
     for d in RATES:
-        one = ctx[f"{d}_dose"].select("icustay_id", "starttime", "endtime", c("vaso_rate").alias("rate"), F.lit(d).alias("drug"))
-        doses = one if doses is None else doses.unionByName(one)
-    parts = [
-        _hourly(grid, chart, "icustay_id", bp=F.min("valuenum")), _hourly(grid, ctx["pivoted_gcs"].select("icustay_id", "charttime", "gcs"), "icustay_id", gcs=F.min("gcs")),
-        _hourly(grid, ctx["pivoted_lab"].select("hadm_id", "charttime", "bilirubin", "creatinine", "platelet"), "hadm_id", bilirubin=F.max("bilirubin"), creatinine=F.max("creatinine"), platelet=F.min("platelet")),
-        _hourly(grid, ctx["pivoted_uo"].select("icustay_id", "charttime", "urineoutput"), "icustay_id", urine=F.sum("urineoutput")),
-        _hourly(grid, gas, "icustay_id", pn=F.min(F.when(c("held").isNull(), c("pao2fio2ratio"))), pv=F.min(F.when(c("held") == 1, c("pao2fio2ratio")))),
-        _covered(grid, doses, "endtime", "right").groupBy("icustay_id", "hr").agg(*[F.max(F.when(c("drug") == d, c("rate"))).alias(d) for d in RATES]),
+        one = ctx[f"{d}_dose"].select("icustay_id", "starttime", "endtime", c("vaso_rate").alias(d))
+        doses = one if doses is None else doses.unionByName(one, allowMissingColumns=True)
+    covered = covered_hours(doses, dt_trunc(c("starttime"), "HOUR") + hours(1), dt_trunc(c("endtime"), "HOUR"), "at").select("icustay_id", c("at").alias("endtime"), *RATES)
+    readings = [
+        chart, ctx["pivoted_gcs"].select("icustay_id", "charttime", "gcs"), labs, ctx["pivoted_uo"].select("icustay_id", "charttime", c("urineoutput").alias("urine")), covered,
+        gas.select("icustay_id", "charttime", F.when(c("held").isNull(), c("pao2fio2ratio")).alias("pn"), F.when(c("held") == 1, c("pao2fio2ratio")).alias("pv")),
     ]
-    j = grid.select("icustay_id", "hr", "starttime", "endtime")
-    for p in parts:
-        j = j.join(p, ["icustay_id", "hr"], "left")
-    own = Window.partitionBy("icustay_id").orderBy("hr")
-    j = j.withColumn("uo", F.sum("urine").over(own.rowsBetween(-23, 0)))
+    lowest, highest = ("bp", "gcs", "platelet", "pn", "pv"), ("bilirubin", "creatinine", *RATES)
+    hour = hour_summary(readings, "icustay_id", "charttime", "endtime", urine=F.sum("urine"), **{n: F.min(n) for n in lowest}, **{n: F.max(n) for n in highest})
     dop, epi, nor, dob, cr, uo, gcs = (c(x) for x in ("dopamine", "epinephrine", "norepinephrine", "dobutamine", "creatinine", "uo", "gcs"))
     points = {
         "respiration": ([(c("pv") < 100, 4), (c("pv") < 200, 3), (c("pn") < 300, 2), (c("pn") < 400, 1)], F.coalesce("pv", "pn")), "coagulation": ([(c("platelet") < v, p) for v, p in ((20, 4), (50, 3), (100, 2), (150, 1))], c("platelet")),
@@ -89,9 +74,18 @@ def pivoted_sofa(ctx):
         "cardiovascular": ([((dop > 15) | (epi > 0.1) | (nor > 0.1), 4), ((dop > 5) | (epi <= 0.1) | (nor <= 0.1), 3), ((dop > 0) | (dob > 0), 2), (c("bp") < 70, 1)], F.coalesce("bp", *RATES)),
         "cns": ([(gcs.between(13, 14), 1), (gcs.between(10, 12), 2), (gcs.between(6, 9), 3), (gcs < 6, 4)], gcs), "renal": ([((cr >= 5) | (uo < 200), 4), ((cr >= 3.5) | (uo < 500), 3), (cr >= 2, 2), (cr >= 1.2, 1)], F.coalesce("uo", "creatinine")),
     }
-    s = j.select("icustay_id", "hr", "starttime", "endtime", *[step_score([*cases, (known.isNull(), None)], 0).alias(n) for n, (cases, known) in points.items()])
-    s = s.withColumns({f"{o}_24hours": F.coalesce(F.max(o).over(own.rowsBetween(-24, 0)), F.lit(0)) for o in ORGANS})
-    return s.withColumn("sofa_24hours", sum((c(f"{o}_24hours") for o in ORGANS), F.lit(0))).filter("hr >= 0")
+    scored = {n: step_score([*cases, (known.isNull(), None)], 0) for n, (cases, known) in points.items()}
+    # the kidneys' points need the day's urine, so they are given on the grid
+    *others, kidneys = ORGANS
+    hour = hour.select("icustay_id", "endtime", "urine", "creatinine", *[scored[o].alias(o) for o in others]).withColumn("others", pack_points(others))
+    s = grid_merge(_grid(ctx), hour, "icustay_id", "endtime", ["urine", "creatinine", "others"]).withColumn("uo", F.sum("urine").over(own.rowsBetween(-23, 0)))
+    now = F.coalesce("others", F.lit(0).cast("long")).bitwiseOR(pack_points([kidneys], first=len(others)))
+    s = s.withColumn(kidneys, scored[kidneys]).withColumn("now", now).withColumn("day", F.bit_or("now").over(own.rowsBetween(-24, 0))).filter("hr >= 0")
+    s = s.select(
+        "icustay_id", "hr", (c("endtime") - hours(1)).alias("starttime"), "endtime", *[unpack_points(c("now"), i).alias(o) for i, o in enumerate(ORGANS)],
+        *[F.coalesce(unpack_points(c("day"), i), F.lit(0)).alias(f"{o}_24hours") for i, o in enumerate(ORGANS)],
+    )
+    return s.withColumn("sofa_24hours", sum((c(f"{o}_24hours") for o in ORGANS), F.lit(0)))
 
 
 # The time before the stay in seconds; the other parts are those of the first day.
@@ -100,6 +94,8 @@ _PARTS = {"preiculos_score": _BEFORE, **{n: p for n, p in _OASIS.items() if n !=
 _PARTS_SQL = {"preiculos_score": "CASE WHEN preiculos IS NOT NULL THEN [5, 3, 0, 1, 2][1 + CAST(preiculos >= 612 AS INT) + CAST(preiculos >= 17820 AS INT) + CAST(preiculos >= 86400 AS INT) + CAST(preiculos >= 1123680 AS INT)] END", **{n: e for n, e in _OASIS_SQL.items() if n != "preiculos_score"}}
 _FIXED = ("preiculos_score", "electivesurgery_score")
 _MOVING = [n for n in _PARTS if n not in _FIXED]
+# Parts that the readings of an hour decide alone, and the most points of any part; age is the same in every hour.
+_HOURLY, _TOP = ["gcs_score", "heartrate_score", "meanbp_score", "resprate_score", "temp_score", "mechvent_score"], 10
 _READINGS = ("heartrate", "tempc", "meanbp", "resprate")
 
 
@@ -116,23 +112,29 @@ w AS (SELECT *, {', '.join(f'{n} AS {n}_24hours' for n in _FIXED)}, {', '.join(f
 SELECT *, {' + '.join(f'{n}_24hours' for n in _PARTS)} AS oasis_24hours FROM w WHERE hr >= 0""")
 def pivoted_oasis(ctx):
     """Acute illness of every hour and the worst of each part over the last 24."""
-    c, grid, stays = F.col, _grid(ctx), ctx["older_icustays"]
+    c, stays, day = F.col, ctx["older_icustays"], Window.partitionBy("icustay_id").orderBy("endtime").rowsBetween(-23, 0)
     surgical = F.max((F.lower("curr_service").contains("surg") | (c("curr_service") == "ORTHO")).cast("int")).alias("surgical")
     wards = stays.select("hadm_id", "icustay_id", "intime").join(ctx["services"].select("hadm_id", "transfertime", "curr_service"), "hadm_id").filter(c("transfertime") < c("intime") + hours(24)).groupBy("icustay_id").agg(surgical)
     people = stays.select(*STAY, "intime").join(ctx["admissions"].select("hadm_id", "admittime", "admission_type"), "hadm_id").join(ctx["older_patients"].select("subject_id", "dob"), "subject_id").join(wards, "icustay_id", "left")
     planned = F.when(c("admission_type").isNotNull(), ((c("admission_type") == "ELECTIVE") & (F.coalesce("surgical", F.lit(0)) == 1)).cast("int"))
     people = people.select("icustay_id", dt_diff(c("intime"), c("dob"), "YEAR").alias("age"), dt_diff(c("intime"), c("admittime"), "SECOND").alias("preiculos"), planned.alias("electivesurgery"))
-    spans = ctx["ventilation_durations"].select("icustay_id", "starttime", "endtime")
-    held = _covered(grid, spans, "starttime", "both").unionByName(_covered(grid, spans, "endtime", "both")).distinct().withColumn("held", F.lit(1))
+    # an hour is ventilated if a run covers its start or its end
+    runs = covered_hours(ctx["ventilation_durations"].select("icustay_id", "starttime", "endtime"), ceil_hour(c("starttime")), dt_trunc(c("endtime"), "HOUR"), "at", after=1)
+    readings = [
+        ctx["pivoted_vital"].select("icustay_id", "charttime", *_READINGS), ctx["pivoted_gcs"].select("icustay_id", "charttime", "gcs"),
+        ctx["pivoted_uo"].select("icustay_id", "charttime", c("urineoutput").alias("urine")), runs.select("icustay_id", c("at").alias("endtime"), F.lit(1).alias("held")),
+    ]
     extremes = {f"{x}_{n}": f(x) for x in _READINGS for n, f in (("min", F.min), ("max", F.max))}
-    j = grid.select("icustay_id", "hr", "starttime", "endtime").join(people, "icustay_id")
-    for part in (
-        _hourly(grid, ctx["pivoted_vital"].select("icustay_id", "charttime", *_READINGS), "icustay_id", **extremes), _hourly(grid, ctx["pivoted_gcs"].select("icustay_id", "charttime", "gcs"), "icustay_id", mingcs=F.min("gcs")),
-        _hourly(grid, ctx["pivoted_uo"].select("icustay_id", "charttime", "urineoutput"), "icustay_id", urine=F.sum("urineoutput")), held,
-    ):
-        j = j.join(part, ["icustay_id", "hr"], "left")
-    day = Window.partitionBy("icustay_id").orderBy("hr").rowsBetween(-23, 0)
-    j = j.withColumns({"urineoutput": F.sum("urine").over(day), "mechvent": F.coalesce("held", F.lit(0))})
-    s = j.select("icustay_id", "hr", "starttime", "endtime", *[_points(part).alias(n) for n, part in _PARTS.items()])
-    s = s.withColumns({f"{n}_24hours": c(n) if n in _FIXED else F.coalesce(F.max(n).over(day), F.lit(0)) for n in _PARTS})
-    return s.withColumn("oasis_24hours", sum((c(f"{n}_24hours") for n in _PARTS), F.lit(0))).filter("hr >= 0")
+    hour = hour_summary(readings, "icustay_id", "charttime", "endtime", **extremes, mingcs=F.min("gcs"), urine=F.sum("urine"), mechvent=F.max("held"))
+    # what an hour's own readings decide is packed before the merge; the day's urine and the stay's circumstances follow
+    hour = hour.select("icustay_id", "endtime", "urine", *[_points(_PARTS[n]).alias(n) for n in _HOURLY]).select("icustay_id", "endtime", "urine", pack_points(_HOURLY[:4], _TOP).alias("a"), pack_points(_HOURLY[4:], _TOP).alias("b"))
+    s = grid_merge(_grid(ctx), hour, "icustay_id", "endtime", ["urine", "a", "b"]).withColumn("urineoutput", F.sum("urine").over(day)).withColumn("urineoutput_score", _points(_PARTS["urineoutput_score"]))
+    s = s.withColumn("b", F.coalesce("b", F.lit(0).cast("long")).bitwiseOR(pack_points(["urineoutput_score"], _TOP, first=len(_HOURLY) - 4)))
+    s = s.withColumns({"a_day": F.bit_or("a").over(day), "b_day": F.bit_or("b").over(day)}).filter("hr >= 0").join(people, "icustay_id")
+    at = {n: (x, i) for x, names in (("a", _HOURLY[:4]), ("b", [*_HOURLY[4:], "urineoutput_score"])) for i, n in enumerate(names)}
+    own = {n: unpack_points(c(at[n][0]), at[n][1], _TOP) if n in at else _points(part) for n, part in _PARTS.items()}
+    # an hour without readings is one without ventilation, which has 0 points
+    own["mechvent_score"] = F.coalesce(own["mechvent_score"], F.lit(0))
+    worst = {n: F.coalesce(unpack_points(c(f"{at[n][0]}_day"), at[n][1], _TOP), F.lit(0)) if n in at else own[n] if n in _FIXED else F.coalesce(own[n], F.lit(0)) for n in _PARTS}
+    s = s.select("icustay_id", "hr", (c("endtime") - hours(1)).alias("starttime"), "endtime", *[x.alias(n) for n, x in own.items()], *[x.alias(f"{n}_24hours") for n, x in worst.items()])
+    return s.withColumn("oasis_24hours", sum((c(f"{n}_24hours") for n in _PARTS), F.lit(0)))
