@@ -363,3 +363,10 @@ def test_the_hours_of_a_stay_are_not_shuffled_by_hour(spark, name):
 
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"Exchange hashpartitioning\([^)]*\b(hr|endtime)#", plan)
+
+
+def test_charted_dialysis_looks_at_a_text_once(spark):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["pivoted_rrt"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Recirculating") <= 2  # a text of the source's own expression: once in a filter, once as the value

@@ -162,6 +162,22 @@ _KINDS_SQL = ", ".join(f"({c}, '{k}')" for k, codes in FLUID_KINDS.items() for c
 _PLACED_SQL = ", ".join(f"({c}, {repr(k) if k else 'CAST(NULL AS VARCHAR)'})" for c, k in PLACED_KINDS.items())
 
 
+def _charted() -> tuple[dict, dict]:
+    """What a charted code means, as whether dialysis runs and its kind: by code alone, and by code and text where the text decides."""
+    kind = lambda c: "Peritoneal" if c in PERITONEAL else "IHD" if c == 226499 else None
+    always = {c: (int(c in ACTIVE), kind(c)) for c in PRESENT}
+    special = {(c, "Dialysis Line"): always.get(c, (0, None)) for c in LINE_TYPES}
+    special |= {(582, t): (int(t in PROCEDURE_STARTS), next((k for k in ("CAVH", "CVVHD") if t.startswith(k)), None)) for t in PROCEDURE_STARTS + PROCEDURE_ENDS}
+    special |= {(c, t): (1, kind(c)) for c, t in ((147, "Yes"), (225965, "In use")) if c in always}
+    special |= {(c, t): (always[c][0], t) for c in (152, 227290) if c in always for t in MODES}
+    return always, special
+
+
+def _sql(meaning: tuple) -> str:
+    active, kind = meaning
+    return f"named_struct('active', {active}, 'kind', {repr(kind) if kind else 'CAST(NULL AS STRING)'})"
+
+
 @concept("pivoted_rrt", ["older_dialysis_events", "older_dialysis_fluids", "inputevents_mv", "older_line_procedures"], f"""
 WITH e AS (SELECT icustay_id, charttime, itemid, value, itemid = 582 AND value IN ({_texts(PROCEDURE_STARTS)}) AS begun, itemid = 582 AND value IN ({_texts(PROCEDURE_ENDS)}) AS over FROM older_dialysis_events WHERE value IS NOT NULL AND icustay_id IS NOT NULL AND coalesce(error, 0) = 0),
 c AS (SELECT icustay_id, charttime, CAST(begun OR itemid IN ({_in(ACTIVE)}) OR (itemid = 147 AND value = 'Yes') OR (itemid = 225965 AND value = 'In use') AS INT) AS active,
@@ -175,11 +191,12 @@ SELECT s.icustay_id, s.charttime, 1 AS dialysis_present, coalesce(r.active, s.ac
 def pivoted_rrt(ctx):
     """When dialysis was seen, whether it ran and which kind: charts, fluids and outputs, and the orders that cover them."""
     code, value = F.col("itemid"), F.col("value")
-    begun, over = (code == 582) & value.isin(PROCEDURE_STARTS), (code == 582) & value.isin(PROCEDURE_ENDS)
-    seen = begun | over | code.isin(PRESENT) | (code.isin(LINE_TYPES) & (value == "Dialysis Line"))
-    runs = begun | code.isin(ACTIVE) | ((code == 147) & (value == "Yes")) | ((code == 225965) & (value == "In use"))
-    kind = F.when(code.isin(152, 227290) & value.isin(MODES), value).when(code.isin(PERITONEAL), "Peritoneal").when(code == 226499, "IHD").when((code == 582) & value.startswith("CAVH"), "CAVH").when((code == 582) & value.startswith("CVVHD"), "CVVHD")
-    chart = ctx["older_dialysis_events"].filter(value.isNotNull() & F.col("icustay_id").isNotNull() & (F.coalesce("error", F.lit(0)) == 0)).filter(seen).select("icustay_id", "charttime", runs.cast("int").alias("active"), kind.alias("kind"))
+    always, special = _charted()
+    named = lambda rows, cols: ctx.spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({cols})")
+    chart = ctx["older_dialysis_events"].filter(value.isNotNull() & F.col("icustay_id").isNotNull() & (F.coalesce("error", F.lit(0)) == 0)).filter(code.isin(sorted({*always, *(c for c, _ in special)})))
+    chart = chart.join(F.broadcast(named([f"({c}, {_sql(v)})" for c, v in always.items()], "itemid, by_code")), "itemid", "left")
+    chart = chart.join(F.broadcast(named([f"({c}, '{t}', {_sql(v)})" for (c, t), v in special.items()], "itemid, value, by_text")), ["itemid", "value"], "left")
+    chart = chart.withColumn("_means", F.coalesce("by_text", "by_code")).filter("_means IS NOT NULL").select("icustay_id", "charttime", F.col("_means.active").alias("active"), F.col("_means.kind").alias("kind"))
     kinds = F.create_map(*[F.lit(x) for k, codes in FLUID_KINDS.items() for c in codes for x in (c, k)])
     fluids = ctx["older_dialysis_fluids"].filter((F.col("amount") > 0) & code.isin(FLUIDS_IN + FLUIDS_OUT)).select("icustay_id", "charttime", (~code.isin(ONLY_PRESENT)).cast("int").alias("active"), F.try_element_at(kinds, code).alias("kind"))
     ordered = ctx["inputevents_mv"].filter(code.isin(ORDERS) & (F.col("amount") > 0)).select("icustay_id", "starttime", "endtime", F.lit(1).alias("active"), F.lit("CRRT").alias("kind"))
