@@ -370,3 +370,62 @@ def test_charted_dialysis_looks_at_a_text_once(spark):
 
     plan = entry.queries()["pivoted_rrt"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Recirculating") <= 2  # a text of the source's own expression: once in a filter, once as the value
+
+
+def test_trailing_hours_equal_a_loop_over_the_grid(spark):
+    at = dt.datetime(2024, 1, 1, 0, 0)
+    hour = lambda h: at + dt.timedelta(hours=h)
+    spans = [(1, hour(2), 60), (2, hour(0), 3), (3, hour(5), 0), (4, hour(0), 2)]
+    found = [(1, -30, 64), (1, -21, 16), (1, -2, 1), (1, 2, 2), (1, 3, 4), (1, 26, 8), (1, 27, 2), (1, 62, 32), (1, 63, 64), (2, 1, 1), (2, 2, 6), (4, 9, 1), (9, 1, 1)]
+    rows = spark.createDataFrame([(k, hour(h), v) for k, h, v in found], "k long, endtime timestamp_ntz, now long")
+    got = joins.trailing_hours(spark.createDataFrame(spans, "k long, a timestamp_ntz, n long"), rows, "k", "a", "n", "endtime", "now", 24).collect()
+    want = []
+    for k, a, n in spans:
+        for i in range(n + 1):
+            seen = {t: v for key, h, v in found for t in [hour(h)] if key == k}
+            now, day = a + dt.timedelta(hours=i), None
+            for back in range(24):
+                if (v := seen.get(now - dt.timedelta(hours=back))) is not None:
+                    day = (day or 0) | v
+            want.append((k, i, now, seen.get(now), day))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_sepsis_takes_the_first_of_equal_suspicions(spark):
+    """Ties, unknown culture times, hours at both bounds, a first suspicion without an hour and a stay without any."""
+    from vitalgrid.plans.firstday import ORGANS
+    from vitalgrid.plans.registry import Context
+
+    at = dt.datetime(2024, 1, 10, 0, 0)
+    t = lambda h, m=0: at + dt.timedelta(hours=h, minutes=m)
+    infections = [
+        (1, 10, 5, t(2), t(1), 1, t(1)), (1, 10, 3, t(2), t(1), 1, t(1)), (1, 10, 4, t(2), None, 1, t(1)), (1, 10, 1, t(3), t(1), 1, t(1)), (1, 10, 9, t(0), t(0), 1, t(90)),
+        (2, 20, 1, t(0), t(-200), 1, t(-200)), (2, 20, 2, t(1), t(0, 30), 1, t(0, 30)), (3, 30, 1, t(0), None, 1, t(0)), (4, None, 1, t(0), t(0), 1, t(0)), (5, 50, 1, t(0), None, 0, None), (6, 60, 1, t(0), t(0), 1, t(0)),
+    ]
+    totals = {10: {-47: 1, -46: 3, -45: 9}, 20: {-48: 5, -47: 4, 24: 7}, 30: {-48: 2}, 50: {0: 8}, 60: {-49: 9, 25: 9}}
+    sofa = []
+    for stay, by_hour in totals.items():
+        for h, total in by_hour.items():
+            parts = [min(4, max(0, total - 4 * i)) for i in range(6)]
+            sofa.append((stay, h, t(h - 1), t(h), *parts, *parts, total))
+    s = spark.createDataFrame(infections, "subject_id long, stay_id long, ab_id long, antibiotic_time timestamp_ntz, culture_time timestamp_ntz, suspected_infection int, suspected_infection_time timestamp_ntz")
+    f = spark.createDataFrame(sofa, "stay_id long, hr long, starttime timestamp_ntz, endtime timestamp_ntz, " + ", ".join(f"{o} int" for o in ORGANS) + ", " + ", ".join(f"{o}_24hours int" for o in ORGANS) + ", sofa_24hours int")
+    ctx = Context(spark, {"suspicion_of_infection": s, "sofa": f}.__getitem__)
+    ctx.built |= {"suspicion_of_infection": s, "sofa": f}
+    got = sorted(map(tuple, ctx["sepsis3"].collect()))
+    organs = lambda total: tuple(min(4, max(0, total - 4 * i)) for i in range(6))
+    assert got == [
+        (1, 10, t(2), None, t(1), t(-46), 3, *organs(3), True), (2, 20, t(1), t(0, 30), t(0, 30), t(-47), 4, *organs(4), True), (3, 30, t(0), None, t(0), t(-48), 2, *organs(2), True),
+    ]
+
+
+def test_pairs_of_sepsis_are_compared_with_ready_bounds_and_not_sorted(spark):
+    import re
+
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["sepsis3"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Window(GroupLimit)? [^\n]*sofa_time", plan)
+    joins_of = [line for line in plan.splitlines() if "Join " in line]
+    assert any("sofa_time" in line for line in joins_of)
+    assert not [line for line in joins_of if "INTERVAL" in line and re.search(r"sofa_time|\bday#", line)]

@@ -43,6 +43,11 @@ def times_hours(n: Column) -> Column:
     return F.expr("INTERVAL '1' HOUR") * n
 
 
+def hour_at(n: Column) -> Column:
+    """Start of the hour that is ``n`` hours after 1970 began."""
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + times_hours(n)
+
+
 def days(n: int | Column) -> Column:
     return F.make_dt_interval(days=n if isinstance(n, Column) else F.lit(n))
 

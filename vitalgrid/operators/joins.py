@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.dt import MICROS, ceil_hour, dt_diff, hours, micros, times_hours
+from vitalgrid.functions.dt import MICROS, ceil_hour, dt_diff, hour_at, hours, micros, times_hours
 
 
 def _keyed(left: DataFrame, right: DataFrame, on: Sequence[str], cond: Column, how: str) -> DataFrame:
@@ -55,8 +55,12 @@ def interval_join(
 def anchored_join(
     anchors: DataFrame, events: DataFrame, on: Sequence[str], anchor: str, at: str, before: Column, after: Column, *, how: str = "left",
 ) -> DataFrame:
-    """Events within ``[anchor - before, anchor + after]`` of each anchor; anchors without any survive a left join."""
-    return _keyed(anchors, events, on, (_r(at) >= _l(anchor) - before) & (_r(at) <= _l(anchor) + after), how)
+    """Events within ``[anchor - before, anchor + after]`` of each anchor; anchors without any survive a left join.
+
+    The bounds are columns of the anchors: worked out once an anchor, not for every pair of a key.
+    """
+    bounded = anchors.withColumns({"_from": F.col(anchor) - before, "_to": F.col(anchor) + after})
+    return _keyed(bounded, events, on, (_r(at) >= _l("_from")) & (_r(at) <= _l("_to")), how).drop("_from", "_to")
 
 
 def containment_join(inner: DataFrame, outer: DataFrame, on: Sequence[str], span: tuple[str, str], bounds: tuple[str, str], *, how: str = "left") -> DataFrame:
@@ -107,6 +111,29 @@ def grid_merge(grid: DataFrame, found: DataFrame, key: str, at: str, values: Seq
     return merged.filter("_grid = 1").drop("_grid")
 
 
+def trailing_hours(spans: DataFrame, found: DataFrame, key: str, start: str, n: str, at: str, value: str, width: int) -> DataFrame:
+    """Each whole hour ``hr`` from 0, which is ``start``, to ``n`` of ``spans``, with ``value`` of the row of ``found`` there and, as ``last_<value>``, the bitwise or of ``width`` hours.
+
+    Sorted are only the rows of ``found`` and the hours at which they leave the trailing frame, one start a span beside
+    them; between two of these all hours are alike, so they are made last and in order.
+    """
+    h = F.col("_h")
+    marks = found.select(key, F.explode(F.array(F.struct(bucket_of(F.col(at), 1).alias("h"), F.col(value).alias("v")), F.struct((bucket_of(F.col(at), 1) + width).alias("h"), F.lit(None).cast("long").alias("v")))).alias("_m"))
+    marks = marks.select(key, F.col("_m.h").alias("_h"), F.col("_m.v").alias("_v"))
+    begins = spans.select(key, bucket_of(F.col(start), 1).alias("_h"), bucket_of(F.col(start), 1).alias("_first"), (bucket_of(F.col(start), 1) + F.col(n)).alias("_last"))
+    w = Window.partitionBy(key).orderBy("_h")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    runs = begins.unionByName(marks, allowMissingColumns=True).select(
+        key, "_h", F.bit_or("_v").over(w.rangeBetween(0, 0)).alias("_now"), F.bit_or("_v").over(w.rangeBetween(1 - width, 0)).alias(f"last_{value}"), F.lead("_h").over(w).alias("_next"),
+        *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in ("_first", "_last")],
+    )
+    low, high = F.greatest(h, "_first"), F.least(F.coalesce(F.col("_next") - 1, "_last"), "_last")
+    known = F.col("_first").isNotNull() & (low <= high)
+    each = runs.filter(known).withColumn("_x", F.explode(F.sequence(low, high)))
+    x = F.col("_x")
+    return each.select(key, (x - F.col("_first")).alias("hr"), hour_at(x).alias(at), F.when(x == h, F.col("_now")).alias(value), f"last_{value}")
+
+
 def asof_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], left_at: str, right_at: str, values: Sequence[str], tolerance: int, *, bucket_hours: int = 24,
 ) -> DataFrame:

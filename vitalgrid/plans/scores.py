@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.dt import days, dt_diff, dt_trunc, hours
+from vitalgrid.functions.dt import ceil_hour, days, dt_diff, dt_trunc, hour_at, hours
 from vitalgrid.functions.scalar import logistic, num, pack_points, step_score, unpack_points
 from vitalgrid.operators.episodes import trailing_window
-from vitalgrid.operators.joins import anchored_join, covered_hours, grid_merge, hour_summary, interval_join
+from vitalgrid.operators.joins import anchored_join, bucket_of, covered_hours, hour_summary, interval_join, trailing_hours
 from vitalgrid.plans.firstday import ORGAN_SQL, ORGANS, organ_points
 from vitalgrid.plans.registry import concept
 
@@ -199,7 +199,7 @@ _hour = lambda t, key, agg, name, where="TRUE": f"SELECT g.stay_id, g.hr, {agg}
 RATES = ["epinephrine", "norepinephrine", "dopamine", "dobutamine"]
 
 
-@concept("sofa", ["icustays", "icustay_hourly", "bg", "ventilation", "vitalsign", "gcs", "enzyme", "chemistry", "complete_blood_count", "urine_output_rate", *RATES], f"""
+@concept("sofa", ["icustays", "icustay_times", "icustay_hourly", "bg", "ventilation", "vitalsign", "gcs", "enzyme", "chemistry", "complete_blood_count", "urine_output_rate", *RATES], f"""
 WITH g AS ({GRID}),
 vs AS ({_hour('vitalsign', 'stay_id', 'min(mbp)', 'mbp_min')}), gc AS ({_hour('gcs', 'stay_id', 'min(gcs)', 'gcs_min')}), bi AS ({_hour('enzyme', 'hadm_id', 'max(bilirubin_total)', 'bilirubin_max')}),
 cr AS ({_hour('chemistry', 'hadm_id', 'max(creatinine)', 'creatinine_max')}), pl AS ({_hour('complete_blood_count', 'hadm_id', 'min(platelet)', 'platelet_min')}),
@@ -217,7 +217,7 @@ def sofa(ctx):
     """Organ failure points for every hour of a stay and their worst over 24 hours.
 
     Measurements are dealt to the hours that they fall in and all kinds are summarised together, one row per stay and
-    hour; the grid, made where its stay is, then meets these rows in one ordered merge and is never shuffled.
+    hour; only these rows are sorted, and the hours of the stay are made from what holds between two of them.
     """
     c, ids = F.col, ctx["icustays"].select("stay_id", "hadm_id", "subject_id")
     vent = ctx["ventilation"].filter("ventilation_status = 'InvasiveVent'").select("stay_id", "starttime", "endtime", F.lit(1).alias("vent"))
@@ -245,11 +245,10 @@ def sofa(ctx):
     oxygen = [(pv < 100, 4), (pv < 200, 3), ((pn < 300) | (pv < 300), 2), ((pn < 400) | (pv < 400), 1)]
     points = organ_points(oxygen, F.coalesce(pv, pn), c("mbp_min"), c("urine"))
     hour = hour.select("stay_id", "endtime", *[p.alias(n) for n, p in points.items()]).select("stay_id", "endtime", pack_points(ORGANS).alias("now"))
-    s = grid_merge(ctx["icustay_hourly"].select("stay_id", "hr", "endtime"), hour, "stay_id", "endtime", ["now"])
-    day = F.bit_or("now").over(Window.partitionBy("stay_id").orderBy("endtime").rowsBetween(-23, 0))
-    s = s.withColumn("day", day).filter("hr >= 0").select(
+    spans = ctx["icustay_times"].filter("intime_hr IS NOT NULL").select("stay_id", ceil_hour(c("intime_hr")).alias("first"), dt_diff(c("outtime_hr"), c("intime_hr"), "HOUR").alias("n"))
+    s = trailing_hours(spans, hour, "stay_id", "first", "n", "endtime", "now", 24).select(
         "stay_id", "hr", (c("endtime") - hours(1)).alias("starttime"), "endtime", *[unpack_points(c("now"), i).alias(o) for i, o in enumerate(ORGANS)],
-        *[F.coalesce(unpack_points(c("day"), i), F.lit(0)).alias(f"{o}_24hours") for i, o in enumerate(ORGANS)],
+        *[F.coalesce(unpack_points(c("last_now"), i), F.lit(0)).alias(f"{o}_24hours") for i, o in enumerate(ORGANS)],
     )
     return s.withColumn("sofa_24hours", sum((c(f"{o}_24hours") for o in ORGANS), F.lit(0)))
 
@@ -280,8 +279,10 @@ def suspicion_of_infection(ctx):
         F.max(F.when(grown, 1).otherwise(0)).alias("pos"),
     )
     t, d, ct, cd = F.col("starttime"), F.col("day"), F.col("ct"), F.col("cd")
-    before = F.when(ct.isNull(), (d >= cd) & (d <= cd + days(3))).otherwise((t > ct) & (t <= ct + hours(72)))
-    after = F.when(ct.isNull(), (d >= cd - days(1)) & (d <= cd)).otherwise((t >= ct - hours(24)) & (t < ct))
+    # a culture's bounds are worked out once, not for every pair
+    me = me.withColumns({"until": F.when(ct.isNull(), cd + days(3)).otherwise(ct + hours(72)), "since": F.when(ct.isNull(), cd - days(1)).otherwise(ct - hours(24))})
+    before = F.when(ct.isNull(), (d >= cd) & (d <= F.col("until"))).otherwise((t > ct) & (t <= F.col("until")))
+    after = F.when(ct.isNull(), (d >= F.col("since")) & (d <= cd)).otherwise((t >= F.col("since")) & (t < ct))
     slim = ab.select("subject_id", "ab_id", "starttime", "day")
     pairs = slim.join(me, (slim["subject_id"] == me["subject"]) & (before | after))
     rank = F.struct(cd.alias("cd"), ct.isNull().alias("late"), ct.alias("ct"), (-F.col("pos")).alias("neg"), F.col("micro_specimen_id").alias("id"), F.col("sp").alias("sp"), F.col("pos").alias("pos"))
@@ -302,13 +303,24 @@ WITH p AS (SELECT s.subject_id, s.stay_id, antibiotic_time, culture_time, suspec
       FROM suspicion_of_infection s JOIN sofa f ON f.stay_id = s.stay_id AND f.sofa_24hours >= 2 AND f.endtime BETWEEN s.suspected_infection_time - INTERVAL '48' HOUR AND s.suspected_infection_time + INTERVAL '24' HOUR)
 SELECT * EXCLUDE (n) FROM p WHERE n = 1""")
 def sepsis3(ctx):
-    """First hour of organ failure around a suspected infection of each stay."""
-    s = ctx["suspicion_of_infection"].filter("stay_id IS NOT NULL").select("subject_id", "stay_id", "ab_id", "antibiotic_time", "culture_time", "suspected_infection", "suspected_infection_time")
-    f = ctx["sofa"].filter("sofa_24hours >= 2").select("stay_id", F.col("endtime").alias("sofa_time"), F.col("sofa_24hours").alias("sofa_score"), *[F.col(f"{o}_24hours").alias(o) for o in ORGANS])
+    """First hour of organ failure around a suspected infection of each stay.
+
+    Antibiotics with one time of suspicion meet the same hours, so each time stands once, with the first of its antibiotics.
+    An hour's number and its points are one number, so pairs of times and hours go straight into a minimum, unsorted.
+    """
+    first = ("antibiotic_time", "culture_time", "ab_id", "subject_id", "suspected_infection")
+    s = ctx["suspicion_of_infection"].filter("stay_id IS NOT NULL AND suspected_infection_time IS NOT NULL").select("stay_id", "suspected_infection_time", *first)
+    s = s.repartition("stay_id").groupBy("stay_id", "suspected_infection_time").agg(F.min(F.struct(*first)).alias("first")).select("stay_id", "suspected_infection_time", "first.*")
+    bits = 3 * len(ORGANS)
+    points = sum((F.shiftleft(F.col(f"{o}_24hours").cast("long"), 3 * i) for i, o in enumerate(ORGANS)), F.lit(0).cast("long"))
+    f = ctx["sofa"].filter("sofa_24hours >= 2").select("stay_id", F.col("endtime").alias("sofa_time"), (F.shiftleft(bucket_of(F.col("endtime"), 1), bits) + points).alias("hour"))
     near = anchored_join(s, f, ["stay_id"], "suspected_infection_time", "sofa_time", hours(48), hours(24), how="inner")
-    w = Window.partitionBy("stay_id").orderBy("suspected_infection_time", "antibiotic_time", "culture_time", "sofa_time", "ab_id")
-    return near.withColumn("n", F.row_number().over(w)).filter("n = 1").select(
-        "subject_id", "stay_id", "antibiotic_time", "culture_time", "suspected_infection_time", "sofa_time", "sofa_score", *ORGANS, (F.col("suspected_infection") == 1).alias("sepsis3")
+    near = near.groupBy(*s.columns).agg(F.min("hour").alias("hour"))
+    best = near.groupBy("stay_id").agg(F.min(F.struct("suspected_infection_time", "antibiotic_time", "culture_time", "hour", *first[2:])).alias("best")).select("stay_id", "best.*")
+    organs = [F.shiftright("hour", 3 * i).bitwiseAND(F.lit(7)).cast("int") for i in range(len(ORGANS))]
+    return best.select(
+        "subject_id", "stay_id", "antibiotic_time", "culture_time", "suspected_infection_time", hour_at(F.shiftright("hour", bits)).alias("sofa_time"), sum(organs, F.lit(0)).alias("sofa_score"),
+        *[x.alias(o) for o, x in zip(ORGANS, organs)], (F.col("suspected_infection") == 1).alias("sepsis3"),
     )
 
 
