@@ -429,3 +429,16 @@ def test_pairs_of_sepsis_are_compared_with_ready_bounds_and_not_sorted(spark):
     joins_of = [line for line in plan.splitlines() if "Join " in line]
     assert any("sofa_time" in line for line in joins_of)
     assert not [line for line in joins_of if "INTERVAL" in line and re.search(r"sofa_time|\bday#", line)]
+
+
+def test_nested_readings_are_wrapped_after_the_shuffle_and_not_filtered_by_element(spark):
+    import __spark_entry__ as entry
+    from vitalgrid.operators.resources import view
+
+    plan = entry.queries()["nested_bg"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    partial = [line for line in plan.splitlines() if "partial_collect_list" in line]
+    assert partial and not [line for line in partial if "urn:hospital" in line]
+    assert "lambdafunction(true" not in plan
+    spec = {"select": [{"forEachOrNull": "a", "column": [{"path": "x", "name": "x"}]}]}
+    holes = spark.sql("SELECT array(named_struct('x', 1), NULL, named_struct('x', 2)) AS a UNION ALL SELECT array(CAST(NULL AS STRUCT<x: INT>))")
+    assert sorted(map(tuple, view(holes, spec).collect()), key=str) == [(1,), (2,), (None,)]

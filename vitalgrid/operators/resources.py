@@ -119,7 +119,8 @@ class _View:
             items = _read(at, each, self.resource)
             many = items.value if isinstance(items.kind, T.ArrayType) else F.array(items.value)
             kind = items.kind.elementType if isinstance(items.kind, T.ArrayType) else items.kind
-            many = F.filter(many, lambda x: x.isNotNull())
+            if not isinstance(items.kind, T.ArrayType) or items.kind.containsNull:
+                many = F.filter(many, lambda x: x.isNotNull())
             df = df.withColumn(level, (F.explode if "forEach" in part else F.explode_outer)(many))
             at = Found(F.col(level), kind)
         own = {}

@@ -28,12 +28,14 @@ def _reference(kind: str, *parts) -> Column:
 
 def _observation(rows: DataFrame, keys: list[str], system: str, at: str, extra: dict[str, Column]) -> DataFrame:
     """One resource for each of ``keys`` with a component a reading; a reading has a number or a text or neither."""
-    coding = F.array(F.struct(F.lit(OTHER).alias("system"), F.concat(F.lit("x"), F.col("itemid")).alias("code")), F.struct(F.lit(system).alias("system"), F.col("itemid").cast("string").alias("code")))
-    component = F.struct(
-        F.struct(coding.alias("coding")).alias("code"), F.when(F.col("valuenum").isNotNull(), F.struct(F.col("valuenum").alias("value"))).alias("valueQuantity"), F.col("value").alias("valueString"),
-        F.col("storetime").alias("issued"),
-    )
-    found = rows.groupBy(*keys).agg(F.collect_list(component).alias("component"))
+    def component(x: Column) -> Column:
+        coding = F.array(F.struct(F.lit(OTHER).alias("system"), F.concat(F.lit("x"), x["itemid"]).alias("code")), F.struct(F.lit(system).alias("system"), x["itemid"].cast("string").alias("code")))
+        quantity = F.when(x["valuenum"].isNotNull(), F.struct(x["valuenum"].alias("value")))
+        return F.struct(F.struct(coding.alias("coding")).alias("code"), quantity.alias("valueQuantity"), x["value"].alias("valueString"), x["storetime"].alias("issued"))
+
+    # bare readings are shuffled; they are wrapped where the resource is put together, and only once
+    readings = F.collect_list(F.struct("itemid", "valuenum", "value", "storetime"))
+    found = rows.groupBy(*keys).agg(F.transform(readings, component).alias("component"))
     return found.select(F.concat_ws("-", F.lit(system), *keys).alias("id"), F.col(at).alias("effectiveDateTime"), *[c.alias(n) for n, c in extra.items()], "component")
 
 
@@ -111,7 +113,8 @@ class Flattened:
 
 def nested_context(spark: SparkSession, sf_dir: str) -> Context:
     listed = {(system, str(c[0]), c[0]) for system, codes in ((LABS, [*LAB_CODES, *LAB_TEXTS]), (CHART, [*CHART_CODES, *TEXT_CODES])) for c in codes}
-    return Context(spark, Flattened(resources(spark, sf_dir), spark.createDataFrame(sorted(listed), "system string, code string, itemid int")))
+    rows = ", ".join(f"('{system}', '{code}', {item})" for system, code, item in sorted(listed))
+    return Context(spark, Flattened(resources(spark, sf_dir), spark.sql(f"SELECT * FROM VALUES {rows} AS c(system, code, itemid)")))
 
 
 #: Derived tables that are registered over nested resources as well.
