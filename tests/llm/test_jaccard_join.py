@@ -206,3 +206,72 @@ def test_a_very_long_text_and_one_key_of_many(spark):
     rows += [(100 + i, " ".join([*base[:-1], f"e{i}"])) for i in range(3000)]
     by = {r[0]: r[2] for r in got(spark, rows)}
     assert (by[1], by[2], by[3]) == (1, 1, 3) and {by[100 + i] for i in range(3000)} == {100}
+
+
+def still_open(texts, percent, parts, bits, tasks=3):
+    """Places of the texts that the screen leaves, and the bytes it posts."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from vitalgrid.llm.jaccard_join import _lone, _open, _screen
+
+    every = (SimpleNamespace(value=b"\xff" * 256), 11)
+    posted = []
+    for t in range(tasks):
+        at = range(t, len(texts), tasks)
+        posted += _screen(4, percent, parts, bits, every)([pa.record_batch([pa.array([texts[i] for i in at], pa.string()), pa.array(at, pa.int64())], names=["text", "row"])])
+    posted = pa.Table.from_batches(posted)
+    groups = lambda x, c: [x.filter(pc.equal(x[c], v)) for v in pc.unique(x[c])]
+    lone = pa.concat_tables([_lone(x) for x in groups(posted, "part")])
+    rows = [r for x in groups(lone, "block") for r in _open(percent)(x)["row"].to_pylist()]
+    assert len(rows) == len(set(rows))
+    return set(rows), sum(len(x or b"") for c in ("hashes", "at", "rows", "sizes") for x in posted[c].to_pylist())
+
+
+def test_the_screen_loses_no_link(monkeypatch):
+    import pyarrow as pa
+
+    from vitalgrid.llm import jaccard_join
+    from vitalgrid.llm.jaccard_join import class_of, shingle_sets
+
+    monkeypatch.setattr(jaccard_join, "SCREENED", 900)
+    first = {class_of(s): (t, set(s.tolist())) for _, t in corpus(10) for s in shingle_sets(pa.array([t], pa.string()), 4) if len(s)}
+    texts, sets = zip(*first.values(), strict=True)
+    for percent in (50, 80, 85, 100):
+        near = {x for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]) for x in (i, j)}
+        for parts, bits in ((1, 40), (7, 14), (50, 20)):
+            assert near <= still_open(texts, percent, parts, bits)[0]
+
+
+def test_few_bytes_are_posted_however_many_ranges():
+    import pyarrow as pa
+
+    from vitalgrid.llm.jaccard_join import _postings
+
+    rng = random.Random(11)
+    pages = [[f"w{rng.randrange(5000)}" for _ in range(300)] for _ in range(1500)]
+    texts = [" ".join(p) for p in pages] + [" ".join([*p[:100], "edit", *p[101:]]) for p in pages[:30]]
+    for parts in (2, 200):
+        left, size = still_open(texts, 85, parts, 26, 1)
+        assert set(range(30)) | set(range(1500, 1530)) <= left and len(left) < 80
+        keys = _postings(4, 85, parts)([pa.record_batch([pa.array([texts[i] for i in left])], names=["text"])])
+        size += sum(len(x) for b in keys for c in ("keys", "at", "classes") for x in b.column(c).to_pylist())
+        assert size < 2.2 * 297 * len(texts)  # keys of all pages take 3.1 and 6.2 bytes a shingle
+
+
+def test_fresh_pages_and_their_copies_make_no_keys(spark, monkeypatch):
+    from vitalgrid.llm import jaccard_join
+
+    rng, seen, screen = random.Random(12), [], jaccard_join.open_classes
+
+    def counted(*args):
+        seen.append((out := jaccard_join.materialize(screen(*args))).count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "open_classes", counted)
+    pages = [" ".join(f"w{rng.randrange(3000)}" for _ in range(80)) for _ in range(80)]
+    rows = [(i + 1000 * copy, p) for copy in range(4) for i, p in enumerate(pages)] + [(5000, pages[3] + " end"), (None, pages[4] + " end")]
+    assert got(spark, rows, part_shingles=900) == brute(rows)
+    assert 4 <= seen[0] < 30

@@ -8,6 +8,11 @@ classes link at ``100 * intersection >= percent * union``.
   their children).  The overlap of two sets is at most the sum of the coordinate minima, so a node
   whose maxima cannot reach the overlap that the smallest size below it needs is not entered.
   Surviving pairs are verified on the sets.
+* Most classes are settled before any key is made.  Of a class of ``n`` shingles of which ``u`` stand in
+  no other class, every other one holds at most ``n - u``, so with ``100 * (n - u) < percent * n`` it
+  links with none.  A fixed share of all hashes is enough to count by, as the shingles of that share
+  alone give a smaller ``u``; chance collisions of their shortened hashes make it smaller still.  Only
+  what this leaves goes on.
 * Trees are small and local to a *cell*.  A linked pair differs in at most ``D`` shingles, so of
   ``D + 1 + e`` hash groups at least ``1 + e`` hold the very same shingles in both: classes that
   agree on no group cannot link.  Each class posts one key per group, for its own size interval and
@@ -52,6 +57,9 @@ CELL_BYTES = 64_000_000  # of the sets that one task holds at once
 BUCKET_BITS = 24  # counters of shingles: two megabytes of marks
 COUNTED = 2_000_000  # shingles that are counted together
 KEY_BITS = 48  # keys only gather candidates, so a shortened key costs at most a few needless comparisons
+SCREENED = 2_000_000  # shingles that are posted together to see which stand alone
+SPARE_BITS = 5  # by which their shortened hashes exceed their number: one in 32 meets another by chance, at most
+MARK_BITS = 28  # of a table of marked rows, at most: 32 megabytes
 POSTED_CLASSES = 8000  # classes that post together, at most
 POSTED_KEYS = 700_000  # and about how many keys
 
@@ -205,6 +213,190 @@ def common_shingles(base: DataFrame, parts: int, common_docs: int) -> bytes:
     return bytes(out)
 
 
+# rows marked in a table of bits, by the first bits of their hash
+
+
+class Marked:
+    """Whether a row's mark is set; a few that were never marked share another's bit."""
+
+    def __init__(self, table: np.ndarray, bits: int):
+        self.table, self.bits = table, bits
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        at = rows.view(np.uint64) >> np.uint64(64 - self.bits)
+        return (self.table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    def of(self, part: pa.RecordBatch, column: int) -> pa.RecordBatch:
+        return part.filter(pa.array(self[part.column(column).to_numpy()]))
+
+
+def _packed(width: int):
+    """Of each range of a table, its bits."""
+
+    def run(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            part, at = (c.to_numpy() for c in batch.columns)
+            for p in np.unique(part).tolist():
+                held.setdefault(p, np.zeros(width, bool))[at[part == p]] = True
+        bits = [np.packbits(t, bitorder="little").tobytes() for t in held.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(bits, pa.binary())], names=["part", "bits"])
+
+    return run
+
+
+def marked_rows(rows: DataFrame, spare: int):
+    """Broadcast table and its bits for ``Marked``: those of the column ``row`` of ``rows`` (already materialised)."""
+    n, part_bits = rows.count(), 8
+    bits = min(MARK_BITS, max(part_bits + 3, n.bit_length() + spare))
+    low = bits - part_bits
+    at = F.shiftrightunsigned("row", 64 - bits)
+    held = rows.select(F.shiftright(at, low).alias("part"), at.bitwiseAND((1 << low) - 1).alias("at")).repartition("part")
+    width = 1 << low >> 3
+    out = bytearray(width << part_bits)
+    for part, packed in held.mapInArrow(released(_packed(1 << low)), "part long, bits binary").collect():
+        out[part * width : (part + 1) * width] = packed
+    return rows.sparkSession.sparkContext.broadcast(bytes(out)), bits
+
+
+def _marked(marks) -> Marked:
+    return Marked(np.frombuffer(marks[0].value, np.uint8), marks[1])
+
+
+def _only(marks, column: int):
+    """The rows whose hash in ``column`` is marked."""
+
+    def run(batches):
+        held = _marked(marks)
+        for batch in batches:
+            yield held.of(batch, column)
+
+    return run
+
+
+# classes with so many shingles of their own that they link with none
+
+SCREEN = "part int, block long, n int, hashes binary, at binary, rows binary, sizes binary"
+LONE = "block long, lone binary, rows binary, sizes binary"
+
+
+def screen_share(percent: int) -> int:
+    """Of 256 hashes, how many are counted by: well above what a class needs of its own to be settled."""
+    return min(256, max(16, 256 * 5 * (100 - percent) // 200))
+
+
+def _screen(k: int, percent: int, parts: int, bits: int, firsts):
+    """Shortened hashes of the shingles that are counted by, packed per range, and whose they are (column 0: text, 1: row).
+
+    A hash that several classes of a block have is posted once, as nobody's (rank ``n``).  A row of its own names
+    the block's rows and their numbers of shingles.
+    """
+    share = np.uint64(screen_share(percent))
+
+    def rows(held: list[np.ndarray], names: list[int], sizes: list[int]) -> pa.RecordBatch:
+        n, name = len(names), np.array(names, np.int64).tobytes()
+        block = xxhash.xxh3_64_intdigest(name) - (1 << 63)
+        x = np.concatenate(held) >> np.uint64(64 - bits)
+        order = np.argsort(x, kind="stable")
+        x, at = x[order], np.repeat(np.arange(n, dtype=np.uint32), [len(h) for h in held])[order]
+        first = _starts(x)
+        at = np.where(np.diff(np.r_[first, len(x)]) > 1, np.uint32(n), at[first])
+        x = x[first]
+        edges = np.searchsorted(x, np.array([(i << bits) // parts for i in range(parts)], np.uint64)).tolist() + [len(x)]
+        out = [{"part": block % parts, "block": block, "n": 0, "rows": name, "sizes": planes(np.array(sizes, np.uint32))}]
+        for p, (a, b) in enumerate(zip(edges, edges[1:])):
+            if b > a:
+                out.append({"part": p, "block": block, "n": n, "hashes": planes(np.diff(x[a:b], prepend=np.uint64(0))), "at": planes(at[a:b])})
+        types = {"part": pa.int32(), "block": pa.int64(), "n": pa.int32()}
+        return pa.RecordBatch.from_pylist(out, pa.schema([(c, types.get(c, pa.binary())) for c in ("part", "block", "n", "hashes", "at", "rows", "sizes")]))
+
+    def run(batches):
+        first = _marked(firsts)
+        seen, held, names, sizes, size = set(), [], [], [], 0
+        for batch in batches:
+            for part in slices(first.of(batch, 1), 0):
+                for s, row in zip(shingle_sets(part.column(0), k), part.column(1).to_pylist(), strict=True):
+                    if len(s) and (c := class_of(s)) not in seen:
+                        seen.add(c)
+                        held.append(s[s & np.uint64(255) < share])
+                        names.append(row)
+                        sizes.append(len(s))
+                        size += len(held[-1]) + 20  # a short text takes room as well
+                        if size >= SCREENED:
+                            yield rows(held, names, sizes)
+                            held, names, sizes, size = [], [], [], 0
+        if names:
+            yield rows(held, names, sizes)
+
+    return run
+
+
+def _lone(part: pa.Table) -> pa.Table:
+    """Of each block, how many hashes of this range each of its rows has for itself."""
+    hashes, at, blocks, out = [np.zeros(0, np.uint64)], [], [], []
+    columns = (part.column(c).to_pylist() for c in ("block", "n", "hashes", "at", "rows", "sizes"))
+    for block, n, x, own, rows, sizes in zip(*columns, strict=True):
+        if n == 0:
+            out.append({"block": block, "rows": rows, "sizes": sizes})
+            continue
+        hashes.append(np.cumsum(from_planes(x, np.uint64), dtype=np.uint64))
+        at.append(from_planes(own, np.uint32))
+        blocks.append((block, n))
+    x = np.concatenate(hashes)
+    order = np.argsort(x, kind="stable")
+    differs = np.r_[True, x[order[1:]] != x[order[:-1]], True]
+    alone = np.zeros(len(x), bool)
+    alone[order] = (differs[:-1] & differs[1:])[: len(x)]
+    start = 0
+    for (block, n), own in zip(blocks, at, strict=True):
+        count = np.bincount(own[alone[start : start + len(own)]], minlength=n + 1)[:n]
+        out.append({"block": block, "lone": planes(count.astype(np.uint32))})
+        start += len(own)
+    return pa.Table.from_pylist(out, pa.schema([("block", pa.int64()), ("lone", pa.binary()), ("rows", pa.binary()), ("sizes", pa.binary())]))
+
+
+def _open(percent: int):
+    """The rows of a block that may link, and their numbers of shingles."""
+
+    def run(part: pa.Table) -> pa.Table:
+        rows, sizes, lone = (part.column(c).to_pylist() for c in ("rows", "sizes", "lone"))
+        named = next((i for i, x in enumerate(rows) if x is not None), None)
+        if named is None:  # of another attempt of a task
+            return pa.table({"row": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+        row, n = np.frombuffer(rows[named], np.int64), from_planes(sizes[named], np.uint32).astype(np.int64)
+        own = np.zeros(len(n), np.int64)
+        for x in lone:
+            if x is not None:
+                own += from_planes(x, np.uint32)
+        held = 100 * (n - own) >= percent * n
+        return pa.table({"row": pa.array(row[held], pa.int64()), "n": pa.array(n[held], pa.int64())})
+
+    return run
+
+
+def _giving_back(run):
+    """``run`` for ``applyInArrow``, after which the worker gives its memory back."""
+
+    def inner(part: pa.Table) -> pa.Table:
+        out = run(part)
+        give_back()
+        return out
+
+    return inner
+
+
+def open_classes(texts: DataFrame, classes: DataFrame, shingles: int, k: int, percent: int, part_shingles: int) -> DataFrame:
+    """``row, n`` of the classes that may link with another.
+
+    ``texts``: ``text, row`` of all documents; ``classes``: ``row`` of one document of each class, ``shingles`` in all.
+    """
+    counted = shingles * screen_share(percent) // 256
+    parts, bits = 1 + counted // part_shingles, min(56, counted.bit_length() + SPARE_BITS)
+    posted = texts.mapInArrow(released(_screen(k, percent, parts, bits, marked_rows(classes, 4))), SCREEN)
+    lone = posted.groupBy("part").applyInArrow(_giving_back(_lone), LONE)
+    return lone.groupBy("block").applyInArrow(_giving_back(_open(percent)), "row long, n long")
+
+
 # candidates: classes connected by shared keys
 
 
@@ -231,8 +423,8 @@ def _starts(sorted_keys: np.ndarray) -> np.ndarray:
 POSTED = "part int, n int, keys binary, at binary, classes binary"
 
 
-def _postings(k: int, percent: int, parts: int, marks=None):
-    """Keys, packed per key range: sorted differences and places in a class list.
+def _postings(k: int, percent: int, parts: int, marks=None, kept=None):
+    """Keys, packed per key range: sorted differences and places in a class list (column 0: text, 1: row, if ``kept`` marks some).
 
     Classes of a batch that share keys are connected on the spot: each key is posted once, for the least class
     connected with it, and the others' links to that class go in rows of their own (``n`` 0).
@@ -263,9 +455,10 @@ def _postings(k: int, percent: int, parts: int, marks=None):
 
     def run(batches):
         bits = np.zeros(1 << BUCKET_BITS >> 3, np.uint8) if marks is None else np.frombuffer(marks.value, np.uint8)
+        only = _marked(kept) if kept else None
         intervals, seen, keys, names, size = Intervals(percent), set(), [], [], 0
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(only.of(batch, 1) if only else batch, 0):
                 for s in shingle_sets(part.column(0), k):
                     if len(s) and (c := class_of(s)) not in seen:
                         seen.add(c)
@@ -304,12 +497,6 @@ def _meet(part: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(names[moved], pa.int64()), "b": pa.array(names[least[moved]], pa.int64())})
 
 
-def _met(part: pa.Table) -> pa.Table:
-    out = _meet(part)
-    give_back()
-    return out
-
-
 # verification: the R-tree of a cell
 
 
@@ -513,21 +700,27 @@ def jaccard_members(
         base = written.filter("part IS NULL").select("doc", "body", "n", "cls")
         marks = spark.sparkContext.broadcast(common_shingles(written, count_parts, common_docs))
         shingles = base.agg(F.sum("n")).first()[0] or 0
-        posted = docs.select(whole).mapInArrow(released(_postings(k, percent, 1 + shingles // part_shingles, marks)), POSTED)
-        cells = connected_components(posted.groupBy("part").applyInArrow(_met, "a long, b long"))
-
-        classes = base.filter("n > 0").groupBy("cls").agg(
-            F.min("doc").alias("doc"), F.coalesce(F.min_by("body", "doc"), F.min("body")).alias("body"), F.first("n").alias("n")
-        )
+        first = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "body")).alias("first")
+        classes = base.filter("n > 0").groupBy("cls").agg(first, F.first("n").alias("n")).select("cls", "first.doc", "first.body", "n")
+        classes = materialize(classes.withColumn("row", F.xxhash64("doc", "body")))
+
+        texts = docs.select(whole, F.xxhash64(F.col(doc_id), body).alias("row"))
+        opened = materialize(open_classes(texts, classes, shingles, k, percent, part_shingles))
+        kept = marked_rows(opened, 8)
+        parts = 1 + (opened.agg(F.sum("n")).first()[0] or 0) // part_shingles
+        posted = texts.mapInArrow(released(_postings(k, percent, parts, marks, kept)), POSTED)
+        cells = connected_components(posted.groupBy("part").applyInArrow(_giving_back(_meet), "a long, b long"))
         wanted = materialize(classes.join(cells, F.col("cls") == F.col("node")).select("cls", "doc", "body", "n", F.col("root").alias("cell")))
         sizes = wanted.groupBy("cell").agg(F.ceil(F.greatest(F.count("*") / cell_rows, F.sum("n") * 8 / CELL_BYTES)).cast("int").alias("chunks"))
         large = materialize(sizes.filter("chunks > 1"))
 
         def sets_of(classes: DataFrame) -> DataFrame:
             named = materialize(classes.select("cell", "cls", F.col("doc").alias("_doc"), F.col("body").alias("_body")))
-            own = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("body"), whole)
+            own = docs.select(F.col(doc_id).alias("doc"), body, whole)
+            if (side := small_side(named, broadcast_bytes)) is named:  # both sides are shuffled: only texts that may be met
+                own = own.withColumn("row", F.xxhash64("doc", "body")).mapInArrow(_only(kept, 3), f"doc {id_type.simpleString()}, body long, text string, row long")
             same = own["doc"].eqNullSafe(named["_doc"]) & (own["body"] == named["_body"])
-            held = own.join(small_side(named, broadcast_bytes), same)
+            held = own.join(side, same)
             return held.select("cell", F.lit(0).alias("i"), F.lit(0).alias("j"), "cls", "text").mapInArrow(released(_sets(k)), SETS)
 
         links = _dealt_links(sets_of(wanted.join(large, "cell", "left_anti")), percent)
