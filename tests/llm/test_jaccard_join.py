@@ -275,3 +275,21 @@ def test_fresh_pages_and_their_copies_make_no_keys(spark, monkeypatch):
     rows = [(i + 1000 * copy, p) for copy in range(4) for i, p in enumerate(pages)] + [(5000, pages[3] + " end"), (None, pages[4] + " end")]
     assert got(spark, rows, part_shingles=900) == brute(rows)
     assert 4 <= seen[0] < 30
+
+
+def test_the_pipelines_stage_makes_keys_of_few_pages(spark, monkeypatch):
+    import corpus_pipeline
+    from vitalgrid.llm import jaccard_join
+
+    rng, seen, screen = random.Random(13), [], jaccard_join.open_classes
+
+    def counted(*args):
+        seen.append((out := jaccard_join.materialize(screen(*args))).count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "open_classes", counted)
+    pages = [" ".join(f"w{rng.randrange(3000)}" for _ in range(80)) for _ in range(60)]
+    rows = [(i + 1000 * copy, p) for copy in range(3) for i, p in enumerate(pages)] + [(5000, pages[3] + " end"), (5001, "")]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(r.doc_id for r in kept) == [*range(60), 5001]
+    assert 2 <= seen[0] < 20
